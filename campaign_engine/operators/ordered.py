@@ -1,0 +1,80 @@
+"""Exact rank boundary for an arbitrary (possibly composite, non-numeric) sort
+key, without a global sort or an unpartitioned window.
+
+A bracket ``(lo, hi]`` of the key space that holds the target rank is narrowed
+by sampling: a bounded sample (~``sample_rows`` keys) proposes two cut points
+around the expected position, one counting pass checks which side the target
+falls on. Once a bracket holds at most ``finish_rows`` keys, just those keys are
+sorted. Only bounded samples and counts reach the driver.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def _key_struct(df: DataFrame, cols: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
+
+
+def _lit_struct(df: DataFrame, cols: Sequence[str], values) -> Column:
+    types = dict(df.dtypes)
+    return F.struct(*[F.lit(v).cast(types[c]).alias(f"k{i}") for i, (c, v) in
+                      enumerate(zip(cols, values))])
+
+
+def kth_key(df: DataFrame, cols: Sequence[str], k: int, sample_rows: int = 20_000,
+            finish_rows: int = 100_000, seed: int = 7, max_passes: int = 64) -> tuple:
+    """Key tuple of the row at 0-based rank ``k`` in ``cols`` order."""
+    cols = list(cols)
+    keyed = df.select(_key_struct(df, cols).alias("_k"))
+    lo = hi = None
+    below = 0
+    m = keyed.count()
+    if not 0 <= k < m:
+        raise ValueError(f"rank {k} outside 0..{m - 1}")
+    for _ in range(max_passes):
+        sub = keyed
+        if lo is not None:
+            sub = sub.where(F.col("_k") > _lit_struct(df, cols, lo))
+        if hi is not None:
+            sub = sub.where(F.col("_k") <= _lit_struct(df, cols, hi))
+        need = k - below
+        if m <= finish_rows:
+            keys = sorted(tuple(r["_k"]) for r in sub.collect())
+            return keys[need]
+        frac = min(1.0, sample_rows / m)
+        sample = sorted(tuple(r["_k"]) for r in sub.sample(fraction=frac, seed=seed).collect())
+        if len(sample) < 2:
+            seed += 1
+            continue
+        s = len(sample)
+        pos = need / m * s
+        margin = 5 * math.sqrt(s) + 10
+        a = sample[max(0, int(pos - margin))]
+        b = sample[min(s - 1, int(pos + margin))]
+        cnt = sub.agg(
+            F.sum((F.col("_k") <= _lit_struct(df, cols, a)).cast("long")).alias("a"),
+            F.sum((F.col("_k") <= _lit_struct(df, cols, b)).cast("long")).alias("b")).first()
+        ca, cb = int(cnt["a"] or 0), int(cnt["b"] or 0)
+        if need < ca:
+            hi, m = a, ca
+        elif need < cb:
+            lo, hi, below, m = a, b, below + ca, cb - ca
+        else:
+            lo, below, m = b, below + cb, m - cb
+        seed += 1
+    raise RuntimeError("rank search did not converge")
+
+
+def ordered_boundary(df: DataFrame, cols: Sequence[str], n_before: int) -> Column:
+    """Predicate true for rows whose key ranks at ``n_before`` or later."""
+    cols = list(cols)
+    if n_before <= 0:
+        return F.lit(True)
+    key = kth_key(df, cols, n_before)
+    return _key_struct(df, cols) >= _lit_struct(df, cols, key)
