@@ -108,3 +108,36 @@ def quota_ctes(src: str, stratum: str, test_size: float = TEST_SIZE) -> list[str
         f"quota AS (SELECT {stratum}, base + CASE WHEN row_number() OVER "
         f"(ORDER BY rem DESC, {stratum}) <= lft THEN 1 ELSE 0 END AS q FROM ql)",
     ]
+
+
+# Encoders are fitted on the rows of every publisher but one, so that unseen
+# categories occur when they are applied to all rows.
+FIT_WHERE = "publisher <> 'Brand#7'"
+CATS = ["category_id", "market_id", "customer_id", "publisher"]
+
+
+def freq_cte(name: str, var: str, src: str = "ads", where: str = FIT_WHERE) -> str:
+    return (f"{name} AS (SELECT {var} AS value, CAST(count(*) AS DOUBLE) AS enc FROM {src} "
+            f"WHERE {where} AND {var} IS NOT NULL GROUP BY {var})")
+
+
+def encoded(alias: str, var: str, enc: str) -> str:
+    """Encoder lookup: null stays null, unseen -> 0, matched -> value."""
+    return (f"CASE WHEN {alias}.{var} IS NULL THEN NULL WHEN {enc}.value IS NOT NULL "
+            f"THEN {enc}.enc ELSE CAST(0 AS DOUBLE) END")
+
+
+def split_ctes(src: str = "ads", test_size: float = TEST_SIZE) -> list[str]:
+    return [f"sh AS (SELECT campaign_id, {md5_key('campaign_id')} AS h FROM {src})",
+            f"snt AS (SELECT CAST(ceil(CAST({test_size} AS DOUBLE) * count(*)) AS BIGINT) AS nt FROM sh)",
+            "splitv AS (SELECT campaign_id, CASE WHEN row_number() OVER (ORDER BY h) <= nt "
+            "THEN 'test' ELSE 'train' END AS split_type FROM sh, snt)"]
+
+
+EMB_CTES = [
+    "ind AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS i FROM "
+    "(SELECT DISTINCT industry AS value FROM ads WHERE industry IS NOT NULL) "
+    "UNION ALL SELECT '', (SELECT count(DISTINCT industry) FROM ads))",
+    "embmap AS (SELECT ind.value, CAST(e.embedding AS DOUBLE[]) AS emb FROM ind "
+    "JOIN embeddings e ON e.vec_id = ind.i)",
+]
