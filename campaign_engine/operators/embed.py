@@ -3,8 +3,8 @@
 The embedder is a plug point: either a lookup DataFrame ``(value, embedding)``
 or a Python function ``pandas.Series[str] -> list of vectors`` that runs as a
 pandas UDF over the distinct values only (model loaded once per worker). The
-result is joined back to the rows; the distinct table is broadcast only when
-its size is under ``broadcast_rows``.
+result is joined back to the rows; AQE broadcasts the distinct table when its
+measured size is under the broadcast threshold, else it stays a sort-merge join.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from ..schema import require_columns
 
-BROADCAST_ROWS = 2_000_000
 
 
 def _distinct_text(df: DataFrame, column: str) -> DataFrame:
@@ -27,7 +26,7 @@ def _distinct_text(df: DataFrame, column: str) -> DataFrame:
 
 
 def embed_distinct(df: DataFrame, column: str, embedder, out: str | None = None,
-                   strict: bool = False, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                   strict: bool = False) -> DataFrame:
     """Add ``out`` (default ``<column>_embedding``, ``array<double>``)."""
     require_columns(df, [column], "embedding")
     out = out or f"{column}_embedding"
@@ -47,8 +46,6 @@ def embed_distinct(df: DataFrame, column: str, embedder, out: str | None = None,
         if missing:
             raise ValueError(f"no embedding for value {missing[0]['value']!r} and no model given")
     table = table.select(F.col("value").alias("__ek"), F.col("_e").alias(out))
-    if table.count() <= broadcast_rows:
-        table = F.broadcast(table)
     key = F.coalesce(F.col(column).cast("string"), F.lit(""))
     return df.join(table, key == F.col("__ek"), "left").drop("__ek")
 

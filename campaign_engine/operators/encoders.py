@@ -4,8 +4,9 @@ Fitting is a single pass (unpivot the categorical columns, group by
 ``(variable, value)``); applying is one left join per variable with a match
 flag, so an unseen category encodes to 0 while a null category stays null and
 a matched-but-null statistic stays null. Encoder sides are broadcast only when
-their row count is under ``broadcast_rows``; larger ones use a shuffle join
-(AQE splits skewed keys).
+AQE measures it at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``);
+larger ones stay sort-merge joins, with AQE splitting skewed keys. Passing
+``broadcast=True`` forces the hint for a side known to be small.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from ..schema import require_columns
 from .quantiles import group_quantiles
 
 ENC_SCHEMA = "variable string, value string, enc double"
-BROADCAST_ROWS = 2_000_000
 
 
 def fit_encoders(df: DataFrame, variables: Sequence[str], kind: str = "frequency",
@@ -58,12 +58,8 @@ def check_unique(encoder: DataFrame, key: str = "value") -> None:
         raise ValueError(f"encoder has duplicate key {dup[0][key]!r}; de-duplicate it first")
 
 
-def _maybe_broadcast(side: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(side) if side.count() <= max_rows else side
-
-
 def encode(df: DataFrame, column: str, encoder: DataFrame, out: str | None = None,
-           key: str = "value", enc: str = "enc", broadcast_rows: int = BROADCAST_ROWS,
+           key: str = "value", enc: str = "enc", broadcast: bool = False,
            validate: bool = False) -> DataFrame:
     """Add ``out`` (default ``<column>_encoded``): encoder value of ``column``;
     unseen -> 0.0, null -> null."""
@@ -75,7 +71,8 @@ def encode(df: DataFrame, column: str, encoder: DataFrame, out: str | None = Non
     side = encoder.select(F.col(key).cast("string").alias(f"{tag}_k"),
                           F.col(enc).cast("double").alias(f"{tag}_v"),
                           F.lit(True).alias(f"{tag}_m"))
-    side = _maybe_broadcast(side, broadcast_rows)
+    if broadcast:
+        side = F.broadcast(side)
     j = df.join(side, F.col(column).cast("string") == F.col(f"{tag}_k"), "left")
     val = (F.when(F.col(column).isNull(), F.lit(None).cast("double"))
              .when(F.col(f"{tag}_m"), F.col(f"{tag}_v"))
@@ -85,12 +82,12 @@ def encode(df: DataFrame, column: str, encoder: DataFrame, out: str | None = Non
 
 def apply_encoders(df: DataFrame, encoders: DataFrame | Mapping[str, DataFrame],
                    variables: Sequence[str], suffix: str = "_encoded",
-                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                   broadcast: bool = False) -> DataFrame:
     """Encode several columns (a fold of ``encode``; broadcast joins pipeline
     into one stage). ``encoders`` is the long table or ``{variable: (value, enc)}``."""
     for v in variables:
         e = encoders[v] if isinstance(encoders, Mapping) else encoder_for(encoders, v)
-        df = encode(df, v, e, f"{v}{suffix}", broadcast_rows=broadcast_rows)
+        df = encode(df, v, e, f"{v}{suffix}", broadcast=broadcast)
     return df
 
 

@@ -101,12 +101,10 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def sample_weights(df: DataFrame, label: str, out: str = "sample_weight",
                    weights: DataFrame | None = None) -> DataFrame:
     """Per-row weight of the row's class (weights from ``df`` unless given,
-    e.g. the train split's). The class table is tiny and is broadcast after a
-    size check."""
+    e.g. the train split's). The class table is tiny; AQE broadcasts it from its
+    measured size."""
     w = weights if weights is not None else class_weights(df, label)
     w = w.select(F.col(label).alias("__wl"), F.col("class_weight").alias(out))
-    if w.count() <= SMALL_ROWS:
-        w = F.broadcast(w)
     return df.join(w, F.col(label) == F.col("__wl"), "left").drop("__wl")
 
 
@@ -120,8 +118,6 @@ def impute_cpc(df: DataFrame, record: DataFrame, keys: Sequence[str] = ("market_
         fallback = median(record, cpc_col)
     side = record.select(*[F.col(k).cast("string").alias(f"__c_{k}") for k in keys],
                          F.col(cpc_col).cast("double").alias("__c_v"), F.lit(True).alias("__c_m"))
-    if side.count() <= enc.BROADCAST_ROWS:
-        side = F.broadcast(side)
     cond = None
     for k in keys:
         c = F.col(k).cast("string") == F.col(f"__c_{k}")

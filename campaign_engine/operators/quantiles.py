@@ -16,7 +16,9 @@ refinement* instead:
 
 Every pass moves only per-bin counts to the shuffle, and only a few scalars to
 the driver (the number of unresolved brackets). The bracket state is cut from
-lineage with a reliable checkpoint between passes.
+bracket state (one row per group and target) is settled between passes --
+a local relation when small, a reliable checkpoint otherwise -- so plans stay
+small and the planner broadcasts it by its exact size.
 """
 
 from __future__ import annotations
@@ -28,15 +30,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import SMALL_RESULT_ROWS, cut_lineage, settle
+
 
 _G = "_grp"  # stand-in key when there are no grouping columns
 
 
 def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add a constant stand-in group key when there are no keys. It is built
+    from ``spark_partition_id() * 0`` so the optimizer cannot fold the join
+    condition away: joins with the (tiny, settled) bracket tables stay broadcast
+    hash joins instead of becoming nested-loop joins."""
     if keys:
         return df, list(keys)
-    return df.withColumn(_G, F.lit(0)), [_G]
+    return df.withColumn(_G, (F.spark_partition_id() * 0).cast("int")), [_G]
 
 
 _MANT_BITS = 10
@@ -60,19 +67,20 @@ def log_bucket(x) -> F.Column:
 
 def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
               buckets: int = 1024, finish_rows: int = 100_000,
-              max_passes: int = 256) -> DataFrame:
+              max_passes: int = 256, counts_out: list | None = None) -> DataFrame:
     """k-th smallest ``value`` per group for every target.
 
-    ``values``: rows carrying ``keys`` and a non-null numeric ``value``.
-    ``targets``: a DataFrame ``keys..., _tid, _rank`` (0-based rank below the
-    group's count), or a function of the per-group count table
-    ``keys..., _n`` returning one. Returns ``keys..., _tid, _value``
-    (materialised).
-
-    Pass 1 is a single histogram over ``log_bucket`` ids (no min/max pass);
-    brackets still holding more than ``finish_rows`` values are refined with
-    equal-width buckets; small brackets are finished by a window over just
-    their rows.
+    ``values``: rows carrying ``keys`` and a numeric ``value`` (nulls are
+    skipped but their groups still get a count of 0). ``targets``: a DataFrame
+    ``keys..., _tid, _rank`` (0-based rank below the group's count), or a
+    function of the per-group count table ``keys..., _n`` returning one (that
+    settled count table is also appended to ``counts_out``). Returns
+    ``keys..., _tid, _value`` (materialised).
+
+    Pass 1 is a single histogram over ``log_bucket`` ids (no min/max pass) that
+    also yields the group counts; brackets still holding more than
+    ``finish_rows`` values are refined with equal-width buckets; small brackets
+    are finished by a window over just their rows.
     """
     if not keys:
         raise ValueError("group_kth needs at least one key (use _with_key)")
@@ -82,18 +90,20 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
     held = [vals]
     try:
         hist = (vals.groupBy(*keys, log_bucket(F.col("_v")).alias("_b"))
-                    .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
+                    .agg(F.count("_v").alias("_c"), F.min("_v").alias("_bmin"),
                          F.max("_v").alias("_bmax"))
                     .persist(StorageLevel.MEMORY_AND_DISK))
         held.append(hist)
         if callable(targets):
-            targets = targets(hist.groupBy(*keys).agg(F.sum("_c").alias("_n")))
+            counts = settle(hist.groupBy(*keys).agg(F.sum("_c").alias("_n")))
+            if counts_out is not None:
+                counts_out.append(counts)
+            targets = targets(counts)
         tg = targets.select(*keys, "_tid", F.col("_rank").alias("_need"))
-        state = _select_bucket(hist, tg, keys, ["_tid", "_need"])
+        state = _select_bucket(hist.where(F.col("_b").isNotNull()), tg, keys, ["_tid", "_need"])
         done: list[DataFrame] = []
         for _ in range(max_passes):
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(state)
+            state, n_large = _settle_state(state, finish_rows)
             done.append(state.where(F.col("_lo") == F.col("_hi"))
                              .select(*keys, "_tid", F.col("_lo").alias("_value")))
             small = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") <= finish_rows))
@@ -104,7 +114,7 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
             done.append(in_small.withColumn("_rn", rn)
                                 .where(F.col("_rn") - 1 == F.col("_need"))
                                 .select(*keys, "_tid", F.col("_v").alias("_value")))
-            if large.isEmpty():
+            if n_large == 0:
                 break
             cand = (vals.join(large, keys)
                     .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
@@ -121,12 +131,26 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
         out = done[0]
         for d in done[1:]:
             out = out.unionByName(d)
-        return cut_lineage(out)
+        return settle(out)  # materialised before the inputs are released
     finally:
         for h in held:
             h.unpersist()
 
 
+def _settle_state(state: DataFrame, finish_rows: int,
+                  max_rows: int = SMALL_RESULT_ROWS) -> tuple[DataFrame, int]:
+    """Settle the bracket table (one row per group and target) and count the
+    brackets that still need a refinement pass -- from the collected rows when
+    the table is small, with one count over the checkpoint otherwise."""
+    rows = state.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        n_large = sum(1 for r in rows if r["_lo"] < r["_hi"] and r["_cnt"] > finish_rows)
+        return state.sparkSession.createDataFrame(rows, state.schema), n_large
+    state = cut_lineage(state)
+    n_large = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") > finish_rows)).count()
+    return state, n_large
+
+
 def _select_bucket(hist: DataFrame, targets: DataFrame | None, keys: list[str],
                    tkeys: list[str]) -> DataFrame:
     """Running count over the (small) per-bucket table; keep the bucket that
@@ -161,7 +185,6 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     for k in ks:
         keyed = keyed.where(F.col(k).isNotNull())
     keyed = keyed.select(*ks, F.col(value).cast("double").alias("_x"))
-    vals = keyed.where(F.col("_x").isNotNull())
     names = list(probs)
 
     def make_targets(counts: DataFrame) -> DataFrame:
@@ -174,8 +197,9 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                 .select(*ks, F.explode(F.array(*structs)).alias("_t"))
                 .select(*ks, "_t._tid", "_t._rank"))
 
-    kth = group_kth(vals, ks, "_x", make_targets, **kw)
-    counts = keyed.groupBy(*ks).agg(F.count("_x").alias("_n"))
+    captured: list[DataFrame] = []
+    kth = group_kth(keyed, ks, "_x", make_targets, counts_out=captured, **kw)
+    counts = captured[0]
     piv = kth.groupBy(*ks).agg(*[
         F.max(F.when(F.col("_tid") == t, F.col("_value"))).alias(f"_v{t}")
         for t in range(2 * len(names))])
@@ -225,10 +249,9 @@ def take_smallest(df: DataFrame, strata: Sequence[str], order_long: str, tie: st
     less = marks.groupBy(*ks).agg(F.sum((F.col(order_long) < F.col("_bv")).cast("long")).alias("_less"))
     ties = (marks.where(F.col(order_long) == F.col("_bv"))
             .withColumn("_trn", F.row_number().over(Window.partitionBy(*ks).orderBy(tie))))
-    bound = cut_lineage(
-        ties.join(less, ks).join(q.select(*ks, "_q"), ks)
-            .where(F.col("_trn") == F.col("_q") - F.col("_less"))
-            .select(*ks, "_bv", F.col(tie).alias("_bt")))
+    bound = settle(ties.join(less, ks).join(q.select(*ks, "_q"), ks)
+                       .where(F.col("_trn") == F.col("_q") - F.col("_less"))
+                       .select(*ks, "_bv", F.col(tie).alias("_bt")))
     out = src.join(bound, ks, "left")
     taken = F.coalesce(
         (F.col(order_long) < F.col("_bv"))

@@ -3,6 +3,8 @@ scores, cross-validation and k tuning."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
@@ -170,3 +172,93 @@ def q_cv_metric_summary(spark, sf):
 def q_tune_knn(spark, sf):
     cv = cv_accuracy(spark, sf, TUNE_KS).where(F.col("split") == "test")
     return cv.groupBy("k").agg(r(F.avg("value")).alias("mean_test_accuracy"))
+
+
+# --------------------------------------------------------------------------- catalogue, persistence, runs
+
+def _split_points(spark, sf):
+    p = emb_points(spark, sf).withColumnRenamed("vec_id", "id")
+    return p.where(F.col("id") >= N_QUERY), p.where(F.col("id") < N_QUERY)
+
+
+@register("model_catalogue")
+def q_model_catalogue(spark, sf):
+    """Fit catalogue estimators by name on the embeddings table and score the
+    held-out rows (accuracy for classifiers, RMSE for regressors)."""
+    from ..operators import models as M
+    train, test = _split_points(spark, sf)
+    out = []
+    for name, metric, label in [("LogisticRegression", "accuracy", "label"),
+                                ("RandomForestClassifier", "accuracy", "label"),
+                                ("GradientBoostingClassifier", "accuracy", "high"),
+                                ("LinearRegression", "rmse", "label"),
+                                ("RandomForestRegressor", "rmse", "label"),
+                                ("KNeighborsClassifier", "accuracy", "label")]:
+        tr = train.withColumn("high", (F.col("label") >= 5).cast("int"))
+        te = test.withColumn("high", (F.col("label") >= 5).cast("int"))
+        model = M.fit(name, tr, label, id_col="id")
+        score = M.evaluate(model, te, label, metric)
+        out.append((name, metric, score))
+    return spark.createDataFrame(out, "model string, metric string, value double").select(
+        "model", "metric", r("value").alias("value"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Save and reload a Spark ML model and a kNN model; predictions agree."""
+    from ..operators import models as M
+    from ..session import scratch_path
+    train, test = _split_points(spark, sf)
+    rows = []
+    for name in ("LogisticRegression", "KNeighborsClassifier"):
+        m = M.fit(name, train, "label", id_col="id")
+        path = scratch_path(spark, f"model-{name}")
+        M.save_model(m, path)
+        back = M.load_model(spark, path)
+        a = m.predict(test).select("id", F.col("prediction").alias("a"))
+        b = back.predict(test).select("id", F.col("prediction").alias("b"))
+        j = a.join(b, "id")
+        rows.append(j.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"),
+                          F.sum((F.col("a") == F.col("b")).cast("long")).alias("n_equal")))
+    return rows[0].unionByName(rows[1])
+
+
+def train_eval(spark, sf, root):
+    """Full training run: CV (first-fold estimator semantics do not apply to
+    kNN, whose fit is its reference table) -> fit -> train/test scores ->
+    save model -> save CV metrics -> log the run."""
+    from ..operators import models as M
+    train, test = _split_points(spark, sf)
+    cv = cv_accuracy(spark, sf)
+    model = M.fit("KNeighborsClassifier", train, "label", id_col="id")
+    tr = M.evaluate(model, train, "label", "accuracy")
+    te = M.evaluate(model, test, "label", "accuracy")
+    path = os.path.join(root, "models", "conversion_classifier")
+    M.save_model(model, path)
+    run_id = M.log_run(spark, root, "KNeighborsClassifier", {"n_neighbors": K, "cv": FOLDS}, tr, te, path,
+                       train.schema.simpleString())
+    M.save_metrics(cv, root, run_id)
+    return run_id, cv, tr, te
+
+
+@register("train_eval")
+def q_train_eval(spark, sf):
+    from ..session import scratch_path
+    root = scratch_path(spark, "runs")
+    _, cv, tr, te = train_eval(spark, sf, root)
+    means = ev.cv_mean(cv, ["accuracy"]).select(F.concat_ws("_", "split", "metric").alias("metric"),
+                                                F.col("mean").alias("value"))
+    scores = spark.createDataFrame([("train_accuracy_score", tr), ("test_accuracy_score", te)],
+                                   "metric string, value double")
+    return means.unionByName(scores).select("metric", r("value").alias("value"))
+
+
+@register("run_log")
+def q_run_log(spark, sf):
+    from ..operators import models as M
+    from ..session import scratch_path
+    root = scratch_path(spark, "runs")
+    train_eval(spark, sf, root)
+    return M.runs(spark, root).select("model_type", r("train_score").alias("train_score"),
+                                      r("test_score").alias("test_score"),
+                                      F.element_at("params", "cv").alias("cv"))

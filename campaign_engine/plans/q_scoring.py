@@ -145,3 +145,25 @@ def q_score_configs(spark, sf):
 def q_recommend_config(spark, sf):
     rec = cfg.recommend(_scored(spark, sf), ["customer_id"])
     return rec.select("customer_id", "market_id", "publisher", r("predicted_cpa").alias("predicted_cpa"))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Streaming serving: one request per test-split customer arrives as files;
+    a Structured Streaming job scores every micro-batch with the two-stage
+    model trained on the train split."""
+    from ..session import scratch_path
+    from ..streaming.scoring import score_request_stream
+    train, test = split_derived(spark, sf)
+    model = scoring.fit_two_stage(train, industry_map(spark, sf))
+    pick = F.min_by(F.struct("category_id", "market_id", "publisher", "industry"),
+                    seeded_md5(["campaign_id"], SEED))
+    reqs = (test.groupBy("customer_id").agg(pick.alias("_r"))
+                .select(F.col("customer_id").alias("request_id"), "_r.category_id", "_r.market_id",
+                        "customer_id", "_r.publisher", "_r.industry"))
+    src, out, ckpt = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-ckpt"))
+    reqs.repartition(4).write.parquet(src)
+    q = score_request_stream(spark, model, src, out, ckpt, max_files_per_trigger=2)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("request_id", r("proba_convert").alias("proba_convert"),
+                                          r("predicted_cpa").alias("predicted_cpa"))

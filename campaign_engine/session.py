@@ -71,3 +71,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a local one): survives executor loss."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+SMALL_RESULT_ROWS = 100_000
+
+
+def settle(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> DataFrame:
+    """Cut the lineage of an intermediate *aggregate* result.
+
+    Up to ``max_rows`` rows (one per group: medians, boundaries, bracket
+    states) come back as a local relation -- a tiny plan whose exact size lets
+    the planner broadcast it. Anything larger is written with a reliable
+    checkpoint instead; nothing unbounded ever reaches the driver.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    return cut_lineage(df)
