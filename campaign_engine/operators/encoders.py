@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import resolve
 from ..schema import require_columns
+from ..session import settle
 from .quantiles import group_quantiles
 
 ENC_SCHEMA = "variable string, value string, enc double"
@@ -38,11 +39,15 @@ def fit_encoders(df: DataFrame, variables: Sequence[str], kind: str = "frequency
               .unpivot(["_t"] if kind == "target" else [], variables, "variable", "value")
               .where(F.col("value").isNotNull()))
     if kind == "frequency":
-        return long.groupBy("variable", "value").agg(F.count(F.lit(1)).cast("double").alias("enc"))
-    agg = resolve(stat)
-    if isinstance(agg, float):
-        return group_quantiles(long, ["variable", "value"], "_t", {"enc": agg})
-    return long.groupBy("variable", "value").agg(agg(F.col("_t")).cast("double").alias("enc"))
+        fitted = long.groupBy("variable", "value").agg(F.count(F.lit(1)).cast("double").alias("enc"))
+    else:
+        agg = resolve(stat)
+        if isinstance(agg, float):
+            fitted = group_quantiles(long, ["variable", "value"], "_t", {"enc": agg})
+        else:
+            fitted = long.groupBy("variable", "value").agg(agg(F.col("_t")).cast("double").alias("enc"))
+    # fitted once: every per-variable lookup reads this one table
+    return settle(fitted.select("variable", "value", F.col("enc").cast("double").alias("enc")))
 
 
 def encoder_for(encoders: DataFrame, variable: str) -> DataFrame:

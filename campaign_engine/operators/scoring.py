@@ -19,6 +19,7 @@ from . import features as feat
 from . import knn, stats
 from .embed import embed_distinct
 from .quantiles import median
+from ..session import materialize
 
 STAGE1 = enc.encoded_names(CATEGORICAL_FEATURES) + ["CPC"]
 STAGE2 = enc.encoded_names(CATEGORICAL_FEATURES) + ["CPC", "proba_convert"]
@@ -62,9 +63,10 @@ def augment_proba(rows: DataFrame, clf_ref: DataFrame, k: int, id_col: str,
 def fit_two_stage(train: DataFrame, embedder, k: int = 5, id_col: str = "campaign_id") -> TwoStageModel:
     """``train``: derived campaign rows (CPA, CPC, convert) of the train split."""
     freq = enc.fit_encoders(train, CATEGORICAL_FEATURES, "frequency")
-    s1 = stage1_features(train, freq, embedder)
+    s1 = materialize(stage1_features(train, freq, embedder), "stage1-train")
     clf_ref = s1.select(id_col, "features", "convert")
-    s1 = augment_proba(s1, clf_ref, k, id_col)
+    # the augmented train rows feed both the target encoders and the regressor
+    s1 = materialize(augment_proba(s1, clf_ref, k, id_col), "stage1-augmented")
     logged = s1.withColumn("log_CPA", F.log1p("CPA"))
     tgt = enc.fit_encoders(logged, CATEGORICAL_FEATURES, "target", target="log_CPA", stat="median")
     s2 = stage2_features(logged, tgt)
@@ -82,7 +84,7 @@ def predict(model: TwoStageModel, rows: DataFrame, impute_cpc: bool = True) -> D
                                model.cpc_record, fallback=model.cpc_fallback)
     s1 = stage1_features(rows, model.freq_encoders, model.embedder)
     s1 = augment_proba(s1, model.clf_ref, model.k, id_col)
-    s2 = stage2_features(s1, model.target_encoders)
+    s2 = materialize(stage2_features(s1, model.target_encoders), "stage2-rows")
     reg = knn.knn_regress(s2, model.reg_ref, model.k, id_col, id_col, "log_CPA")
     reg = reg.select(F.col(id_col).alias("__rid"), F.col("prediction").alias("predicted_log_cpa"))
     out = s2.join(reg, F.col(id_col) == F.col("__rid"), "left").drop("__rid")

@@ -262,3 +262,22 @@ def q_run_log(spark, sf):
     return M.runs(spark, root).select("model_type", r("train_score").alias("train_score"),
                                       r("test_score").alias("test_score"),
                                       F.element_at("params", "cv").alias("cv"))
+
+
+@register("train_cv_catalogue")
+def q_train_cv_catalogue(spark, sf):
+    """Cross-validated training of a catalogue model (first-fold estimator)."""
+    from ..operators import models as M
+    pts = cv_folds(emb_points(spark, sf).withColumnRenamed("vec_id", "id"), ["id"], FOLDS, SEED)
+    _, cv = M.train_cv("LogisticRegression", pts, "label", FOLDS, scoring=("accuracy", "f1"))
+    return cv.select("fold", "split", "metric", r("value").alias("value"))
+
+
+@register("tune_model")
+def q_tune_model(spark, sf):
+    """Seeded random hyper-parameter search with CrossValidator over hash folds."""
+    from ..operators import models as M
+    pts = cv_folds(emb_points(spark, sf).withColumnRenamed("vec_id", "id"), ["id"], 3, SEED)
+    _, res = M.random_search("RandomForestClassifier", pts, "label",
+                             {"numTrees": [5, 10, 20], "maxDepth": [3, 5]}, n_iter=3, k_folds=3)
+    return res.select("params", r("mean_metric").alias("mean_metric"))

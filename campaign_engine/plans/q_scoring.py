@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_md5
+from ..session import materialize
 from ..operators import configure as cfg
 from ..operators import evaluate as ev
 from ..operators import scoring, splits, stats
@@ -50,7 +51,8 @@ def q_two_stage(spark, sf):
     the classifier and RMSE of the log-CPA regressor on test."""
     train, test = split_derived(spark, sf)
     model = scoring.fit_two_stage(train, industry_map(spark, sf))
-    out = scoring.predict(model, test, impute_cpc=False).withColumn("log_CPA", F.log1p("CPA"))
+    out = materialize(scoring.predict(model, test, impute_cpc=False).withColumn("log_CPA", F.log1p("CPA")),
+                      "two-stage-scored")
     out = out.withColumn("pred_convert", (F.col("proba_convert") > 0.5).cast("int"))
     acc = ev.classification_metrics(out, "convert", "pred_convert", positive=1) \
             .withColumn("model", F.lit("conversion_classifier"))
@@ -132,7 +134,7 @@ def _scored(spark, sf):
     top = cfg.top_k_configs(stats.config_usage(base(spark, sf)), TOP_K)
     cands = cfg.candidate_space(requests(spark, sf), top)
     cands = cands.withColumn("campaign_id", F.concat_ws("|", "customer_id", "market_id", "publisher"))
-    return scoring.predict(model, cands, impute_cpc=True)
+    return materialize(scoring.predict(model, cands, impute_cpc=True), "scored-configs")
 
 
 @register("score_configs")

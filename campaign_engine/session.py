@@ -16,6 +16,11 @@ _BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # long sessions run thousands of small jobs: keep the status store small
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "10000",
 }
 
 _local_scratch: dict[str, str] = {}
@@ -88,3 +93,12 @@ def settle(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> DataFrame:
     if len(rows) <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema)
     return cut_lineage(df)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a large intermediate that several plans reuse once, as Parquet in
+    the shared scratch folder, and continue from the written table (one
+    computation, a lineage cut that survives executor loss)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
