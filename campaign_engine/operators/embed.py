@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import require_columns
+from ..session import settle, ship_package
 
 
 
@@ -37,6 +38,7 @@ def embed_distinct(df: DataFrame, column: str, embedder, out: str | None = None,
                             F.transform("embedding", lambda x: x.cast("double")).alias("_e")),
             "value", "left")
     elif callable(embedder):
+        ship_package(df.sparkSession)
         udf = _vector_udf(embedder)
         table = values.withColumn("_e", udf(F.col("value")))
     else:
@@ -62,13 +64,13 @@ def rank_map(df: DataFrame, column: str, vectors: DataFrame, id_col: str = "vec_
              include_missing: bool = True) -> DataFrame:
     """Fixture embedder: the i-th distinct value in alphabetical order gets the
     vector with ``id_col = i``; the empty string (missing text) comes after the
-    known values. The window runs over the distinct-value table only."""
+    known values. The distinct-value dictionary is settled and ranked on the
+    driver (one entry per distinct text)."""
     vals = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-    ranked = vals.withColumn("_i", F.row_number().over(Window.orderBy("value")) - 1)
+    names = sorted(r["value"] for r in settle(vals).collect())  # the distinct-value dictionary
     if include_missing:
-        n = ranked.agg(F.count(F.lit(1))).first()[0]
-        ranked = ranked.unionByName(
-            df.sparkSession.createDataFrame([("", n)], "value string, _i int"))
+        names.append("")
+    ranked = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "value string, _i int")
     return (ranked.join(vectors.select(F.col(id_col).alias("_i"), "embedding"), "_i")
                   .select("value", "embedding"))
 

@@ -6,13 +6,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import CATEGORICAL_FEATURES, require_columns
 from . import encoders as enc
 from .embed import embed_distinct
 from .quantiles import median
+from ..session import settle
 
 # Fixed predictor order shared by training and serving (assembled by name).
 PREDICTORS = ["category_id_encoded", "market_id_encoded", "customer_id_encoded",
@@ -92,10 +94,11 @@ def disassemble(df: DataFrame, names: Sequence[str], embedding: str | None = EMB
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights ``n / (k * n_c)`` per class: ``(label, class_weight)``."""
     require_columns(df, [label], "class weights")
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    every = Window.partitionBy()  # over the per-class count table only
-    return counts.select(label, (F.sum("_nc").over(every)
-                                 / (F.count(F.lit(1)).over(every) * F.col("_nc"))).alias("class_weight"))
+    counts = settle(df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")))
+    rows = counts.collect()  # one row per class
+    n, k = sum(r["_nc"] for r in rows), len(rows)
+    schema = T.StructType([counts.schema[label], T.StructField("class_weight", T.DoubleType())])
+    return df.sparkSession.createDataFrame([(r[label], n / (k * r["_nc"])) for r in rows], schema)
 
 
 def sample_weights(df: DataFrame, label: str, out: str = "sample_weight",

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 DIST_DIGITS = 9
 
 
@@ -73,6 +75,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str,
     a null feature vector take no part."""
     if k < 1:
         raise ValueError("k must be at least 1")
+    ship_package(queries.sparkSession)
     ref_cols = list(ref_cols)
     part = [partition] if partition else []
     q = queries.where(F.col(features).isNotNull()).select(

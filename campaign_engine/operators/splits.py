@@ -10,8 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import settle
 
 from ..functions.hashing import hash_fold, hex_prefix_to_long, seeded_md5
 from ..schema import require_columns
@@ -31,19 +36,25 @@ def stratum_quota(counts: DataFrame, strata: Sequence[str], test_size: float) ->
     """Test rows per stratum: n_test = ceil(test_size * n) shared by largest
     remainder of n_test * n_s / n (integer arithmetic; ties -> stratum order).
 
-    ``counts`` is the small per-stratum count table ``strata..., _n``.
+    ``counts`` is the per-stratum count table ``strata..., _n`` (one row per
+    class); it is settled and the quota arithmetic runs on those few rows.
     """
     strata = list(strata)
-    total = Window.partitionBy()
-    c = (counts.withColumn("_tot", F.sum("_n").over(total))
-               .withColumn("_nt", F.ceil(F.lit(float(test_size)) * F.col("_tot")).cast("bigint"))
-               .withColumn("_prod", F.col("_nt").cast("decimal(38,0)") * F.col("_n"))
-               .withColumn("_base", F.expr("_prod div _tot").cast("bigint"))
-               .withColumn("_rem", F.col("_prod") - F.col("_base").cast("decimal(38,0)") * F.col("_tot")))
-    c = c.withColumn("_left", F.col("_nt") - F.sum("_base").over(total))
-    order = Window.partitionBy().orderBy(F.desc("_rem"), *[F.asc(s) for s in strata])
-    c = c.withColumn("_extra", (F.row_number().over(order) <= F.col("_left")).cast("bigint"))
-    return c.select(*strata, (F.col("_base") + F.col("_extra")).alias("_q"))
+    rows = settle(counts).collect()
+    total = sum(int(r["_n"]) for r in rows)
+    n_test = int(math.ceil(float(test_size) * total))
+    base = [n_test * int(r["_n"]) // total if total else 0 for r in rows]
+    rem = [n_test * int(r["_n"]) - b * total for r, b in zip(rows, base)]
+    left = n_test - sum(base)
+    order = sorted(range(len(rows)), key=lambda i: (-rem[i], tuple(_sort_key(rows[i][s]) for s in strata)))
+    extra = {i: 1 for i in order[:left]}
+    out = [tuple(rows[i][s] for s in strata) + (base[i] + extra.get(i, 0),) for i in range(len(rows))]
+    schema = T.StructType([counts.schema[s] for s in strata] + [T.StructField("_q", T.LongType())])
+    return counts.sparkSession.createDataFrame(out, schema)
+
+
+def _sort_key(v):
+    return (v is not None, v)
 
 
 def split_shuffled(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,

@@ -102,3 +102,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers of every executor
+    (``addPyFile`` of a zip, once per application). Needed before any pandas
+    UDF / applyInPandas whose function lives in the package."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Spark Connect: use spark.addArtifacts instead
+        return
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="ce-pkg-")  # driver-side artifact; Spark distributes it
+    zpath = os.path.join(out_dir, "campaign_engine.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
