@@ -77,10 +77,12 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
     settled count table is also appended to ``counts_out``). Returns
     ``keys..., _tid, _value`` (materialised).
 
-    Pass 1 is a single histogram over ``log_bucket`` ids (no min/max pass) that
-    also yields the group counts; brackets still holding more than
-    ``finish_rows`` values are refined with equal-width buckets; small brackets
-    are finished by a window over just their rows.
+    Pass 0 counts each group. Groups of at most ``finish_rows`` values are
+    ranked directly by a window over the group (bounded per partition) and
+    equi-joined to their target ranks. Larger (hot) groups go through
+    histogram refinement: one ``log_bucket`` histogram, then equal-width
+    refinement of brackets still above ``finish_rows``, then a window over the
+    small bracket.
     """
     if not keys:
         raise ValueError("group_kth needs at least one key (use _with_key)")
@@ -89,45 +91,54 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
             .persist(StorageLevel.MEMORY_AND_DISK))
     held = [vals]
     try:
-        hist = (vals.groupBy(*keys, log_bucket(F.col("_v")).alias("_b"))
-                    .agg(F.count("_v").alias("_c"), F.min("_v").alias("_bmin"),
-                         F.max("_v").alias("_bmax"))
-                    .persist(StorageLevel.MEMORY_AND_DISK))
-        held.append(hist)
+        counts = settle(vals.groupBy(*keys).agg(F.count("_v").alias("_n")))
+        if counts_out is not None:
+            counts_out.append(counts)
         if callable(targets):
-            counts = settle(hist.groupBy(*keys).agg(F.sum("_c").alias("_n")))
-            if counts_out is not None:
-                counts_out.append(counts)
             targets = targets(counts)
         tg = targets.select(*keys, "_tid", F.col("_rank").alias("_need"))
-        state = _select_bucket(hist.where(F.col("_b").isNotNull()), tg, keys, ["_tid", "_need"])
-        done: list[DataFrame] = []
-        for _ in range(max_passes):
-            state, n_large = _settle_state(state, finish_rows)
-            done.append(state.where(F.col("_lo") == F.col("_hi"))
-                             .select(*keys, "_tid", F.col("_lo").alias("_value")))
-            small = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") <= finish_rows))
-            large = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") > finish_rows))
-            in_small = (vals.join(small, keys)
+        small_groups = counts.where((F.col("_n") > 0) & (F.col("_n") <= finish_rows)).select(*keys)
+        big_groups = counts.where(F.col("_n") > finish_rows).select(*keys)
+        # small groups: rank every value once, pick the target ranks by equi-join
+        rn = F.row_number().over(Window.partitionBy(*keys).orderBy("_v")) - 1
+        ranked = (vals.where(F.col("_v").isNotNull()).join(small_groups, keys)
+                      .withColumn("_need", rn))
+        done: list[DataFrame] = [ranked.join(tg, keys + ["_need"])
+                                       .select(*keys, "_tid", F.col("_v").alias("_value"))]
+        if not big_groups.isEmpty():
+            big_vals = vals.where(F.col("_v").isNotNull()).join(big_groups, keys)
+            hist = (big_vals.groupBy(*keys, log_bucket(F.col("_v")).alias("_b"))
+                            .agg(F.count("_v").alias("_c"), F.min("_v").alias("_bmin"),
+                                 F.max("_v").alias("_bmax"))
+                            .persist(StorageLevel.MEMORY_AND_DISK))
+            held.append(hist)
+            state = _select_bucket(hist, tg.join(big_groups, keys), keys, ["_tid", "_need"])
+            for _ in range(max_passes):
+                state, n_large = _settle_state(state, finish_rows)
+                done.append(state.where(F.col("_lo") == F.col("_hi"))
+                                 .select(*keys, "_tid", F.col("_lo").alias("_value")))
+                small = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") <= finish_rows))
+                large = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") > finish_rows))
+                in_small = (big_vals.join(small, keys)
+                            .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
+                brn = F.row_number().over(Window.partitionBy(*keys, "_tid").orderBy("_v"))
+                done.append(in_small.withColumn("_rn", brn)
+                                    .where(F.col("_rn") - 1 == F.col("_need"))
+                                    .select(*keys, "_tid", F.col("_v").alias("_value")))
+                if n_large == 0:
+                    break
+                cand = (big_vals.join(large, keys)
                         .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
-            rn = F.row_number().over(Window.partitionBy(*keys, "_tid").orderBy("_v"))
-            done.append(in_small.withColumn("_rn", rn)
-                                .where(F.col("_rn") - 1 == F.col("_need"))
-                                .select(*keys, "_tid", F.col("_v").alias("_value")))
-            if n_large == 0:
-                break
-            cand = (vals.join(large, keys)
-                    .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
-            # halves keep (v - lo) finite even when hi - lo would overflow
-            span = F.col("_hi") / 2 - F.col("_lo") / 2
-            pos = (F.col("_v") / 2 - F.col("_lo") / 2) / span * buckets
-            cand = cand.withColumn("_b", F.least(F.floor(pos).cast("long"), F.lit(buckets - 1)))
-            h2 = cand.groupBy(*keys, "_tid", "_need", "_b").agg(
-                F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
-                F.max("_v").alias("_bmax"))
-            state = _select_bucket(h2, None, keys, ["_tid", "_need"])
-        else:
-            raise RuntimeError("k-th value search did not converge")
+                # halves keep (v - lo) finite even when hi - lo would overflow
+                span = F.col("_hi") / 2 - F.col("_lo") / 2
+                pos = (F.col("_v") / 2 - F.col("_lo") / 2) / span * buckets
+                cand = cand.withColumn("_b", F.least(F.floor(pos).cast("long"), F.lit(buckets - 1)))
+                h2 = cand.groupBy(*keys, "_tid", "_need", "_b").agg(
+                    F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
+                    F.max("_v").alias("_bmax"))
+                state = _select_bucket(h2, None, keys, ["_tid", "_need"])
+            else:
+                raise RuntimeError("k-th value search did not converge")
         out = done[0]
         for d in done[1:]:
             out = out.unionByName(d)
@@ -142,10 +153,14 @@ def _settle_state(state: DataFrame, finish_rows: int,
     """Settle the bracket table (one row per group and target) and count the
     brackets that still need a refinement pass -- from the collected rows when
     the table is small, with one count over the checkpoint otherwise."""
-    rows = state.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        n_large = sum(1 for r in rows if r["_lo"] < r["_hi"] and r["_cnt"] > finish_rows)
-        return state.sparkSession.createDataFrame(rows, state.schema), n_large
+    cached = state.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if cached.count() <= max_rows:
+            rows = cached.collect()
+            n_large = sum(1 for r in rows if r["_lo"] < r["_hi"] and r["_cnt"] > finish_rows)
+            return state.sparkSession.createDataFrame(rows, state.schema), n_large
+    finally:
+        cached.unpersist()
     state = cut_lineage(state)
     n_large = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") > finish_rows)).count()
     return state, n_large
@@ -229,14 +244,13 @@ def _pick_bits(n: int, rows_per_bucket: int) -> int:
     return min(30, int(math.ceil(math.log2(n / rows_per_bucket))))
 
 
-def take_smallest(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
-                  quota: DataFrame, flag: str = "_taken", **kw) -> DataFrame:
-    """Flag, per stratum, the ``quota`` rows that come first in
-    ``(order_long, tie)`` order; ``tie`` must be unique within a stratum.
+def smallest_boundary(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
+                      quota: DataFrame, **kw) -> DataFrame:
+    """Per stratum, the ``(order_long, tie)`` key of the ``quota``-th row in
+    that order: ``strata..., _bv, _bt`` (settled; strata with quota 0 absent).
 
-    ``quota``: ``strata..., _q``. No global sort, no unpartitioned window: the
-    boundary value per stratum comes from ``group_kth``; rows sharing the
-    boundary value (rare hash prefix collisions) are ordered by ``tie``.
+    The boundary value comes from ``group_kth``; rows sharing it (rare hash
+    prefix collisions) are ordered by ``tie``, which must be unique.
     """
     src, ks = _with_key(df, strata)
     q, _ = _with_key(quota, strata)
@@ -244,7 +258,6 @@ def take_smallest(df: DataFrame, strata: Sequence[str], order_long: str, tie: st
                                                (F.col("_q") - 1).alias("_rank"))
     kth = group_kth(src.select(*ks, order_long), ks, order_long, targets, **kw) \
         .select(*ks, F.col("_value").cast("bigint").alias("_bv"))
-    # boundary tie value: among rows equal to the boundary, the (q - #less)-th tie
     marks = src.select(*ks, order_long, tie).join(kth, ks)
     less = marks.groupBy(*ks).agg(F.sum((F.col(order_long) < F.col("_bv")).cast("long")).alias("_less"))
     ties = (marks.where(F.col(order_long) == F.col("_bv"))
@@ -252,13 +265,32 @@ def take_smallest(df: DataFrame, strata: Sequence[str], order_long: str, tie: st
     bound = settle(ties.join(less, ks).join(q.select(*ks, "_q"), ks)
                        .where(F.col("_trn") == F.col("_q") - F.col("_less"))
                        .select(*ks, "_bv", F.col(tie).alias("_bt")))
-    out = src.join(bound, ks, "left")
+    return bound if strata else bound.drop(_G)
+
+
+def apply_boundary(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
+                   bound: DataFrame, flag: str = "_taken") -> DataFrame:
+    """Flag rows at or before their stratum's boundary key."""
+    if strata:
+        out = df.join(bound, list(strata), "left")
+    else:
+        row = bound.first()
+        out = df.withColumn("_bv", F.lit(row["_bv"] if row else None).cast("bigint")) \
+                .withColumn("_bt", F.lit(row["_bt"] if row else None).cast("string"))
     taken = F.coalesce(
         (F.col(order_long) < F.col("_bv"))
         | ((F.col(order_long) == F.col("_bv")) & (F.col(tie) <= F.col("_bt"))),
         F.lit(False))
-    out = out.withColumn(flag, taken).drop("_bv", "_bt")
-    return out if strata else out.drop(_G)
+    return out.withColumn(flag, taken).drop("_bv", "_bt")
+
+
+def take_smallest(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
+                  quota: DataFrame, flag: str = "_taken", **kw) -> DataFrame:
+    """Flag, per stratum, the ``quota`` rows that come first in
+    ``(order_long, tie)`` order; ``tie`` must be unique within a stratum.
+    ``quota``: ``strata..., _q``. No global sort, no unpartitioned window."""
+    bound = smallest_boundary(df, strata, order_long, tie, quota, **kw)
+    return apply_boundary(df, strata, order_long, tie, bound, flag)
 
 
 def hash_ranks(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,

@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import StorageLevel
+
 from ..session import settle
 
 from ..functions.hashing import hash_fold, hex_prefix_to_long, seeded_md5
 from ..schema import require_columns
-from .quantiles import hash_ranks, take_smallest
+from .quantiles import apply_boundary, hash_ranks, smallest_boundary
 
 SPLIT_COL = "split_type"
 # 13 hex digits = 52 bits: exactly representable as a double inside the k-th search
@@ -68,12 +70,18 @@ def split_shuffled(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.
     require_columns(df, list(key_cols) + ([stratify] if stratify else []), "a split")
     strata = [stratify] if stratify else []
     hashed = _with_hash(df, key_cols, seed)
-    if strata:
-        counts = hashed.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
-    else:
-        counts = hashed.agg(F.count(F.lit(1)).alias("_n"))
-    quota = stratum_quota(counts, strata, test_size)
-    taken = take_smallest(hashed, strata, "_h60", "_h", quota, flag="_test")
+    # the hash feeds every boundary job: computed once while they run
+    keyed = hashed.select(*strata, "_h", "_h60").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if strata:
+            counts = keyed.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
+        else:
+            counts = keyed.agg(F.count(F.lit(1)).alias("_n"))
+        quota = stratum_quota(counts, strata, test_size)
+        bound = smallest_boundary(keyed, strata, "_h60", "_h", quota)
+    finally:
+        keyed.unpersist()
+    taken = apply_boundary(hashed, strata, "_h60", "_h", bound, flag="_test")
     return (taken.withColumn(split_col, F.when(F.col("_test"), "test").otherwise("train"))
                  .drop("_h", "_h60", "_test"))
 

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _BASE_CONF = {
@@ -84,15 +85,19 @@ SMALL_RESULT_ROWS = 100_000
 def settle(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> DataFrame:
     """Cut the lineage of an intermediate *aggregate* result.
 
-    Up to ``max_rows`` rows (one per group: medians, boundaries, bracket
-    states) come back as a local relation -- a tiny plan whose exact size lets
-    the planner broadcast it. Anything larger is written with a reliable
-    checkpoint instead; nothing unbounded ever reaches the driver.
+    The result is computed once (persisted and counted). Up to ``max_rows``
+    rows (one per group: medians, boundaries, bracket states) then come back
+    as a local relation -- a tiny plan whose exact size lets the planner
+    broadcast it. Anything larger is written with a reliable checkpoint
+    instead; nothing unbounded ever reaches the driver.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
-    return cut_lineage(df)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if cached.count() <= max_rows:
+            return df.sparkSession.createDataFrame(cached.collect(), df.schema)
+        return cut_lineage(cached)
+    finally:
+        cached.unpersist()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
