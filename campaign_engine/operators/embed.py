@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import require_columns
-from ..session import settle, ship_package
+from ..session import ship_package
 
 
 
@@ -60,6 +60,9 @@ def _vector_udf(fn: Callable[[pd.Series], list]):
     return _embed
 
 
+MAX_VOCAB = 100_000
+
+
 def rank_map(df: DataFrame, column: str, vectors: DataFrame, id_col: str = "vec_id",
              include_missing: bool = True) -> DataFrame:
     """Fixture embedder: the i-th distinct value in alphabetical order gets the
@@ -67,7 +70,10 @@ def rank_map(df: DataFrame, column: str, vectors: DataFrame, id_col: str = "vec_
     known values. The distinct-value dictionary is settled and ranked on the
     driver (one entry per distinct text)."""
     vals = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-    names = sorted(r["value"] for r in settle(vals).collect())  # the distinct-value dictionary
+    rows = vals.limit(MAX_VOCAB + 1).collect()  # the distinct-value dictionary
+    if len(rows) > MAX_VOCAB:
+        raise ValueError(f"rank_map is a dictionary rule for at most {MAX_VOCAB} distinct values")
+    names = sorted(r["value"] for r in rows)
     if include_missing:
         names.append("")
     ranked = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "value string, _i int")

@@ -95,10 +95,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights ``n / (k * n_c)`` per class: ``(label, class_weight)``."""
     require_columns(df, [label], "class weights")
     counts = settle(df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")))
-    rows = counts.collect()  # one row per class
-    n, k = sum(r["_nc"] for r in rows), len(rows)
-    schema = T.StructType([counts.schema[label], T.StructField("class_weight", T.DoubleType())])
-    return df.sparkSession.createDataFrame([(r[label], n / (k * r["_nc"])) for r in rows], schema)
+    tot = counts.agg(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    n, k = tot["n"] or 0, tot["k"] or 0
+    return counts.select(label, (F.lit(float(n)) / (F.lit(float(k)) * F.col("_nc"))).alias("class_weight"))
 
 
 def sample_weights(df: DataFrame, label: str, out: str = "sample_weight",

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
-from ..session import settle
+
 
 from ..functions.hashing import hash_fold, hex_prefix_to_long, seeded_md5
 from ..schema import require_columns
@@ -27,6 +27,7 @@ from .quantiles import apply_boundary, hash_ranks, smallest_boundary
 SPLIT_COL = "split_type"
 # 13 hex digits = 52 bits: exactly representable as a double inside the k-th search
 ORDER_HEX = 13
+MAX_STRATA = 100_000
 
 
 def _with_hash(df: DataFrame, key_cols: Sequence[str], seed: int) -> DataFrame:
@@ -39,10 +40,12 @@ def stratum_quota(counts: DataFrame, strata: Sequence[str], test_size: float) ->
     remainder of n_test * n_s / n (integer arithmetic; ties -> stratum order).
 
     ``counts`` is the per-stratum count table ``strata..., _n`` (one row per
-    class); it is settled and the quota arithmetic runs on those few rows.
+    class, at most MAX_STRATA); the quota arithmetic runs on those few rows.
     """
     strata = list(strata)
-    rows = settle(counts).collect()
+    rows = counts.limit(MAX_STRATA + 1).collect()
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"stratify column has more than {MAX_STRATA} classes")
     total = sum(int(r["_n"]) for r in rows)
     n_test = int(math.ceil(float(test_size) * total))
     base = [n_test * int(r["_n"]) // total if total else 0 for r in rows]
