@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from .quantiles import global_quantiles
 
 CLASSIFICATION = ["accuracy", "precision", "recall", "f1"]
+PROBABILISTIC = ["balanced_accuracy", "log_loss", "roc_auc"]
+EPS = 2.220446049250313e-16  # probability clipping for log loss (float64 machine epsilon)
 REGRESSION = ["mse", "rmse", "neg_root_mean_squared_error", "mae", "r2", "max_error",
               "median_absolute_error", "mape"]
 
@@ -67,14 +69,38 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return s.unpivot([], REGRESSION, "metric", "value")
 
 
-def metric_by_name(df: DataFrame, label: str, prediction: str, name: str, positive=None) -> DataFrame:
+def binary_scores(df: DataFrame, label: str, prediction: str, probability: str,
+                  positive=1) -> DataFrame:
+    """Balanced accuracy, log loss (probabilities clipped to [eps, 1-eps]) and
+    exact ROC AUC for a binary task, long form ``(metric, value)``. The AUC
+    uses Spark ML's evaluator without down-sampling (a distributed sort of
+    the distinct scores, ties averaged)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    y = (F.col(label) == F.lit(positive)).cast("double")
+    p = F.least(F.greatest(F.col(probability).cast("double"), F.lit(EPS)), F.lit(1 - EPS))
+    hit = (F.col(prediction) == F.col(label)).cast("double")
+    s = df.agg(
+        F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"),
+        (F.sum(hit * y) / F.sum(y)).alias("tpr"), (F.sum(hit * (1 - y)) / F.sum(1 - y)).alias("tnr")).first()
+    data = df.select(y.alias("_y"), F.col(probability).cast("double").alias("_p"))
+    auc = BinaryClassificationEvaluator(rawPredictionCol="_p", labelCol="_y", metricName="areaUnderROC",
+                                        numBins=0).evaluate(data)
+    rows = [("balanced_accuracy", (s["tpr"] + s["tnr"]) / 2), ("log_loss", s["log_loss"]), ("roc_auc", auc)]
+    return df.sparkSession.createDataFrame(rows, "metric string, value double")
+
+
+def metric_by_name(df: DataFrame, label: str, prediction: str, name: str, positive=None,
+                   probability: str = "probability") -> DataFrame:
     """A single named score; unknown names raise ValueError."""
+    if name in PROBABILISTIC:
+        return binary_scores(df, label, prediction, probability,
+                             1 if positive is None else positive).where(F.col("metric") == name)
     if name in CLASSIFICATION:
         return classification_metrics(df, label, prediction, positive).where(F.col("metric") == name)
     if name in REGRESSION or name == "root_mean_squared_error":
         name = "rmse" if name == "root_mean_squared_error" else name
         return regression_metrics(df, label, prediction).where(F.col("metric") == name)
-    raise ValueError(f"unknown metric {name!r}; known: {CLASSIFICATION + REGRESSION}")
+    raise ValueError(f"unknown metric {name!r}; known: {CLASSIFICATION + PROBABILISTIC + REGRESSION}")
 
 
 def cv_mean(cv: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:

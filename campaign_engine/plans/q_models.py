@@ -281,3 +281,37 @@ def q_tune_model(spark, sf):
     _, res = M.random_search("RandomForestClassifier", pts, "label",
                              {"numTrees": [5, 10, 20], "maxDepth": [3, 5]}, n_iter=3, k_folds=3)
     return res.select("params", r("mean_metric").alias("mean_metric"))
+
+
+_BIN_CTES = [
+    f"bq AS (SELECT vec_id AS qid, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS y, CAST(embedding AS DOUBLE[]) AS e "
+    f"FROM embeddings WHERE vec_id < {N_QUERY})",
+    f"br AS (SELECT vec_id AS rid, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS y, CAST(embedding AS DOUBLE[]) AS e "
+    f"FROM embeddings WHERE vec_id >= {N_QUERY})",
+    "bd AS (SELECT qid, bq.y AS qy, rid, br.y, round(list_distance(bq.e, br.e), 9) AS dist FROM bq, br)",
+    f"bnn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rk FROM bd) "
+    f"WHERE rk <= {K})",
+    f"bp AS (SELECT qid, qy, CAST(sum(y) AS DOUBLE) / {K} AS p, "
+    f"CASE WHEN sum(y) > {K} - sum(y) THEN 1 ELSE 0 END AS pred FROM bnn GROUP BY qid, qy)",
+    "bs AS (SELECT p, sum(qy) AS pos, count(*) - sum(qy) AS neg FROM bp GROUP BY p)",
+    "brk AS (SELECT p, pos, neg, sum(pos + neg) OVER (ORDER BY p ROWS UNBOUNDED PRECEDING) - (pos + neg) AS before FROM bs)",
+]
+
+
+@register("binary_scores", O.with_base("""
+SELECT 'balanced_accuracy' AS metric, round((avg(CASE WHEN pred = qy THEN 1.0 ELSE 0.0 END) FILTER (WHERE qy = 1)
+  + avg(CASE WHEN pred = qy THEN 1.0 ELSE 0.0 END) FILTER (WHERE qy = 0)) / 2, 6) AS value FROM bp
+UNION ALL SELECT 'log_loss', round(avg(-(qy * ln(least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16))
+  + (1 - qy) * ln(1 - least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16)))), 6) FROM bp
+UNION ALL SELECT 'roc_auc', round((sum(pos * (before + (pos + neg + 1) / 2.0)) - sum(pos) * (sum(pos) + 1) / 2.0)
+  / (sum(pos) * sum(neg)), 6) FROM brk""", *_BIN_CTES))
+def q_binary_scores(spark, sf):
+    """kNN on the embeddings with the binary target label >= 5: balanced
+    accuracy, log loss and exact ROC AUC of P(positive)."""
+    q, ref = emb_sets(spark, sf)
+    q = q.withColumn("y", (F.col("label") >= 5).cast("int"))
+    ref = ref.withColumn("y", (F.col("label") >= 5).cast("int"))
+    pred = knn.knn_classify(q, ref, K, "vec_id", "vec_id", "y", positive=1)
+    scored = pred.join(q.select("vec_id", "y"), "vec_id")
+    m = ev.binary_scores(scored, "y", "prediction", "probability")
+    return m.select("metric", r("value").alias("value"))
