@@ -73,7 +73,11 @@ def train(spark, args) -> str:
         tr = feat.select_by_name(tr, args.predictor_variables, row["column_order"])
         te = feat.select_by_name(te, args.predictor_variables, row["column_order"])
     tr = splits.cv_folds(tr, ["id"], args.cv, 2025)
-    weight = "sample_weight" if args.include_sample_weight else None
+    weight = None
+    if args.include_sample_weight:  # the train split's class weights, as registered
+        tr = ds.weights_from_registry(tr.drop("sample_weight"), args.store, args.dataset_uid,
+                                      args.target_variable)
+        weight = "sample_weight"
     model, cv = models.train_cv(args.model_type, tr, args.target_variable, args.cv, scoring=args.scoring,
                                 weight=weight, positive=1 if models.kind_of(args.model_type) == "classifier" else None)
     metric = args.evaluation_metric

@@ -197,6 +197,19 @@ def registry_positions(spark: SparkSession, root: str, uid: str, split_type: str
     return positions_of(row["column_position_map"] or {}, variables)
 
 
+def weights_from_registry(df: DataFrame, root: str, uid: str, label: str,
+                          split_type: str = "train", out: str = "sample_weight") -> DataFrame:
+    """Per-row sample weight from the class-weight map stored on the resolved
+    (uid, split) registry row: ``element_at(map, label)`` (labels as text)."""
+    spark = df.sparkSession
+    row = resolve(spark, root, uid, split_type)
+    weights = row["class_weight"]
+    if not weights:
+        raise ValueError(f"dataset {uid!r} ({split_type}) has no class weights")
+    m = F.create_map(*[x for k, v in sorted(weights.items()) for x in (F.lit(k), F.lit(float(v)))])
+    return df.withColumn(out, F.element_at(m, F.col(label).cast("string")))
+
+
 def parse_and_flatten(text: Column) -> Column:
     """``"a,b,['c']"`` -> ``[a, b, c]``: brackets, quotes and spaces removed,
     then split on commas."""

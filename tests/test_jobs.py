@@ -31,6 +31,8 @@ def test_job_chain(spark):
     fuid = jobs.preprocess(spark, A(store=store, dataset_uid=uid))
     tr = ds.read_dataset(spark, store, fuid, "train")
     assert tr.count() == 4800 and tr.where(F.size("features") != 5 + 16).count() == 0
+    w = ds.weights_from_registry(tr, store, fuid, "convert", out="w")
+    assert w.where(F.abs(F.col("w") - F.col("sample_weight")) > 1e-12).count() == 0
     run_id = jobs.train(spark, A(store=store, dataset_uid=fuid))
     from campaign_engine.operators import models
     run = models.runs(spark, store).where(F.col("run_id") == run_id).first()
