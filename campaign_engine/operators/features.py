@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import CATEGORICAL_FEATURES, require_columns
 from . import encoders as enc

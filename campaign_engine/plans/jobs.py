@@ -23,7 +23,7 @@ from ..operators import configure as cfg
 from ..operators import encoders as enc
 from ..operators import features as feat
 from ..operators import metrics, models, scoring, splits, stats
-from ..operators.embed import embed_distinct, hashing_embedder
+from ..operators.embed import hashing_embedder
 from ..schema import CATEGORICAL_FEATURES
 from ..session import get_spark
 from ..sources import datasets as ds
@@ -158,5 +158,3 @@ def main(argv=None) -> None:
 if __name__ == "__main__":
     main()
 
-
-__all__ = ["embed_distinct", "main"]

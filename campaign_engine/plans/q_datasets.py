@@ -13,10 +13,9 @@ from ..session import scratch_path
 from ..sources import datasets as ds
 from . import oracle_sql as O
 from .q_features import _FEAT_SQL, _FEAT_SUM, _features, emb_sum, fit_rows
-from .registry import SEED, TEST, base, derived, r, register
+from .registry import SEED, TEST, base, r, register
 
 CATS = O.CATS
-_SPLIT = "sh AS (SELECT campaign_id, " + O.md5_key("campaign_id") + " AS h FROM ads)"
 
 
 @register("scan_csv", O.with_base(
@@ -156,5 +155,3 @@ def q_list_datasets(spark, sf):
                                                   F.sum("length").alias("bytes"),
                                                   F.first("n_rows").alias("n_rows"))
 
-
-__all__ = ["SEED", "derived"]
