@@ -152,7 +152,7 @@ def q_fd_histogram(spark, sf):
 @register("linear_trend", O.with_base(
     "SELECT publisher, round(regr_slope(cost, clicks), 6) AS slope, "
     "round(regr_intercept(cost, clicks), 6) AS intercept, round(regr_r2(cost, clicks), 6) AS r2, "
-    "regr_count(cost, clicks) AS n FROM ads WHERE publisher IS NOT NULL GROUP BY publisher"))
+    "CAST(regr_count(cost, clicks) AS BIGINT) AS n FROM ads WHERE publisher IS NOT NULL GROUP BY publisher"))
 def q_linear_trend(spark, sf):
     t = profile.linear_trend(base(spark, sf), "clicks", "cost", ["publisher"])
     return t.select("publisher", r("slope").alias("slope"), r("intercept").alias("intercept"),

@@ -20,7 +20,7 @@ CATS = O.CATS
 
 @register("scan_csv", O.with_base(
     "SELECT count(*) AS n_rows, count(DISTINCT campaign_id) AS n_campaigns, round(sum(cost), 2) AS sum_cost, "
-    "count(publisher) AS n_publisher, sum(converions) AS sum_converions FROM ads"))
+    "count(publisher) AS n_publisher, CAST(sum(converions) AS BIGINT) AS sum_converions FROM ads"))
 def q_scan_csv(spark, sf):
     path = scratch_path(spark, "ads-csv")
     base(spark, sf).write.option("header", True).csv(path)
