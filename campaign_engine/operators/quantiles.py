@@ -67,14 +67,17 @@ def log_bucket(x) -> F.Column:
 
 def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
               buckets: int = 1024, finish_rows: int = 100_000,
-              max_passes: int = 256, counts_out: list | None = None) -> DataFrame:
+              max_passes: int = 256, counts_out: list | None = None,
+              counts: DataFrame | None = None) -> DataFrame:
     """k-th smallest ``value`` per group for every target.
 
     ``values``: rows carrying ``keys`` and a numeric ``value`` (nulls are
     skipped but their groups still get a count of 0). ``targets``: a DataFrame
     ``keys..., _tid, _rank`` (0-based rank below the group's count), or a
     function of the per-group count table ``keys..., _n`` returning one (that
-    settled count table is also appended to ``counts_out``). Returns
+    settled count table is also appended to ``counts_out``). A caller that
+    already has the per-group counts ``keys..., _n`` passes them as ``counts``
+    and saves the count pass. Returns
     ``keys..., _tid, _value`` (materialised).
 
     Pass 0 counts each group. Groups of at most ``finish_rows`` values are
@@ -91,7 +94,8 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
             .persist(StorageLevel.MEMORY_AND_DISK))
     held = [vals]
     try:
-        counts = settle(vals.groupBy(*keys).agg(F.count("_v").alias("_n")))
+        if counts is None:
+            counts = settle(vals.groupBy(*keys).agg(F.count("_v").alias("_n")))
         if counts_out is not None:
             counts_out.append(counts)
         if callable(targets):
@@ -245,7 +249,7 @@ def _pick_bits(n: int, rows_per_bucket: int) -> int:
 
 
 def smallest_boundary(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
-                      quota: DataFrame, **kw) -> DataFrame:
+                      quota: DataFrame, counts: DataFrame | None = None, **kw) -> DataFrame:
     """Per stratum, the ``(order_long, tie)`` key of the ``quota``-th row in
     that order: ``strata..., _bv, _bt`` (settled; strata with quota 0 absent).
 
@@ -256,7 +260,9 @@ def smallest_boundary(df: DataFrame, strata: Sequence[str], order_long: str, tie
     q, _ = _with_key(quota, strata)
     targets = q.where(F.col("_q") > 0).select(*ks, F.lit(0).alias("_tid"),
                                                (F.col("_q") - 1).alias("_rank"))
-    kth = group_kth(src.select(*ks, order_long), ks, order_long, targets, **kw) \
+    if counts is not None:
+        counts, _ = _with_key(counts.select(*strata, "_n"), strata)
+    kth = group_kth(src.select(*ks, order_long), ks, order_long, targets, counts=counts, **kw) \
         .select(*ks, F.col("_value").cast("bigint").alias("_bv"))
     marks = src.select(*ks, order_long, tie).join(kth, ks)
     less = marks.groupBy(*ks).agg(F.sum((F.col(order_long) < F.col("_bv")).cast("long")).alias("_less"))

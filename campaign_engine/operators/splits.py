@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
+from ..session import settle
+
 
 
 from ..functions.hashing import hash_fold, hex_prefix_to_long, seeded_md5
@@ -80,8 +82,9 @@ def split_shuffled(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.
             counts = keyed.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
         else:
             counts = keyed.agg(F.count(F.lit(1)).alias("_n"))
+        counts = settle(counts)  # one row per stratum
         quota = stratum_quota(counts, strata, test_size)
-        bound = smallest_boundary(keyed, strata, "_h60", "_h", quota)
+        bound = smallest_boundary(keyed, strata, "_h60", "_h", quota, counts=counts)
     finally:
         keyed.unpersist()
     taken = apply_boundary(hashed, strata, "_h60", "_h", bound, flag="_test")
