@@ -32,16 +32,23 @@ def freq_table(df: DataFrame, variable: str, count_col: str = "count") -> DataFr
 
 
 def group_stat(df: DataFrame, target: str, groupby, stat="mean",
-               out: str | None = None) -> DataFrame:
+               out: str | None = None, order_by: str | None = None,
+               approximate: bool = False) -> DataFrame:
     """One named statistic of ``target`` per group; null keys dropped, null
     targets skipped. Order statistics (median, quantile) are exact and
-    distributed (see ``quantiles``)."""
+    distributed (see ``quantiles``) unless ``approximate``. ``first``/``last``
+    follow ``order_by`` (Spark rows have no inherent order; without it they
+    are whatever row comes first)."""
     keys = _keys(groupby)
-    require_columns(df, keys + [target], "group statistics")
+    require_columns(df, keys + [target] + ([order_by] if order_by else []), "group statistics")
     out = out or target
+    if stat in ("first", "last") and order_by:
+        pick = F.min_by if stat == "first" else F.max_by
+        base = _drop_null_keys(df, keys).where(F.col(target).isNotNull())
+        return base.groupBy(*keys).agg(pick(F.col(target), F.col(order_by)).alias(out))
     agg = resolve(stat)
     if isinstance(agg, float):
-        return group_quantiles(df, keys, target, {out: agg})
+        return group_quantiles(df, keys, target, {out: agg}, approximate=approximate)
     return (_drop_null_keys(df, keys).groupBy(*keys)
             .agg(agg(F.col(target)).alias(out)))
 

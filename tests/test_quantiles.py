@@ -53,3 +53,20 @@ def test_take_smallest_exact(spark):
         grp = sorted((o, t) for ss, o, t in rows if ss == s)
         want |= {(s, t) for _, t in grp[:q]}
     assert got == want
+
+
+def test_approximate_quantiles_flag(spark):
+    rng = np.random.default_rng(9)
+    xs = rng.normal(0, 1, 5000)
+    df = spark.createDataFrame([("g", float(v)) for v in xs], "g string, x double")
+    got = Q.group_quantiles(df, ["g"], "x", {"med": 0.5}, approximate=True).first()["med"]
+    assert abs(got - float(np.median(xs))) < 0.01
+
+
+def test_first_last_with_order(spark):
+    from campaign_engine.operators import stats
+    df = spark.createDataFrame([("a", 1, 10.0), ("a", 2, None), ("a", 3, 30.0), ("b", 5, 7.0)],
+                               "g string, t int, v double")
+    first = {r["g"]: r["v"] for r in stats.group_stat(df, "v", "g", "first", order_by="t").collect()}
+    last = {r["g"]: r["v"] for r in stats.group_stat(df, "v", "g", "last", order_by="t").collect()}
+    assert first == {"a": 10.0, "b": 7.0} and last == {"a": 30.0, "b": 7.0}
