@@ -193,7 +193,8 @@ def q_model_catalogue(spark, sf):
                                 ("GradientBoostingClassifier", "accuracy", "high"),
                                 ("LinearRegression", "rmse", "label"),
                                 ("RandomForestRegressor", "rmse", "label"),
-                                ("KNeighborsClassifier", "accuracy", "label")]:
+                                ("KNeighborsClassifier", "accuracy", "label"),
+                                ("NearestCentroid", "accuracy", "label")]:
         tr = train.withColumn("high", (F.col("label") >= 5).cast("int"))
         te = test.withColumn("high", (F.col("label") >= 5).cast("int"))
         model = M.fit(name, tr, label, id_col="id")

@@ -36,3 +36,14 @@ def test_knn_classify_and_regress(spark):
     assert c["prediction"] == 1 and abs(c["probability"] - 2 / 3) < 1e-12
     r = knn.knn_regress(qs, refs, 2, "qid", "rid", "y").first()
     assert r["prediction"] == 1.0
+
+
+def test_nearest_centroid(spark):
+    from campaign_engine.operators import models
+    df = spark.createDataFrame([(1, [0.0, 0.0], 0), (2, [0.0, 2.0], 0), (3, [10.0, 10.0], 1), (4, [12.0, 10.0], 1)],
+                               "id long, features array<double>, label int")
+    m = models.fit("NearestCentroid", df, "label")
+    assert m.centroids == [(0, [0.0, 1.0]), (1, [11.0, 10.0])]
+    q = spark.createDataFrame([(9, [1.0, 1.0]), (8, [9.0, 9.0])], "id long, features array<double>")
+    got = {r["id"]: r["prediction"] for r in m.predict(q).collect()}
+    assert got == {9: 0, 8: 1}
