@@ -161,3 +161,62 @@ def fold_sets(df: DataFrame, fold_col: str, k_folds: int, role: str) -> DataFram
         return df.withColumn("_set", F.col(fold_col))
     others = F.filter(F.sequence(F.lit(0), F.lit(k_folds - 1)), lambda s: s != F.col(fold_col))
     return df.withColumn("_set", F.explode(others))
+
+
+def radius_aggregate(queries: DataFrame, refs: DataFrame, radius: float, q_id: str, r_id: str,
+                     target: str, features: str = "features", block_rows: int = 4096) -> DataFrame:
+    """All references within ``radius`` of each query, reduced in the block
+    task to per-(query, target value) partial counts and sums -- the pairs
+    themselves never leave the task; a ``groupBy`` combines the blocks.
+    Returns ``(q_id, target_value, n, total)`` (``total`` sums the numeric
+    target value)."""
+    ship_package(queries.sparkSession)
+    q = queries.where(F.col(features).isNotNull()).select(F.col(q_id).alias("_qid"), F.col(features).alias("_f"))
+    r = refs.where(F.col(features).isNotNull()).select(F.col(r_id).alias("_rid"), F.col(features).alias("_f"),
+                                                        F.col(target).alias("_t"))
+    nq = max(1, math.ceil(q.count() / block_rows))
+    nr = max(1, math.ceil(r.count() / block_rows))
+    q = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(nq))) \
+         .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1)).cast("array<long>")))
+    r = r.withColumn("_rb", F.pmod(F.xxhash64("_rid"), F.lit(nr))) \
+         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<long>")))
+    schema = T.StructType([T.StructField("_qid", queries.schema[q_id].dataType),
+                           T.StructField("_t", refs.schema[target].dataType),
+                           T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType())])
+
+    def per_block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        if qpdf.empty or rpdf.empty:
+            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
+        Q = np.stack(qpdf["_f"].to_numpy()).astype(np.float64)
+        R = np.stack(rpdf["_f"].to_numpy()).astype(np.float64)
+        parts = []
+        for s in range(0, len(Q), 256):
+            Qc = Q[s:s + 256]
+            d2 = ((Qc[:, None, :] - R[None, :, :]) ** 2).sum(-1)
+            qi, ri = np.nonzero(_round9(np.sqrt(d2)) <= radius)
+            if len(qi):
+                parts.append(pd.DataFrame({"_qid": qpdf["_qid"].to_numpy()[qi + s],
+                                           "_t": rpdf["_t"].to_numpy()[ri]}))
+        if not parts:
+            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
+        hits = pd.concat(parts)
+        hits["_v"] = hits["_t"].astype(float)
+        g = hits.groupby(["_qid", "_t"], sort=False).agg(n=("_v", "size"), total=("_v", "sum")).reset_index()
+        return g[["_qid", "_t", "n", "total"]]
+
+    part = q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(per_block, schema)
+    return (part.groupBy("_qid", "_t").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+                .withColumnRenamed("_qid", q_id).withColumnRenamed("_t", target))
+
+
+def radius_classify(queries, refs, radius, q_id, r_id, label, features="features", **kw) -> DataFrame:
+    """Majority label among references within ``radius`` (ties -> smaller
+    label); queries with no reference in range get no prediction."""
+    agg = radius_aggregate(queries, refs, radius, q_id, r_id, label, features, **kw)
+    return agg.groupBy(q_id).agg(F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias("prediction"))
+
+
+def radius_regress(queries, refs, radius, q_id, r_id, target, features="features", **kw) -> DataFrame:
+    """Mean target of the references within ``radius``."""
+    agg = radius_aggregate(queries, refs, radius, q_id, r_id, target, features, **kw)
+    return agg.groupBy(q_id).agg((F.sum("total") / F.sum("n")).alias("prediction"))

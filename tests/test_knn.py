@@ -47,3 +47,22 @@ def test_nearest_centroid(spark):
     q = spark.createDataFrame([(9, [1.0, 1.0]), (8, [9.0, 9.0])], "id long, features array<double>")
     got = {r["id"]: r["prediction"] for r in m.predict(q).collect()}
     assert got == {9: 0, 8: 1}
+
+
+def test_radius_neighbours_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    R = rng.normal(size=(150, 3)); Q = rng.normal(size=(30, 3)); y = rng.integers(0, 3, 150)
+    refs = spark.createDataFrame([(int(i), R[i].tolist(), int(y[i])) for i in range(150)],
+                                 "rid long, features array<double>, y int")
+    qs = spark.createDataFrame([(int(500 + i), Q[i].tolist()) for i in range(30)], "qid long, features array<double>")
+    reg = {r["qid"]: r["prediction"] for r in knn.radius_regress(qs, refs, 1.0, "qid", "rid", "y", block_rows=40).collect()}
+    cls = {r["qid"]: r["prediction"] for r in knn.radius_classify(qs, refs, 1.0, "qid", "rid", "y", block_rows=40).collect()}
+    for i in range(30):
+        d = np.sqrt(((R - Q[i]) ** 2).sum(1))
+        inside = y[d <= 1.0]
+        if len(inside) == 0:
+            assert 500 + i not in reg
+            continue
+        assert abs(reg[500 + i] - inside.mean()) < 1e-12
+        counts = np.bincount(inside, minlength=3)
+        assert cls[500 + i] == int(np.argmax(counts))
