@@ -110,3 +110,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        fail_bits & {POLICIES[-1].mask} = 0 AS kept, fail_bits, '{POLICIES[-1].version}' AS policy
 FROM bits
 """
+
+op4_decontamination = """
+WITH items AS (
+  SELECT DISTINCT item_id, ws, least(len(ws), 5) AS w FROM (
+    SELECT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS ws FROM benchmark) WHERE len(ws) > 0),
+wanted AS (
+  SELECT DISTINCT item_id, ws, w, array_to_string(ws[p : p + w - 1], ' ') AS s FROM (
+    SELECT *, unnest(range(1, len(ws) - w + 2)) AS p FROM items)),
+sizes AS (SELECT item_id, ws, count(*) AS n FROM wanted GROUP BY ALL),
+docs AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+held AS (
+  SELECT DISTINCT doc_id, text, array_to_string(ws[p : p + w - 1], ' ') AS s FROM (
+    SELECT doc_id, text, ws, w, unnest(range(1, len(ws) - w + 2)) AS p
+    FROM docs, (SELECT DISTINCT w FROM items) WHERE len(ws) >= w))
+SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*) / n AS containment
+FROM held JOIN wanted USING (s) JOIN sizes USING (item_id, ws)
+GROUP BY doc_id, text, item_id, wanted.ws, n HAVING count(*) >= ceil(0.8 * n - 1e-9)
+"""

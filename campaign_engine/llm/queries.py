@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_rotation, mixing, oracle, quality_rules, sharding
+from . import chat_rotation, decontamination, mixing, oracle, quality_rules, sharding, simhash_dedup
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -17,6 +17,17 @@ def register(fn):
     return fn
 
 
+@register
+def op1_simhash_dedup(spark, sf_dir):
+    return simhash_dedup.clusters(table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+@register
+def op4_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op3_chat_rotation(spark, sf_dir):
     return chat_rotation.rotate(table(spark, sf_dir, "conversations"))
