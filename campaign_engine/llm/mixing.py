@@ -103,6 +103,7 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
         "__extra", (F.col("__start") + F.col("size") <= F.col("__part")).cast("int")), "mix_placed")
     missing = placed.groupBy("source_key").agg(
         (F.first("__part") - F.sum(F.col("size") * F.col("__extra"))).alias("__miss"))
+    missing = materialize(missing, "mix_missing")  # a row per source: small enough to be sent to hot sources
     gap = F.abs(F.col("size") - F.col("__miss"))
     near = (placed.filter((F.col("__extra") == 0) & (F.col("size") > 0)).join(missing, "source_key")
             .filter(gap < F.col("__miss"))

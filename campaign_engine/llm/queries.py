@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_rotation, decontamination, mixing, oracle, quality_rules, sharding, simhash_dedup
+from . import (chat_rotation, decontamination, mixing, oracle, pii_crf, quality_classifier, quality_rules, sharding,
+               simhash_dedup)
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -23,6 +24,22 @@ def op1_simhash_dedup(spark, sf_dir):
         "doc_id", "fingerprint", "component_id")
 
 
+@register
+def op2_pii_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = pii_crf.detect(docs, pii_crf.train(docs))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                      F.sha2(F.col("base"), 256).alias("base_sha256"), "spans", "n_added")
+
+
+@register
+def op6_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.classify(docs, model, keep=["doc_id", "source", "lang"]).select(
+        "doc_id", "source", "lang", "__quality.*")
+
+
 @register
 def op4_decontamination(spark, sf_dir):
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
