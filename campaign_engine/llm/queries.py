@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (chat_rotation, decontamination, mixing, oracle, pii_crf, quality_classifier, quality_rules, sharding,
-               simhash_dedup)
+from . import (chat_rotation, decontamination, mixing, oracle, pfp_dedup, pii_crf, quality_classifier, quality_rules,
+               rlz_dedup, sharding, simhash_dedup)
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -57,6 +57,18 @@ def op5_mixing(spark, sf_dir):
                       (F.floor(F.col("position") * 1e6 + 0.5) / 1e6).alias("position"))
 
 
+@register
+def op7_pfp_dedup(spark, sf_dir):
+    out = pfp_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register
+def op8_rlz_dedup(spark, sf_dir):
+    out = rlz_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"), "factors")
+
+
 @register
 def op9_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
