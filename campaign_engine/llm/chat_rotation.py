@@ -35,18 +35,21 @@ def rotate(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
         F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(role), F.lit("unknown")).alias("who"),
         F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(GUARD[0]), F.lit(GUARD[1])).alias("body"),
-        F.isnull(turn).alias("no_turn"))
+        F.isnull(turn).alias("no_turn"),
+        # never null, so that one hash partitioning serves the join and the window after it
+        F.coalesce(F.concat(F.lit("c"), F.col(conv).cast("string")), F.lit("")).alias("key"))
     rows = rows.withColumn("range", F.floor(F.coalesce("turn", F.lit(0)) / turns_per_part))
     order = ["no_turn", "turn", "who", "body"]
     numbered = rows.withColumn("sub", F.floor((F.row_number().over(
-        Window.partitionBy("conv_id", "no_turn", "range").orderBy(*order)) - 1) / turns_per_part))
-    pieces = numbered.groupBy("conv_id", "no_turn", "range", "sub").agg(F.sort_array(
-        F.collect_list(F.struct(*order))).alias("turns"))
+        Window.partitionBy("key", "no_turn", "range").orderBy(*order)) - 1) / turns_per_part))
+    pieces = numbered.groupBy("key", "no_turn", "range", "sub").agg(F.sort_array(
+        F.collect_list(F.struct(*order))).alias("turns"),
+        F.first("conv_id").alias("conv_id"))
     speakers = rows.filter(~F.col("who").isin(*system_roles)).select(
-        F.col("conv_id").alias("__conv"), F.col("who").alias("speaker")).distinct()
-    both = pieces.join(speakers, F.col("conv_id").eqNullSafe(F.col("__conv"))).drop("__conv")
+        "key", F.col("who").alias("speaker")).distinct()
+    both = pieces.join(speakers, "key")
     both = both.withColumn("part", (F.row_number().over(
-        Window.partitionBy("conv_id", "speaker").orderBy("no_turn", "range", "sub")) - 1).cast("int"))
+        Window.partitionBy("key", "speaker").orderBy("no_turn", "range", "sub")) - 1).cast("int"))
     system = ", ".join(f"'{r}'" for r in system_roles) or "''"
     head = f"""CASE WHEN t.who IN ({system}) THEN concat('{START}', t.who, '\\n')
         WHEN t.who = speaker THEN '{START}assistant\\n'
