@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import (chat_rotation, decontamination, mixing, oracle, pfp_dedup, pii_crf, quality_classifier, quality_rules,
                rlz_dedup, sharding, simhash_dedup)
 from .common import table
@@ -84,3 +86,12 @@ def op10_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       (F.col("fail_bits").bitwiseAND(F.lit(quality_rules.BASE_MASK)) != 0).alias("base_failed"),
                       "kept", "fail_bits", F.lit(strict.version).alias("policy"))
+
+
+@register
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
