@@ -1,18 +1,22 @@
 """Exact k-nearest-neighbour join (Euclidean), classifier and regressor.
 
-Spark ML has no kNN. Exact kNN needs every query/reference distance, so the
-work is *blocked*: queries are hashed into ``nq`` blocks and references into
-``nr`` blocks; each query row is replicated to the ``nr`` reference blocks and
-each reference row to the ``nq`` query blocks, and every ``(qb, rb)`` pair is
-one cogroup task. Inside a task, NumPy computes the distances (matrix product
-to shortlist, exact differences to re-rank) and emits only the ``k`` best
-references per query -- pairs are never materialised as rows. A final window
-keeps the ``k`` best of the ``nr * k`` per query (Catalyst turns
-``row_number() <= k`` into a partial + final group limit).
-
-Blocks are sized by ``block_rows`` (memory per task), independent of key
-skew: a hot ``partition`` value is simply cut into more blocks.
-Distances are rounded to 9 decimals and ties broken by the reference id.
+Spark ML has no kNN. Pairs are pruned by pivots and the triangle inequality:
+
+1. equal vectors are collapsed (a query vector is searched once, and of equal
+   reference vectors only the ``k`` smallest ids can matter);
+2. a bounded sample of reference vectors are the pivots; every reference
+   belongs to the cell of its nearest pivot, and per cell the count, the radius
+   and the ``k`` smallest pivot distances are kept (a few rows per pivot);
+3. these give each query an upper bound of its k-th distance, and it is sent
+   only to the cells that can hold anything within that bound;
+4. each (cell block, query block) pair is one cogroup task: NumPy shortlists by a
+   matrix product, re-ranks by exact differences, and emits only the ``k`` best
+   per query. A window keeps the ``k`` best per query over its cells.
+
+Blocks are sized by ``block_rows`` (memory per task), so a crowded cell is cut
+into more tasks. Distances are rounded to 9 decimals, ties broken by the
+reference id. Query ids should identify rows; rows that share an id share
+one answer per distinct vector.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
+from ..session import materialize, ship_package
+from .quantiles import same_keys
 
 DIST_DIGITS = 9
 
@@ -67,6 +72,112 @@ def _block_topk(q_ids, Q, r_ids, R, k: int, chunk: int = 256):
     return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
 
 
+MAX_PIVOTS = 1024
+MAX_CELL_ROWS = 20_000  # rows of the cell statistics over all partitions
+
+
+def _distances(Q: np.ndarray, P: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances by matrix product, and a bound of their rounding error per row."""
+    qn, pn = np.einsum("ij,ij->i", Q, Q), np.einsum("ij,ij->i", P, P)
+    d2 = qn[:, None] + pn[None, :] - 2.0 * (Q @ P.T)
+    err = np.sqrt(4e-15 * Q.shape[1] * (qn + pn.max())) + 2e-9
+    return np.sqrt(np.maximum(d2, 0)), err
+
+
+def _matrix(column) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64)
+
+
+def _assign_cells(r: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """References with the cell of their nearest pivot and the distance to it."""
+    def run(batches):
+        for b in batches:
+            if len(b):
+                d, err = _distances(_matrix(b["_f"]), pivots)
+                cell = d.argmin(1)
+                yield b.assign(_cell=cell.astype(np.int32), _dp=d[np.arange(len(b)), cell] + err)
+
+    schema = T.StructType([*r.schema.fields, T.StructField("_cell", T.IntegerType()), T.StructField("_dp", T.DoubleType())])
+    return r.mapInPandas(run, schema)
+
+
+def _query_cells(q: DataFrame, part: list[str], stats: dict, pivots: np.ndarray, k: int | None,
+                 radius: float | None) -> DataFrame:
+    """One row per query and cell that may hold an answer. ``stats``: partition
+    value -> (cells, counts, radii, k smallest pivot distances per cell)."""
+    between, _ = _distances(pivots, pivots)
+
+    def run(batches):
+        for b in batches:
+            if not len(b):
+                continue
+            d_all, err_all = _distances(_matrix(b["_f"]), pivots)
+            groups = b[part[0]].to_numpy() if part else np.zeros(len(b), int)
+            for g in pd.unique(groups):
+                if g not in stats:
+                    continue
+                cells, counts, radii, nearest = stats[g]
+                rows = np.flatnonzero(groups == g)
+                d, err = d_all[rows], err_all[rows][:, None]
+                dc = d[:, cells]
+                if radius is not None:
+                    bound = np.full((len(rows), 1), radius)
+                elif counts.sum() <= k:
+                    bound = np.full((len(rows), 1), np.inf)
+                else:
+                    upper = (dc[:, :, None] + nearest[None, :, :]).reshape(len(rows), -1)
+                    bound = np.partition(upper, k - 1, axis=1)[:, [k - 1]]
+                home = d.argmin(1)
+                gap = np.maximum(between[home][:, cells], 1e-300)
+                plane = (dc ** 2 - d.min(1)[:, None] ** 2) / (2 * gap)
+                plane = np.where(cells[None, :] == home[:, None], 0.0, plane)
+                low = np.maximum(dc - radii[None, :], plane - err * (1 + 2 * dc / gap))
+                qi, ci = np.nonzero(low <= bound + 4 * err)
+                yield b.iloc[rows[qi]].assign(_cell=cells[ci].astype(np.int32))
+
+    return q.mapInPandas(run, T.StructType([*q.schema.fields, T.StructField("_cell", T.IntegerType())]))
+
+
+def _blocked(q: DataFrame, r: DataFrame, part: list[str], k: int | None, radius: float | None,
+             block_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Query and reference rows dealt to the (cell, block) pairs to be compared."""
+    keys = [*part, "_cell"]
+    n = r.count()
+    n_parts = max(1, r.select(*part).distinct().count()) if part else 1
+    n_pivots = max(1, min(MAX_PIVOTS, MAX_CELL_ROWS // n_parts, math.ceil(math.sqrt(n))))
+    rows = r.select("_f", F.xxhash64("_f").alias("_h")).orderBy("_h").limit(n_pivots).select("_f").collect()
+    if not rows:
+        none = q.limit(0).withColumns({"_cell": F.lit(0), "_rb": F.lit(0), "_qb": F.lit(0)})
+        return none, r.limit(0).withColumns({"_cell": F.lit(0), "_rb": F.lit(0), "_qb": F.lit(0)}), [*keys, "_rb", "_qb"]
+    pivots = np.array([x[0] for x in rows], dtype=np.float64)
+    r = materialize(_assign_cells(r, pivots), "knn-cells")
+    depth = k or 1
+    near = r.withColumn("_o", F.row_number().over(Window.partitionBy(*keys).orderBy("_dp"))).where(F.col("_o") <= depth) \
+        .groupBy(*keys).agg(F.array_sort(F.collect_list("_dp")).alias("_near"))
+    cell = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_dp").alias("_rad"))
+    cell = materialize(same_keys(cell, near, keys), "knn-cell-stats")
+    stats: dict = {}
+    for x in cell.collect():  # at most MAX_CELL_ROWS rows
+        stats.setdefault(x[part[0]] if part else 0, []).append(x)
+    packed = {}
+    for g, xs in stats.items():
+        nearest = np.full((len(xs), depth), np.inf)
+        for i, x in enumerate(xs):
+            nearest[i, :len(x["_near"])] = x["_near"]
+        packed[g] = (np.array([x["_cell"] for x in xs]), np.array([x["_n"] for x in xs]),
+                     np.array([x["_rad"] for x in xs]), nearest)
+    q = materialize(_query_cells(q, part, packed, pivots, k, radius), "knn-queries")
+    blocks = q.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nq"))
+    blocks = materialize(same_keys(cell.select(*keys, "_n"), blocks, keys).select(
+        *keys, F.ceil(F.col("_n") / block_rows).alias("_nrb"), F.ceil(F.col("_nq") / block_rows).alias("_nqb")), "knn-blocks")
+
+    def deal(df, own, other, own_n, other_n):
+        out = same_keys(df, blocks, keys).withColumn(own, F.pmod(F.xxhash64("_qid" if own == "_qb" else "_rid"), F.col(own_n)))
+        return out.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_n) - 1))).drop("_nrb", "_nqb")
+
+    return deal(q, "_qb", "_rb", "_nqb", "_nrb"), deal(r, "_rb", "_qb", "_nrb", "_nqb"), [*keys, "_rb", "_qb"]
+
+
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str,
              features: str = "features", ref_cols: Sequence[str] = (),
              partition: str | None = None, block_rows: int = 4096) -> DataFrame:
@@ -78,48 +189,36 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str,
     ship_package(queries.sparkSession)
     ref_cols = list(ref_cols)
     part = [partition] if partition else []
-    q = queries.where(F.col(features).isNotNull()).select(
+    asked = queries.where(F.col(features).isNotNull()).select(
         *part, F.col(q_id).alias("_qid"), F.col(features).alias("_f"))
+    q = asked.groupBy(*part, "_f").agg(F.min("_qid").alias("_qid")).select(*part, "_qid", "_f")
     r = refs.where(F.col(features).isNotNull()).select(
         *part, F.col(r_id).alias("_rid"), F.col(features).alias("_f"), *ref_cols)
-
-    def max_count(df):
-        if part:
-            return df.groupBy(*part).count().agg(F.max("count")).first()[0] or 0
-        return df.count()
-    nq = max(1, math.ceil(max_count(q) / block_rows))
-    nr = max(1, math.ceil(max_count(r) / block_rows))
-    qb = F.pmod(F.xxhash64(F.col("_qid")), F.lit(nq))
-    rb = F.pmod(F.xxhash64(F.col("_rid")), F.lit(nr))
-    q = q.withColumn("_qb", qb).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1)).cast("array<long>")))
-    r = r.withColumn("_rb", rb).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<long>")))
-    keys = part + ["_qb", "_rb"]
+    same = Window.partitionBy(*part, "_f").orderBy("_rid")
+    r = materialize(r.withColumn("_o", F.row_number().over(same)).where(F.col("_o") <= k).drop("_o"), "knn-refs")
+    qc, rc, keys = _blocked(q, r, part, k, None, block_rows)
 
     extra = [f for f in refs.schema.fields if f.name in ref_cols]
-    schema = T.StructType(
-        [T.StructField("_qid", queries.schema[q_id].dataType), T.StructField("_rid", refs.schema[r_id].dataType),
-         T.StructField("dist", T.DoubleType())] + [T.StructField(f.name, f.dataType) for f in extra])
+    schema = T.StructType([
+        *[(refs if p in refs.columns else queries).schema[p] for p in part],
+        T.StructField("_qid", queries.schema[q_id].dataType), T.StructField("_f", queries.schema[features].dataType),
+        T.StructField("_rid", refs.schema[r_id].dataType), T.StructField("dist", T.DoubleType()), *extra])
 
     def per_block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         if qpdf.empty or rpdf.empty:
             return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
-        Q = np.stack(qpdf["_f"].to_numpy()).astype(np.float64)
-        R = np.stack(rpdf["_f"].to_numpy()).astype(np.float64)
-        qi, ri, d = _block_topk(qpdf["_qid"].to_numpy(), Q, rpdf["_rid"].to_numpy(), R, k)
-        res = {"_qid": qpdf["_qid"].to_numpy()[qi], "_rid": rpdf["_rid"].to_numpy()[ri], "dist": d}
-        if part:
-            res = {partition: np.repeat(qpdf[partition].iloc[0], len(qi)), **res}
-        for c in ref_cols:
-            res[c] = rpdf[c].to_numpy()[ri]
-        return pd.DataFrame(res)
-
-    if part:
-        schema = T.StructType([refs.schema[partition] if partition in refs.columns
-                               else queries.schema[partition]] + schema.fields)
-    pairs = (q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(per_block, schema))
-    w = Window.partitionBy(*part, "_qid").orderBy("dist", "_rid")
-    top = pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
-    return top.withColumnRenamed("_qid", q_id).withColumnRenamed("_rid", f"nn_{r_id}" if r_id == q_id else r_id)
+        qi, ri, d = _block_topk(None, _matrix(qpdf["_f"]), rpdf["_rid"].to_numpy(), _matrix(rpdf["_f"]), k)
+        res = {p: qpdf[p].to_numpy()[qi] for p in part}
+        res |= {"_qid": qpdf["_qid"].to_numpy()[qi], "_f": qpdf["_f"].to_numpy()[qi],
+                "_rid": rpdf["_rid"].to_numpy()[ri], "dist": d}
+        return pd.DataFrame(res | {c: rpdf[c].to_numpy()[ri] for c in ref_cols})
+
+    pairs = qc.groupBy(*keys).cogroup(rc.groupBy(*keys)).applyInPandas(per_block, schema)
+    w = Window.partitionBy(*part, "_f").orderBy("dist", "_rid")
+    top = pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k).drop("_qid")
+    out = same_keys(asked, top, [*part, "_f"]).drop("_f")
+    cols = [*part, "_qid", "_rid", "dist", *ref_cols, "nn_rank"]
+    return out.select(*cols).withColumnRenamed("_qid", q_id).withColumnRenamed("_rid", f"nn_{r_id}" if r_id == q_id else r_id)
 
 
 def vote(neighbours: DataFrame, q_id, label: str, k: int,
@@ -168,43 +267,38 @@ def radius_aggregate(queries: DataFrame, refs: DataFrame, radius: float, q_id: s
     """All references within ``radius`` of each query, reduced in the block
     task to per-(query, target value) partial counts and sums -- the pairs
     themselves never leave the task; a ``groupBy`` combines the blocks.
+    Equal (vector, target) references are counted once with their number.
     Returns ``(q_id, target_value, n, total)`` (``total`` sums the numeric
     target value)."""
     ship_package(queries.sparkSession)
     q = queries.where(F.col(features).isNotNull()).select(F.col(q_id).alias("_qid"), F.col(features).alias("_f"))
-    r = refs.where(F.col(features).isNotNull()).select(F.col(r_id).alias("_rid"), F.col(features).alias("_f"),
-                                                        F.col(target).alias("_t"))
-    nq = max(1, math.ceil(q.count() / block_rows))
-    nr = max(1, math.ceil(r.count() / block_rows))
-    q = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(nq))) \
-         .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1)).cast("array<long>")))
-    r = r.withColumn("_rb", F.pmod(F.xxhash64("_rid"), F.lit(nr))) \
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<long>")))
+    r = refs.where(F.col(features).isNotNull()).groupBy(F.col(features).alias("_f"), F.col(target).alias("_t")).agg(
+        F.min(r_id).alias("_rid"), F.count(F.lit(1)).alias("_m"))
+    r = materialize(r, "radius-refs")
+    qc, rc, keys = _blocked(q, r, [], None, radius, block_rows)
     schema = T.StructType([T.StructField("_qid", queries.schema[q_id].dataType),
                            T.StructField("_t", refs.schema[target].dataType),
                            T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType())])
 
     def per_block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
         if qpdf.empty or rpdf.empty:
-            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
-        Q = np.stack(qpdf["_f"].to_numpy()).astype(np.float64)
-        R = np.stack(rpdf["_f"].to_numpy()).astype(np.float64)
-        parts = []
+            return none
+        Q, R, out = _matrix(qpdf["_f"]), _matrix(rpdf["_f"]), []
         for s in range(0, len(Q), 256):
-            Qc = Q[s:s + 256]
-            d2 = ((Qc[:, None, :] - R[None, :, :]) ** 2).sum(-1)
-            qi, ri = np.nonzero(_round9(np.sqrt(d2)) <= radius)
-            if len(qi):
-                parts.append(pd.DataFrame({"_qid": qpdf["_qid"].to_numpy()[qi + s],
-                                           "_t": rpdf["_t"].to_numpy()[ri]}))
-        if not parts:
-            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
-        hits = pd.concat(parts)
-        hits["_v"] = hits["_t"].astype(float)
-        g = hits.groupby(["_qid", "_t"], sort=False).agg(n=("_v", "size"), total=("_v", "sum")).reset_index()
-        return g[["_qid", "_t", "n", "total"]]
-
-    part = q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(per_block, schema)
+            d, err = _distances(Q[s:s + 256], R)
+            qi, ri = np.nonzero(d <= radius + 2 * err[:, None])  # shortlist, then exact differences
+            diff = Q[qi + s] - R[ri]
+            ok = _round9(np.sqrt(np.einsum("ij,ij->i", diff, diff))) <= radius
+            out.append(pd.DataFrame({"_qid": qpdf["_qid"].to_numpy()[qi[ok] + s], "_t": rpdf["_t"].to_numpy()[ri[ok]],
+                                     "n": rpdf["_m"].to_numpy()[ri[ok]]}))
+        hits = pd.concat(out)
+        if not len(hits):
+            return none
+        hits["total"] = hits["_t"].astype(float) * hits["n"]
+        return hits.groupby(["_qid", "_t"], sort=False).agg(n=("n", "sum"), total=("total", "sum")).reset_index()
+
+    part = qc.groupBy(*keys).cogroup(rc.groupBy(*keys)).applyInPandas(per_block, schema)
     return (part.groupBy("_qid", "_t").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
                 .withColumnRenamed("_qid", q_id).withColumnRenamed("_t", target))
 
