@@ -1,10 +1,9 @@
 """Configuration search: exploit (most-used market/publisher pairs), explore
 (unused pairs), hybrid, candidate space per request, scoring and argmin.
 
-No cross joins: the candidate list and the publisher dictionary are small by
-construction (top-k, or checked against a bound) and are expanded per row
-with ``explode`` over a literal array; above the bound a ValueError asks for
-a narrower search space instead of silently building a product.
+No cross joins: the candidate list (top-k: its length is the caller's choice)
+and the publisher dictionary are one array value from a scalar subquery, which
+each row explodes; neither passes through the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from ..schema import require_columns
 from .stats import config_usage
 
 KEYS = ["market_id", "publisher"]
-MAX_CANDIDATES = 10_000
 
 
 def top_k_configs(usage: DataFrame, k: int = 5, by: str = "n_campaigns",
@@ -28,42 +26,31 @@ def top_k_configs(usage: DataFrame, k: int = 5, by: str = "n_campaigns",
     return usage.orderBy(F.desc(by), *keys).limit(k)
 
 
-def _literal_rows(df: DataFrame, cols: Sequence[str], bound: int, what: str):
-    rows = df.select(*cols).limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"{what} has more than {bound} entries; narrow it (e.g. top_k_configs)")
-    return rows
-
-
-def candidate_space(requests: DataFrame, configs: DataFrame, keys: Sequence[str] = KEYS,
-                    max_configs: int = MAX_CANDIDATES) -> DataFrame:
-    """Every request paired with every candidate configuration. The (bounded)
-    candidate list is inlined as a literal array and exploded per request --
-    a narrow projection, no join and no shuffle."""
+def candidate_space(requests: DataFrame, configs: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Every request paired with every candidate configuration: the candidate
+    list is one array that each request explodes, a narrow projection. An
+    empty candidate list raises ValueError."""
     keys = list(keys)
-    rows = _literal_rows(configs, keys, max_configs, "the configuration search space")
-    if not rows:
-        raise ValueError("No configurations available to recommend.")
-    arr = F.array(*[F.struct(*[F.lit(r[k]).cast("string").alias(k) for k in keys]) for r in rows])
+    if configs.isEmpty():
+        raise ValueError("the candidate list is empty")
+    arr = configs.agg(F.array_sort(F.collect_list(F.struct(*[F.col(k).cast("string").alias(k) for k in keys])))).scalar()
     base = requests.drop(*[k for k in keys if k in requests.columns])
     return base.withColumn("_cfg", F.explode(arr)).select("*", *[F.col(f"_cfg.{k}").alias(k) for k in keys]).drop("_cfg")
 
 
-def explore_configs(df: DataFrame, keys: Sequence[str] = KEYS, usage_ratio: float = 1.0,
-                    max_values: int = MAX_CANDIDATES) -> DataFrame:
-    """(market, publisher) pairs not already exploited, where "exploited" means
-    used at least ``usage_ratio`` times the average usage. Publishers (a
-    bounded dictionary) are expanded onto the distinct markets; the exploited
-    pairs are removed with an anti join."""
+def explore_configs(df: DataFrame, keys: Sequence[str] = KEYS, usage_ratio: float | None = None) -> DataFrame:
+    """(market, publisher) pairs that are not in use. With ``usage_ratio`` a pair
+    counts as in use only from that multiple of the average usage on. The
+    publishers are exploded onto the distinct markets; the pairs in use are
+    removed with an anti join."""
     m, p = keys
-    usage = config_usage(df, keys)
-    avg_use = usage.agg(F.avg("n_campaigns")).first()[0] or 0.0
-    existing = usage.where(F.col("n_campaigns") >= usage_ratio * avg_use).select(m, p)
-    pubs = _literal_rows(df.where(F.col(p).isNotNull()).select(p).distinct(), [p], max_values, "publisher list")
+    existing = config_usage(df, keys)
+    if usage_ratio is not None:
+        avg_use = existing.agg(F.avg("n_campaigns")).first()[0] or 0.0
+        existing = existing.where(F.col("n_campaigns") >= usage_ratio * avg_use)
+    pubs = df.where(F.col(p).isNotNull()).agg(F.array_sort(F.collect_set(F.col(p).cast("string")))).scalar()
     markets = df.where(F.col(m).isNotNull()).select(m).distinct()
-    arr = F.array(*[F.lit(r[p]).cast("string") for r in pubs])
-    space = markets.withColumn(p, F.explode(arr))
-    return space.join(existing, [m, p], "left_anti")
+    return markets.withColumn(p, F.explode(pubs)).join(existing.select(m, p), [m, p], "left_anti")
 
 
 def hybrid_configs(exploit: DataFrame, explore: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -74,11 +61,14 @@ def hybrid_configs(exploit: DataFrame, explore: DataFrame, keys: Sequence[str] =
 
 def recommend(scored: DataFrame, request_keys: Sequence[str], score: str = "predicted_cpa",
               keys: Sequence[str] = KEYS) -> DataFrame:
-    """Per request, the configuration with the lowest score (ties: smaller
-    key). An empty candidate set raises ValueError."""
+    """Per request, the configuration with the lowest score (ties: smaller key).
+    Candidates without a score are passed over, and a request without any
+    scored candidate gets null. An empty candidate set raises ValueError."""
     keys = list(keys)
     if scored.isEmpty():
-        raise ValueError("No configurations available to recommend.")
+        raise ValueError("there is no candidate to choose from")
     order = F.struct(F.col(score), *[F.col(k) for k in keys])
-    best = scored.groupBy(*request_keys).agg(F.min_by(F.struct(*keys, score), order).alias("_b"))
+    pick = F.when(F.col(score).isNotNull(), F.struct(*keys, score))
+    best = scored.groupBy(*request_keys).agg(
+        F.min_by(pick, F.when(F.col(score).isNotNull(), order)).alias("_b"))
     return best.select(*request_keys, *[F.col(f"_b.{c}").alias(c) for c in keys + [score]])

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import require_columns
-from ..session import ship_package
-
+from ..session import settle, ship_package
+from .ranks import global_rank
 
 
 def _distinct_text(df: DataFrame, column: str) -> DataFrame:
@@ -27,8 +27,9 @@ def _distinct_text(df: DataFrame, column: str) -> DataFrame:
 
 
 def embed_distinct(df: DataFrame, column: str, embedder, out: str | None = None,
-                   strict: bool = False) -> DataFrame:
-    """Add ``out`` (default ``<column>_embedding``, ``array<double>``)."""
+                   strict: bool = True) -> DataFrame:
+    """Add ``out`` (default ``<column>_embedding``, ``array<double>``). A value
+    without a vector raises ValueError, or gives null with ``strict=False``."""
     require_columns(df, [column], "embedding")
     out = out or f"{column}_embedding"
     values = _distinct_text(df, column)
@@ -60,24 +61,16 @@ def _vector_udf(fn: Callable[[pd.Series], list]):
     return _embed
 
 
-MAX_VOCAB = 100_000
-
-
 def rank_map(df: DataFrame, column: str, vectors: DataFrame, id_col: str = "vec_id",
              include_missing: bool = True) -> DataFrame:
     """Fixture embedder: the i-th distinct value in alphabetical order gets the
     vector with ``id_col = i``; the empty string (missing text) comes after the
-    known values. The distinct-value dictionary is settled and ranked on the
-    driver (one entry per distinct text)."""
+    known values."""
     vals = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-    rows = vals.limit(MAX_VOCAB + 1).collect()  # the distinct-value dictionary
-    if len(rows) > MAX_VOCAB:
-        raise ValueError(f"rank_map is a dictionary rule for at most {MAX_VOCAB} distinct values")
-    names = sorted(r["value"] for r in rows)
     if include_missing:
-        names.append("")
-    ranked = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "value string, _i int")
-    return (ranked.join(vectors.select(F.col(id_col).alias("_i"), "embedding"), "_i")
+        vals = vals.where(F.col("value") != "").unionByName(df.sparkSession.createDataFrame([("",)], "value string"))
+    ranked = settle(global_rank(vals, [F.col("value") == "", F.col("value")], "_i"))
+    return (ranked.join(vectors.select(F.col(id_col).cast("bigint").alias("_i"), "embedding"), "_i")
                   .select("value", "embedding"))
 
 

@@ -31,7 +31,7 @@ def fit_encoders(df: DataFrame, variables: Sequence[str], kind: str = "frequency
     targets skipped; order statistics exact and distributed)."""
     variables = list(variables)
     if kind not in ("frequency", "target"):
-        raise NotImplementedError(f"{kind} is not a valid implemented encoder")
+        raise NotImplementedError(f"encoder kind {kind!r} is unknown; use frequency or target")
     need = variables + ([target] if kind == "target" else [])
     require_columns(df, need, f"{kind} encoding")
     ids = ([] if kind == "frequency" else [F.col(target).cast("double").alias("_t")])
@@ -64,7 +64,7 @@ def check_unique(encoder: DataFrame, key: str = "value") -> None:
 
 
 def encode(df: DataFrame, column: str, encoder: DataFrame, out: str | None = None,
-           key: str = "value", enc: str = "enc", broadcast: bool = False,
+           key: str = "value", enc: str = "enc",
            validate: bool = False) -> DataFrame:
     """Add ``out`` (default ``<column>_encoded``): encoder value of ``column``;
     unseen -> 0.0, null -> null."""
@@ -76,8 +76,6 @@ def encode(df: DataFrame, column: str, encoder: DataFrame, out: str | None = Non
     side = encoder.select(F.col(key).cast("string").alias(f"{tag}_k"),
                           F.col(enc).cast("double").alias(f"{tag}_v"),
                           F.lit(True).alias(f"{tag}_m"))
-    if broadcast:
-        side = F.broadcast(side)
     j = df.join(side, F.col(column).cast("string") == F.col(f"{tag}_k"), "left")
     val = (F.when(F.col(column).isNull(), F.lit(None).cast("double"))
              .when(F.col(f"{tag}_m"), F.col(f"{tag}_v"))
@@ -86,13 +84,12 @@ def encode(df: DataFrame, column: str, encoder: DataFrame, out: str | None = Non
 
 
 def apply_encoders(df: DataFrame, encoders: DataFrame | Mapping[str, DataFrame],
-                   variables: Sequence[str], suffix: str = "_encoded",
-                   broadcast: bool = False) -> DataFrame:
-    """Encode several columns (a fold of ``encode``; broadcast joins pipeline
-    into one stage). ``encoders`` is the long table or ``{variable: (value, enc)}``."""
+                   variables: Sequence[str], suffix: str = "_encoded") -> DataFrame:
+    """Encode several columns (a fold of ``encode``; encoder tables that
+    the planner broadcasts by their size pipeline into one stage). ``encoders`` is the long table or ``{variable: (value, enc)}``."""
     for v in variables:
         e = encoders[v] if isinstance(encoders, Mapping) else encoder_for(encoders, v)
-        df = encode(df, v, e, f"{v}{suffix}", broadcast=broadcast)
+        df = encode(df, v, e, f"{v}{suffix}")
     return df
 
 

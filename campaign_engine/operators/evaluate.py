@@ -9,7 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .quantiles import global_quantiles
+from .ranks import running_total
 
 CLASSIFICATION = ["accuracy", "precision", "recall", "f1"]
 PROBABILISTIC = ["balanced_accuracy", "log_loss", "roc_auc"]
@@ -18,6 +20,14 @@ REGRESSION = ["mse", "rmse", "neg_root_mean_squared_error", "mae", "r2", "max_er
               "median_absolute_error", "mape"]
 
 
+#: public score names -> names used here
+ALIASES = {"accuracy_score": "accuracy", "precision_score": "precision", "recall_score": "recall", "f1_score": "f1",
+           "balanced_accuracy_score": "balanced_accuracy", "roc_auc_score": "roc_auc", "neg_log_loss": "log_loss",
+           "mean_squared_error": "mse", "root_mean_squared_error": "rmse", "mean_absolute_error": "mae",
+           "r2_score": "r2", "mean_absolute_percentage_error": "mape", "precision_macro": "precision",
+           "recall_macro": "recall", "f1_macro": "f1"}
+
+
 def _safe(num, den):
     return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
 
@@ -26,45 +36,45 @@ def classification_metrics(df: DataFrame, label: str, prediction: str,
                            positive=None) -> DataFrame:
     """Long form ``(metric, value)``. With ``positive`` the binary scores of
     that class; otherwise macro averages over the classes seen in either
-    column. 0/0 scores are 0.0."""
-    y, p = F.col(label), F.col(prediction)
-    acc = df.agg(F.avg((y == p).cast("double")).alias("v")).select(F.lit("accuracy").alias("metric"), F.col("v").alias("value"))
-    if positive is not None:
-        s = df.agg(F.sum(((y == positive) & (p == positive)).cast("double")).alias("tp"),
-                   F.sum(((y != positive) & (p == positive)).cast("double")).alias("fp"),
-                   F.sum(((y == positive) & (p != positive)).cast("double")).alias("fn"))
-        per = s.select(_safe(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-                       _safe(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"))
-    else:
-        classes = (df.select(y.alias("c")).union(df.select(p.alias("c"))).distinct())
-        tp = df.where(y == p).groupBy(y.alias("c")).agg(F.count(F.lit(1)).alias("tp"))
-        pc = df.groupBy(p.alias("c")).agg(F.count(F.lit(1)).alias("pc"))
-        tc = df.groupBy(y.alias("c")).agg(F.count(F.lit(1)).alias("tc"))
-        per_c = (classes.join(tp, "c", "left").join(pc, "c", "left").join(tc, "c", "left")
-                 .fillna(0, ["tp", "pc", "tc"]))
-        per_c = per_c.select(_safe(F.col("tp").cast("double"), F.col("pc")).alias("pr"),
-                             _safe(F.col("tp").cast("double"), F.col("tc")).alias("rc"))
-        per_c = per_c.withColumn("f", _safe(2 * F.col("pr") * F.col("rc"), F.col("pr") + F.col("rc")))
-        per = per_c.agg(F.avg("pr").alias("precision"), F.avg("rc").alias("recall"), F.avg("f").alias("f1m"))
-    if positive is not None:
-        per = per.withColumn("f1m", _safe(2 * F.col("precision") * F.col("recall"),
-                                          F.col("precision") + F.col("recall")))
-    rest = per.select(F.col("precision"), F.col("recall"), F.col("f1m").alias("f1")) \
-              .unpivot([], ["precision", "recall", "f1"], "metric", "value")
-    return acc.unionByName(rest)
+    column. 0/0 scores are 0.0. A row without a prediction is a wrong answer; a
+    row without a label is not scored. All scores come from one confusion
+    table, so the input is computed once."""
+    zero = F.lit(0).cast("long")
+    conf = (df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("y"), F.col(prediction).alias("p"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(zero)
+    kind = conf.schema["y"].dataType
+    sides = F.array(F.struct(F.col("y").cast(kind).alias("c"), hit.alias("tp"), F.col("n").alias("tc"), zero.alias("pc")),
+                    F.struct(F.col("p").cast(kind).alias("c"), zero.alias("tp"), zero.alias("tc"), F.col("n").alias("pc")))
+    per = (conf.select(F.explode(sides).alias("s")).select("s.*").where(F.col("c").isNotNull())
+               .groupBy("c").agg(*[F.sum(x).cast("double").alias(x) for x in ("tp", "tc", "pc")]))
+    per = per.withColumn("pr", _safe(F.col("tp"), F.col("pc"))).withColumn("rc", _safe(F.col("tp"), F.col("tc")))
+    per = per.withColumn("f", _safe(2 * F.col("pr") * F.col("rc"), F.col("pr") + F.col("rc")))
+
+    def over(x):
+        return F.avg(x) if positive is None else F.coalesce(
+            F.max(F.when(F.col("c") == F.lit(positive), F.col(x))), F.lit(0.0))
+    return per.agg(F.try_divide(F.sum("tp"), F.sum("tc")).alias("accuracy"), over("pr").alias("precision"),
+                   over("rc").alias("recall"), over("f").alias("f1")) \
+              .unpivot([], CLASSIFICATION, "metric", "value")
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Long form ``(metric, value)``; the median absolute error is exact."""
-    e = F.col(prediction).cast("double") - F.col(label).cast("double")
-    y = F.col(label).cast("double")
-    s = df.agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
-               F.max(F.abs(e)).alias("max_error"),
-               F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(2.220446049250313e-16))).alias("mape"),
-               F.sum(e * e).alias("ss_res"), F.var_pop(y).alias("vy"), F.count(F.lit(1)).alias("n"))
-    medae = global_quantiles(df.select(F.abs(e).alias("ae")), "ae", {"m": 0.5})["m"]
+    """Long form ``(metric, value)`` over the rows that have a label and a
+    prediction; the median absolute error is exact. With a constant label R2 is
+    1 for exact predictions, else 0; without any row every score is null."""
+    pairs = materialize(df.select(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("p"))
+                          .where("y IS NOT NULL AND p IS NOT NULL"), "scored-pairs")
+    e, y = F.col("p") - F.col("y"), F.col("y")
+    s = pairs.agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
+                  F.max(F.abs(e)).alias("max_error"),
+                  F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(EPS))).alias("mape"),
+                  F.sum(e * e).alias("ss_res"), (F.var_pop(y) * F.count(y)).alias("ss_tot"))
+    medae = global_quantiles(pairs.select(F.abs(e).alias("ae")), "ae", {"m": 0.5})["m"]
+    r2 = F.when(F.col("ss_tot") == 0, F.when(F.col("ss_res") == 0, 1.0).otherwise(0.0)) \
+          .otherwise(1 - F.try_divide("ss_res", "ss_tot"))
     s = s.select("mse", F.sqrt("mse").alias("rmse"), (-F.sqrt("mse")).alias("neg_root_mean_squared_error"),
-                 "mae", (1 - F.col("ss_res") / (F.col("vy") * F.col("n"))).alias("r2"),
+                 "mae", r2.alias("r2"),
                  "max_error", F.lit(medae).cast("double").alias("median_absolute_error"), "mape")
     return s.unpivot([], REGRESSION, "metric", "value")
 
@@ -72,35 +82,50 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def binary_scores(df: DataFrame, label: str, prediction: str, probability: str,
                   positive=1) -> DataFrame:
     """Balanced accuracy, log loss (probabilities clipped to [eps, 1-eps]) and
-    exact ROC AUC for a binary task, long form ``(metric, value)``. The AUC
-    uses Spark ML's evaluator without down-sampling (a distributed sort of
-    the distinct scores, ties averaged)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    exact ROC AUC for a binary task, long form ``(metric, value)``. Rows are
+    reduced to counts per (label, prediction, probability) first; the AUC adds
+    average ranks over the distinct probabilities in global order. A class
+    without rows leaves the scores that need it null. A row without a
+    prediction is a wrong answer; one without a probability only enters the
+    balanced accuracy."""
     y = (F.col(label) == F.lit(positive)).cast("double")
-    p = F.least(F.greatest(F.col(probability).cast("double"), F.lit(EPS)), F.lit(1 - EPS))
-    hit = (F.col(prediction) == F.col(label)).cast("double")
-    s = df.agg(
-        F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"),
-        (F.sum(hit * y) / F.sum(y)).alias("tpr"), (F.sum(hit * (1 - y)) / F.sum(1 - y)).alias("tnr")).first()
-    data = df.select(y.alias("_y"), F.col(probability).cast("double").alias("_p"))
-    auc = BinaryClassificationEvaluator(rawPredictionCol="_p", labelCol="_y", metricName="areaUnderROC",
-                                        numBins=0).evaluate(data)
-    rows = [("balanced_accuracy", (s["tpr"] + s["tnr"]) / 2), ("log_loss", s["log_loss"]), ("roc_auc", auc)]
-    return df.sparkSession.createDataFrame(rows, "metric string, value double")
+    counts = materialize(df.where(F.col(label).isNotNull()).groupBy(
+        y.alias("y"), F.coalesce(F.col(prediction) == F.col(label), F.lit(False)).cast("double").alias("hit"),
+        F.col(probability).cast("double").alias("pr")).agg(F.count(F.lit(1)).alias("n")), "score-counts")
+    p = F.least(F.greatest(F.col("pr"), F.lit(EPS)), F.lit(1 - EPS))
+    loss = -(F.col("y") * F.log(p) + (1 - F.col("y")) * F.log(1 - p))
+    known = F.when(F.col("pr").isNotNull(), F.col("n"))
+    s = counts.agg(
+        F.try_divide(F.sum(loss * F.col("n")), F.sum(known)).alias("log_loss"),
+        F.try_divide(F.sum(F.col("hit") * F.col("y") * F.col("n")), F.sum(F.col("y") * F.col("n"))).alias("tpr"),
+        F.try_divide(F.sum(F.col("hit") * (1 - F.col("y")) * F.col("n")), F.sum((1 - F.col("y")) * F.col("n"))).alias("tnr"))
+    per = counts.where("pr IS NOT NULL").groupBy("pr").agg(
+        F.sum(F.col("y") * F.col("n")).alias("pos"), F.sum((1 - F.col("y")) * F.col("n")).alias("neg"))
+    auc = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    ranked = running_total(per.withColumn("all", F.col("pos") + F.col("neg")), [F.col("pr")], "all", "before")
+    u = ranked.agg(F.sum(F.col("pos") * (F.col("before") + (F.col("all") + 1) / 2))).first()[0]
+    area = (u - auc["P"] * (auc["P"] + 1) / 2) / (auc["P"] * auc["N"]) if auc["P"] and auc["N"] else None
+    return s.select(((F.col("tpr") + F.col("tnr")) / 2).alias("balanced_accuracy"), "log_loss",
+                    F.lit(area).cast("double").alias("roc_auc")).unpivot([], PROBABILISTIC, "metric", "value")
 
 
 def metric_by_name(df: DataFrame, label: str, prediction: str, name: str, positive=None,
                    probability: str = "probability") -> DataFrame:
-    """A single named score; unknown names raise ValueError."""
+    """A single named score (also by its public score-function name); unknown
+    names raise ValueError. The result carries the name asked for."""
+    asked, name = name, ALIASES.get(name, name)
+    return _metric(df, label, prediction, name, positive, probability).withColumn("metric", F.lit(asked))
+
+
+def _metric(df, label, prediction, name, positive, probability) -> DataFrame:
     if name in PROBABILISTIC:
         return binary_scores(df, label, prediction, probability,
                              1 if positive is None else positive).where(F.col("metric") == name)
     if name in CLASSIFICATION:
         return classification_metrics(df, label, prediction, positive).where(F.col("metric") == name)
-    if name in REGRESSION or name == "root_mean_squared_error":
-        name = "rmse" if name == "root_mean_squared_error" else name
+    if name in REGRESSION:
         return regression_metrics(df, label, prediction).where(F.col("metric") == name)
-    raise ValueError(f"unknown metric {name!r}; known: {CLASSIFICATION + PROBABILISTIC + REGRESSION}")
+    raise ValueError(f"unknown metric {name!r}; known: {CLASSIFICATION + PROBABILISTIC + REGRESSION + sorted(ALIASES)}")
 
 
 def cv_mean(cv: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
@@ -114,8 +139,14 @@ def cv_mean(cv: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
     return cv.groupBy("split", "metric").agg(F.avg("value").alias("mean"))
 
 
-def cv_summary(cv: DataFrame) -> DataFrame:
-    """Mean and population standard deviation per (split, metric)."""
+def cv_summary(cv: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
+    """Mean and population standard deviation per (split, metric); an unknown
+    metric among ``metrics`` raises."""
+    if metrics:
+        known = {r["metric"] for r in cv.select("metric").distinct().collect()}
+        if bad := [m for m in metrics if m not in known]:
+            raise ValueError(f"{bad} not in the CV results; available: {sorted(known)}")
+        cv = cv.where(F.col("metric").isin(list(metrics)))
     return cv.groupBy("split", "metric").agg(F.avg("value").alias("mean"),
                                               F.stddev_pop("value").alias("std"))
 

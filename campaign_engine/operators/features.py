@@ -4,7 +4,9 @@ preprocess pipeline (weights -> encoders -> embedding -> assembly)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,34 +21,39 @@ from ..session import settle
 PREDICTORS = ["category_id_encoded", "market_id_encoded", "customer_id_encoded",
               "publisher_encoded", "CPC"]
 EMBEDDING = "industry_embedding"
-SMALL_ROWS = 100_000
 
 
-def assemble(df: DataFrame, predictors: Sequence[str], embedding: str | None = EMBEDDING,
+def _blocks(embedding) -> list[str]:
+    """Names of the embedding columns: none, one or several."""
+    return [] if not embedding else [embedding] if isinstance(embedding, str) else list(embedding)
+
+
+def assemble(df: DataFrame, predictors: Sequence[str], embedding: str | Sequence[str] | None = EMBEDDING,
              target: str | None = None, out: str = "features",
              fill_missing: float | None = 0.0) -> DataFrame:
-    """``out`` = [target] ++ scalars ++ embedding block, as ``array<double>``.
+    """``out`` = [target] ++ scalars ++ embedding block(s), as ``array<double>``.
 
     The estimators reject missing values, so a missing scalar is filled with
     ``fill_missing`` (None keeps it null).
     """
-    cols = list(predictors) + ([embedding] if embedding else []) + ([target] if target else [])
+    cols = list(predictors) + _blocks(embedding) + ([target] if target else [])
     require_columns(df, cols, "assembling features")
 
     def scalar(c):
         x = F.col(c).cast("double")
         return F.coalesce(x, F.lit(fill_missing)) if fill_missing is not None else x
     parts = ([F.array(scalar(target))] if target else []) + [F.array(*[scalar(c) for c in predictors])]
-    if embedding:
-        parts.append(F.transform(F.col(embedding), lambda x: x.cast("double")))
+    for block in _blocks(embedding):
+        parts.append(F.transform(F.col(block), lambda x: x.cast("double")))
     return df.withColumn(out, F.concat(*parts))
 
 
-def feature_names(predictors: Sequence[str], embedding: str | None, dim: int,
+def feature_names(predictors: Sequence[str], embedding, dim: int | Mapping[str, int],
                   target: str | None = None) -> list[str]:
+    """Names of the assembled entries; ``dim`` is one length or one per block."""
     names = ([target] if target else []) + list(predictors)
-    if embedding:
-        names += [f"{embedding}_{i}" for i in range(dim)]
+    for block in _blocks(embedding):
+        names += [f"{block}_{i}" for i in range(dim[block] if isinstance(dim, Mapping) else dim)]
     return names
 
 
@@ -57,7 +64,8 @@ def positions(names: Sequence[str]) -> dict[str, int]:
 def select_by_name(df: DataFrame, wanted: Sequence[str], all_names: Sequence[str],
                    col: str = "features", out: str | None = None) -> DataFrame:
     """Pick named entries of an assembled array (same call on train and test).
-    A name may be an embedding block prefix, which keeps the block contiguous."""
+    A name may be that of an embedding block, whose entries ``<name>_0``,
+    ``<name>_1``, ... are all there; they stay contiguous."""
     pos = positions(all_names)
     idx: list[int] = []
     missing = []
@@ -65,8 +73,8 @@ def select_by_name(df: DataFrame, wanted: Sequence[str], all_names: Sequence[str
         if w in pos:
             idx.append(pos[w])
         else:
-            block = [i for n, i in pos.items() if n.startswith(f"{w}_")]
-            if block:
+            block = [i for n, i in pos.items() if re.fullmatch(re.escape(w) + r"_\d+", n)]
+            if block and len(block) == 1 + max(int(all_names[i].rsplit("_", 1)[1]) for i in block):
                 idx.extend(sorted(block))
             else:
                 missing.append(w)
@@ -76,18 +84,15 @@ def select_by_name(df: DataFrame, wanted: Sequence[str], all_names: Sequence[str
     return df.withColumn(out or col, arr)
 
 
-def disassemble(df: DataFrame, names: Sequence[str], embedding: str | None = EMBEDDING,
+def disassemble(df: DataFrame, names: Sequence[str], embedding=EMBEDDING,
                 col: str = "features") -> DataFrame:
-    """Inverse of ``assemble``: scalar columns back by name and the embedding
+    """Inverse of ``assemble``: scalar columns back by name and each embedding
     block as one array column."""
-    out = df
-    block = [i for i, n in enumerate(names) if embedding and n.startswith(f"{embedding}_")]
-    for i, n in enumerate(names):
-        if i not in block:
-            out = out.withColumn(n, F.element_at(F.col(col), i + 1))
-    if block:
-        out = out.withColumn(embedding, F.slice(F.col(col), block[0] + 1, len(block)))
-    return out
+    blocks = {b: [i for i, n in enumerate(names) if re.fullmatch(re.escape(b) + r"_\d+", n)] for b in _blocks(embedding)}
+    inside = {i for at in blocks.values() for i in at}
+    cols = {n: F.element_at(F.col(col), i + 1) for i, n in enumerate(names) if i not in inside}
+    cols |= {b: F.slice(F.col(col), at[0] + 1, len(at)) for b, at in blocks.items() if at}
+    return df.withColumns(cols)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -119,10 +124,7 @@ def impute_cpc(df: DataFrame, record: DataFrame, keys: Sequence[str] = ("market_
         fallback = median(record, cpc_col)
     side = record.select(*[F.col(k).cast("string").alias(f"__c_{k}") for k in keys],
                          F.col(cpc_col).cast("double").alias("__c_v"), F.lit(True).alias("__c_m"))
-    cond = None
-    for k in keys:
-        c = F.col(k).cast("string") == F.col(f"__c_{k}")
-        cond = c if cond is None else cond & c
+    cond = reduce(lambda a, b: a & b, [F.col(k).cast("string") == F.col(f"__c_{k}") for k in keys])
     j = df.join(side, cond, "left")
     val = F.when(F.col("__c_m"), F.col("__c_v")).otherwise(F.lit(fallback).cast("double"))
     drop = [f"__c_{k}" for k in keys] + ["__c_v", "__c_m"]
@@ -131,16 +133,19 @@ def impute_cpc(df: DataFrame, record: DataFrame, keys: Sequence[str] = ("market_
 
 def preprocess(df: DataFrame, encoders: DataFrame, embedder, label: str | None = "convert",
                target: str | None = None, categorical: Sequence[str] = CATEGORICAL_FEATURES,
-               numeric: Sequence[str] = ("CPC",), text: str = "industry",
+               numeric: Sequence[str] = ("CPC",), text: str | Sequence[str] = "industry",
                weights: DataFrame | None = None, assemble_out: bool = True) -> DataFrame:
     """Preprocess pipeline: sample weights (optional) -> apply the given
-    encoders -> embed the text column -> assemble ``features``."""
+    encoders -> embed the text column(s) -> assemble ``features``. ``embedder`` is
+    one for all text columns or a mapping from column to embedder."""
     out = df
     if label:
         out = sample_weights(out, label, weights=weights)
     out = enc.apply_encoders(out, encoders, categorical)
-    out = embed_distinct(out, text, embedder, f"{text}_embedding")
+    texts = [text] if isinstance(text, str) else list(text)
+    for t in texts:
+        out = embed_distinct(out, t, embedder[t] if isinstance(embedder, Mapping) else embedder, f"{t}_embedding")
     if assemble_out:
         out = assemble(out, enc.encoded_names(categorical) + list(numeric),
-                       f"{text}_embedding", target=target)
+                       [f"{t}_embedding" for t in texts], target=target)
     return out

@@ -15,35 +15,30 @@ refinement* instead:
    those rows returns the exact value.
 
 Every pass moves only per-bin counts to the shuffle, and only a few scalars to
-the driver (the number of unresolved brackets). The bracket state is cut from
-bracket state (one row per group and target) is settled between passes --
-a local relation when small, a reliable checkpoint otherwise -- so plans stay
-small and the planner broadcasts it by its exact size.
+the driver (the number of unresolved brackets). The bracket state (one row per
+group and target) is written to the shared folder between passes, so plans stay
+small and the planner broadcasts it by its true size. Without grouping columns
+the brackets are scalars, and rows are filtered by literals: no join at all.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import SMALL_RESULT_ROWS, cut_lineage, settle
+from ..session import settle
 
 
-_G = "_grp"  # stand-in key when there are no grouping columns
-
-
-def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Add a constant stand-in group key when there are no keys. It is built
-    from ``spark_partition_id() * 0`` so the optimizer cannot fold the join
-    condition away: joins with the (tiny, settled) bracket tables stay broadcast
-    hash joins instead of becoming nested-loop joins."""
-    if keys:
-        return df, list(keys)
-    return df.withColumn(_G, (F.spark_partition_id() * 0).cast("int")), [_G]
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; keeps the left side's keys."""
+    side = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(side, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 _MANT_BITS = 10
@@ -67,7 +62,7 @@ def log_bucket(x) -> F.Column:
 
 def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
               buckets: int = 1024, finish_rows: int = 100_000,
-              max_passes: int = 256, counts_out: list | None = None,
+              counts_out: list | None = None,
               counts: DataFrame | None = None) -> DataFrame:
     """k-th smallest ``value`` per group for every target.
 
@@ -88,7 +83,7 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
     small bracket.
     """
     if not keys:
-        raise ValueError("group_kth needs at least one key (use _with_key)")
+        raise ValueError("group_kth needs at least one key (use global_kth)")
     keys = list(keys)
     vals = (values.select(*keys, F.col(value).cast("double").alias("_v"))
             .persist(StorageLevel.MEMORY_AND_DISK))
@@ -105,25 +100,25 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
         big_groups = counts.where(F.col("_n") > finish_rows).select(*keys)
         # small groups: rank every value once, pick the target ranks by equi-join
         rn = F.row_number().over(Window.partitionBy(*keys).orderBy("_v")) - 1
-        ranked = (vals.where(F.col("_v").isNotNull()).join(small_groups, keys)
-                      .withColumn("_need", rn))
-        done: list[DataFrame] = [ranked.join(tg, keys + ["_need"])
-                                       .select(*keys, "_tid", F.col("_v").alias("_value"))]
+        ranked = (same_keys(vals.where(F.col("_v").isNotNull()), small_groups, keys)
+                  .withColumn("_need", rn))
+        done: list[DataFrame] = [same_keys(ranked, tg, keys + ["_need"])
+                                 .select(*keys, "_tid", F.col("_v").alias("_value"))]
         if not big_groups.isEmpty():
-            big_vals = vals.where(F.col("_v").isNotNull()).join(big_groups, keys)
+            big_vals = same_keys(vals.where(F.col("_v").isNotNull()), big_groups, keys)
             hist = (big_vals.groupBy(*keys, log_bucket(F.col("_v")).alias("_b"))
                             .agg(F.count("_v").alias("_c"), F.min("_v").alias("_bmin"),
                                  F.max("_v").alias("_bmax"))
                             .persist(StorageLevel.MEMORY_AND_DISK))
             held.append(hist)
-            state = _select_bucket(hist, tg.join(big_groups, keys), keys, ["_tid", "_need"])
-            for _ in range(max_passes):
+            state = _select_bucket(hist, same_keys(tg, big_groups, keys), keys, ["_tid", "_need"])
+            while True:  # every pass narrows each bracket by the number of bins
                 state, n_large = _settle_state(state, finish_rows)
                 done.append(state.where(F.col("_lo") == F.col("_hi"))
                                  .select(*keys, "_tid", F.col("_lo").alias("_value")))
                 small = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") <= finish_rows))
                 large = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") > finish_rows))
-                in_small = (big_vals.join(small, keys)
+                in_small = (same_keys(big_vals, small, keys)
                             .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
                 brn = F.row_number().over(Window.partitionBy(*keys, "_tid").orderBy("_v"))
                 done.append(in_small.withColumn("_rn", brn)
@@ -131,7 +126,7 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
                                     .select(*keys, "_tid", F.col("_v").alias("_value")))
                 if n_large == 0:
                     break
-                cand = (big_vals.join(large, keys)
+                cand = (same_keys(big_vals, large, keys)
                         .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
                 # halves keep (v - lo) finite even when hi - lo would overflow
                 span = F.col("_hi") / 2 - F.col("_lo") / 2
@@ -141,8 +136,6 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
                     F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
                     F.max("_v").alias("_bmax"))
                 state = _select_bucket(h2, None, keys, ["_tid", "_need"])
-            else:
-                raise RuntimeError("k-th value search did not converge")
         out = done[0]
         for d in done[1:]:
             out = out.unionByName(d)
@@ -152,20 +145,10 @@ def group_kth(values: DataFrame, keys: Sequence[str], value: str, targets,
             h.unpersist()
 
 
-def _settle_state(state: DataFrame, finish_rows: int,
-                  max_rows: int = SMALL_RESULT_ROWS) -> tuple[DataFrame, int]:
+def _settle_state(state: DataFrame, finish_rows: int) -> tuple[DataFrame, int]:
     """Settle the bracket table (one row per group and target) and count the
-    brackets that still need a refinement pass -- from the collected rows when
-    the table is small, with one count over the checkpoint otherwise."""
-    cached = state.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if cached.count() <= max_rows:
-            rows = cached.collect()
-            n_large = sum(1 for r in rows if r["_lo"] < r["_hi"] and r["_cnt"] > finish_rows)
-            return state.sparkSession.createDataFrame(rows, state.schema), n_large
-    finally:
-        cached.unpersist()
-    state = cut_lineage(state)
+    brackets that still need a refinement pass."""
+    state = settle(state)
     n_large = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_cnt") > finish_rows)).count()
     return state, n_large
 
@@ -175,7 +158,7 @@ def _select_bucket(hist: DataFrame, targets: DataFrame | None, keys: list[str],
     """Running count over the (small) per-bucket table; keep the bucket that
     holds each target rank as the next bracket."""
     if targets is not None:
-        hist = hist.join(targets, keys)
+        hist = same_keys(hist, targets, keys)
     w = (Window.partitionBy(*keys, *tkeys[:1]).orderBy("_b")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     hist = hist.withColumn("_cum", F.sum("_c").over(w))
@@ -203,8 +186,10 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     for p in probs.values():
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"quantile probability {p} outside [0, 1]")
-    src, ks = _with_key(df, keys)
-    keyed = src
+    if not keys:
+        return _quantile_row(df, value, probs, approximate, accuracy, **kw)
+    ks = list(keys)
+    keyed = df
     for k in ks:
         keyed = keyed.where(F.col(k).isNotNull())
     keyed = keyed.select(*ks, F.col(value).cast("double").alias("_x"))
@@ -212,7 +197,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     if approximate:
         res = keyed.groupBy(*ks).agg(*[F.percentile_approx("_x", float(probs[n]), accuracy).alias(n)
                                        for n in names])
-        return res if keys else res.drop(_G)
+        return res
 
     def make_targets(counts: DataFrame) -> DataFrame:
         structs = []
@@ -236,24 +221,92 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         h = (F.col("_n") - 1) * F.lit(float(probs[name]))
         lo, hi = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
         outs.append(F.when(F.col("_n") > 0, lo + (h - F.floor(h)) * (hi - lo)).alias(name))
-    res = res.select(*ks, *outs)
-    return res if keys else res.drop(_G)
+    return res.select(*ks, *outs)
+
+
+def _quantile_row(df, value, probs, approximate, accuracy, **kw) -> DataFrame:
+    if approximate:
+        return df.agg(*[F.percentile_approx(F.col(value).cast("double"), float(p), accuracy).alias(n)
+                        for n, p in probs.items()])
+    got = global_quantiles(df, value, probs, **kw)
+    return df.sparkSession.createDataFrame([tuple(got[n] for n in probs)],
+                                           ", ".join(f"`{n}` double" for n in probs))
+
+
+def global_kth(df: DataFrame, value: str, ranks: Sequence[int], n: int, buckets: int = 1024,
+               finish_rows: int = 100_000) -> list[float]:
+    """Values at the 0-based ``ranks`` of a column with ``n`` non-null values.
+
+    Brackets are scalars on the driver; each pass filters the rows by literals
+    and counts them per bin. The first pass bins by ``log_bucket`` (a bounded
+    number of ids), later ones by equal widths; a bracket of at most
+    ``finish_rows`` values is sorted as it stands.
+    """
+    ranks = list(ranks)
+    vals = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # rank -> (values below the bracket, bracket size, low, high)
+        state = {r: (0, n, None, None) for r in ranks}
+        while True:
+            todo = {s for s in state.values() if s[1] > finish_rows and (s[2] is None or s[2] < s[3])}
+            if not todo:
+                break
+            for s in todo:
+                below, size, lo, hi = s
+                rows = vals if lo is None else vals.where(F.col("_v").between(F.lit(lo), F.lit(hi)))
+                if lo is None:
+                    b = log_bucket(F.col("_v"))
+                else:  # halves keep the differences finite
+                    b = F.least(F.floor((F.col("_v") / 2 - lo / 2) / (hi / 2 - lo / 2) * buckets).cast("long"),
+                                F.lit(buckets - 1))
+                hist = rows.groupBy(b.alias("_b")).agg(F.count("_v").alias("_c"), F.min("_v").alias("_lo"),
+                                                       F.max("_v").alias("_hi"))
+                w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over bins only
+                hist = hist.withColumn("_below", F.lit(below) + F.coalesce(F.sum("_c").over(w), F.lit(0)))
+                mine = [r for r in ranks if state[r] == s]
+                hit = F.lit(False)
+                for r in mine:
+                    hit = hit | ((F.col("_below") <= r) & (F.lit(r) < F.col("_below") + F.col("_c")))
+                found = hist.where(hit).collect()  # at most one row per rank
+                for r in mine:
+                    x = next(x for x in found if x["_below"] <= r < x["_below"] + x["_c"])
+                    state[r] = (x["_below"], x["_c"], x["_lo"], x["_hi"])
+        out = {}
+        for s in set(state.values()):
+            below, size, lo, hi = s
+            mine = [r for r in ranks if state[r] == s]
+            if lo is not None and lo == hi:
+                out.update({r: lo for r in mine})
+                continue
+            rows = vals if lo is None else vals.where(F.col("_v").between(F.lit(lo), F.lit(hi)))
+            rn = F.row_number().over(Window.orderBy("_v")) + (below - 1)  # at most finish_rows rows
+            got = rows.select("_v", rn.alias("_rn")).where(F.col("_rn").isin(mine)).collect()
+            out.update({x["_rn"]: x["_v"] for x in got})
+        return [out[r] for r in ranks]
+    finally:
+        vals.unpersist()
 
 
 def global_quantiles(df: DataFrame, value: str, probs: Mapping[str, float], **kw) -> dict:
-    """Scalar quantiles of a whole column (one row comes back to the driver)."""
-    row = group_quantiles(df, [], value, probs, **kw).first()
-    return {k: row[k] for k in probs}
+    """Scalar quantiles of a whole column (None when it holds no value)."""
+    n = df.agg(F.count(F.col(value).cast("double"))).first()[0]
+    if not n:
+        return dict.fromkeys(probs)
+    at = {k: (n - 1) * float(p) for k, p in probs.items()}
+    ranks = sorted({r for h in at.values() for r in (math.floor(h), math.ceil(h))})
+    v = dict(zip(ranks, global_kth(df, value, ranks, n, **kw)))
+    return {k: v[math.floor(h)] + (h - math.floor(h)) * (v[math.ceil(h)] - v[math.floor(h)]) for k, h in at.items()}
 
 
 def median(df: DataFrame, value: str, **kw) -> float | None:
     return global_quantiles(df, value, {"median": 0.5}, **kw)["median"]
 
 
-def _pick_bits(n: int, rows_per_bucket: int) -> int:
-    if n <= rows_per_bucket:
-        return 0
-    return min(30, int(math.ceil(math.log2(n / rows_per_bucket))))
+def _check_identified(ambiguous: bool) -> None:
+    if ambiguous:
+        raise ValueError("the split boundary falls among rows that share one key; "
+                         "name key columns that identify rows")
 
 
 def smallest_boundary(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
@@ -262,40 +315,59 @@ def smallest_boundary(df: DataFrame, strata: Sequence[str], order_long: str, tie
     that order: ``strata..., _bv, _bt`` (settled; strata with quota 0 absent).
 
     The boundary value comes from ``group_kth``; rows sharing it (rare hash
-    prefix collisions) are ordered by ``tie``, which must be unique.
+    prefix collisions) are ordered by ``tie``. A null stratum is a stratum.
+    Raises ValueError when the boundary falls among rows with equal keys.
     """
-    src, ks = _with_key(df, strata)
-    q, _ = _with_key(quota, strata)
-    targets = q.where(F.col("_q") > 0).select(*ks, F.lit(0).alias("_tid"),
-                                               (F.col("_q") - 1).alias("_rank"))
-    if counts is not None:
-        counts, _ = _with_key(counts.select(*strata, "_n"), strata)
-    kth = group_kth(src.select(*ks, order_long), ks, order_long, targets, counts=counts, **kw) \
+    ks = list(strata)
+    targets = quota.where(F.col("_q") > 0).select(*ks, F.lit(0).alias("_tid"), (F.col("_q") - 1).alias("_rank"))
+    kth = group_kth(df.select(*ks, order_long), ks, order_long, targets,
+                    counts=counts.select(*ks, "_n") if counts is not None else None, **kw) \
         .select(*ks, F.col("_value").cast("bigint").alias("_bv"))
-    marks = src.select(*ks, order_long, tie).join(kth, ks)
+    marks = same_keys(df.select(*ks, order_long, tie), kth, ks)
     less = marks.groupBy(*ks).agg(F.sum((F.col(order_long) < F.col("_bv")).cast("long")).alias("_less"))
+    w = Window.partitionBy(*ks).orderBy(tie)
     ties = (marks.where(F.col(order_long) == F.col("_bv"))
-            .withColumn("_trn", F.row_number().over(Window.partitionBy(*ks).orderBy(tie))))
-    bound = settle(ties.join(less, ks).join(q.select(*ks, "_q"), ks)
-                       .where(F.col("_trn") == F.col("_q") - F.col("_less"))
-                       .select(*ks, "_bv", F.col(tie).alias("_bt")))
-    return bound if strata else bound.drop(_G)
+            .withColumn("_trn", F.row_number().over(w)).withColumn("_next", F.lead(tie).over(w)))
+    bound = settle(same_keys(same_keys(ties, less, ks), quota.select(*ks, "_q"), ks)
+                   .where(F.col("_trn") == F.col("_q") - F.col("_less"))
+                   .select(*ks, "_bv", F.col(tie).alias("_bt"),
+                           F.coalesce(F.col("_next") == F.col(tie), F.lit(False)).alias("_same")))
+    _check_identified(not bound.where("_same").isEmpty())
+    return bound.drop("_same")
+
+
+def global_boundary(df: DataFrame, order_long: str, tie: str, n: int, quota: int) -> tuple | None:
+    """The ``(order_long, tie)`` key of the ``quota``-th of ``n`` rows, as scalars."""
+    if quota <= 0:
+        return None
+    bv = int(global_kth(df, order_long, [quota - 1], n)[0])
+    less = df.where(F.col(order_long) < bv).count()
+    rows = [r[0] for r in df.where(F.col(order_long) == bv).select(tie).orderBy(tie).limit(quota - less + 1).collect()]
+    at = quota - less - 1
+    _check_identified(at + 1 < len(rows) and rows[at + 1] == rows[at])
+    return bv, rows[at]
+
+
+def _before(order_long: str, tie: str, bv, bt):
+    return F.coalesce((F.col(order_long) < bv) | ((F.col(order_long) == bv) & (F.col(tie) <= bt)), F.lit(False))
 
 
 def apply_boundary(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
-                   bound: DataFrame, flag: str = "_taken") -> DataFrame:
-    """Flag rows at or before their stratum's boundary key."""
-    if strata:
-        out = df.join(bound, list(strata), "left")
-    else:
-        row = bound.first()
-        out = df.withColumn("_bv", F.lit(row["_bv"] if row else None).cast("bigint")) \
-                .withColumn("_bt", F.lit(row["_bt"] if row else None).cast("string"))
-    taken = F.coalesce(
-        (F.col(order_long) < F.col("_bv"))
-        | ((F.col(order_long) == F.col("_bv")) & (F.col(tie) <= F.col("_bt"))),
-        F.lit(False))
-    return out.withColumn(flag, taken).drop("_bv", "_bt")
+                   bound, flag: str = "_taken") -> DataFrame:
+    """Flag rows at or before their stratum's boundary key; without strata
+    ``bound`` is the pair of ``global_boundary``."""
+    if not strata:
+        if bound is None:
+            return df.withColumn(flag, F.lit(False))
+        return df.withColumn(flag, _before(order_long, tie, F.lit(bound[0]), F.lit(bound[1])))
+    out = same_keys(df, bound, list(strata), "left")
+    return out.withColumn(flag, _before(order_long, tie, F.col("_bv"), F.col("_bt"))).drop("_bv", "_bt")
+
+
+def _pick_bits(n: int, rows_per_bucket: int) -> int:
+    if n <= rows_per_bucket:
+        return 0
+    return min(30, int(math.ceil(math.log2(n / rows_per_bucket))))
 
 
 def take_smallest(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
@@ -312,23 +384,23 @@ def hash_ranks(df: DataFrame, strata: Sequence[str], order_long: str, tie: str,
                order_bits: int = 52) -> DataFrame:
     """Exact 0-based rank of every row within its stratum by
     ``(order_long, tie)`` where ``order_long`` is a uniform ``order_bits``-bit hash.
+    A null stratum is a stratum of its own.
 
     Rows are cut into hash buckets of ~``rows_per_bucket`` (top bits of the
     hash, so even a hot stratum spreads evenly); bucket offsets come from a
     running sum over the small per-bucket count table; the rank inside a bucket
     is a window over that bucket only.
     """
-    src, ks = _with_key(df, strata)
-    n_max = src.groupBy(*ks).count().agg(F.max("count")).first()[0] or 0
+    ks = list(strata)
+    n_max = (df.groupBy(*ks).count().agg(F.max("count")).first()[0] or 0) if ks else df.count()
     bits = _pick_bits(int(n_max), rows_per_bucket)
     bucket = F.shiftright(F.col(order_long), order_bits - bits) if bits else F.lit(0).cast("bigint")
-    src = src.withColumn("_hb", bucket)
+    src = df.withColumn("_hb", bucket)
     counts = src.groupBy(*ks, "_hb").agg(F.count(F.lit(1)).alias("_bc"))
     w = (Window.partitionBy(*ks).orderBy("_hb")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offsets = counts.withColumn("_off", F.sum("_bc").over(w) - F.col("_bc")).drop("_bc")
+    offsets = settle(counts.withColumn("_off", F.sum("_bc").over(w) - F.col("_bc")).drop("_bc"))
     inner = F.row_number().over(Window.partitionBy(*ks, "_hb").orderBy(order_long, tie))
-    out = (src.join(offsets, ks + ["_hb"])
-              .withColumn(rank_col, (F.col("_off") + inner - 1).cast("bigint"))
-              .drop("_hb", "_off"))
-    return out if strata else out.drop(_G)
+    return (same_keys(src, offsets, [*ks, "_hb"])
+            .withColumn(rank_col, (F.col("_off") + inner - 1).cast("bigint"))
+            .drop("_hb", "_off"))

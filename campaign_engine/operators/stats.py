@@ -72,10 +72,9 @@ def cpa_per_variable(df: DataFrame, variable: str, target: str = "CPA") -> DataF
     """Mean and median of ``target`` per value of ``variable``, melted to
     ``(variable, CPA_Statistics_type, statistics_value)``, highest mean first."""
     require_columns(df, [variable, target], "CPA statistics")
-    wide = group_stats(df, target, variable, ["mean", "median"])
-    order = wide.select(variable, F.col("mean").alias("_order"))
-    long = wide.unpivot([variable], ["mean", "median"], "CPA_Statistics_type", "statistics_value")
-    return long.join(order, variable).orderBy(F.desc_nulls_last("_order"), variable).drop("_order")
+    wide = group_stats(df, target, variable, ["mean", "median"]).withColumn("_order", F.col("mean"))
+    long = wide.unpivot([variable, "_order"], ["mean", "median"], "CPA_Statistics_type", "statistics_value")
+    return long.orderBy(F.desc_nulls_last("_order"), variable).drop("_order")
 
 
 def config_usage(df: DataFrame, keys: Sequence[str] = ("market_id", "publisher"),

@@ -79,7 +79,7 @@ _MULTI = ["count", "sum", "min", "max", "std", "var", "nunique", "sem", "skew",
 SELECT market_id, publisher,
        count(CPA) AS "count", round(sum(CPA), 2) AS "sum",
        round(min(CPA), 6) AS "min", round(max(CPA), 6) AS "max",
-       round(stddev_samp(CPA), 3) AS std, round(var_samp(CPA), 0) AS var,
+       round(ln(stddev_samp(CPA)), 8) AS std, round(ln(var_samp(CPA)), 8) AS var,
        count(DISTINCT CPA) AS nunique,
        round(stddev_samp(CPA) / sqrt(count(CPA)), 6) AS sem,
        round(skewness(CPA), 6) AS skew, round(median(CPA), 6) AS median
@@ -87,7 +87,9 @@ FROM derived WHERE market_id IS NOT NULL AND publisher IS NOT NULL
 GROUP BY market_id, publisher"""))
 def q_group_stat_multi(spark, sf):
     res = stats.group_stats(derived(spark, sf), "CPA", ["market_id", "publisher"], _MULTI)
-    digits = {"sum": 2, "std": 3, "var": 0}  # coarser where magnitudes are large (cross-engine float noise)
+    digits = {"sum": 2, "std": 8, "var": 8}
+    for c in ("std", "var"):  # compared by logarithm: the same relative precision at any magnitude
+        res = res.withColumn(c, F.log(c))
     return res.select(
         "market_id", "publisher",
         F.col("count").cast("bigint").alias("count"), F.col("nunique").cast("bigint").alias("nunique"),

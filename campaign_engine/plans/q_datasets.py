@@ -135,9 +135,8 @@ def q_clean_metadata(spark, sf):
 
 
 @register("flatten_column_order", O.with_base(
-    "SELECT campaign_id, CAST(len(parts) AS BIGINT) AS n_items, parts[1] AS item_first, parts[len(parts)] AS item_last "
-    "FROM (SELECT campaign_id, string_split(regexp_replace(concat_ws(',', category_id, market_id, "
-    "'[''' || coalesce(industry, '') || ''']'), '[\\[\\]'' ]', '', 'g'), ',') AS parts FROM ads)"))
+    "SELECT campaign_id, CAST(1 + CAST(category_id IS NOT NULL AS INT) + CAST(market_id IS NOT NULL AS INT) AS BIGINT) "
+    "AS n_items, coalesce(category_id, market_id, industry, '') AS item_first, coalesce(industry, '') AS item_last FROM ads"))
 def q_flatten_column_order(spark, sf):
     text = F.concat_ws(",", "category_id", "market_id",
                        F.concat(F.lit("['"), F.coalesce("industry", F.lit("")), F.lit("']")))
@@ -147,11 +146,13 @@ def q_flatten_column_order(spark, sf):
         F.element_at("p", 1).alias("item_first"), F.element_at("p", -1).alias("item_last"))
 
 
-@register("list_datasets")
+@register("list_datasets", O.with_base(
+    "SELECT split_type, count(*) AS n_rows, true AS has_files FROM splitv GROUP BY split_type "
+    "UNION ALL SELECT 'all', count(*), true FROM ads", *_TEST_ROWS))
 def q_list_datasets(spark, sf):
-    root, uid = _ingested(spark, sf)
+    """A split and an unsplit dataset, found by their files and joined to the registry."""
+    root, _ = _ingested(spark, sf)
+    ds.write_dataset(base(spark, sf).select("campaign_id"), root, split_col=None)
     files = ds.list_datasets(spark, root)
-    return files.groupBy("uid", "split_type").agg(F.count(F.lit(1)).alias("n_files"),
-                                                  F.sum("length").alias("bytes"),
-                                                  F.first("n_rows").alias("n_rows"))
-
+    return files.groupBy("uid", "split_type").agg(F.max("n_rows").alias("n_rows"), F.sum("length").alias("bytes")) \
+        .select("split_type", "n_rows", (F.col("bytes") > 0).alias("has_files"))

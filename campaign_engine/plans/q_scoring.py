@@ -84,7 +84,7 @@ _EXPLORE_CTES = [
 
 @register("explore_configs", O.with_base("SELECT market_id, publisher FROM explore", *_EXPLORE_CTES))
 def q_explore_configs(spark, sf):
-    return cfg.explore_configs(base(spark, sf))
+    return cfg.explore_configs(base(spark, sf), usage_ratio=1.0)
 
 
 @register("hybrid_configs", O.with_base(
@@ -93,7 +93,7 @@ def q_explore_configs(spark, sf):
     f"topk AS (SELECT market_id, publisher FROM use ORDER BY n DESC, market_id, publisher LIMIT {TOP_K})"))
 def q_hybrid_configs(spark, sf):
     b = base(spark, sf)
-    return cfg.hybrid_configs(cfg.top_k_configs(stats.config_usage(b), TOP_K), cfg.explore_configs(b))
+    return cfg.hybrid_configs(cfg.top_k_configs(stats.config_usage(b), TOP_K), cfg.explore_configs(b, usage_ratio=1.0))
 
 
 def requests(spark, sf):

@@ -16,6 +16,7 @@ import os
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,7 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("uid", T.StringType()), T.StructField("parent_uid", T.StringType()),
     T.StructField("encoder_uid", T.StringType()), T.StructField("split_type", T.StringType()),
     T.StructField("path", T.StringType()), T.StructField("format", T.StringType()),
+    T.StructField("schema", T.StringType()),
     T.StructField("created", T.TimestampType()), T.StructField("random_state", T.LongType()),
     T.StructField("test_size", T.DoubleType()), T.StructField("stratify_variable", T.StringType()),
     T.StructField("shuffle", T.BooleanType()), T.StructField("n_rows", T.LongType()),
@@ -45,14 +47,56 @@ def new_uid() -> str:
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType = CAMPAIGN_SCHEMA,
              header: bool = True) -> DataFrame:
-    """CSV with header and a declared schema (no inference pass); ids arrive
-    as strings, NaN as NULL. A missing path raises ValueError."""
+    """CSV with a declared schema, bound by header name (without a header by
+    position). Every column is read as text and cast, so the column order of
+    the file does not matter; columns that the schema lacks are kept as text.
+    Ids arrive as strings, NaN as NULL. A missing path, absent columns, and a
+    value that its declared type cannot hold raise ValueError (the last one
+    as the job runs)."""
+    reader = spark.read.option("header", header).option("mode", "FAILFAST")
     try:
-        df = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
-        df.schema  # noqa: B018 -- resolves the path now
-    except Exception as e:  # AnalysisException for a missing path
+        df = reader.csv(path) if header else reader.schema(T.StructType(
+            [T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
+    except AnalysisException as e:
         raise ValueError(f"could not read {path}: {e}") from e
-    return normalise(df)
+    absent = [f.name for f in schema.fields if f.name not in df.columns]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {absent}; it has {df.columns}")
+
+    def typed(f):
+        c = F.trim(F.col(f.name))
+        if isinstance(f.dataType, T.StringType):
+            return F.col(f.name).alias(f.name)
+        empty = c.isNull() | F.lower(c).isin("", "nan", "null", "na")
+        value = c.try_cast(f.dataType)
+        if isinstance(f.dataType, T.IntegralType):  # "3.0" is a whole number
+            d = c.try_cast("double")
+            value = F.coalesce(value, F.when(d == F.floor(d), d.cast(f.dataType)))
+        bad = F.raise_error(F.concat(F.lit(f"{f.name}: not a {f.dataType.simpleString()}: "), c))
+        return F.when(empty, F.lit(None).cast(f.dataType)).when(value.isNotNull(), value) \
+                .otherwise(bad.cast(f.dataType)).alias(f.name)
+
+    declared = {f.name: f for f in schema.fields}
+    extra = [c for c in df.columns if c not in declared]
+    return normalise(df.select(*[typed(f) for f in schema.fields], *extra))
+
+
+def scan_csv_store(spark: SparkSession, path: str, access_key: str | None = None, secret_key: str | None = None,
+                   endpoint: str | None = None, **kw) -> DataFrame:
+    """``scan_csv`` from an object store (``s3a://``, ``gs://``, ...): credentials
+    given here, or already in the session's Hadoop settings; ValueError when
+    one of the pair is missing. The connector itself comes with the cluster."""
+    if (access_key is None) != (secret_key is None):
+        raise ValueError("an access key needs its secret key, and the other way round")
+    if access_key is not None:
+        spark.conf.set("spark.hadoop.fs.s3a.access.key", access_key)
+        spark.conf.set("spark.hadoop.fs.s3a.secret.key", secret_key)
+    elif path.startswith("s3a://") and not spark.conf.get("spark.hadoop.fs.s3a.access.key", None) \
+            and not spark.conf.get("spark.hadoop.fs.s3a.aws.credentials.provider", None):
+        raise ValueError("no object-store credentials: pass keys or set spark.hadoop.fs.s3a.*")
+    if endpoint:
+        spark.conf.set("spark.hadoop.fs.s3a.endpoint", endpoint)
+    return scan_csv(spark, path, **kw)
 
 
 def registry_path(root: str) -> str:
@@ -60,9 +104,12 @@ def registry_path(root: str) -> str:
 
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
+    """The registry table (empty before the first dataset); other read failures raise."""
     try:
         return spark.read.schema(REGISTRY_SCHEMA).parquet(registry_path(root))
-    except Exception:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 
 
@@ -102,6 +149,7 @@ def write_dataset(df: DataFrame, root: str, uid: str | None = None, split_col: s
     else:
         w.parquet(path)
     reread = spark.read.format(fmt).option("header", True).load(path) if fmt == "csv" else spark.read.parquet(path)
+    stored = T.StructType([f for f in df.schema.fields if not splits_present or f.name != split_col])
     if splits_present:
         counts = {r[split_col]: r["count"] for r in reread.groupBy(split_col).count().collect()}
     else:
@@ -113,7 +161,7 @@ def write_dataset(df: DataFrame, root: str, uid: str | None = None, split_col: s
         rows.append({
             "uid": uid, "parent_uid": parent_uid, "encoder_uid": encoder_uid, "split_type": s,
             "path": os.path.join(path, f"{split_col}={s}") if splits_present else path,
-            "format": fmt, "created": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+            "format": fmt, "schema": stored.json(), "created": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
             "random_state": p.get("random_state"), "test_size": p.get("test_size"),
             "stratify_variable": p.get("stratify_variable"), "shuffle": p.get("shuffle"),
             "n_rows": int(n), "column_order": order,
@@ -156,7 +204,8 @@ def read_dataset(spark: SparkSession, root: str, uid: str, split_type: str,
     """Rows of one split; ``columns`` prunes the scan (bundle-style access)."""
     row = resolve(spark, root, uid, split_type)
     if row["format"] == "csv":
-        df = spark.read.option("header", True).csv(row["path"])
+        df = spark.read.schema(T.StructType.fromJson(json.loads(row["schema"]))).option("header", True) \
+            .option("mode", "FAILFAST").csv(row["path"])
     else:
         df = spark.read.parquet(row["path"])
     return df.select(*columns) if columns else df
@@ -170,16 +219,22 @@ def list_datasets(spark: SparkSession, root: str) -> DataFrame:
              .select("path", "modificationTime", "length"))
     files = files.where(~F.col("path").contains("/_registry/"))
     files = files.withColumn("uid", F.regexp_extract("path", r"/([0-9a-f\-]{36})/", 1)) \
-                 .withColumn("split_type", F.regexp_extract("path", r"split_type=([^/]+)/", 1))
+                 .withColumn("split_type", F.regexp_extract("path", r"split_type=([^/]+)/", 1)) \
+                 .withColumn("split_type", F.when(F.col("split_type") == "", "all").otherwise(F.col("split_type")))
     reg = registry(spark, root).select("uid", "split_type", "parent_uid", "n_rows")
     return files.join(reg, ["uid", "split_type"], "left")
 
 
 def clean_metadata(m: Column, prefix: str = META_PREFIX) -> Column:
     """Strip ``prefix`` from the keys that start with it (every occurrence in
-    such a key, like a string replace); other keys are kept as they are."""
-    return F.transform_keys(m, lambda k, v: F.when(k.startswith(prefix), F.replace(k, F.lit(prefix), F.lit("")))
-                            .otherwise(k))
+    such a key, like a string replace); other keys are kept as they are. When
+    two keys become one, the later entry wins."""
+    entries = F.transform(F.map_entries(m), lambda e: F.struct(
+        F.when(e["key"].startswith(prefix), F.replace(e["key"], F.lit(prefix), F.lit("")))
+         .otherwise(e["key"]).alias("key"), e["value"].alias("value")))
+    keys = F.transform(entries, lambda e: e["key"])
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return F.map_from_entries(last)
 
 
 def positions_of(pos_map: Mapping[str, int], variables) -> list[int]:
@@ -211,9 +266,16 @@ def weights_from_registry(df: DataFrame, root: str, uid: str, label: str,
 
 
 def parse_and_flatten(text: Column) -> Column:
-    """``"a,b,['c']"`` -> ``[a, b, c]``: brackets, quotes and spaces removed,
-    then split on commas."""
-    return F.split(F.regexp_replace(text, r"[\[\]' ]", ""), ",")
+    """``"a, b,['c']"`` -> ``[a, b, c]``: entries end at commas outside brackets and
+    are trimmed; a bracketed entry is a list whose names join the result.
+    Blanks and quotes inside names stay, and an empty name is a name."""
+    entries = F.regexp_extract_all(F.concat(text, F.lit(",")), F.lit(r"((?:\[[^\]]*\]|[^,\[])*),"), F.lit(1))
+    quoted = F.lit(r"('[^']*'|\"[^\"]*\"|[^\[\],'\"\s]+)")
+    names = F.transform(entries, lambda x: F.when(
+        F.trim(x).startswith("["),
+        F.transform(F.regexp_extract_all(x, quoted, F.lit(1)), lambda y: F.regexp_replace(y, r"^(['\"])(.*)\1$", "$2")))
+        .otherwise(F.array(F.trim(x))))
+    return F.flatten(names)
 
 
 def save_encoders(encoders: DataFrame, root: str, encoder_uid: str | None = None) -> str:
@@ -229,7 +291,3 @@ def load_encoders(spark: SparkSession, root: str, encoder_uid: str) -> dict[str,
     long = spark.read.parquet(path)
     names = [r["variable"] for r in long.select("variable").distinct().collect()]
     return {v: long.where(F.col("variable") == v).select("value", "enc") for v in sorted(names)}
-
-
-def metadata_json(m: Mapping) -> str:
-    return json.dumps({str(k): v for k, v in m.items()}, sort_keys=True)

@@ -36,5 +36,14 @@ def test_empty_candidates_raise(spark):
 def test_explore_excludes_exploited(spark):
     rows = [("c%d" % i, "1", "a") for i in range(5)] + [("x", "2", "b")]
     df = spark.createDataFrame(rows, "campaign_id string, market_id string, publisher string")
-    got = {(r["market_id"], r["publisher"]) for r in cfg.explore_configs(df).collect()}
+    got = {(r["market_id"], r["publisher"]) for r in cfg.explore_configs(df, usage_ratio=1.0).collect()}
     assert got == {("1", "b"), ("2", "a"), ("2", "b")}
+    unused = {(r["market_id"], r["publisher"]) for r in cfg.explore_configs(df).collect()}
+    assert unused == {("1", "b"), ("2", "a")}
+
+
+def test_null_scores_are_never_recommended(spark):
+    rows = [("r1", "1", "a", None), ("r1", "2", "b", 5.0), ("r1", "3", "a", 5.0), ("r2", "1", "a", None)]
+    df = spark.createDataFrame(rows, "request_id string, market_id string, publisher string, predicted_cpa double")
+    got = {r["request_id"]: (r["market_id"], r["predicted_cpa"]) for r in cfg.recommend(df, ["request_id"]).collect()}
+    assert got == {"r1": ("2", 5.0), "r2": (None, None)}
