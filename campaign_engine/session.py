@@ -7,7 +7,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _BASE_CONF = {
@@ -48,13 +47,17 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem the
-    cluster names). Only when that is unset -- local tests -- a private temp
-    folder is created once per process.
+    cluster names). Only when that is unset on a local master -- tests -- a
+    private temp folder is created once per process; elsewhere it is an error,
+    because executors would write to disks of their own.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         root = conf_dir
     else:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         key = "local"
         if key not in _local_scratch:
             _local_scratch[key] = tempfile.mkdtemp(prefix="ce-scratch-", dir="/tmp")
@@ -79,25 +82,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-SMALL_RESULT_ROWS = 100_000
-
-
-def settle(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> DataFrame:
-    """Cut the lineage of an intermediate *aggregate* result.
-
-    The result is computed once (persisted and counted). Up to ``max_rows``
-    rows (one per group: medians, boundaries, bracket states) then come back
-    as a local relation -- a tiny plan whose exact size lets the planner
-    broadcast it. Anything larger is written with a reliable checkpoint
-    instead; nothing unbounded ever reaches the driver.
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if cached.count() <= max_rows:
-            return df.sparkSession.createDataFrame(cached.collect(), df.schema)
-        return cut_lineage(cached)
-    finally:
-        cached.unpersist()
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate *aggregate* result (one row per group:
+    medians, boundaries, bracket states) by writing it to the shared folder.
+    Read back, its true file size is known to the planner, which then decides
+    on a broadcast by that size; nothing comes through the driver."""
+    return materialize(df, "settled")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
