@@ -5,6 +5,7 @@ absolute error, MAPE) and cross-validation summaries. Each is one pass."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,6 +118,26 @@ def metric_by_name(df: DataFrame, label: str, prediction: str, name: str, positi
     return _metric(df, label, prediction, name, positive, probability).withColumn("metric", F.lit(asked))
 
 
+def scores(df: DataFrame, label: str, prediction: str, names: Sequence[str], positive=None,
+           probability: str = "probability") -> DataFrame:
+    """Several named scores, ``(metric, value)``: each family of scores (classes,
+    probabilities, errors) is computed once. ``df`` should be materialised."""
+    wanted = [(n, ALIASES.get(n, n)) for n in names]
+    families = [(CLASSIFICATION, lambda: classification_metrics(df, label, prediction, positive)),
+                (PROBABILISTIC, lambda: binary_scores(df, label, prediction, probability, 1 if positive is None else positive)),
+                (REGRESSION, lambda: regression_metrics(df, label, prediction))]
+    out = []
+    for known, compute in families:
+        if mine := [(n, a) for n, a in wanted if a in known]:
+            pairs = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(a).alias("a")) for n, a in mine])
+            out.append(compute().withColumn("_p", F.explode(pairs)).where(F.col("metric") == F.col("_p.a"))
+                       .select(F.col("_p.n").alias("metric"), "value"))
+    bad = [n for n, a in wanted if not any(a in known for known, _ in families)]
+    if bad or not out:
+        raise ValueError(f"unknown metrics {bad}; known: {CLASSIFICATION + PROBABILISTIC + REGRESSION + sorted(ALIASES)}")
+    return reduce(DataFrame.unionByName, out)
+
+
 def _metric(df, label, prediction, name, positive, probability) -> DataFrame:
     if name in PROBABILISTIC:
         return binary_scores(df, label, prediction, probability,

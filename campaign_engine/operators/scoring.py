@@ -8,9 +8,12 @@ rows and requests go through the same feature plans, assembled by name.
 
 from __future__ import annotations
 
+import json
+import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import CATEGORICAL_FEATURES
@@ -89,3 +92,27 @@ def predict(model: TwoStageModel, rows: DataFrame, impute_cpc: bool = True) -> D
     reg = reg.select(F.col(id_col).alias("__rid"), F.col("prediction").alias("predicted_log_cpa"))
     out = s2.join(reg, F.col(id_col) == F.col("__rid"), "left").drop("__rid")
     return out.withColumn("predicted_cpa", F.expm1("predicted_log_cpa"))
+
+
+_TABLES = ["freq_encoders", "target_encoders", "cpc_record", "embedder", "clf_ref", "reg_ref"]
+
+
+def save_two_stage(model: TwoStageModel, path: str) -> None:
+    """Write the fitted tables (encoders, CPC record, embedding map, both reference
+    tables) and the scalars under ``path``. The embedder must be a table."""
+    if not isinstance(model.embedder, DataFrame):
+        raise ValueError("only a model whose embedder is a (value, embedding) table can be saved")
+    for name in _TABLES:
+        getattr(model, name).write.mode("overwrite").parquet(os.path.join(path, name))
+    meta = json.dumps({"cpc_fallback": model.cpc_fallback, "k": model.k, "id_col": model.id_col})
+    spark = model.clf_ref.sparkSession
+    spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(os.path.join(path, "meta"))
+
+
+def load_two_stage(spark: SparkSession, path: str) -> TwoStageModel:
+    """A saved two-stage model; a missing path raises ValueError."""
+    try:
+        meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
+    except AnalysisException as e:
+        raise ValueError(f"no two-stage model at {path}") from e
+    return TwoStageModel(**{n: spark.read.parquet(os.path.join(path, n)) for n in _TABLES}, **meta)

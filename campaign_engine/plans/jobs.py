@@ -8,7 +8,9 @@ registry under ``--store``:
 * ``train``      cross-validated model training, train/test scores, model,
                  metrics and run record
 * ``augment``    append P(convert) from a saved classifier to a features dataset
-* ``recommend``  two-stage scoring of the top-k configurations per request
+* ``train_two_stage``  fit and save classifier, regressor, encoders and CPC record
+* ``recommend``  two-stage scoring of the top-k configurations per request, with
+                 a saved model (``--model_uri``) or one fitted on the train split
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ from pyspark.sql import functions as F
 from ..operators import configure as cfg
 from ..operators import encoders as enc
 from ..operators import features as feat
-from ..operators import metrics, models, scoring, splits, stats
-from ..operators.embed import hashing_embedder
+from ..operators import evaluate, metrics, models, scoring, splits, stats
+from ..operators.embed import embed_distinct, hashing_embedder
 from ..schema import CATEGORICAL_FEATURES
-from ..session import get_spark
+from ..session import get_spark, materialize
 from ..sources import datasets as ds
 
 
@@ -37,8 +39,8 @@ def _embedder(spark, args):
 
 def ingest(spark, args) -> str:
     df = ds.scan_csv(spark, args.data_path)
-    return ds.ingest(df, args.store, ["campaign_id"], args.test_size, args.random_state,
-                     args.stratify_variable, args.shuffle, source=args.data_path)
+    return ds.ingest(df, args.store, args.key_columns, args.test_size, args.random_state,
+                     args.stratify_variable, args.shuffle, order_cols=args.order_columns, source=args.data_path)
 
 
 def preprocess(spark, args) -> str:
@@ -54,10 +56,11 @@ def preprocess(spark, args) -> str:
     both = train.withColumn("split_type", F.lit("train")).unionByName(test.withColumn("split_type", F.lit("test")))
     out = feat.preprocess(both, encoders, emb, label=args.categorical_target,
                           categorical=args.categorical_features, numeric=args.numeric_features,
-                          weights=weights)
-    dim = len(out.select(feat.EMBEDDING).where(F.col(feat.EMBEDDING).isNotNull()).first()[0])
+                          text=args.features_to_embed, weights=weights)
+    blocks = [f"{t}_embedding" for t in args.features_to_embed]
+    first = out.select(*[F.size(b).alias(b) for b in blocks]).first()
     names = feat.feature_names(enc.encoded_names(args.categorical_features) + list(args.numeric_features),
-                               feat.EMBEDDING, dim)
+                               blocks, first.asDict())
     cw = {str(r[args.categorical_target]): r["class_weight"] for r in weights.collect()}
     uid = ds.write_dataset(out.select("campaign_id", "CPA", "convert", "sample_weight", "features", "split_type"),
                            args.store, parent_uid=args.dataset_uid, encoder_uid=encoder_uid,
@@ -68,21 +71,31 @@ def preprocess(spark, args) -> str:
 def train(spark, args) -> str:
     tr = ds.read_dataset(spark, args.store, args.dataset_uid, "train").withColumnRenamed("campaign_id", "id")
     te = ds.read_dataset(spark, args.store, args.dataset_uid, "test").withColumnRenamed("campaign_id", "id")
+    kind = models.kind_of(args.model_type)
     if args.predictor_variables:
         row = ds.resolve(spark, args.store, args.dataset_uid, "train")
-        tr = feat.select_by_name(tr, args.predictor_variables, row["column_order"])
-        te = feat.select_by_name(te, args.predictor_variables, row["column_order"])
-    tr = splits.cv_folds(tr, ["id"], args.cv, 2025)
+        wanted = predictor_names(args.predictor_variables)
+        tr = feat.select_by_name(tr, wanted, row["column_order"])
+        te = feat.select_by_name(te, wanted, row["column_order"])
+    # like the usual cross-validation: stratified folds for classes, contiguous ones for numbers
+    if args.cv > 1 and kind == "classifier":
+        tr = materialize(splits.cv_folds_stratified(tr, ["id"], args.target_variable, args.cv, 2025), "folds")
+    elif args.cv > 1:
+        tr = materialize(splits.cv_folds_contiguous(tr, ["id"], args.cv, 2025), "folds")
+    positive = 1 if kind == "classifier" else None
     weight = None
     if args.include_sample_weight:  # the train split's class weights, as registered
         tr = ds.weights_from_registry(tr.drop("sample_weight"), args.store, args.dataset_uid,
                                       args.target_variable)
         weight = "sample_weight"
     model, cv = models.train_cv(args.model_type, tr, args.target_variable, args.cv, scoring=args.scoring,
-                                weight=weight, positive=1 if models.kind_of(args.model_type) == "classifier" else None)
+                                weight=weight, positive=positive)
+    cv = materialize(cv, "cv-metrics")
     metric = args.evaluation_metric
-    tr_s = models.evaluate(model, tr, args.target_variable, metric)
-    te_s = models.evaluate(model, te, args.target_variable, metric)
+    tr_s = models.evaluate(model, tr, args.target_variable, metric, positive)
+    te_s = models.evaluate(model, te, args.target_variable, metric, positive)
+    for name, value in result_metrics(cv, args.model_result_metrics):
+        print(f"{name}: {value:.5f}")
     path = os.path.join(args.store, "models", args.save_model_as)
     models.save_model(model, path)
     run_id = models.log_run(spark, args.store, args.model_type, {"cv": args.cv, "scoring": args.scoring},
@@ -91,6 +104,29 @@ def train(spark, args) -> str:
     return run_id
 
 
+def predictor_names(items) -> list[str]:
+    """Flags like ``CPC`` and ``['industry_embedding']`` to plain names."""
+    out = []
+    for item in items:
+        item = item.strip()
+        if item.startswith("[") and item.endswith("]"):
+            out += [p.strip().strip("'\"") for p in item[1:-1].split(",") if p.strip()]
+        else:
+            out.append(item)
+    return out
+
+
+def result_metrics(cv, names) -> list[tuple[str, float]]:
+    """Means of CV scores asked for as ``test_accuracy``, ``train_f1``, ...; a score
+    that the CV results lack raises ValueError (with cv = 1 there are none)."""
+    means = {f"{r['split']}_{r['metric']}": r["mean"] for r in evaluate.cv_mean(cv).collect()}
+    if not means:
+        return []
+    if bad := [n for n in names or [] if n not in means]:
+        raise ValueError(f"{bad} not in the CV results; available: {sorted(means)}")
+    return [(n, means[n]) for n in names or []]
+
+
 def augment(spark, args) -> str:
     model = models.load_model(spark, args.model_uri)
     rows = ds.read_dataset(spark, args.store, args.dataset_uid, "train").withColumn("split_type", F.lit("train")) \
@@ -99,15 +135,34 @@ def augment(spark, args) -> str:
         .withColumn("conversion_probability", F.col("probability").cast("double"))
     out = pred.withColumn("features", F.concat("features", F.array("conversion_probability")))
     order = ds.resolve(spark, args.store, args.dataset_uid, "train")["column_order"] or []
+    given = {"model_uri": args.model_uri, "dataset_uid": args.dataset_uid, "stage": "augment"}
     uid = ds.write_dataset(out.select(F.col("id").alias("campaign_id"), "CPA", "convert", "features", "split_type"),
                            args.store, parent_uid=args.dataset_uid,
-                           column_order=list(order) + ["conversion_probability"])
+                           column_order=list(order) + ["conversion_probability"], metadata=given)
     return uid
 
 
+def _vectors(spark, args, rows):
+    """The embedding table of the rows' industries (a saved model needs a table)."""
+    if args.embedding_table:
+        return spark.read.parquet(args.embedding_table)
+    values = rows.select(F.coalesce("industry", F.lit("")).alias("value")).union(
+        spark.createDataFrame([("",)], "value string")).distinct()
+    return materialize(embed_distinct(values, "value", hashing_embedder(args.embedding_dim), "embedding"), "embedding-map")
+
+
+def train_two_stage(spark, args) -> str:
+    rows = metrics.derive_all(ds.read_dataset(spark, args.store, args.dataset_uid, "train"))
+    model = scoring.fit_two_stage(rows, _vectors(spark, args, rows))
+    path = os.path.join(args.store, "models", args.save_model_as)
+    scoring.save_two_stage(model, path)
+    return path
+
+
 def recommend(spark, args) -> str:
     train_rows = metrics.derive_all(ds.read_dataset(spark, args.store, args.dataset_uid, "train"))
-    model = scoring.fit_two_stage(train_rows, _embedder(spark, args))
+    model = scoring.load_two_stage(spark, args.model_uri) if args.model_uri else \
+        scoring.fit_two_stage(train_rows, _embedder(spark, args))
     top = cfg.top_k_configs(stats.config_usage(train_rows), args.top_k)
     reqs = spark.read.parquet(args.requests)
     cands = cfg.candidate_space(reqs, top).withColumn(
@@ -117,9 +172,13 @@ def recommend(spark, args) -> str:
     return args.output
 
 
-def main(argv=None) -> None:
+STAGES = {"ingest": ingest, "preprocess": preprocess, "train": train, "augment": augment,
+          "train_two_stage": train_two_stage, "recommend": recommend}
+
+
+def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="campaign_engine.plans.jobs")
-    p.add_argument("stage", choices=["ingest", "preprocess", "train", "augment", "recommend"])
+    p.add_argument("stage", choices=sorted(STAGES))
     p.add_argument("--store", required=True)
     p.add_argument("--master", default=None)
     p.add_argument("--data_path")
@@ -127,6 +186,10 @@ def main(argv=None) -> None:
     p.add_argument("--random_state", type=int, default=2025)
     p.add_argument("--stratify_variable", default=None)
     p.add_argument("--shuffle", action="store_true")
+    p.add_argument("--key_columns", nargs="+", default=["campaign_id"])
+    p.add_argument("--order_columns", nargs="+", default=None)
+    p.add_argument("--features_to_embed", nargs="+", default=["industry"])
+    p.add_argument("--model_result_metrics", nargs="*", default=[])
     p.add_argument("--dataset_uid")
     p.add_argument("--categorical_features", nargs="+", default=CATEGORICAL_FEATURES)
     p.add_argument("--numeric_features", nargs="+", default=["CPC"])
@@ -148,10 +211,13 @@ def main(argv=None) -> None:
     p.add_argument("--requests")
     p.add_argument("--output")
     p.add_argument("--top_k", type=int, default=20)
-    args = p.parse_args(argv)
+    return p
+
+
+def main(argv=None) -> None:
+    args = parser().parse_args(argv)
     spark = get_spark(args.master)
-    result = {"ingest": ingest, "preprocess": preprocess, "train": train,
-              "augment": augment, "recommend": recommend}[args.stage](spark, args)
+    result = STAGES[args.stage](spark, args)
     print(json.dumps({"stage": args.stage, "result": result}))
 
 

@@ -96,6 +96,27 @@ def q_group_stat_multi(spark, sf):
         *[r(c, digits.get(c, 6)).alias(c) for c in _MULTI if c not in ("count", "nunique")])
 
 
+@register("group_stat_order", O.with_base("""
+SELECT publisher, arg_min(cost, campaign_id) FILTER (cost IS NOT NULL) AS first_cost,
+       arg_max(cost, campaign_id) FILTER (cost IS NOT NULL) AS last_cost,
+       round(quantile_cont(cost, 0.9), 6) AS q90, count(*) AS size,
+       round(ln(product(1 + clicks / 1000.0)), 6) AS log_prod
+FROM ads WHERE publisher IS NOT NULL GROUP BY publisher"""))
+def q_group_stat_order(spark, sf):
+    """First and last by an order column, a named quantile, group size and product."""
+    b = base(spark, sf).withColumn("growth", 1 + F.col("clicks") / 1000.0)
+    parts = [stats.group_stat(b, "cost", "publisher", "first", out="first_cost", order_by="campaign_id"),
+             stats.group_stat(b, "cost", "publisher", "last", out="last_cost", order_by="campaign_id"),
+             stats.group_stat(b, "cost", "publisher", "quantile:0.9", out="q90"),
+             stats.group_stat(b, "cost", "publisher", "size", out="size"),
+             stats.group_stat(b, "growth", "publisher", "prod", out="log_prod")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, "publisher")
+    return out.select("publisher", "first_cost", "last_cost", r("q90").alias("q90"), "size",
+                      r(F.log("log_prod")).alias("log_prod"))
+
+
 @register("config_usage", O.with_base(
     "SELECT market_id, publisher, count(campaign_id) AS n_campaigns FROM ads "
     "WHERE market_id IS NOT NULL AND publisher IS NOT NULL GROUP BY market_id, publisher"))
@@ -216,3 +237,11 @@ def q_cv_folds_stratified(spark, sf):
     d = derived(spark, sf).select("campaign_id", F.col("convert").cast("bigint").alias("convert"))
     return splits.cv_folds_stratified(d, ["campaign_id"], "convert", 5, SEED)
 
+
+@register("cv_folds_contiguous", O.with_base(
+    "SELECT campaign_id, CAST(CASE WHEN rk < (n // 7 + 1) * (n % 7) THEN rk // (n // 7 + 1) "
+    "ELSE n % 7 + (rk - (n // 7 + 1) * (n % 7)) // (n // 7) END AS BIGINT) AS fold FROM hs",
+    f"hs AS (SELECT campaign_id, row_number() OVER (ORDER BY {O.md5_key('campaign_id')}) - 1 AS rk, "
+    "count(*) OVER () AS n FROM ads)"))
+def q_cv_folds_contiguous(spark, sf):
+    return splits.cv_folds_contiguous(base(spark, sf).select("campaign_id"), ["campaign_id"], 7, SEED)

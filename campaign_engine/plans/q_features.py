@@ -147,6 +147,23 @@ def q_assemble_features(spark, sf):
                       r(emb_sum("features"), 4).alias("f_sum"))
 
 
+@register("assemble_two_embeddings", O.with_base(
+    "SELECT f.campaign_id, CAST(5 + len(f.emb) + len(m.emb) AS BIGINT) AS n_features, round(m.emb[1], 6) AS second_first "
+    "FROM feat f JOIN derived d USING (campaign_id) LEFT JOIN embmap2 m ON coalesce(d.category_id, '') = m.value", *_FEAT_SQL,
+    "ind2 AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS i FROM "
+    "(SELECT DISTINCT category_id AS value FROM ads WHERE category_id IS NOT NULL) "
+    "UNION ALL SELECT '', (SELECT count(DISTINCT category_id) FROM ads))",
+    "embmap2 AS (SELECT ind2.value, CAST(e.embedding AS DOUBLE[]) AS emb FROM ind2 JOIN embeddings e ON e.vec_id = ind2.i)"))
+def q_assemble_two_embeddings(spark, sf):
+    """Two text columns, each with its own embedding block."""
+    e = enc.fit_encoders(fit_rows(spark, sf), CATS, "frequency")
+    maps = {"industry": industry_map(spark, sf),
+            "category_id": rank_map(base(spark, sf), "category_id", read_table(spark, sf, "embeddings"))}
+    out = feat.preprocess(derived(spark, sf), e, maps, label=None, text=["industry", "category_id"])
+    return out.select("campaign_id", F.size("features").cast("bigint").alias("n_features"),
+                      r(F.element_at("features", 5 + 64 + 1)).alias("second_first"))
+
+
 @register("disassemble_features", O.with_base(
     "SELECT campaign_id, round(CPC, 6) AS CPC, round(publisher_encoded, 6) AS publisher_encoded, "
     "CAST(len(emb) AS BIGINT) AS emb_len, round(emb[1], 6) AS emb_0 FROM feat", *_FEAT_SQL))

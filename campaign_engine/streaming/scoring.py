@@ -28,10 +28,13 @@ REQUEST_SCHEMA = T.StructType([
 ])
 
 
-def score_request_stream(spark: SparkSession, model: scoring.TwoStageModel, source_dir: str,
+def score_request_stream(spark: SparkSession, model: scoring.TwoStageModel | str, source_dir: str,
                          out_dir: str, checkpoint_dir: str, max_files_per_trigger: int = 64,
                          available_now: bool = True):
-    """Start the scoring stream; returns the ``StreamingQuery``."""
+    """Start the scoring stream with a fitted model, or the path of a saved one;
+    returns the ``StreamingQuery``."""
+    if isinstance(model, str):
+        model = scoring.load_two_stage(spark, model)
     stream = (spark.readStream.schema(REQUEST_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
 
