@@ -145,7 +145,10 @@ def _blocked(q: DataFrame, r: DataFrame, part: list[str], k: int | None, radius:
     n = r.count()
     n_parts = max(1, r.select(*part).distinct().count()) if part else 1
     n_pivots = max(1, min(MAX_PIVOTS, MAX_CELL_ROWS // n_parts, math.ceil(math.sqrt(n))))
-    rows = r.select("_f", F.xxhash64("_f").alias("_h")).orderBy("_h").limit(n_pivots).select("_f").collect()
+    few = r.select("_f", F.xxhash64("_f").alias("_h"))
+    if n > 8 * n_pivots:  # cut down by the hash first, so that not every partition sends its candidates
+        few = few.where(F.col("_h") < -(1 << 63) + int(8 * n_pivots / n * (1 << 64)))
+    rows = few.orderBy("_h").limit(n_pivots).select("_f").collect()
     if not rows:
         none = q.limit(0).withColumns({"_cell": F.lit(0), "_rb": F.lit(0), "_qb": F.lit(0)})
         return none, r.limit(0).withColumns({"_cell": F.lit(0), "_rb": F.lit(0), "_qb": F.lit(0)}), [*keys, "_rb", "_qb"]
