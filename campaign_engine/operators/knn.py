@@ -195,15 +195,17 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str,
     asked = queries.where(F.col(features).isNotNull()).select(
         *part, F.col(q_id).alias("_qid"), F.col(features).alias("_f"))
     q = asked.groupBy(*part, "_f").agg(F.min("_qid").alias("_qid")).select(*part, "_qid", "_f")
+    # one type on both sides: a group's rows must hash alike
     r = refs.where(F.col(features).isNotNull()).select(
-        *part, F.col(r_id).alias("_rid"), F.col(features).alias("_f"), *ref_cols)
+        *[F.col(p).cast(queries.schema[p].dataType).alias(p) for p in part],
+        F.col(r_id).alias("_rid"), F.col(features).alias("_f"), *ref_cols)
     same = Window.partitionBy(*part, "_f").orderBy("_rid")
     r = materialize(r.withColumn("_o", F.row_number().over(same)).where(F.col("_o") <= k).drop("_o"), "knn-refs")
     qc, rc, keys = _blocked(q, r, part, k, None, block_rows)
 
     extra = [f for f in refs.schema.fields if f.name in ref_cols]
     schema = T.StructType([
-        *[(refs if p in refs.columns else queries).schema[p] for p in part],
+        *[queries.schema[p] for p in part],
         T.StructField("_qid", queries.schema[q_id].dataType), T.StructField("_f", queries.schema[features].dataType),
         T.StructField("_rid", refs.schema[r_id].dataType), T.StructField("dist", T.DoubleType()), *extra])
 

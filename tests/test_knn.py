@@ -66,3 +66,19 @@ def test_radius_neighbours_against_brute_force(spark):
         assert abs(reg[500 + i] - inside.mean()) < 1e-12
         counts = np.bincount(inside, minlength=3)
         assert cls[500 + i] == int(np.argmax(counts))
+
+
+def test_partitions_of_unlike_types_meet(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(200, 3))
+    df = spark.createDataFrame([(int(i), X[i].tolist(), int(i % 5)) for i in range(200)], "id long, features array<double>, s long")
+    nn = knn.knn_join(df, df.withColumn("s", F.col("s").cast("int")), 3, "id", "id", partition="s", block_rows=16)
+    got = {}
+    for r in nn.orderBy("id", "nn_rank").collect():
+        got.setdefault(r["id"], []).append(r["nn_id"])
+    for s in range(5):
+        ids = list(range(s, 200, 5))
+        want = _brute(X[ids], ids, X[ids], ids, 3)
+        assert {i: got[i] for i in ids} == want
