@@ -30,12 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of one Arrow batch (a session setting), so that a batch of
-    long texts fits a Python worker. A smaller value set by the user stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows or int(spark.conf.get(key, "10000")) <= 0:
-        spark.conf.set(key, str(rows))
+BATCH_BYTES = 16 << 20
+
+
+def arrow_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes (a session setting), so that a batch of long
+    texts fits a Python worker while rows of numbers still come in large
+    batches. A smaller bound set by the user stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES or int(now) == 0:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def parts(spark: SparkSession) -> int:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialize, ship_package
+from .common import arrow_batches, materialize, ship_package
 from .windows import (_TH, BASES, ROWS, Rolling, doc_order, mix, pack, per_text, pieces, rows_frame, sift, spans, squeeze,
                       text_tag, triggers, unpack, unsqueeze)
 
@@ -165,7 +165,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, tr
     if not 0 < trigger < n < 128 or not 0 < run < n - trigger:
         raise ValueError("0 < trigger < n < 128 and 0 < run < n - trigger")
     ship_package(df.sparkSession)
-    arrow_rows(df.sparkSession, 500)
+    arrow_batches(df.sparkSession)
     packed, found = repeats(df, key, text, n, trigger, run)
     kind = df.schema[key].dataType.simpleString()
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, ship_package
+from .common import arrow_batches, ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_PIECES = 24  # pieces (words, digit runs, punctuation marks) in one entity
@@ -422,7 +422,7 @@ def detect(df: DataFrame, model: Crf, key: str = "doc_id", text: str = "text") -
     linear in the length of a text; long runs are scanned once.
     """
     ship_package(df.sparkSession)
-    arrow_rows(df.sparkSession)
+    arrow_batches(df.sparkSession)
     weights = dict(model.w)
 
     def run(batches):

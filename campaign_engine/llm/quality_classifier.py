@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialize, ship_package
+from .common import arrow_batches, materialize, ship_package
 
 TRAIN_ROWS = 12_000  # bound on the labelled sample
 N_TERMS, MIN_DOCS, MIN_Z = 200, 8, 6.0  # learned terms: bound, least documents, least z
@@ -87,7 +87,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     neutral (every logit 0)."""
     spark = docs.sparkSession
     ship_package(spark)
-    arrow_rows(spark)
+    arrow_batches(spark)
     picked = labels.select(F.col(key).alias("__k"), F.expr(good or "quality = 1 AND toxic = 0").cast("int").alias("__y")) \
         .filter("__k IS NOT NULL AND __y IS NOT NULL").groupBy("__k").agg(F.min("__y").alias("__y")) \
         .orderBy(F.md5(F.col("__k").cast("string"))).limit(max_rows)
@@ -202,7 +202,7 @@ def classify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     """
     keep = keep if keep is not None else docs.columns
     ship_package(docs.sparkSession)
-    arrow_rows(docs.sparkSession)
+    arrow_batches(docs.sparkSession)
     rows = docs.select(F.struct(*keep).alias("__row"), (host if host is not None else F.col("source")).alias("host"),
                        (path if path is not None else F.col("lang")).alias("path"),
                        evidence(model, F.col(text)).alias("evidence"))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, ship_package
+from .common import arrow_batches, ship_package
 
 #: bit -> (rule, SQL condition over the measurements that means failure)
 RULES = {
@@ -102,7 +102,7 @@ def ledger(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     spark = df.sparkSession
     ship_package(spark)
-    arrow_rows(spark)
+    arrow_batches(spark)
 
     def run(batches):
         for b in batches:

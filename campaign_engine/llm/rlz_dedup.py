@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialize, ship_package
+from .common import arrow_batches, materialize, ship_package
 from .windows import (BASES, ROWS, Rolling, doc_order, pack, per_text, pieces, rows_frame, sift, spans, squeeze,
                       text_tag, triggers, unpack, unsqueeze)
 
@@ -88,7 +88,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, ph
     """
     spark = df.sparkSession
     ship_package(spark)
-    arrow_rows(spark, 500)
+    arrow_batches(spark)
     if not 0 < phrase < n or n > 127:
         raise ValueError("0 < phrase < n < 128")
     body = F.coalesce(F.col(text), F.lit(""))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, components, cut_lineage, materialize, parts, ship_package
+from .common import arrow_batches, components, cut_lineage, materialize, parts, ship_package
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 SEGMENTS = 5
@@ -59,7 +59,7 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_hash, fp): the key, xxhash64 of the text, the signed fingerprint."""
     ship_package(df.sparkSession)
-    arrow_rows(df.sparkSession)
+    arrow_batches(df.sparkSession)
 
     def run(batches):
         for b in batches:
