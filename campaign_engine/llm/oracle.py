@@ -128,3 +128,71 @@ SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*) / n AS c
 FROM held JOIN wanted USING (s) JOIN sizes USING (item_id, ws)
 GROUP BY doc_id, text, item_id, wanted.ws, n HAVING count(*) >= ceil(0.8 * n - 1e-9)
 """
+
+op9_sharding = """
+WITH tab AS (
+  SELECT [list_reduce(range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+          for i in range(256)] AS t),
+docs AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS BIGINT), -1) AS k, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+bytes AS (
+  SELECT doc_id, k, CAST(length(hx) // 2 + 1 AS BIGINT) AS size,
+         [CAST('0x' || substr(hx, 2 * i + 1, 2) AS BIGINT) for i in range(CAST(length(hx) // 2 AS BIGINT))] AS b FROM docs),
+crc AS (
+  SELECT doc_id, k, size, md5(CAST(k AS VARCHAR)) AS h, xor(list_reduce(
+      b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32
+  FROM bytes, tab),
+jumped AS (
+  SELECT *, list_reduce(range(9), lambda s, x: CASE WHEN s.j >= 8 THEN s ELSE
+      {'k': (s.k * 2862933555777941757 + 1) % 18446744073709551616, 'b': s.j, 'j': CAST(floor((s.j + 1) * (2147483648.0::DOUBLE
+       / CAST(((s.k * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 + 1 AS DOUBLE))) AS BIGINT)} END,
+      {'k': CASE WHEN k < 0 THEN CAST(k AS HUGEINT) + 18446744073709551616 ELSE CAST(k AS HUGEINT) END,
+       'b': CAST(-1 AS BIGINT), 'j': CAST(0 AS BIGINT)}) AS s FROM crc)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(s.b AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY s.b ORDER BY h, k, text_crc32, size) - 1 AS slot,
+       CAST(CASE WHEN s.j = 8 THEN 8 ELSE s.b END AS INTEGER) AS grown_shard
+FROM jumped
+"""
+
+op7_pfp_dedup = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+pos AS (
+  SELECT doc_id, i, substr(hx, 2 * i + 1, 2) AS byte,
+         CASE WHEN 2 * i + 200 <= length(hx) THEN md5(substr(hx, 2 * i + 1, 200)) END AS win
+  FROM (SELECT doc_id, hx, unnest(range(CAST(length(hx) // 2 AS BIGINT))) AS i FROM docs)),
+marked AS (
+  SELECT *, win IS NOT NULL AND (doc_id, i) > min((doc_id, i)) OVER (PARTITION BY win) AS later FROM pos),
+gone AS (
+  SELECT doc_id, i, byte, max(CAST(later AS INT)) OVER (
+      PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) = 1 AS g FROM marked),
+edges AS (SELECT *, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM gone),
+per AS (
+  SELECT doc_id, count(*) FILTER (g) AS n_removed, count(*) FILTER (starts) AS n_spans,
+         coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT g), '') AS kept FROM edges GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs d LEFT JOIN per USING (doc_id)
+"""
+
+op8_rlz_dedup = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+pos AS (
+  SELECT doc_id, i, ws[i] AS word, CASE WHEN i + 12 <= len(ws) THEN ws[i : i + 12] END AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM docs)),
+marked AS (
+  SELECT *, win IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY win) AS later FROM pos),
+gone AS (
+  SELECT doc_id, i, word, max(CAST(later AS INT)) OVER (
+      PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) = 1 AS g FROM marked),
+runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS run FROM gone),
+factors AS (
+  SELECT doc_id, string_agg(s || ':' || e, ',' ORDER BY s) AS factors FROM (
+    SELECT doc_id, min(i) - 1 AS s, max(i) AS e FROM runs WHERE g GROUP BY doc_id, run) GROUP BY doc_id),
+per AS (
+  SELECT doc_id, count(*) FILTER (g) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT g), '') AS kept FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, coalesce(factors, '') AS factors
+FROM docs d LEFT JOIN per USING (doc_id) LEFT JOIN factors USING (doc_id)
+"""
