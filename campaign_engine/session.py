@@ -95,7 +95,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     the shared scratch folder, and continue from the written table (one
     computation, a lineage cut that survives executor loss)."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
