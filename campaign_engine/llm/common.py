@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.ranks import global_rank
 from ..session import cut_lineage, materialize, scratch_path, ship_package
 
-__all__ = ["cut_lineage", "materialize", "scratch_path", "ship_package"]
+__all__ = ["cut_lineage", "global_rank", "materialize", "scratch_path", "ship_package"]
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -43,24 +44,20 @@ def arrow_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def hash_sample(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """The (at most) ``n`` rows whose md5 of ``key`` is smallest. The table is first
+    cut down by a threshold on the hash, about 4 n rows, so that not every
+    partition hands ``n`` rows on."""
+    total = df.count()
+    rows = df.withColumn("__h", F.md5(key.cast("string")))
+    if total > 4 * n:
+        low = F.conv(F.substring("__h", 1, 13), 16, 10).cast("long")
+        rows = rows.filter(low < int(4 * n / total * (1 << 52)))
+    return rows.orderBy("__h").limit(n).drop("__h")
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """Gapless 0-based rank over all rows by ``order`` without a single-task
-    sort: range partitions are written once, their sizes give offsets, and
-    each is numbered on its own. ``order`` must be (nearly) unique."""
-    spark = df.sparkSession
-    cut = materialize(df.repartitionByRange(parts(spark), *order)
-                      .withColumn("__pid", F.spark_partition_id()), "ranked")
-    sizes = cut.groupBy("__pid").agg(F.count("*").alias("__n"))
-    # one row per range partition: bounded by the partition count
-    offsets = sizes.withColumn("__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n"))
-    return (cut.join(offsets.select("__pid", "__off"), "__pid")
-            .withColumn(name, F.col("__off") + F.row_number().over(
-                Window.partitionBy("__pid").orderBy(*order)) - 1)
-            .drop("__pid", "__off"))
+def parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def running_sum(df: DataFrame, group: list[str], bucket: str, order: list, value: str,

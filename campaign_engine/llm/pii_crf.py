@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, ship_package
+from .common import arrow_batches, hash_sample, ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_PIECES = 24  # pieces (words, digit runs, punctuation marks) in one entity
@@ -373,15 +373,14 @@ def _islands_of(text: str, gold):
     return out
 
 
-def train(docs: DataFrame | None = None, text: str = "text", sample: int = SAMPLE_DOCS) -> Crf:
+def train(docs: DataFrame | None = None, key: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS) -> Crf:
     """Fit on contexts of at most ``sample`` documents (those with the smallest
-    md5 of their text; of each the first 2,000 characters lend contexts). Without
+    md5 of their key; of each the first 2,000 characters lend contexts). Without
     documents plain filler words are used."""
     contexts: list[str] = []
     if docs is not None:
-        rows = docs.select(F.substring(F.col(text), 1, 2000).alias("t"), F.md5(F.col(text)).alias("h")) \
-            .filter("t IS NOT NULL").orderBy("h").limit(sample).collect()
-        contexts = [r.t for r in rows]
+        rows = hash_sample(docs.select(F.col(key).alias("k"), F.substring(F.col(text), 1, 2000).alias("t")), F.col("k"), sample)
+        contexts = sorted(r.t for r in rows.collect() if r.t is not None)
     return Crf().fit(examples(contexts))
 
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, materialize, ship_package
+from .common import arrow_batches, hash_sample, materialize, ship_package
 
 TRAIN_ROWS = 12_000  # bound on the labelled sample
 N_TERMS, MIN_DOCS, MIN_Z = 200, 8, 6.0  # learned terms: bound, least documents, least z
@@ -89,8 +89,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     ship_package(spark)
     arrow_batches(spark)
     picked = labels.select(F.col(key).alias("__k"), F.expr(good or "quality = 1 AND toxic = 0").cast("int").alias("__y")) \
-        .filter("__k IS NOT NULL AND __y IS NOT NULL").groupBy("__k").agg(F.min("__y").alias("__y")) \
-        .orderBy(F.md5(F.col("__k").cast("string"))).limit(max_rows)
+        .filter("__k IS NOT NULL AND __y IS NOT NULL").groupBy("__k").agg(F.min("__y").alias("__y"))
+    picked = hash_sample(picked, F.col("__k"), max_rows)
     # bounded by max_rows, hence broadcast
     sample = materialize(docs.select(F.col(key).alias("__k"), F.col(text).cast("binary").alias("body"))
                          .join(F.broadcast(picked), "__k")
