@@ -23,7 +23,42 @@ def split_derived(spark, sf):
     return (tagged.where(F.col("split_type") == "train"), tagged.where(F.col("split_type") == "test"))
 
 
-@register("augment_proba")
+def _nearest_ctes(out: str, queries: str, refs: str, value: str) -> list[str]:
+    """CTEs: ``out`` (campaign_id, value) = mean ``value`` of the 5 nearest ``refs`` (rid
+    up to 2^20) of each of the ``queries``. Distance and rid are packed in one
+    integer, so that the smallest five need no pair table."""
+    square = " + ".join(f"(q.a{i} - r.a{i}) * (q.a{i} - r.a{i})" for i in range(1, 6))
+    return [
+        f"{out}_nn AS (SELECT q.campaign_id, min(CAST(least(floor(sqrt({square} + e2) * 1e9 + 0.5), 8e12) AS BIGINT) * 1048576 "
+        f"+ r.rid, 5) AS nn FROM {queries} q JOIN ed2 ON q.ind = ed2.v1 JOIN {refs} r ON r.ind = ed2.v2 GROUP BY q.campaign_id)",
+        f"{out} AS (SELECT n.campaign_id, avg(CAST(r.{value} AS DOUBLE)) AS value FROM (SELECT campaign_id, "
+        f"unnest(nn) % 1048576 AS rid FROM {out}_nn) n JOIN {refs} r USING (rid) GROUP BY n.campaign_id)",
+    ]
+
+
+def _stage1(name: str, rows: str) -> str:
+    cols = ", ".join(f"coalesce({O.encoded('a', v, 'e_' + v)}, 0) AS a{i + 1}" for i, v in enumerate(O.CATS))
+    joins = " ".join(f"LEFT JOIN enc_{v} e_{v} ON a.{v} = e_{v}.value" for v in O.CATS)
+    return (f"{name} AS (SELECT a.campaign_id, a.convert, {cols}, coalesce(a.CPC, 0) AS a5, coalesce(a.industry, '') AS ind, "
+            f"row_number() OVER (ORDER BY a.campaign_id) - 1 AS rid FROM {rows} a {joins})")
+
+
+_STAGE1_CTES = [
+    f"sh AS (SELECT campaign_id, convert, {O.md5_key('campaign_id')} AS h FROM derived)",
+    *O.quota_ctes("sh", "convert"),
+    "tagged AS (SELECT campaign_id, CASE WHEN row_number() OVER (PARTITION BY convert ORDER BY h) <= q "
+    "THEN 'test' ELSE 'train' END AS split_type FROM sh JOIN quota USING (convert))",
+    "trd AS (SELECT d.* FROM derived d JOIN tagged USING (campaign_id) WHERE split_type = 'train')",
+    "ted AS (SELECT d.* FROM derived d JOIN tagged USING (campaign_id) WHERE split_type = 'test')",
+    *[O.freq_cte(f"enc_{v}", v, "trd", "TRUE") for v in O.CATS], *O.EMB_CTES,
+    "ed2 AS (SELECT a.value AS v1, b.value AS v2, pow(list_distance(a.emb, b.emb), 2) AS e2 FROM embmap a, embmap b)",
+    _stage1("tr1", "trd"), _stage1("te1", "ted"),
+]
+
+
+@register("augment_proba", O.with_base(
+    "SELECT campaign_id, round(value, 6) AS proba_convert FROM proba", *_STAGE1_CTES,
+    *_nearest_ctes("proba", "te1", "tr1", "convert")))
 def q_augment_proba(spark, sf):
     """Stage 1 only: P(convert) for the test split from the train split."""
     train, test = split_derived(spark, sf)
