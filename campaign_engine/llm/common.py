@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 2 << 20
 
 
 def arrow_batches(spark: SparkSession) -> None:

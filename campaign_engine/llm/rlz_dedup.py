@@ -21,7 +21,7 @@ from .windows import (BASES, ROWS, Rolling, doc_order, pack, per_text, pieces, r
                       text_tag, triggers, unpack, unsqueeze)
 
 N, PHRASE = 13, 6  # words of a window, and of a phrase
-CACHE = 400_000  # distinct words whose hashes a task keeps
+CACHE = 200_000  # distinct words whose hashes a task keeps
 
 
 class _Codes(dict):
@@ -45,9 +45,8 @@ def _phrases(n: int, k: int):
         for b in batches:
             doc, tag = b["doc"].to_numpy(), b["tag"].to_numpy()
             texts = ((i, codes.of(bytes(t).split())) for i, t in enumerate(b["body"]))
-            got = [triggers(p, n, k) for p in pieces(texts, n)]
-            if got:
-                row, a, off, count, k1, k2 = (np.concatenate(x) for x in zip(*got))
+            for p in pieces(texts, n):
+                row, a, off, count, k1, k2 = triggers(p, n, k)
                 yield rows_frame(k1, k2, doc[row], pack(a, off, count, tag[row]), True)
 
     return run

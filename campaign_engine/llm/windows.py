@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import MAX_ID, parts
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-PIECE = 1 << 19  # symbols hashed at a time
+PIECE = 1 << 18  # symbols hashed at a time
 _TH = (1 << 18) - 1
 _pow: dict[tuple[int, int], np.ndarray] = {}
 
