@@ -39,8 +39,9 @@ def _embedder(spark, args):
 
 def ingest(spark, args) -> str:
     df = ds.scan_csv(spark, args.data_path)
-    return ds.ingest(df, args.store, args.key_columns, args.test_size, args.random_state,
-                     args.stratify_variable, args.shuffle, order_cols=args.order_columns, source=args.data_path)
+    return ds.ingest(df, args.store, getattr(args, "key_columns", ["campaign_id"]), args.test_size, args.random_state,
+                     args.stratify_variable, args.shuffle, order_cols=getattr(args, "order_columns", None),
+                     source=args.data_path)
 
 
 def preprocess(spark, args) -> str:
@@ -54,10 +55,11 @@ def preprocess(spark, args) -> str:
     weights = feat.class_weights(train, args.categorical_target)
     emb = _embedder(spark, args)
     both = train.withColumn("split_type", F.lit("train")).unionByName(test.withColumn("split_type", F.lit("test")))
+    texts = getattr(args, "features_to_embed", ["industry"])
     out = feat.preprocess(both, encoders, emb, label=args.categorical_target,
                           categorical=args.categorical_features, numeric=args.numeric_features,
-                          text=args.features_to_embed, weights=weights)
-    blocks = [f"{t}_embedding" for t in args.features_to_embed]
+                          text=texts, weights=weights)
+    blocks = [f"{t}_embedding" for t in texts]
     first = out.select(*[F.size(b).alias(b) for b in blocks]).first()
     names = feat.feature_names(enc.encoded_names(args.categorical_features) + list(args.numeric_features),
                                blocks, first.asDict())
@@ -94,7 +96,7 @@ def train(spark, args) -> str:
     metric = args.evaluation_metric
     tr_s = models.evaluate(model, tr, args.target_variable, metric, positive)
     te_s = models.evaluate(model, te, args.target_variable, metric, positive)
-    for name, value in result_metrics(cv, args.model_result_metrics):
+    for name, value in result_metrics(cv, getattr(args, "model_result_metrics", [])):
         print(f"{name}: {value:.5f}")
     path = os.path.join(args.store, "models", args.save_model_as)
     models.save_model(model, path)
