@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, materialize, ship_package
-from .windows import (_TH, BASES, ROWS, Rolling, doc_order, mix, pack, per_text, pieces, rows_frame, sift, spans, squeeze,
+from .windows import (BASES, TAGGED, Rolling, doc_order, mix, pack, per_text, pieces, rows_frame, sift, spans, squeeze,
                       text_tag, triggers, unpack, unsqueeze)
 
 N, TRIGGER, RUN = 100, 28, 10  # bytes of a repeat and of a trigger string; suffixes of a run
@@ -43,28 +43,30 @@ def _phrases(n: int, k: int):
             doc, tag = b["doc"].to_numpy(), b["tag"].to_numpy()
             for p in pieces(((i, _codes(bytes(t))) for i, t in enumerate(b["body"])), n):
                 row, a, off, count, k1, k2 = triggers(p, n, k)
-                yield rows_frame(k1, k2, doc[row], pack(a, off, count, tag[row]), False)
+                yield rows_frame(k1, k2, doc[row], tag[row], pack(a, off, count), False)
 
     return run
 
 
 def _snippets(n: int):
-    """Bytes of the undecided phrases of each text: (doc, loc, bytes)."""
+    """Bytes of the undecided phrases of each text: (doc, tag, loc, bytes)."""
     def run(batches):
         restore = unsqueeze()
         for b in batches:
-            docs, locs_out, out = [], [], []
-            for doc, body, locs in zip(b["doc"], b["body"], b["locs"]):
+            docs, tags, locs_out, out = [], [], [], []
+            for doc, tag, body, locs in zip(b["doc"], b["tag"], b["body"], b["locs"]):
                 locs = np.asarray(locs, np.int64)
                 locs = locs[locs >= 0]
                 if len(locs):
                     data = restore(body)
-                    a, _, count, _ = unpack(locs)
+                    a, _, count = unpack(locs)
                     out += [data[s:e] for s, e in zip(a.tolist(), (a + count - 1 + n).tolist())]
                     docs.append(np.full(len(locs), doc))
+                    tags.append(np.full(len(locs), tag))
                     locs_out.append(locs)
             if out:
-                yield pd.DataFrame({"doc": np.concatenate(docs), "loc": np.concatenate(locs_out), "bytes": out})
+                yield pd.DataFrame({"doc": np.concatenate(docs), "tag": np.concatenate(tags),
+                                    "loc": np.concatenate(locs_out), "bytes": out})
 
     return run
 
@@ -75,7 +77,7 @@ def _runs(n: int, size: int):
         for b in batches:
             if not len(b):
                 continue
-            a, off, count, tag = unpack(b["loc"].to_numpy())
+            a, off, count = unpack(b["loc"].to_numpy())
             data = [bytes(x) for x in b["bytes"]]
             begin = np.cumsum([0, *map(len, data)])[:-1]
             codes = _codes(b"".join(data))
@@ -91,7 +93,7 @@ def _runs(n: int, size: int):
             core = roll(at + a[i] + off[i] - c * size, n - size + 1)
             k1 = mix(core + c.astype(np.uint64))
             k2 = mix(roll(at + s, o1 - o0 + n) + ((o1 << 8) + o0).astype(np.uint64))
-            yield rows_frame(k1, k2, b["doc"].to_numpy()[i], pack(s, o1, o1 - o0 + 1, tag[i]), False)
+            yield rows_frame(k1, k2, b["doc"].to_numpy()[i], b["tag"].to_numpy()[i], pack(s, o1, o1 - o0 + 1), False)
 
     return run
 
@@ -102,8 +104,8 @@ def _suffixes(n: int):
         for b in batches:
             if not len(b):
                 continue
-            a, _, _, tag = unpack(b["loc"].to_numpy())
-            lo, _, count, _ = unpack(b["run"].to_numpy())
+            a, _, _ = unpack(b["loc"].to_numpy())
+            lo, _, count = unpack(b["run"].to_numpy())
             data = [bytes(x) for x in b["bytes"]]
             size = np.array([len(x) for x in data])
             begin = np.cumsum(size) - size
@@ -114,15 +116,15 @@ def _suffixes(n: int):
             i, s = i[ok], s[ok]
             at = begin[i] - a[i] + s
             yield rows_frame(Rolling(codes)(at, n), Rolling(codes, BASES[1])(at, n), b["doc"].to_numpy()[i],
-                             pack(s, np.zeros(len(s)), np.ones(len(s)), tag[i]), False)
+                             b["tag"].to_numpy()[i], pack(s, np.zeros(len(s)), np.ones(len(s))), False)
 
     return run
 
 
 def _trigger_key(loc: str):
-    """Trigger position and text tag of a packed row."""
+    """Trigger position of a packed row."""
     c = F.col(loc)
-    return (F.shiftright(c, 32) + F.shiftright(c, 25).bitwiseAND(F.lit(127))) * (1 << 18) + c.bitwiseAND(F.lit(_TH))
+    return F.shiftright(c, 32) + F.shiftright(c, 25).bitwiseAND(F.lit(127))
 
 
 def repeats(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, trigger: int = TRIGGER,
@@ -134,13 +136,13 @@ def repeats(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = N,
                      body.alias("body"))
     packed = rows.select("doc_id", "doc", "tag", squeeze(F.col("body")).alias("body"))
     long = rows.select("doc", "tag", "body").filter(F.length("body") >= n)
-    found = materialize(per_text(sift(long.mapInPandas(_phrases(n, trigger), ROWS), False, True), "locs"), "parse")
+    found = materialize(per_text(sift(long.mapInPandas(_phrases(n, trigger), TAGGED), False, True), "locs"), "parse")
     open_ = packed.select("doc", "tag", "body").join(found.filter(F.exists("locs", lambda x: x >= 0)), ["doc", "tag"])
-    snippets = materialize(open_.mapInPandas(_snippets(n), "doc long, loc long, bytes binary"), "dictionary")
-    by_run = materialize(sift(snippets.mapInPandas(_runs(n, run), ROWS), False, True), "runs")
-    left = by_run.filter("loc >= 0").select("doc", F.col("loc").alias("run"), _trigger_key("loc").alias("t")).join(
-        snippets.withColumn("t", _trigger_key("loc")), ["doc", "t"])
-    single = sift(left.select("doc", "loc", "run", "bytes").mapInPandas(_suffixes(n), ROWS), False, False)
+    snippets = materialize(open_.mapInPandas(_snippets(n), "doc long, tag long, loc long, bytes binary"), "dictionary")
+    by_run = materialize(sift(snippets.mapInPandas(_runs(n, run), TAGGED), False, True), "runs")
+    left = by_run.filter("loc >= 0").select("doc", "tag", F.col("loc").alias("run"), _trigger_key("loc").alias("t")).join(
+        snippets.withColumn("t", _trigger_key("loc")), ["doc", "tag", "t"])
+    single = sift(left.select("doc", "tag", "loc", "run", "bytes").mapInPandas(_suffixes(n), TAGGED), False, False)
     more = materialize(per_text(by_run.filter("loc < 0").unionByName(single), "more"), "suffixes")
     none = F.array().cast("array<bigint>")
     both = found.join(more, ["doc", "tag"], "left").select("doc", "tag", F.concat(

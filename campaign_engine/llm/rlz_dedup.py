@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, materialize, ship_package
-from .windows import (BASES, ROWS, Rolling, doc_order, pack, per_text, pieces, rows_frame, sift, spans, squeeze,
+from .windows import (BASES, TAGGED, Rolling, doc_order, pack, per_text, pieces, rows_frame, sift, spans, squeeze,
                       text_tag, triggers, unpack, unsqueeze)
 
 N, PHRASE = 13, 6  # words of a window, and of a phrase
@@ -47,7 +47,7 @@ def _phrases(n: int, k: int):
             texts = ((i, codes.of(bytes(t).split())) for i, t in enumerate(b["body"]))
             for p in pieces(texts, n):
                 row, a, off, count, k1, k2 = triggers(p, n, k)
-                yield rows_frame(k1, k2, doc[row], pack(a, off, count, tag[row]), True)
+                yield rows_frame(k1, k2, doc[row], tag[row], pack(a, off, count), True)
 
     return run
 
@@ -58,16 +58,16 @@ def _boundary_windows(n: int):
         codes, restore = _Codes(), unsqueeze()
         for b in batches:
             out = []
-            for doc, body, locs in zip(b["doc"], b["body"], b["locs"]):
+            for doc, tag, body, locs in zip(b["doc"], b["tag"], b["body"], b["locs"]):
                 locs = np.asarray(locs, np.int64)
                 locs = locs[locs >= 0]
                 if not len(locs):
                     continue
-                a, _, count, tag = unpack(locs)
+                a, _, count = unpack(locs)
                 c = codes.of(restore(body).split())
                 start = np.repeat(a - np.cumsum(count) + count, count) + np.arange(count.sum())
                 out.append((Rolling(c)(start, n), Rolling(c, BASES[1])(start, n), np.full(len(start), doc),
-                            pack(start, np.zeros(len(start)), np.ones(len(start)), tag[0])))
+                            np.full(len(start), tag), pack(start, np.zeros(len(start)), np.ones(len(start)))))
             if out:
                 yield rows_frame(*(np.concatenate(x) for x in zip(*out)), True)
 
@@ -93,11 +93,11 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, ph
     body = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(F.col(key).alias("doc_id"), doc_order(F.col(key)).alias("doc"), text_tag(F.col(text)).alias("tag"),
                      body.cast("binary").alias("body"))
-    found = sift(rows.select("doc", "tag", "body").mapInPandas(_phrases(n, phrase), ROWS), True, True)
+    found = sift(rows.select("doc", "tag", "body").mapInPandas(_phrases(n, phrase), TAGGED), True, True)
     found = materialize(per_text(found, "locs"), "factors")
     packed = rows.select("doc_id", "doc", "tag", squeeze(F.col("body")).alias("body"))
     edges = packed.join(found.filter(F.exists("locs", lambda x: x >= 0)), ["doc", "tag"]) \
-        .mapInPandas(_boundary_windows(n), ROWS)
+        .mapInPandas(_boundary_windows(n), TAGGED)
     more = materialize(per_text(sift(edges, True, False), "more"), "boundaries")
     removed = found.join(more, ["doc", "tag"], "left").select(
         "doc", "tag", F.concat(F.filter("locs", lambda x: x < 0), F.coalesce(

@@ -6,10 +6,10 @@ and a sorted pass that separates first from later occurrences. Each window of
 ``n`` symbols has exactly one trigger, which depends on its symbols alone, so
 equal windows meet at equal triggers.
 
-A row of the sorted pass is (k1, k2, doc, loc): ``k1`` is what all windows of
-the row hold in common, ``k2`` all their symbols, ``loc`` packs the first window
-start, the trigger's offset from it, the number of windows and 18 bits of the
-text's hash (which tells apart texts that share a document id).
+A row of the sorted pass is (k1, k2, doc, tag, loc): ``k1`` is what all windows
+of the row hold in common, ``k2`` all their symbols, ``tag`` the text's 64-bit
+hash (which tells apart texts that share a document id), ``loc`` packs the first
+window start, the trigger's offset from it and the number of windows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from .common import MAX_ID, parts
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 PIECE = 1 << 18  # symbols hashed at a time
-_TH = (1 << 18) - 1
 _pow: dict[tuple[int, int], np.ndarray] = {}
 
 
@@ -106,17 +105,17 @@ def triggers(piece, n: int, k: int):
     return row[part], off[part] + a - begin[part], t - a, count, h[t], k2
 
 
-def pack(a, off, count, th):
-    return (a.astype(np.int64) << 32) | (off.astype(np.int64) << 25) | (count.astype(np.int64) << 18) | th
+def pack(a, off, count):
+    return (a.astype(np.int64) << 32) | (off.astype(np.int64) << 25) | (count.astype(np.int64) << 18)
 
 
 def unpack(loc):
-    return loc >> 32, (loc >> 25) & 127, (loc >> 18) & 127, loc & _TH
+    return loc >> 32, (loc >> 25) & 127, (loc >> 18) & 127
 
 
 def text_tag(text: Column) -> Column:
-    """The 18 bits of ``loc`` that name the text."""
-    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(_TH))
+    """The 64-bit hash that names the text among those of its document id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def doc_order(key: Column) -> Column:
@@ -124,29 +123,30 @@ def doc_order(key: Column) -> Column:
     return F.coalesce(key.cast("long"), F.lit(MAX_ID))
 
 
-def rows_frame(k1, k2, doc, loc, across: bool) -> pd.DataFrame:
+def rows_frame(k1, k2, doc, tag, loc, across: bool) -> pd.DataFrame:
     """Rows for ``sift``. Rows that come later than an equal row of this very
     batch are known duplicates already: they get a negative ``loc`` and a
     scattered ``k1``, so that a hot window does not send them all to one task."""
     k1, k2 = k1.view(np.int64), k2.view(np.int64)
-    order = np.lexsort((loc, doc, k2, k1))
-    k1, k2, doc, loc = k1[order], k2[order], doc[order], loc[order]
+    order = np.lexsort((tag, loc, doc, k2, k1))
+    k1, k2, doc, tag, loc = k1[order], k2[order], doc[order], tag[order], loc[order]
     if len(k1):
         new = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
         first = np.maximum.accumulate(np.where(new, np.arange(len(k1)), 0))
         later = doc > doc[first] if across else (doc > doc[first]) | (
             (doc == doc[first]) & (loc >> 32 > loc[first] >> 32))
-        k1 = np.where(later, mix((doc * 31 + loc).view(np.uint64)).view(np.int64), k1)
+        k1 = np.where(later, mix((doc * 31 + loc + tag).view(np.uint64)).view(np.int64), k1)
         loc = np.where(later, -1 - loc, loc)
-    return pd.DataFrame({"k1": k1, "k2": k2, "doc": doc, "loc": loc})
+    return pd.DataFrame({"k1": k1, "k2": k2, "doc": doc, "tag": tag, "loc": loc})
 
 
 ROWS = "k1 long, k2 long, doc long, loc long"
+TAGGED = "k1 long, k2 long, doc long, tag long, loc long"
 
 
 def sift(rows: DataFrame, across: bool, undecided: bool) -> DataFrame:
-    """(doc, loc) of the rows that are not first occurrences, with ``loc`` turned
-    into -1 - loc. ``across``: only earlier documents count, else also earlier
+    """(doc, tag, loc) of the rows that are not first occurrences, with ``loc`` turned
+    into -1 - loc; without ``tag`` if the rows have none. ``across``: only earlier documents count, else also earlier
     starts of the same document. With ``undecided``, also (loc as it is) the
     first rows of every k2 whose k1 has more than one k2: some of their
     windows may occur in another of these rows.
@@ -154,22 +154,29 @@ def sift(rows: DataFrame, across: bool, undecided: bool) -> DataFrame:
     Rows are dealt by k1 and sorted; the pass keeps one row's keys, so groups
     of any size stream through; equal rows (of repeated texts) count once.
     """
+    names = ["doc", "tag", "loc"] if "tag" in rows.columns else ["doc", "loc"]
+    order = ["k1", "k2", "doc", "loc", *names[1:-1]]
+
     def run(batches):
         state = None  # k1, k2, first doc, first start, several k2?, undecided rows of a single k2
-        empty, before = np.empty(0, np.int64), None
+        empty, before = tuple(np.empty(0, np.int64) for _ in names), None
         for b in batches:
             if not len(b):
                 continue
-            table = b[["k1", "k2", "doc", "loc"]].to_numpy()
+            table = b[order].to_numpy()
             # rows of repeated texts: equal rows stand together
             fresh = np.r_[before is None or (table[0] != before).any(), (table[1:] != table[:-1]).any(1)]
             before, table = table[-1].copy(), table[fresh]
-            k1, k2, doc, loc = table.T
-            known = loc < 0
-            out = [(doc[known], loc[known])]
-            k1, k2, doc, loc = (x[~known] for x in (k1, k2, doc, loc))
+            known = table[:, 3] < 0
+
+            def rows_at(at, loc):  # the columns of ``names``
+                return (table[at, 2], *table[at, 4:].T, loc)
+
+            out = [rows_at(known, table[known, 3])]
+            table = table[~known]
+            k1, k2, doc, loc = table.T[:4]
             if len(k1):
-                s = state or (None, None, 0, 0, False, (empty, empty))
+                s = state or (None, None, 0, 0, False, empty)
                 core = np.r_[s[0] is None or k1[0] != s[0], k1[1:] != k1[:-1]]
                 kind = core | np.r_[s[1] is None or k2[0] != s[1], k2[1:] != k2[:-1]]
                 head = np.maximum.accumulate(np.where(kind, np.arange(len(k1)), -1))
@@ -177,8 +184,8 @@ def sift(rows: DataFrame, across: bool, undecided: bool) -> DataFrame:
                 doc0 = np.where(head >= 0, doc[head], s[2])
                 start0 = np.where(head >= 0, start[head], s[3])
                 later = doc > doc0 if across else (doc > doc0) | ((doc == doc0) & (start > start0))
-                out.append((doc[later], -1 - loc[later]))
-                several, held = False, (empty, empty)
+                out.append(rows_at(later, -1 - loc[later]))
+                several, held = False, empty
                 if undecided:
                     group = np.cumsum(core)  # 0: goes on from the batch before
                     kinds = np.bincount(group, weights=kind)
@@ -187,19 +194,19 @@ def sift(rows: DataFrame, across: bool, undecided: bool) -> DataFrame:
                     if group[0] == 0 and several[0] and not s[4]:
                         out.append(s[5])
                     show = ~later & several[group]
-                    out.append((doc[show], loc[show]))
+                    out.append(rows_at(show, loc[show]))
                     last = group[-1]
                     if not several[last]:
                         mine = ~later & (group == last)
-                        held = (doc[mine], loc[mine])
+                        held = rows_at(mine, loc[mine])
                         if last == 0:
                             held = tuple(np.concatenate(x) for x in zip(s[5], held))
                     several = bool(several[last])
                 state = (k1[-1], k2[-1], doc0[-1], start0[-1], several, held)
-            yield pd.DataFrame({"doc": np.concatenate([o[0] for o in out]), "loc": np.concatenate([o[1] for o in out])})
+            yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, zip(*out))})
 
-    return rows.repartition(parts(rows.sparkSession), "k1").sortWithinPartitions("k1", "k2", "doc", "loc") \
-        .mapInPandas(run, "doc long, loc long")
+    return rows.repartition(parts(rows.sparkSession), "k1").sortWithinPartitions(*order) \
+        .mapInPandas(run, ", ".join(f"{c} long" for c in names))
 
 
 def squeeze(body: Column) -> Column:
@@ -225,8 +232,7 @@ def unsqueeze():
 
 def per_text(found: DataFrame, name: str) -> DataFrame:
     """One row per text: doc, tag, and the list of its ``loc`` (bounded by the text)."""
-    tag = F.when(F.col("loc") < 0, -1 - F.col("loc")).otherwise(F.col("loc")).bitwiseAND(F.lit(_TH))
-    return found.groupBy("doc", tag.alias("tag")).agg(F.collect_list("loc").alias(name))
+    return found.groupBy("doc", "tag").agg(F.collect_list("loc").alias(name))
 
 
 def spans(locs, n: int, size: int) -> list[tuple[int, int]]:
@@ -235,7 +241,7 @@ def spans(locs, n: int, size: int) -> list[tuple[int, int]]:
     locs = -1 - locs[locs < 0]
     if not len(locs):
         return []
-    a, _, count, _ = unpack(locs)
+    a, _, count = unpack(locs)
     edge = np.zeros(size + 1, np.int64)
     np.add.at(edge, a, 1)
     np.add.at(edge, a + count - 1 + n, -1)

@@ -98,3 +98,17 @@ def test_sift_streams_over_batches(spark):
         assert sorted(got) == sorted(later + open_)
         got = [tuple(r) for r in windows.sift(df, across, False).collect()]
         assert sorted(got) == sorted(later)
+
+
+def test_thousands_of_texts_under_one_id(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    rng = random.Random(6)
+    text = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    shared = [text(130) for _ in range(5)]
+    rows = [(0, "".join(shared))]
+    for i in range(6000):
+        t = text(rng.randint(101, 140))
+        rows.append((None if i % 2 else 7, rng.choice(shared) + t[:60] if i % 4 < 2 else t))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in pfp_dedup.dedup(df).collect()), key=str)
+    assert got == brute(rows)

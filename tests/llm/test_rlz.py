@@ -58,3 +58,17 @@ def test_copies_and_empty_table(spark):
     assert got[0].n_removed == 0 and got[0].factors == ""
     assert all(got[i].n_removed == 50 and got[i].factors == "0:50" for i in range(1, 30))
     assert rlz_dedup.dedup(df.limit(0)).count() == 0
+
+
+def test_thousands_of_texts_under_one_id(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    rng = random.Random(6)
+    text = lambda k: [f"w{rng.randrange(50)}" for _ in range(k)]
+    shared = [text(20) for _ in range(5)]
+    rows = [(0, " ".join(sum(shared, [])))]
+    for i in range(6000):
+        ws = text(rng.randint(13, 30))
+        rows.append((None if i % 2 else 7, " ".join(rng.choice(shared) + ws[:8] if i % 4 < 2 else ws)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in rlz_dedup.dedup(df).collect()), key=str)
+    assert got == brute(rows, 13)
