@@ -64,6 +64,12 @@ def contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: s
     more. Nothing groups all documents of an item: matches are counted per
     document and item, pre-aggregated.
     """
+    return _pairs(docs, bench, key, text, item_key, item_text, width, containment).drop("doc")
+
+
+def _pairs(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+           item_text: str = "text", width: int = WIDTH, containment: float = CONTAINMENT) -> DataFrame:
+    """The pairs of ``contaminated`` with ``doc``, the hash of the document's key and text."""
     items = materialize(_items(bench, item_key, item_text, width), "items")
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most ``width`` numbers
     texts = items.withColumn("shingle", F.explode(F.expr("CASE " + " ".join(
@@ -83,9 +89,9 @@ def contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: s
     # one row per shingle width and power of two of the size: a few dozen numbers
     classes = sketch.groupBy("width", "class").agg(F.max("h").alias("top"), F.min("need").alias("need")).collect()
     if not classes:
-        return docs.limit(0).select(F.col(key).alias("doc_id")).join(
+        return docs.limit(0).select(F.col(key).alias("doc_id"), F.xxhash64(F.col(key), F.col(text)).alias("doc")).join(
             texts.limit(0).select("item_id", F.col("n").alias("n_shingles")), F.lit(False)).select(
-            "doc_id", "item_id", "n_shingles", F.lit(0).cast("long").alias("n_shared"),
+            "doc", "doc_id", "item_id", "n_shingles", F.lit(0).cast("long").alias("n_shared"),
             F.lit(0.0).alias("containment"))
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(key), F.col(text)).alias("doc"),
                        words(F.lower(F.col(text))).alias("ws"))
@@ -108,14 +114,16 @@ def contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: s
     shared = shared.groupBy("doc", "doc_id", "item", "item_id", "n").agg(
         F.count_distinct("shingle").alias("n_shared"))
     return shared.filter(F.col("n_shared") >= need).select(
-        "doc_id", "item_id", F.col("n").alias("n_shingles"), F.col("n_shared").cast("long"),
+        "doc", "doc_id", "item_id", F.col("n").alias("n_shingles"), F.col("n_shared").cast("long"),
         (F.col("n_shared") / F.col("n")).alias("containment"))
 
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text",
                         **options) -> DataFrame:
-    """The documents that hold no item; all columns are kept."""
-    hit = materialize(contaminated(docs, bench, key, text, **options).select(
-        F.col("doc_id").alias("__hit")).distinct(), "contaminated")
-    return docs.join(hit, F.col(key).eqNullSafe(F.col("__hit")), "left_anti")
+    """The documents that hold no item; all columns are kept. A document is its key
+    and text: clean documents of a null or repeated key stay."""
+    hit = materialize(_pairs(docs, bench, key, text, **options).select(
+        F.col("doc_id").alias("__hit"), F.col("doc").alias("__doc")).distinct(), "contaminated")
+    return docs.join(hit, F.col(key).eqNullSafe(F.col("__hit"))
+                     & (F.xxhash64(F.col(key), F.col(text)) == F.col("__doc")), "left_anti")
 

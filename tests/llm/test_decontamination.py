@@ -66,3 +66,13 @@ def test_main_path_has_no_python(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     plan = D.contaminated(docs, bench)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_clean_documents_of_a_contaminated_key_stay(spark):
+    item = "q r s t u v w"
+    docs = [(None, f"x {item} y"), (None, "a clean text without an id"), (None, None), (7, item), (7, "a clean namesake"),
+            (7, "a clean namesake"), (8, f"{item} z")]
+    df = spark.createDataFrame([(*d, i) for i, d in enumerate(docs)], "doc_id long, text string, doc int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r["doc"] for r in D.remove_contaminated(df, bench).collect()) == [1, 2, 4, 5]
+    assert D.contaminated(df, bench).columns == ["doc_id", "item_id", "n_shingles", "n_shared", "containment"]
