@@ -81,7 +81,7 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 30) ->
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", good: str | None = None,
           max_rows: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``max_rows`` labelled documents (those with the smallest
-    md5 of their key). ``good``: SQL over the labels' columns; by default of
+    md5 of their key; of a repeated key the one with the smallest text hash). ``good``: SQL over the labels' columns; by default of
     quality and not toxic. Rows whose label is null are not used. A tenth of
     the sample is held out for ``metrics``. Without two classes the model is
     neutral (every logit 0)."""
@@ -91,9 +91,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     picked = labels.select(F.col(key).alias("__k"), F.expr(good or "quality = 1 AND toxic = 0").cast("int").alias("__y")) \
         .filter("__k IS NOT NULL AND __y IS NOT NULL").groupBy("__k").agg(F.min("__y").alias("__y"))
     picked = hash_sample(picked, F.col("__k"), max_rows)
-    # bounded by max_rows, hence broadcast
+    # bounded by max_rows, hence broadcast; one row per key, pre-aggregated, so that a repeated key does not break the bound
+    first = F.min(F.struct(F.xxhash64("body").alias("h"), "body"))
     sample = materialize(docs.select(F.col(key).alias("__k"), F.col(text).cast("binary").alias("body"))
                          .join(F.broadcast(picked), "__k")
+                         .groupBy("__k", "__y").agg(first.alias("__f"))
+                         .select("__k", "__y", F.col("__f.body").alias("body"))
                          .withColumn("held", F.md5(F.concat(F.lit("h"), F.col("__k").cast("string"))) < "1a"),
                          "labelled")
 

@@ -70,3 +70,22 @@ def test_url_levels(spark):
     got = spark.createDataFrame(rows, "u string, h string, p string").select(
         "h", "p", Q.url_host(F.col("u")).alias("a"), Q.url_path(F.col("u")).alias("b")).collect()
     assert all((r.h, r.p) == (r.a, r.b) for r in got)
+
+
+def test_a_repeated_labelled_key_is_one_row(spark, monkeypatch):
+    docs = [(i, ("good calm words here " if i % 2 else "BAD ### !! $$$ ") * (i % 7 + 1), "en", "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    rows, fit = [], Q._fit
+
+    def counted(x, y, *a):
+        rows.append(len(x))
+        return fit(x, y, *a)
+
+    monkeypatch.setattr(Q, "_fit", counted)
+    schema = "doc_id long, text string, lang string, source string"
+    one = Q.train(spark.createDataFrame(docs, schema), labels, max_rows=100)
+    many = Q.train(spark.createDataFrame(docs + [d for d in docs if d[0] < 60] * 20, schema), labels, max_rows=100)
+    other = Q.train(spark.createDataFrame(docs + [(i % 60, f"text {i}", "en", "s") for i in range(2000)], schema),
+                    labels, max_rows=100)
+    assert rows[0] == rows[1] == rows[2] <= 100
+    assert one.terms == many.terms and np.allclose(one.weights, many.weights) and other.metrics["held_out"] <= 100
