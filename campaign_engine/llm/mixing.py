@@ -69,8 +69,35 @@ def source_targets(sources: DataFrame, cap: float = 3.0, weights=WEIGHTS) -> Dat
                              .otherwise(F.col("weight") * F.lit(float(level))))
 
 
+def _fill(left: DataFrame, missing: DataFrame) -> DataFrame:
+    """(source_key, __bucket, __rn, __pick) of the untaken rows ``left`` that fill what is
+    ``__miss``ing of their source: largest sizes first, of each as many as still fit,
+    then one of the smallest size left, if that brings the source nearer. Afterwards no
+    untaken row does. The choice is a fold over the counts per size (one row per size
+    of a source); the rows of a size are numbered in md5 order by bucket totals."""
+    left = materialize(running_sum(left.withColumn("__one", F.lit(1).cast("long")), ["source_key", "size"], "__bucket",
+                                   ["__md5", "doc_id", "text_hash", "__rn"], "__one", "__nth"), "mix_left")
+    sizes = left.groupBy("source_key", "size").agg(F.count("*").alias("n")).join(missing, "source_key") \
+        .filter("__miss > 0").groupBy("source_key", "__miss") \
+        .agg(F.reverse(F.array_sort(F.collect_list(F.struct("size", "n")))).alias("__sizes"))
+    fold = sizes.withColumn("__f", F.expr("""aggregate(__sizes,
+        named_struct('m', __miss, 'took', cast(array() AS array<struct<size:bigint,n:bigint,k:bigint>>)),
+        (a, x) -> CASE WHEN x.size <= a.m THEN named_struct(
+            'm', a.m - x.size * least(x.n, floor(a.m / x.size)),
+            'took', concat(a.took, array(named_struct('size', x.size, 'n', x.n, 'k', least(x.n, floor(a.m / x.size))))))
+          ELSE a END)"""))
+    near = """array_min(transform(filter(__sizes, x -> x.size > __f.m AND x.size < 2 * __f.m
+        AND NOT exists(__f.took, t -> t.size = x.size AND t.k = t.n)), x -> x.size))"""
+    took = fold.select("source_key", F.explode(F.expr(f"""concat(transform(__f.took, t -> struct(t.size AS size, t.k AS k)),
+        filter(array(struct({near} AS size, 1L AS k)), t -> t.size IS NOT NULL))""")).alias("t"))
+    took = took.groupBy("source_key", F.col("t.size").alias("size")).agg(F.sum("t.k").alias("__k"))
+    took = materialize(took.filter("__k > 0"), "mix_fill")
+    return left.join(took, ["source_key", "size"]).filter(F.col("__nth") < F.col("__k")).select(
+        "source_key", "__bucket", "__rn", F.lit(1).alias("__pick"))
+
+
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        cap: float = 3.0, weights=WEIGHTS, schedules=None) -> DataFrame:
+        cap: float = 3.0, weights=WEIGHTS, schedules=None, fill: bool = False) -> DataFrame:
     """Plan of the mix: one row per input row with ``doc_id`` (the key),
     ``text_hash``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``
     (copies times size) and ``position`` (training time of the first copy, null
@@ -79,7 +106,9 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     Inside a source, documents come in the order of md5(key). Whole passes over
     the source are taken first; of the last, partial pass every document that
     ends inside the target; then the one document whose size comes nearest to
-    what is still missing, if it brings the source nearer to its target.
+    what is still missing, if it brings the source nearer to its target. With
+    ``fill``, instead of that one, untaken documents are added, large to small,
+    until none brings the source nearer.
 
     Null text: size 0. Null source: a source of its own, last in order. Null
     key: ordered by md5 of 'null'. Ties: by key and text hash; repeated rows
@@ -104,14 +133,14 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     missing = placed.groupBy("source_key").agg(
         (F.first("__part") - F.sum(F.col("size") * F.col("__extra"))).alias("__miss"))
     missing = materialize(missing, "mix_missing")  # a row per source: small enough to be sent to hot sources
+    left = placed.filter((F.col("__extra") == 0) & (F.col("size") > 0))
     gap = F.abs(F.col("size") - F.col("__miss"))
-    near = (placed.filter((F.col("__extra") == 0) & (F.col("size") > 0)).join(missing, "source_key")
-            .filter(gap < F.col("__miss"))
-            .groupBy("source_key").agg(F.min(F.struct(gap.alias("g"), "__bucket", "__rn")).alias("__near"))
-            .select("source_key", F.col("__near.__bucket").alias("__nb"), F.col("__near.__rn").alias("__nr")))
-    out = placed.join(near, "source_key", "left").withColumn(
-        "copies", (F.col("__full") + F.col("__extra") + F.coalesce(
-            ((F.col("__bucket") == F.col("__nb")) & (F.col("__rn") == F.col("__nr"))).cast("int"), F.lit(0))).cast("long"))
+    near = _fill(left, missing) if fill else (
+        left.join(missing, "source_key").filter(gap < F.col("__miss"))
+        .groupBy("source_key").agg(F.min(F.struct(gap.alias("g"), "__bucket", "__rn")).alias("__near"))
+        .select("source_key", "__near.__bucket", "__near.__rn", F.lit(1).alias("__pick")))
+    out = placed.join(near, ["source_key", "__bucket", "__rn"], "left").withColumn(
+        "copies", (F.col("__full") + F.col("__extra") + F.coalesce("__pick", F.lit(0))).cast("long"))
     out = out.withColumn("__u", F.when((F.col("copies") > 0) & (F.col("target") > 0), F.least(
         F.lit(1.0), F.col("__start") / F.col("target")))) \
         .withColumn("position", F.when(F.col("__u").isNotNull(), F.expr(position_sql("__u", "weight", schedules))))

@@ -36,7 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per copy that the mix takes, in training order."""
-    return mixing.training_order(docs.select(*COLUMNS)).select(*COLUMNS)
+    return mixing.training_order(docs.select(*COLUMNS), fill=True).select(*COLUMNS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,25 @@ def test_copies_of_repeated_rows_and_empty_table(spark):
     assert out.count() == plan.agg(F.sum("copies")).first()[0]
     assert out.columns == ["doc_id", "text", "source", "__position"]
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_a_long_document_does_not_shut_out_the_rest(spark):
+    rows = [(i, " ".join(["w"] * (5000 if i % 40 == 0 else i * 7 % 90 + 1)), "abcd"[i % 4]) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, fill=True).collect()
+    assert len(got) == len(rows)
+    taken, size, target, least, by_id = defaultdict(int), defaultdict(int), {}, {}, {d: (len(t.split()), s) for d, t, s in rows}
+    for r in got:
+        n, s = by_id[r.doc_id]
+        taken[s] += r.taken
+        size[s] += n
+        target[s] = r.target
+        least[s] = min(least.get(s, r.copies), r.copies)
+    for s, t in targets(size).items():
+        assert target[s] == pytest.approx(t)
+        untaken = [by_id[r.doc_id][0] for r in got if by_id[r.doc_id][1] == s and r.copies == int(t // size[s])]
+        off = t - taken[s]
+        assert all(abs(off - x) >= abs(off) - 1e-6 for x in untaken), (s, off)
+        assert abs(off) <= 1, (s, t, taken[s])
+    again = mixing.mix(df, fill=True).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
