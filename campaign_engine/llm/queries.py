@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (chat_rotation, decontamination, mixing, oracle, pfp_dedup, pii_crf, quality_classifier, quality_rules,
-               rlz_dedup, sharding, simhash_dedup)
+from . import (chat_rotation, decontamination, mixing, oracle, packing, pfp_dedup, pii_crf, quality_classifier,
+               quality_rules, rlz_dedup, sharding, simhash_dedup)
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -88,6 +88,16 @@ def op10_quality_rules(spark, sf_dir):
                       "kept", "fail_bits", F.lit(strict.version).alias("policy"))
 
 
+@register
+def op11_harmonic_packing(spark, sf_dir):
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
 @register
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
