@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .chat_rotation import END, GUARD, START, TURNS_PER_PART
 from .mixing import position_sql
+from .phrase_mining import INSIDE_PCT, MAX_WORDS, MIN_COUNT, NO_LANG, TOP
 from .quality_rules import POLICIES, RULES
+from .ranked_search import K, LOWER, SEPARATORS, UPPER
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -196,3 +198,55 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n
        sha256(coalesce(kept, '')) AS kept_sha256, coalesce(factors, '') AS factors
 FROM docs d LEFT JOIN per USING (doc_id) LEFT JOIN factors USING (doc_id)
 """
+
+_TERMS = (f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^{SEPARATORS}]+')")
+
+op12_pair_maxscore = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS ts FROM documents),
+words AS (SELECT d, doc_id, len(ts) AS n, unnest(ts) AS t FROM docs),
+numbers AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS total FROM docs WHERE len(ts) > 0),
+tfs AS (SELECT d, doc_id, t, CAST(n AS BIGINT) AS n, count(*) AS tf FROM words GROUP BY ALL),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tfs GROUP BY t), numbers),
+items AS (
+  SELECT i, item_id, unnest(list_distinct(ts)) AS t FROM (
+    SELECT row_number() OVER () AS i, item_id, {_TERMS} AS ts FROM benchmark)),
+scored AS (
+  SELECT i, item_id, d, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM items JOIN tfs USING (t) JOIN weights USING (t), numbers GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= {K}
+"""
+
+op13_fm_collocations = f"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM (
+    SELECT coalesce(lang, '{NO_LANG}') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS body FROM documents)),
+rows AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM rows GROUP BY lang),
+grams AS (
+  SELECT lang, k AS words, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM (
+    SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM rows, range(1, {MAX_WORDS + 1}) t(k) WHERE len(ws) >= k)
+  GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
+cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM grams WHERE words > 1),
+longer AS (
+  SELECT lang, array_to_string(ws[i : i + k - 1], ' ') AS phrase, max(f) AS most FROM (
+    SELECT lang, ws, f, k, unnest(range(1, words - k + 2)) AS i FROM cand, range(2, {MAX_WORDS}) t(k) WHERE words > k)
+  GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, array_to_string(c.ws[1 : k], ' ') AS one, array_to_string(c.ws[k + 1 :], ' ') AS two
+  FROM cand c LEFT JOIN longer g ON c.lang = g.lang AND c.phrase = g.phrase, range(1, {MAX_WORDS}) t(k)
+  WHERE k < c.words AND (most IS NULL OR 100 * most < {INSIDE_PCT} * c.f)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r, CAST(
+      CAST(1000000 AS HUGEINT) * a * a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts JOIN grams l ON l.lang = cuts.lang AND l.phrase = one JOIN grams r ON r.lang = cuts.lang AND r.phrase = two),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM scored) WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+JOIN totals USING (lang) WHERE rank <= {TOP}
+"""

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (chat_rotation, decontamination, mixing, oracle, packing, pfp_dedup, pii_crf, quality_classifier,
-               quality_rules, rlz_dedup, sharding, simhash_dedup)
+from . import (chat_rotation, decontamination, mixing, oracle, packing, pfp_dedup, phrase_mining, pii_crf,
+               quality_classifier, quality_rules, ranked_search, rlz_dedup, sharding, simhash_dedup)
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -98,6 +98,17 @@ def op11_harmonic_packing(spark, sf_dir):
                          "offset")
 
 
+@register
+def op12_pair_maxscore(spark, sf_dir):
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op13_fm_collocations(spark, sf_dir):
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 @register
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
