@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 from .common import arrow_batches, materialize, ship_package
 
 CAPACITY, SLACK, END = 1024, 64, 0
+BROADCAST_TASKS = 1_000_000  # tasks (three numbers each) up to which their bases are broadcast to the pieces
 PIECE_COLUMNS = ["doc_id", "start", "length", "doc_tokens", "ids"]
 
 
@@ -167,6 +168,9 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, key: str = "
     # full bins of the tasks, numbered task after task (a row per task)
     full = pieces.filter("bin IS NOT NULL").groupBy("task").agg((F.max("bin") + 1).alias("__n"))
     base = full.withColumn("__base", F.sum("__n").over(Window.orderBy("task")) - F.col("__n"))
+    base = materialize(base, "pack_tasks")
+    if base.count() <= BROADCAST_TASKS:
+        base = F.broadcast(base)
     done = pieces.filter("bin IS NOT NULL").join(base, "task").withColumn("sequence_id", F.col("__base") + F.col("bin"))
     n_full = full.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     columns = [*PIECE_COLUMNS, "sequence_id", F.col("offset").cast("long").alias("offset")]
