@@ -1,27 +1,28 @@
 """Exact k-nearest-neighbour join (Euclidean), classifier and regressor.
 
-Spark ML has no kNN. Pairs are pruned by pivots and the triangle inequality:
+Spark ML has no kNN. Pairs are pruned by a vector-approximation file, which
+keeps pruning where cells or pivots do not (64 dimensions and more):
 
 1. equal vectors are collapsed (a query vector is searched once, and of equal
    reference vectors only the ``k`` smallest ids can matter);
-2. a bounded sample of reference vectors are the pivots; every reference
-   belongs to the cell of its nearest pivot, and per cell the count, the radius
-   and the ``k`` smallest pivot distances are kept (a few rows per pivot);
-3. these give each query an upper bound of its k-th distance, and it is sent
-   only to the cells that can hold anything within that bound;
-4. each (cell block, query block) pair is one cogroup task: NumPy shortlists by a
-   matrix product, re-ranks by exact differences, and emits only the ``k`` best
-   per query. A window keeps the ``k`` best per query over its cells.
-
-Blocks are sized by ``block_rows`` (memory per task), so a crowded cell is cut
-into more tasks. Distances are rounded to 9 decimals, ties broken by the
+2. every reference becomes one byte per dimension (a uniform grid over the range of
+   a bounded sample; values beyond it are clipped), every query single-precision
+   numbers, each with the exact norm of what that loses, so the distance of two
+   approximations, plus or minus both norms, bounds the true distance on both sides;
+3. each (query block, reference block) pair is one cogroup task over these codes
+   only: a matrix product gives the bounds, and a reference stays if its lower bound
+   reaches the ``k``-th smallest upper bound of the query in the block;
+4. survivors meet per query, are pruned again by the ``k``-th upper bound over all blocks,
+   and only then are exact distances computed, for these few pairs.
+
+Blocks are sized by ``block_rows``, which bounds the memory of a task: two blocks of
+codes and one strip of distances. Distances are rounded to 9 decimals, ties broken by the
 reference id. Query ids should identify rows; rows that share an id share
 one answer per distinct vector.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -34,46 +35,9 @@ from ..session import materialize, ship_package
 from .quantiles import same_keys
 
 DIST_DIGITS = 9
-
-
-def _round9(d: np.ndarray) -> np.ndarray:
-    scale = float(10 ** DIST_DIGITS)
-    return np.floor(d * scale + 0.5) / scale
-
-
-def _block_topk(q_ids, Q, r_ids, R, k: int, chunk: int = 256):
-    """Top-k references per query inside one block: (qi, ri, dist) arrays."""
-    if len(Q) == 0 or len(R) == 0:
-        return np.empty(0, int), np.empty(0, int), np.empty(0)
-    rn = np.einsum("ij,ij->i", R, R)
-    kk = min(k, len(R))
-    out_q, out_r, out_d = [], [], []
-    r_order = np.argsort(r_ids, kind="stable")
-    r_rank = np.empty(len(r_ids), dtype=np.int64)
-    r_rank[r_order] = np.arange(len(r_ids))
-    for s in range(0, len(Q), chunk):
-        Qc = Q[s:s + chunk]
-        qn = np.einsum("ij,ij->i", Qc, Qc)
-        approx = qn[:, None] + rn[None, :] - 2.0 * (Qc @ R.T)
-        kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-        # shortlist: everything within rounding error of the k-th approximate
-        tol = 1e-9 * (qn + rn.max()) + 1e-12
-        qi, ri = np.nonzero(approx <= (kth + 2 * tol)[:, None])
-        diff = Qc[qi] - R[ri]
-        d = _round9(np.sqrt(np.einsum("ij,ij->i", diff, diff)))
-        order = np.lexsort((r_rank[ri], d, qi))
-        qi, ri, d = qi[order], ri[order], d[order]
-        first = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
-        pos = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
-        keep = pos < kk
-        out_q.append(qi[keep] + s)
-        out_r.append(ri[keep])
-        out_d.append(d[keep])
-    return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
-
-
-MAX_PIVOTS = 1024
-MAX_CELL_ROWS = 20_000  # rows of the cell statistics over all partitions
+SAMPLE = 8192   # vectors (about) whose range the byte grid covers
+STRIP = 256     # queries whose distances to a block are held at once
+SLACK = 4e-9    # rounding of the reported distances
 
 
 def _distances(Q: np.ndarray, P: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,101 +48,122 @@ def _distances(Q: np.ndarray, P: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.sqrt(np.maximum(d2, 0)), err
 
 
-def _matrix(column) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
-
-
-def _assign_cells(r: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """References with the cell of their nearest pivot and the distance to it."""
-    def run(batches):
-        for b in batches:
-            if len(b):
-                d, err = _distances(_matrix(b["_f"]), pivots)
-                cell = d.argmin(1)
-                yield b.assign(_cell=cell.astype(np.int32), _dp=d[np.arange(len(b)), cell] + err)
-
-    schema = T.StructType([*r.schema.fields, T.StructField("_cell", T.IntegerType()), T.StructField("_dp", T.DoubleType())])
-    return r.mapInPandas(run, schema)
-
-
-def _query_cells(q: DataFrame, part: list[str], stats: dict, pivots: np.ndarray, k: int | None,
-                 radius: float | None) -> DataFrame:
-    """One row per query and cell that may hold an answer. ``stats``: partition
-    value -> (cells, counts, radii, k smallest pivot distances per cell)."""
-    between, _ = _distances(pivots, pivots)
-
-    def run(batches):
-        for b in batches:
-            if not len(b):
-                continue
-            d_all, err_all = _distances(_matrix(b["_f"]), pivots)
-            groups = b[part[0]].to_numpy() if part else np.zeros(len(b), int)
-            for g in pd.unique(groups):
-                if g not in stats:
-                    continue
-                cells, counts, radii, nearest = stats[g]
-                rows = np.flatnonzero(groups == g)
-                d, err = d_all[rows], err_all[rows][:, None]
-                dc = d[:, cells]
-                if radius is not None:
-                    bound = np.full((len(rows), 1), radius)
-                elif counts.sum() <= k:
-                    bound = np.full((len(rows), 1), np.inf)
-                else:
-                    upper = (dc[:, :, None] + nearest[None, :, :]).reshape(len(rows), -1)
-                    bound = np.partition(upper, k - 1, axis=1)[:, [k - 1]]
-                home = d.argmin(1)
-                gap = np.maximum(between[home][:, cells], 1e-300)
-                plane = (dc ** 2 - d.min(1)[:, None] ** 2) / (2 * gap)
-                plane = np.where(cells[None, :] == home[:, None], 0.0, plane)
-                low = np.maximum(dc - radii[None, :], plane - err * (1 + 2 * dc / gap))
-                qi, ci = np.nonzero(low <= bound + 4 * err)
-                yield b.iloc[rows[qi]].assign(_cell=cells[ci].astype(np.int32))
-
-    return q.mapInPandas(run, T.StructType([*q.schema.fields, T.StructField("_cell", T.IntegerType())]))
-
-
-def _blocked(q: DataFrame, r: DataFrame, part: list[str], k: int | None, radius: float | None,
-             block_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Query and reference rows dealt to the (cell, block) pairs to be compared."""
-    keys = [*part, "_cell"]
-    n = r.count()
-    n_parts = max(1, r.select(*part).distinct().count()) if part else 1
-    n_pivots = max(1, min(MAX_PIVOTS, MAX_CELL_ROWS // n_parts, math.ceil(math.sqrt(n))))
+def _plain(features: str) -> F.Column:
+    """Doubles without negative zero, so that equal vectors hash alike."""
+    return F.transform(features, lambda x: x.cast("double") + F.lit(0.0)).alias("_f")
+
+
+def _exact(a: str, b: str) -> F.Column:
+    """Rounded distance of two array columns."""
+    d = F.expr(f"sqrt(aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), 0D, (s, v) -> s + v))")
+    scale = float(10 ** DIST_DIGITS)
+    return F.floor(d * scale + 0.5) / scale
+
+
+def _grid(r: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """(lowest value, step) per dimension, from about ``SAMPLE`` reference vectors."""
     few = r.select("_f", F.xxhash64("_f").alias("_h"))
-    if n > 8 * n_pivots:  # cut down by the hash first, so that not every partition sends its candidates
-        few = few.where(F.col("_h") < -(1 << 63) + int(8 * n_pivots / n * (1 << 64)))
-    rows = few.orderBy("_h").limit(n_pivots).select("_f").collect()
+    if n > SAMPLE:
+        few = few.where(F.col("_h") < -(1 << 63) + int(SAMPLE / n * (1 << 64)))
+    rows = few.select("_f").limit(2 * SAMPLE).collect()
+    if not rows:
+        rows = r.select("_f").limit(1).collect()
     if not rows:
-        none = q.limit(0).withColumns({"_cell": F.lit(0), "_rb": F.lit(0), "_qb": F.lit(0)})
-        return none, r.limit(0).withColumns({"_cell": F.lit(0), "_rb": F.lit(0), "_qb": F.lit(0)}), [*keys, "_rb", "_qb"]
-    pivots = np.array([x[0] for x in rows], dtype=np.float64)
-    r = materialize(_assign_cells(r, pivots), "knn-cells")
-    depth = k or 1
-    near = r.withColumn("_o", F.row_number().over(Window.partitionBy(*keys).orderBy("_dp"))).where(F.col("_o") <= depth) \
-        .groupBy(*keys).agg(F.array_sort(F.collect_list("_dp")).alias("_near"))
-    cell = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_dp").alias("_rad"))
-    cell = materialize(same_keys(cell, near, keys), "knn-cell-stats")
-    stats: dict = {}
-    for x in cell.collect():  # at most MAX_CELL_ROWS rows
-        stats.setdefault(x[part[0]] if part else 0, []).append(x)
-    packed = {}
-    for g, xs in stats.items():
-        nearest = np.full((len(xs), depth), np.inf)
-        for i, x in enumerate(xs):
-            nearest[i, :len(x["_near"])] = x["_near"]
-        packed[g] = (np.array([x["_cell"] for x in xs]), np.array([x["_n"] for x in xs]),
-                     np.array([x["_rad"] for x in xs]), nearest)
-    q = materialize(_query_cells(q, part, packed, pivots, k, radius), "knn-queries")
-    blocks = q.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nq"))
-    blocks = materialize(same_keys(cell.select(*keys, "_n"), blocks, keys).select(
-        *keys, F.ceil(F.col("_n") / block_rows).alias("_nrb"), F.ceil(F.col("_nq") / block_rows).alias("_nqb")), "knn-blocks")
-
-    def deal(df, own, other, own_n, other_n):
-        out = same_keys(df, blocks, keys).withColumn(own, F.pmod(F.xxhash64("_qid" if own == "_qb" else "_rid"), F.col(own_n)))
-        return out.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_n) - 1))).drop("_nrb", "_nqb")
-
-    return deal(q, "_qb", "_rb", "_nqb", "_nrb"), deal(r, "_rb", "_qb", "_nrb", "_nqb"), [*keys, "_rb", "_qb"]
+        return None
+    x = np.array([row[0] for row in rows], dtype=np.float64)
+    lo, hi = x.min(0), x.max(0)
+    return lo, np.maximum(hi - lo, 1e-300) / 255
+
+
+def _coded(df: DataFrame, grid: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
+    """Add ``_c``: ``code`` (a byte per dimension on ``grid``; without one, single-precision numbers) and ``e``, the
+    norm of what the code loses."""
+    @F.pandas_udf("code binary, e double")
+    def code(f: pd.Series) -> pd.DataFrame:
+        if not len(f):
+            return pd.DataFrame({"code": [], "e": []})
+        x = np.stack(f.to_numpy()).astype(np.float64)
+        c = x.astype("<f4") if grid is None else np.clip(np.rint((x - grid[0]) / grid[1]), 0, 255).astype(np.uint8)
+        back = c if grid is None else grid[0] + c * grid[1]
+        e = np.sqrt(((x - back) ** 2).sum(1)) * (1 + 1e-12) + 1e-12
+        return pd.DataFrame({"code": [row.tobytes() for row in c], "e": e})
+
+    return df.withColumn("_c", code("_f"))
+
+
+def _strips(q: pd.DataFrame, r: pd.DataFrame, lo, step):
+    """(first query, lower bounds, upper bounds) of strips of queries against a whole block."""
+    Q = np.frombuffer(b"".join(q["code"]), "<f4").reshape(-1, len(lo)).astype(np.float64)
+    R = lo + np.frombuffer(b"".join(r["code"]), np.uint8).reshape(-1, len(lo)) * step
+    eq, er = q["e"].to_numpy(), r["e"].to_numpy()
+    for s in range(0, len(Q), STRIP):
+        d, err = _distances(Q[s:s + STRIP], R)
+        loose = eq[s:s + STRIP, None] + er[None, :] + err[:, None]
+        yield s, d - loose, d + loose
+
+
+def _dealt(q: DataFrame, r: DataFrame, part: list[str], grid, block_rows: int, r_cols: Sequence[str] = ()):
+    """Codes of queries and references, dealt to the pairs of blocks to be compared."""
+    per = [F.count(F.lit(1)).alias("_n")]
+    if part:
+        blocks = same_keys(q.groupBy(*part).agg(*per).withColumnRenamed("_n", "_nq"), r.groupBy(*part).agg(*per), part)
+        blocks = materialize(blocks.select(*part, F.ceil(F.col("_nq") / block_rows).alias("_nqb"),
+                                           F.ceil(F.col("_n") / block_rows).alias("_nrb")), "knn-blocks")
+    else:
+        nq, nr = (max(1, -(-df.count() // block_rows)) for df in (q, r))
+
+    def deal(df, own, other, own_n, other_n, cols):
+        if part:
+            df = same_keys(df, blocks, part)
+        else:
+            df = df.withColumns({"_nqb": F.lit(nq).cast("long"), "_nrb": F.lit(nr).cast("long")})
+        df = df.withColumn(own, F.pmod(F.xxhash64("_k"), F.col(own_n))) \
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_n) - 1)))
+        return df.select(*part, "_qb", "_rb", "_k", F.col("_c.code").alias("code"), F.col("_c.e").alias("e"), *cols)
+
+    keys = [*part, "_qb", "_rb"]
+    return (deal(_coded(q, None), "_qb", "_rb", "_nqb", "_nrb", []).groupBy(*keys)
+            .cogroup(deal(_coded(r, grid), "_rb", "_qb", "_nrb", "_nqb", r_cols).groupBy(*keys)))
+
+
+def _sides(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str, features: str, ref_cols: list[str],
+           part: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(asked rows, distinct queries, references that can matter), the last two written, each row with a key ``_k``."""
+    asked = queries.where(F.col(features).isNotNull()).select(
+        *part, F.col(q_id).alias("_qid"), _plain(features))
+    q = materialize(asked.select(*part, "_f").distinct().withColumn("_k", F.monotonically_increasing_id()), "knn-queries")
+    # one type on both sides: a group's rows must hash alike
+    r = refs.where(F.col(features).isNotNull()).select(
+        *[F.col(p).cast(queries.schema[p].dataType).alias(p) for p in part],
+        F.col(r_id).alias("_rid"), _plain(features), *ref_cols)
+    same = Window.partitionBy(*part, "_f").orderBy("_rid")
+    r = r.withColumn("_o", F.row_number().over(same)).where(F.col("_o") <= k).drop("_o")
+    return asked, q, materialize(r.withColumn("_k", F.monotonically_increasing_id()), "knn-refs")
+
+
+def _candidates(q: DataFrame, r: DataFrame, k: int, part: list[str], block_rows: int) -> DataFrame:
+    """Pairs (``_qk``, ``_rk``) of keys whose exact distance can matter."""
+    schema = "_qk long, _rk long, low double, up double"
+    grid = _grid(r, r.count())
+    if grid is None:
+        return q.limit(0).select(F.col("_k").alias("_qk"), F.col("_k").alias("_rk"))
+
+    def per_block(qb: pd.DataFrame, rb: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(qb) and len(rb):
+            kk = min(k, len(rb)) - 1
+            for s, low, up in _strips(qb, rb, *grid):
+                kth = np.partition(up, kk, axis=1)[:, kk]
+                qi, ri = np.nonzero(low <= kth[:, None] + SLACK)
+                out.append(pd.DataFrame({"_qk": qb["_k"].to_numpy()[qi + s], "_rk": rb["_k"].to_numpy()[ri],
+                                         "low": low[qi, ri], "up": up[qi, ri]}))
+        return pd.concat(out) if out else pd.DataFrame({"_qk": [], "_rk": [], "low": [], "up": []})
+
+    found = _dealt(q, r, part, grid, block_rows).applyInPandas(per_block, schema)
+    mine = Window.partitionBy("_qk")
+    found = found.withColumn("_o", F.row_number().over(mine.orderBy("up"))) \
+        .withColumn("_kth", F.max(F.when(F.col("_o") == k, F.col("up"))).over(mine))
+    return found.where(F.col("_kth").isNull() | (F.col("low") <= F.col("_kth") + SLACK)).select("_qk", "_rk")
 
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str,
@@ -190,42 +175,36 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str,
     if k < 1:
         raise ValueError("k must be at least 1")
     ship_package(queries.sparkSession)
-    ref_cols = list(ref_cols)
-    part = [partition] if partition else []
-    asked = queries.where(F.col(features).isNotNull()).select(
-        *part, F.col(q_id).alias("_qid"), F.col(features).alias("_f"))
-    q = asked.groupBy(*part, "_f").agg(F.min("_qid").alias("_qid")).select(*part, "_qid", "_f")
-    # one type on both sides: a group's rows must hash alike
-    r = refs.where(F.col(features).isNotNull()).select(
-        *[F.col(p).cast(queries.schema[p].dataType).alias(p) for p in part],
-        F.col(r_id).alias("_rid"), F.col(features).alias("_f"), *ref_cols)
-    same = Window.partitionBy(*part, "_f").orderBy("_rid")
-    r = materialize(r.withColumn("_o", F.row_number().over(same)).where(F.col("_o") <= k).drop("_o"), "knn-refs")
-    qc, rc, keys = _blocked(q, r, part, k, None, block_rows)
-
-    extra = [f for f in refs.schema.fields if f.name in ref_cols]
-    schema = T.StructType([
-        *[queries.schema[p] for p in part],
-        T.StructField("_qid", queries.schema[q_id].dataType), T.StructField("_f", queries.schema[features].dataType),
-        T.StructField("_rid", refs.schema[r_id].dataType), T.StructField("dist", T.DoubleType()), *extra])
-
-    def per_block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or rpdf.empty:
-            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
-        qi, ri, d = _block_topk(None, _matrix(qpdf["_f"]), rpdf["_rid"].to_numpy(), _matrix(rpdf["_f"]), k)
-        res = {p: qpdf[p].to_numpy()[qi] for p in part}
-        res |= {"_qid": qpdf["_qid"].to_numpy()[qi], "_f": qpdf["_f"].to_numpy()[qi],
-                "_rid": rpdf["_rid"].to_numpy()[ri], "dist": d}
-        return pd.DataFrame(res | {c: rpdf[c].to_numpy()[ri] for c in ref_cols})
-
-    pairs = qc.groupBy(*keys).cogroup(rc.groupBy(*keys)).applyInPandas(per_block, schema)
-    w = Window.partitionBy(*part, "_f").orderBy("dist", "_rid")
-    top = pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k).drop("_qid")
-    out = same_keys(asked, top, [*part, "_f"]).drop("_f")
+    ref_cols, part = list(ref_cols), [partition] if partition else []
+    asked, q, r = _sides(queries, refs, k, q_id, r_id, features, ref_cols, part)
+    pairs = _candidates(q, r, k, part, block_rows)
+    near = pairs.join(q.select(F.col("_k").alias("_qk"), F.col("_f").alias("_qf"), *part), "_qk") \
+        .join(r.select(F.col("_k").alias("_rk"), F.col("_f").alias("_rf"), "_rid", *ref_cols), "_rk") \
+        .withColumn("dist", _exact("_qf", "_rf")).drop("_rf")
+    w = Window.partitionBy("_qk").orderBy("dist", "_rid")
+    top = near.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    # the asked rows of each distinct query: met by the hash of the vector, then compared
+    top = top.withColumn("_h", F.xxhash64("_qf"))
+    out = same_keys(asked.withColumn("_h", F.xxhash64("_f")), top, [*part, "_h"]).where("_f = _qf")
     cols = [*part, "_qid", "_rid", "dist", *ref_cols, "nn_rank"]
     return out.select(*cols).withColumnRenamed("_qid", q_id).withColumnRenamed("_rid", f"nn_{r_id}" if r_id == q_id else r_id)
 
 
+def pruning(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str, features: str = "features",
+            partition: str | None = None, block_rows: int = 4096) -> DataFrame:
+    """What the approximation saves: one row with the distinct ``n_queries``, the ``n_refs``, all
+    ``n_pairs`` of them and ``n_exact``, the pairs whose exact distance ``knn_join`` computes."""
+    ship_package(queries.sparkSession)
+    part = [partition] if partition else []
+    _, q, r = _sides(queries, refs, k, q_id, r_id, features, [], part)
+    n = [F.count(F.lit(1)).alias("n")]
+    pairs = same_keys(q.groupBy(*part).agg(*n), r.groupBy(*part).agg(F.count(F.lit(1)).alias("m")), part) if part else \
+        q.agg(*n).withColumn("m", F.lit(r.count()).cast("long"))
+    exact = _candidates(q, r, k, part, block_rows).count()
+    return pairs.agg(F.sum("n").alias("n_queries"), F.sum("m").alias("n_refs"),
+                     F.sum(F.col("n") * F.col("m")).alias("n_pairs"), F.lit(exact).cast("long").alias("n_exact"))
+
+
 def vote(neighbours: DataFrame, q_id, label: str, k: int,
          positive=None) -> DataFrame:
     """Uniform-weight vote: ``prediction`` = most frequent label (ties -> the
@@ -260,52 +239,56 @@ def knn_regress(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: st
 
 def fold_sets(df: DataFrame, fold_col: str, k_folds: int, role: str) -> DataFrame:
     """Rows tagged with the CV set(s) they belong to as ``_set``: ``test`` role
-    -> its own fold; ``train`` role -> every other fold."""
+    -> its own fold; ``train`` role -> every other fold; ``both`` -> all folds."""
     if role == "test":
         return df.withColumn("_set", F.col(fold_col))
+    if role == "both":
+        return df.withColumn("_set", F.explode(F.sequence(F.lit(0), F.lit(k_folds - 1))))
     others = F.filter(F.sequence(F.lit(0), F.lit(k_folds - 1)), lambda s: s != F.col(fold_col))
     return df.withColumn("_set", F.explode(others))
 
 
 def radius_aggregate(queries: DataFrame, refs: DataFrame, radius: float, q_id: str, r_id: str,
                      target: str, features: str = "features", block_rows: int = 4096) -> DataFrame:
-    """All references within ``radius`` of each query, reduced in the block
-    task to per-(query, target value) partial counts and sums -- the pairs
-    themselves never leave the task; a ``groupBy`` combines the blocks.
-    Equal (vector, target) references are counted once with their number.
-    Returns ``(q_id, target_value, n, total)`` (``total`` sums the numeric
-    target value)."""
+    """All references within ``radius`` of each query, reduced to ``(q_id, target_value, n,
+    total)`` (``total`` sums the numeric target value). Pairs whose upper bound lies inside the
+    radius are counted in the block task and never leave it; only those that the bounds leave
+    open are compared exactly. Equal (vector, target) references are counted once with their number."""
     ship_package(queries.sparkSession)
-    q = queries.where(F.col(features).isNotNull()).select(F.col(q_id).alias("_qid"), F.col(features).alias("_f"))
-    r = refs.where(F.col(features).isNotNull()).groupBy(F.col(features).alias("_f"), F.col(target).alias("_t")).agg(
-        F.min(r_id).alias("_rid"), F.count(F.lit(1)).alias("_m"))
-    r = materialize(r, "radius-refs")
-    qc, rc, keys = _blocked(q, r, [], None, radius, block_rows)
-    schema = T.StructType([T.StructField("_qid", queries.schema[q_id].dataType),
-                           T.StructField("_t", refs.schema[target].dataType),
-                           T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType())])
-
-    def per_block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
-        if qpdf.empty or rpdf.empty:
-            return none
-        Q, R, out = _matrix(qpdf["_f"]), _matrix(rpdf["_f"]), []
-        for s in range(0, len(Q), 256):
-            d, err = _distances(Q[s:s + 256], R)
-            qi, ri = np.nonzero(d <= radius + 2 * err[:, None])  # shortlist, then exact differences
-            diff = Q[qi + s] - R[ri]
-            ok = _round9(np.sqrt(np.einsum("ij,ij->i", diff, diff))) <= radius
-            out.append(pd.DataFrame({"_qid": qpdf["_qid"].to_numpy()[qi[ok] + s], "_t": rpdf["_t"].to_numpy()[ri[ok]],
-                                     "n": rpdf["_m"].to_numpy()[ri[ok]]}))
-        hits = pd.concat(out)
-        if not len(hits):
-            return none
-        hits["total"] = hits["_t"].astype(float) * hits["n"]
-        return hits.groupby(["_qid", "_t"], sort=False).agg(n=("n", "sum"), total=("total", "sum")).reset_index()
-
-    part = qc.groupBy(*keys).cogroup(rc.groupBy(*keys)).applyInPandas(per_block, schema)
-    return (part.groupBy("_qid", "_t").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-                .withColumnRenamed("_qid", q_id).withColumnRenamed("_t", target))
+    q = queries.where(F.col(features).isNotNull()).select(F.col(q_id).alias("_qid"), _plain(features))
+    r = refs.where(F.col(features).isNotNull()).groupBy(_plain(features), F.col(target).alias("_t")).agg(
+        F.count(F.lit(1)).alias("_m"))
+    q, r = (materialize(df.withColumn("_k", F.monotonically_increasing_id()), name)
+            for df, name in ((q, "radius-queries"), (r, "radius-refs")))
+    schema = T.StructType([T.StructField("_qk", T.LongType()), T.StructField("_rk", T.LongType()),
+                           T.StructField("_t", refs.schema[target].dataType), T.StructField("n", T.LongType())])
+    grid = _grid(r, r.count())
+    if grid is None:
+        none = q.limit(0).select(F.col("_qid").alias(q_id), F.lit(None).cast(refs.schema[target].dataType).alias(target))
+        return none.withColumns({"n": F.lit(0).cast("long"), "total": F.lit(0.0)})
+
+    def per_block(qb: pd.DataFrame, rb: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(qb) and len(rb):
+            qk, rk, t, m = (x.to_numpy() for x in (qb["_k"], rb["_k"], rb["_t"], rb["_m"]))
+            for s, low, up in _strips(qb, rb, *grid):
+                qi, ri = np.nonzero(up <= radius - SLACK)
+                sure = pd.DataFrame({"_qk": qk[qi + s], "_t": t[ri], "n": m[ri]}).groupby(
+                    ["_qk", "_t"], sort=False, dropna=False).agg(n=("n", "sum")).reset_index()
+                out.append(sure.assign(_rk=None))
+                qi, ri = np.nonzero((low <= radius + SLACK) & (up > radius - SLACK))
+                out.append(pd.DataFrame({"_qk": qk[qi + s], "_t": t[ri], "n": m[ri], "_rk": rk[ri]}))
+        frame = pd.concat(out) if out else pd.DataFrame({c: pd.Series([], dtype=object) for c in schema.names})
+        return frame[schema.names].astype({"_rk": "Int64"})
+
+    part = materialize(_dealt(q, r, [], grid, block_rows, ["_t", "_m"]).applyInPandas(per_block, schema), "radius-parts")
+    open_ = part.where("_rk IS NOT NULL").join(q.select(F.col("_k").alias("_qk"), F.col("_f").alias("_qf")), "_qk") \
+        .join(r.select(F.col("_k").alias("_rk"), F.col("_f").alias("_rf")), "_rk").where(_exact("_qf", "_rf") <= radius)
+    hits = part.where("_rk IS NULL").select("_qk", "_t", "n").unionByName(open_.select("_qk", "_t", "n"))
+    per = hits.groupBy("_qk", "_t").agg(F.sum("n").alias("n"))
+    per = per.join(q.select(F.col("_k").alias("_qk"), "_qid"), "_qk").groupBy("_qid", "_t").agg(F.sum("n").alias("n"))
+    return per.withColumn("total", F.col("_t").cast("double") * F.col("n")) \
+              .withColumnRenamed("_qid", q_id).withColumnRenamed("_t", target)
 
 
 def radius_classify(queries, refs, radius, q_id, r_id, label, features="features", **kw) -> DataFrame:

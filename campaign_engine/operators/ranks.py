@@ -2,7 +2,7 @@
 
 Rows are range-partitioned by the order key and written once; the sizes of the
 range partitions (one row each) give every partition its offset, and each
-partition is numbered on its own.
+partition is numbered (or summed) on its own.
 """
 
 from __future__ import annotations
@@ -15,14 +15,18 @@ from ..session import materialize
 
 def global_rank(df: DataFrame, order: list[Column], out: str = "_rank") -> DataFrame:
     """Add the 0-based rank of every row by ``order``, which should identify
-    rows (equal keys share a partition and are numbered in any order)."""
+    rows (equal keys share a partition and are numbered in any order). Rows are
+    shuffled once: each range partition is sorted and numbered as it is written."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = materialize(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "ranked")
-    sizes = cut.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pn"))
+    cut = df.repartitionByRange(n, *order).sortWithinPartitions(*order) \
+            .withColumn("_mid", F.monotonically_increasing_id())  # partition number and place in it
+    cut = materialize(cut, "ranked")
+    pid, place = F.shiftrightunsigned("_mid", 33), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = cut.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_pn"))
     offsets = sizes.withColumn("_off", F.sum("_pn").over(Window.orderBy("_pid")) - F.col("_pn")).drop("_pn")
-    inner = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
-    return (cut.join(offsets, "_pid").withColumn(out, (F.col("_off") + inner - 1).cast("bigint"))
-               .drop("_pid", "_off"))
+    # one small row per range partition: small enough to be sent to every task
+    return (cut.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid")
+               .withColumn(out, (F.col("_off") + place).cast("bigint")).drop("_pid", "_off", "_mid"))
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, out: str) -> DataFrame:
@@ -33,5 +37,5 @@ def running_total(df: DataFrame, order: list[Column], value: str, out: str) -> D
     sizes = cut.groupBy("_pid").agg(F.sum(value).alias("_pn"))
     offsets = sizes.withColumn("_off", F.sum("_pn").over(Window.orderBy("_pid")) - F.col("_pn")).drop("_pn")
     w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (cut.join(offsets, "_pid").withColumn(out, F.col("_off") + F.coalesce(F.sum(value).over(w), F.lit(0)))
+    return (cut.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.coalesce(F.sum(value).over(w), F.lit(0)))
                .drop("_pid", "_off"))

@@ -142,16 +142,21 @@ def cv_folds_stratified(df: DataFrame, key_cols: Sequence[str], label: str, k: i
 
 
 def cv_folds_contiguous(df: DataFrame, key_cols: Sequence[str], k: int = 5,
-                        seed: int = 2025, fold_col: str = "fold") -> DataFrame:
-    """K-fold in contiguous blocks over hash order: the first n mod k folds
+                        seed: int = 2025, fold_col: str = "fold",
+                        order_cols: Sequence[str] | None = None) -> DataFrame:
+    """K-fold in contiguous blocks over the order of ``order_cols`` (nulls first, which should
+    identify rows, such as a file position) or, without them, over hash order: the first n mod k folds
     hold floor(n/k)+1 rows, the rest floor(n/k)."""
     if k < 2:
         raise ValueError("k must be at least 2")
     n = df.count()
     base, extra = divmod(n, k)
-    hashed = _with_hash(df, key_cols, seed)
-    ranked = hash_ranks(hashed, [], "_h60", "_h", "_rk")
+    if order_cols:
+        require_columns(df, order_cols, "contiguous folds")
+        ranked = global_rank(df, [F.col(c).asc_nulls_first() for c in order_cols], "_rk")
+    else:
+        ranked = hash_ranks(_with_hash(df, key_cols, seed), [], "_h60", "_h", "_rk").drop("_h", "_h60")
     big = (base + 1) * extra
     fold = F.when(F.col("_rk") < big, F.floor(F.col("_rk") / (base + 1))) \
             .otherwise(F.lit(extra) + F.floor((F.col("_rk") - big) / max(base, 1)))
-    return ranked.withColumn(fold_col, fold.cast("bigint")).drop("_h", "_h60", "_rk")
+    return ranked.withColumn(fold_col, fold.cast("bigint")).drop("_rk")

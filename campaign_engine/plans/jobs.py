@@ -38,10 +38,11 @@ def _embedder(spark, args):
 
 
 def ingest(spark, args) -> str:
-    df = ds.scan_csv(spark, args.data_path)
+    order = getattr(args, "order_columns", None)
+    position = None if args.shuffle or order else "_position"  # an unshuffled split keeps the order of the file
+    df = ds.scan_csv(spark, args.data_path, position=position)
     return ds.ingest(df, args.store, getattr(args, "key_columns", ["campaign_id"]), args.test_size, args.random_state,
-                     args.stratify_variable, args.shuffle, order_cols=getattr(args, "order_columns", None),
-                     source=args.data_path)
+                     args.stratify_variable, args.shuffle, order_cols=order, source=args.data_path, position=position)
 
 
 def preprocess(spark, args) -> str:
@@ -71,7 +72,7 @@ def preprocess(spark, args) -> str:
 
 
 def train(spark, args) -> str:
-    tr = ds.read_dataset(spark, args.store, args.dataset_uid, "train").withColumnRenamed("campaign_id", "id")
+    tr = ds.read_dataset(spark, args.store, args.dataset_uid, "train", position="_position").withColumnRenamed("campaign_id", "id")
     te = ds.read_dataset(spark, args.store, args.dataset_uid, "test").withColumnRenamed("campaign_id", "id")
     kind = models.kind_of(args.model_type)
     if args.predictor_variables:
@@ -79,11 +80,12 @@ def train(spark, args) -> str:
         wanted = predictor_names(args.predictor_variables)
         tr = feat.select_by_name(tr, wanted, row["column_order"])
         te = feat.select_by_name(te, wanted, row["column_order"])
-    # like the usual cross-validation: stratified folds for classes, contiguous ones for numbers
+    # like the usual cross-validation: stratified folds for classes, contiguous ones (in file order) for numbers
     if args.cv > 1 and kind == "classifier":
         tr = materialize(splits.cv_folds_stratified(tr, ["id"], args.target_variable, args.cv, 2025), "folds")
     elif args.cv > 1:
-        tr = materialize(splits.cv_folds_contiguous(tr, ["id"], args.cv, 2025), "folds")
+        tr = materialize(splits.cv_folds_contiguous(tr, ["id"], args.cv, order_cols=["_position"]), "folds")
+    tr = tr.drop("_position")
     positive = 1 if kind == "classifier" else None
     weight = None
     if args.include_sample_weight:  # the train split's class weights, as registered
@@ -137,7 +139,7 @@ def augment(spark, args) -> str:
         .withColumn("conversion_probability", F.col("probability").cast("double"))
     out = pred.withColumn("features", F.concat("features", F.array("conversion_probability")))
     order = ds.resolve(spark, args.store, args.dataset_uid, "train")["column_order"] or []
-    given = {"model_uri": args.model_uri, "dataset_uid": args.dataset_uid, "stage": "augment"}
+    given = {k: v for k, v in vars(args).items() if v is not None and not callable(v)} | {"stage": "augment"}
     uid = ds.write_dataset(out.select(F.col("id").alias("campaign_id"), "CPA", "convert", "features", "split_type"),
                            args.store, parent_uid=args.dataset_uid,
                            column_order=list(order) + ["conversion_probability"], metadata=given)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import encoders as enc
 from ..operators import features as feat
 from ..operators import splits, stats
-from ..operators.embed import embed_distinct, rank_map
+from ..operators.embed import EmbeddingMemo, embed_distinct, hashing_embedder, hashing_model, rank_map
+from ..session import materialize, scratch_path
 from ..sources.tables import read_table
 from . import oracle_sql as O
 from .registry import SEED, TEST, base, derived, r, register
@@ -147,6 +148,50 @@ def q_assemble_features(spark, sf):
                       r(emb_sum("features"), 4).alias("f_sum"))
 
 
+HASH_DIM = 16
+_HASH_CTES = [
+    "hv AS (SELECT DISTINCT coalesce(category_id, '') AS value FROM ads)",
+    "ht AS (SELECT value, md5(t) AS h FROM (SELECT value, unnest(regexp_extract_all(lower(value), '[^ ]+')) AS t FROM hv))",
+    f"hx AS (SELECT value, {O.hex_long('h', 8)} % {HASH_DIM} AS i, CASE WHEN substr(h, 9, 1) < '8' THEN 1.0 ELSE -1.0 END AS s FROM ht)",
+    "hc AS (SELECT value, i, CAST(sum(s) AS DOUBLE) AS x FROM hx GROUP BY value, i)",
+    "hn AS (SELECT value, sqrt(sum(x * x)) AS nrm FROM hc GROUP BY value)",
+    "he AS (SELECT hc.value, sum(CASE WHEN nrm > 0 THEN (i + 1) * x / nrm ELSE 0 END) AS mark FROM hc JOIN hn USING (value) GROUP BY hc.value)",
+]
+
+
+def _mark(c):
+    """Sum of place times value: tells vectors apart where a plain sum would not."""
+    return F.aggregate(F.transform(F.col(c), lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+
+
+@register("embed_model", O.with_base(
+    f"SELECT a.campaign_id, CAST({HASH_DIM} AS BIGINT) AS emb_dim, round(mark, 6) AS mark "
+    "FROM ads a JOIN he ON coalesce(a.category_id, '') = he.value", *_HASH_CTES))
+def q_embed_model(spark, sf):
+    """Embeddings from a model (loaded once per worker) that sees each distinct value once."""
+    out = embed_distinct(base(spark, sf), "category_id", hashing_model(HASH_DIM))
+    return out.select("campaign_id", F.size("category_id_embedding").cast("bigint").alias("emb_dim"),
+                      r(_mark("category_id_embedding")).alias("mark"))
+
+
+@register("embed_memo", O.with_base(
+    "SELECT hv.value, substr(md5(hv.value), 1, 1) < '8' AS was_known, "
+    "round(CASE WHEN substr(md5(hv.value), 1, 1) < '8' THEN 2 ELSE 1 END * mark, 6) AS mark FROM hv JOIN he USING (value)",
+    *_HASH_CTES))
+def q_embed_memo(spark, sf):
+    """A memo that knows part of the values (with vectors of its own, here twice the model's): the
+    model runs for the others only, and the written memo holds every value once."""
+    memo = EmbeddingMemo(scratch_path(spark, "memo"), hashing_embedder(HASH_DIM))
+    rows = base(spark, sf)
+    known = rows.select(F.coalesce("category_id", F.lit("")).alias("value")).distinct() \
+        .where(F.substring(F.md5("value"), 1, 1) < "8")
+    known = embed_distinct(known, "value", memo.model, "embedding")
+    memo.add(known.select("value", F.transform("embedding", lambda x: 2 * x).alias("embedding")))
+    embed_distinct(rows, "category_id", memo)
+    out = spark.read.parquet(memo.path)  # as it was written, not as readers reduce it
+    return out.select("value", (F.substring(F.md5("value"), 1, 1) < "8").alias("was_known"), r(_mark("embedding")).alias("mark"))
+
+
 @register("assemble_two_embeddings", O.with_base(
     "SELECT f.campaign_id, CAST(5 + len(f.emb) + len(m.emb) AS BIGINT) AS n_features, round(m.emb[1], 6) AS second_first "
     "FROM feat f JOIN derived d USING (campaign_id) LEFT JOIN embmap2 m ON coalesce(d.category_id, '') = m.value", *_FEAT_SQL,
@@ -242,6 +287,8 @@ def request_features(spark, sf):
     the train split only (no leakage)."""
     d = derived(spark, sf)
     tagged = splits.split_shuffled(d, ["campaign_id"], TEST, SEED)
+    # encoders, record and requests all read the split: hashed and compared once
+    tagged = materialize(tagged.select("campaign_id", *CATS, "industry", "CPC", "split_type"), "requests-split")
     train = tagged.where(F.col("split_type") == "train")
     test = tagged.where(F.col("split_type") == "test")
     e = enc.fit_encoders(train, CATS, "frequency")

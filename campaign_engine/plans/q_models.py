@@ -73,6 +73,16 @@ def q_knn_regress(spark, sf):
     return _regress(spark, sf).select("vec_id", r("prediction").alias("prediction"))
 
 
+@register("knn_pruning", O.with_base(
+    "SELECT (SELECT count(*) FROM eq) AS n_queries, (SELECT count(*) FROM er) AS n_refs, "
+    "(SELECT count(*) FROM eq) * (SELECT count(*) FROM er) AS n_pairs, true AS few_exact", *_NN_CTES[:2]))
+def q_knn_pruning(spark, sf):
+    """Of all pairs, at most one in twenty needs its exact distance."""
+    q, ref = emb_sets(spark, sf)
+    p = knn.pruning(q, ref, K, "vec_id", "vec_id")
+    return p.select("n_queries", "n_refs", "n_pairs", (20 * F.col("n_exact") <= F.col("n_pairs")).alias("few_exact"))
+
+
 _CLS_SQL = [
     *_NN_CTES,
     "cls AS (SELECT c FROM (SELECT qlabel AS c FROM pred UNION SELECT prediction FROM pred))",
@@ -115,24 +125,21 @@ def q_regression_metrics(spark, sf):
 def cv_accuracy(spark, sf, ks=(K,)):
     """Per fold and k: test accuracy (fold rows vs the other folds) and train
     accuracy (other-fold rows vs themselves, each row its own neighbour). One
-    kNN join at max(ks) per role; smaller k reuse its ranks."""
+    kNN join at max(ks) for both roles; smaller k reuse its ranks."""
     pts = cv_folds(emb_points(spark, sf), ["vec_id"], FOLDS, SEED)
-    kmax = max(ks)
+    qs, rs = (knn.fold_sets(pts, "fold", FOLDS, role) for role in ("both", "train"))
+    nn = materialize(knn.knn_join(qs, rs, max(ks), "vec_id", "vec_id", "features", ["label"], partition="_set"), "cv-neighbours")
+    role = F.when(F.col("fold") == F.col("_set"), "test").otherwise("train").alias("split")
+    truth = qs.select("_set", "vec_id", role, F.col("label").alias("true_label"))
     out = None
-    for role, qrole in (("test", "test"), ("train", "train")):
-        qs = knn.fold_sets(pts, "fold", FOLDS, qrole)
-        rs = knn.fold_sets(pts, "fold", FOLDS, "train")
-        nn = knn.knn_join(qs, rs, kmax, "vec_id", "vec_id", "features", ["label"], partition="_set")
-        nn = materialize(nn, "cv-neighbours")
-        truth = qs.select("_set", "vec_id", F.col("label").alias("true_label"))
-        for k in ks:
-            pred = knn.vote(nn.where(F.col("nn_rank") <= k), ["_set", "vec_id"], "label", k)
-            acc = (pred.join(truth, ["_set", "vec_id"])
-                   .groupBy(F.col("_set").alias("fold"))
-                   .agg(F.avg((F.col("prediction") == F.col("true_label")).cast("double")).alias("value"))
-                   .select(F.col("fold").cast("bigint").alias("fold"), F.lit(role).alias("split"),
-                           F.lit("accuracy").alias("metric"), F.lit(k).cast("bigint").alias("k"), "value"))
-            out = acc if out is None else out.unionByName(acc)
+    for k in ks:
+        pred = knn.vote(nn.where(F.col("nn_rank") <= k), ["_set", "vec_id"], "label", k)
+        acc = (pred.join(truth, ["_set", "vec_id"])
+               .groupBy(F.col("_set").alias("fold"), "split")
+               .agg(F.avg((F.col("prediction") == F.col("true_label")).cast("double")).alias("value"))
+               .select(F.col("fold").cast("bigint").alias("fold"), "split",
+                       F.lit("accuracy").alias("metric"), F.lit(k).cast("bigint").alias("k"), "value"))
+        out = acc if out is None else out.unionByName(acc)
     return out
 
 
@@ -334,6 +341,39 @@ def q_nearest_centroid(spark, sf):
     return m.predict(test).select(F.col("id").alias("vec_id"), F.col("prediction").cast("bigint").alias("prediction"))
 
 
+_LINEAR = [("LinearRegression", {}), ("Ridge", {"alpha": 0.0}), ("Lasso", {"alpha": 0.0}), ("ElasticNet", {"alpha": 0.0}),
+           ("TweedieRegressor", {"power": 0.0})]
+
+
+@register("linear_models", O.with_base(" UNION ALL ".join(
+    f"SELECT '{name}' AS model, vec_id, round(a + b * x, 4) AS prediction FROM lq, lfit" for name, _ in _LINEAR),
+    f"lr AS (SELECT CAST(label AS DOUBLE) AS y, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings WHERE {_FOLD} <> 0)",
+    f"lq AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings WHERE {_FOLD} = 0)",
+    "lfit AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM lr)"))
+def q_linear_models(spark, sf):
+    """The linear family without a penalty on one predictor: all give the least-squares line."""
+    train, test = (df.withColumn("features", F.slice("features", 1, 1)) for df in _split_points(spark, sf))
+    out = []
+    for name, params in _LINEAR:
+        m = M.fit(name, train, "label", id_col="id", params=params)
+        out.append(m.predict(test).select(F.lit(name).alias("model"), F.col("id").alias("vec_id"),
+                                          r("prediction", 4).alias("prediction")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("boosting_classes", O.with_base(
+    f"SELECT count(*) AS n_rows, true AS learns, true AS shares_ok FROM embeddings WHERE {_FOLD} = 0"))
+def q_boosting_classes(spark, sf):
+    """Boosting over the ten labels, one class against the rest: fits its train rows at least twice as well as
+    chance (the labels do not follow from the vectors, so held-out rows cannot be told)."""
+    train, test = _split_points(spark, sf)
+    m = M.fit("GradientBoostingClassifier", train, "label", id_col="id", params={"maxIter": 3, "maxDepth": 3}, n_jobs=4)
+    p = materialize(m.predict(test).select("label", "prediction", "probability"), "boosted")
+    right = M.evaluate(m, train, "label", "accuracy")
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(right >= 0.2).alias("learns"),
+                 (F.min("probability").between(0, 1) & F.max("probability").between(0, 1)).alias("shares_ok"))
+
+
 @register("train_cv_catalogue")
 def q_train_cv_catalogue(spark, sf):
     """Cross-validated training of a catalogue model (first-fold estimator)."""

@@ -40,7 +40,7 @@ def r(c, d: int = 6):
 _TABLES: dict[tuple, str] = {}
 
 
-def _materialised(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+def once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     """Build a table once per session and scale, write it as Parquet to the
     shared scratch folder, and serve every later query from that table (the
     derive-once/reuse pattern; the file is the lineage cut)."""
@@ -58,12 +58,12 @@ def _materialised(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
 
 def base(spark: SparkSession, sf: str) -> DataFrame:
     """Campaign rows (the ``ads`` view over the driver tables), normalised."""
-    return _materialised(spark, sf, "ads", lambda: normalise(ads(spark, sf)))
+    return once(spark, sf, "ads", lambda: normalise(ads(spark, sf)))
 
 
 def derived(spark: SparkSession, sf: str) -> DataFrame:
     """Campaign rows with CPA (median fill over the whole table), CPC, convert."""
-    return _materialised(spark, sf, "derived", lambda: metrics.derive_all(base(spark, sf)))
+    return once(spark, sf, "derived", lambda: metrics.derive_all(base(spark, sf)))
 
 
 SEED, TEST = O.SEED, O.TEST_SIZE

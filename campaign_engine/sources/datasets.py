@@ -1,9 +1,11 @@
 """Datasets and their registry.
 
-A dataset is a Parquet (or CSV) directory ``<root>/<uid>/split_type=<s>``; the
-registry is an append-only Parquet table ``<root>/_registry`` with one row per
-(uid, split) holding lineage ids, split parameters, column order and
-position map, class weights and free-form metadata. Lookups are filters on the
+A dataset is a directory ``<root>/<uid>/<commit>/split_type=<s>`` (Parquet, CSV or array
+bundles); the registry is an append-only Parquet table ``<root>/_registry`` with one row per
+(uid, split, commit) holding lineage ids, split parameters, column order and
+position map, class weights and free-form metadata. Every write is a commit with the next
+version of its uid: readers see the latest version, and of two writers that take the same
+version at once at most one goes through. Lookups are filters on the
 registry (pushed down to the scan); file listings come from the
 ``binaryFile`` source with the content column pruned.
 """
@@ -17,12 +19,15 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import CAMPAIGN_SCHEMA, normalise
+from ..operators.ranks import global_rank
 from ..operators.splits import SPLIT_COL, split_ordered, split_shuffled
+from ..schema import CAMPAIGN_SCHEMA, normalise
+from ..session import settle
+from .npz import read_npz, write_npz
 
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("uid", T.StringType()), T.StructField("parent_uid", T.StringType()),
@@ -36,6 +41,8 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("column_position_map", T.MapType(T.StringType(), T.IntegerType())),
     T.StructField("class_weight", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("version", T.LongType()), T.StructField("commit", T.StringType()),
+    T.StructField("aborted", T.BooleanType()),
 ])
 
 META_PREFIX = "x-amz-meta-"
@@ -45,15 +52,26 @@ def new_uid() -> str:
     return str(uuid.uuid4())
 
 
+def file_position(df: DataFrame, out: str = "row_position") -> DataFrame:
+    """Add the 0-based position of every row in the order of the files: by path, then by place
+    in the file. ``df`` must be a plain file scan (Parquet, CSV, text, ...). Rows of one block of a file are
+    read in order by one task, so (path, block start, id inside the task) orders them; the rank over
+    all files is taken over range partitions."""
+    keyed = df.select("*", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_fb"),
+                      F.monotonically_increasing_id().alias("_fi"))
+    return global_rank(keyed, [F.col("_fp"), F.col("_fb"), F.col("_fi")], out).drop("_fp", "_fb", "_fi")
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType = CAMPAIGN_SCHEMA,
-             header: bool = True) -> DataFrame:
+             header: bool = True, options: Mapping[str, str] | None = None, position: str | None = None) -> DataFrame:
     """CSV with a declared schema, bound by header name (without a header by
     position). Every column is read as text and cast, so the column order of
     the file does not matter; columns that the schema lacks are kept as text.
     Ids arrive as strings, NaN as NULL. A missing path, absent columns, and a
     value that its declared type cannot hold raise ValueError (the last one
-    as the job runs)."""
-    reader = spark.read.option("header", header).option("mode", "FAILFAST")
+    as the job runs). ``options`` go to the reader (and so to the file system); ``position``
+    names a column for the row's place in the files (see ``file_position``)."""
+    reader = spark.read.option("header", header).option("mode", "FAILFAST").options(**(options or {}))
     try:
         df = reader.csv(path) if header else reader.schema(T.StructType(
             [T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
@@ -62,6 +80,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = CAMPAIGN_SCH
     absent = [f.name for f in schema.fields if f.name not in df.columns]
     if absent:
         raise ValueError(f"{path} lacks the columns {absent}; it has {df.columns}")
+    if position:
+        df = file_position(df, position)
 
     def typed(f):
         c = F.trim(F.col(f.name))
@@ -82,29 +102,32 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = CAMPAIGN_SCH
 
 
 def scan_csv_store(spark: SparkSession, path: str, access_key: str | None = None, secret_key: str | None = None,
-                   endpoint: str | None = None, **kw) -> DataFrame:
-    """``scan_csv`` from an object store (``s3a://``, ``gs://``, ...): credentials
-    given here, or already in the session's Hadoop settings; ValueError when
-    one of the pair is missing. The connector itself comes with the cluster."""
+                   endpoint: str | None = None, options: Mapping[str, str] | None = None, **kw) -> DataFrame:
+    """``scan_csv`` from an object store (``s3a://``, ``gs://``, ...). Keys given here (and any ``fs.*``
+    settings in ``options``) reach the connector as options of this one reader: the session's settings
+    never hold them. Without keys, those of the session or the cluster apply; ValueError when
+    one of the pair is missing, or an ``s3a`` path has none at all. The connector itself comes with the cluster."""
     if (access_key is None) != (secret_key is None):
         raise ValueError("an access key needs its secret key, and the other way round")
+    given = dict(options or {})
     if access_key is not None:
-        spark.conf.set("spark.hadoop.fs.s3a.access.key", access_key)
-        spark.conf.set("spark.hadoop.fs.s3a.secret.key", secret_key)
-    elif path.startswith("s3a://") and not spark.conf.get("spark.hadoop.fs.s3a.access.key", None) \
-            and not spark.conf.get("spark.hadoop.fs.s3a.aws.credentials.provider", None):
-        raise ValueError("no object-store credentials: pass keys or set spark.hadoop.fs.s3a.*")
+        given |= {"fs.s3a.access.key": access_key, "fs.s3a.secret.key": secret_key,
+                  "fs.s3a.aws.credentials.provider": "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider"}
     if endpoint:
-        spark.conf.set("spark.hadoop.fs.s3a.endpoint", endpoint)
-    return scan_csv(spark, path, **kw)
+        given["fs.s3a.endpoint"] = endpoint
+    settings = ("fs.s3a.access.key", "fs.s3a.aws.credentials.provider")
+    if path.startswith("s3a://") and not any(k in given or spark.conf.get(f"spark.hadoop.{k}", None) for k in settings):
+        raise ValueError("no object-store credentials: pass keys or set spark.hadoop.fs.s3a.*")
+    return scan_csv(spark, path, options=given, **kw)
 
 
 def registry_path(root: str) -> str:
     return os.path.join(root, "_registry")
 
 
-def registry(spark: SparkSession, root: str) -> DataFrame:
-    """The registry table (empty before the first dataset); other read failures raise."""
+def registry_log(spark: SparkSession, root: str) -> DataFrame:
+    """Every registry row ever appended, aborted commits included (empty before the first dataset);
+    other read failures raise."""
     try:
         return spark.read.schema(REGISTRY_SCHEMA).parquet(registry_path(root))
     except AnalysisException as e:
@@ -113,9 +136,74 @@ def registry(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 
 
-def _register(spark: SparkSession, root: str, rows: list[dict]) -> None:
-    full = [{f.name: r.get(f.name) for f in REGISTRY_SCHEMA.fields} for r in rows]
-    spark.createDataFrame(full, REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(registry_path(root))
+def _committed(log: DataFrame) -> DataFrame:
+    rows = log.where("NOT coalesce(aborted, false)")
+    return rows.join(log.where("aborted").select("commit").distinct(), "commit", "left_anti").select(*log.columns)
+
+
+def registry(spark: SparkSession, root: str) -> DataFrame:
+    """The registry: of every (uid, split) the rows of its latest version, without aborted commits. (Two rows of one
+    (uid, split) are an unsettled conflict of two writers, which ``resolve`` reports.)"""
+    rows = _committed(registry_log(spark, root))
+    latest = F.max(F.coalesce("version", F.lit(0))).over(Window.partitionBy("uid", "split_type"))
+    return rows.withColumn("_latest", latest).where(F.coalesce("version", F.lit(0)) == F.col("_latest")).drop("_latest")
+
+
+def _register(spark: SparkSession, root: str, rows: list[dict], commit: str) -> None:
+    """Append the rows of one commit as the next version of their uid, then look again: if another commit
+    took the same version meanwhile, this one is marked as aborted and ValueError is raised. Whoever
+    has seen no other may go on, since any later writer sees its rows."""
+    uid = rows[0]["uid"]
+
+    def mine(df):
+        return df.where(F.col("uid") == uid)
+
+    def append(aborted: bool) -> None:
+        full = [{f.name: r.get(f.name) for f in REGISTRY_SCHEMA.fields}
+                | {"version": version, "commit": commit, "aborted": aborted} for r in rows]
+        spark.createDataFrame(full, REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(registry_path(root))
+
+    version = (mine(registry_log(spark, root)).agg(F.max("version")).first()[0] or 0) + 1
+    append(aborted=False)
+    rival = _committed(mine(registry_log(spark, root))).where((F.col("version") == version) & (F.col("commit") != commit))
+    if not rival.isEmpty():
+        append(aborted=True)
+        raise ValueError(f"dataset {uid!r} was registered by another writer at the same time")
+
+
+def lineage(spark: SparkSession, root: str, uid: str, max_depth: int = 100) -> DataFrame:
+    """The dataset and all its ancestors over ``parent_uid``: ``uid``, ``parent_uid``, ``depth`` (0 for itself) and
+    ``n_rows`` (of all its splits). A cycle and a chain beyond ``max_depth`` raise; a parent that is
+    not registered is where the chain ends."""
+    reg = registry(spark, root).groupBy("uid").agg(F.max("parent_uid").alias("parent_uid"), F.sum("n_rows").alias("n_rows"))
+    found = spark.sql("""
+        WITH RECURSIVE up MAX RECURSION LEVEL {deep} AS (
+          SELECT uid, parent_uid, n_rows, 0 AS depth, array(uid) AS path FROM {reg} WHERE uid = {uid}
+          UNION ALL
+          SELECT r.uid, r.parent_uid, r.n_rows, up.depth + 1,
+                 CASE WHEN array_contains(up.path, r.uid) THEN raise_error(concat('cycle in the lineage at ', r.uid))
+                      ELSE concat(up.path, array(r.uid)) END
+          FROM up JOIN {reg} r ON r.uid = up.parent_uid)
+        SELECT uid, parent_uid, depth, n_rows FROM up""".replace("{deep}", str(int(max_depth))),
+                      reg=settle(reg), uid=uid)
+    if found.isEmpty():
+        raise ValueError(f"no dataset with uid={uid!r} in {root}")
+    return found
+
+
+_JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}  # to the microsecond, as timestamps are kept
+
+
+def registry_json(reg: DataFrame) -> DataFrame:
+    """Registry rows as JSON documents, ``(uid, split_type, document)``; nulls are left out."""
+    return reg.select("uid", "split_type", F.to_json(
+        F.struct(*[f.name for f in REGISTRY_SCHEMA.fields]), _JSON_TIME).alias("document"))
+
+
+def registry_from_json(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Typed registry rows from their documents; a malformed document raises."""
+    row = F.from_json(column, REGISTRY_SCHEMA, {"mode": "FAILFAST", **_JSON_TIME})
+    return documents.select(row.alias("_r")).select("_r.*")
 
 
 def column_position_map(names: Sequence[str]) -> dict[str, int]:
@@ -135,25 +223,31 @@ def write_dataset(df: DataFrame, root: str, uid: str | None = None, split_col: s
                   params: Mapping | None = None, column_order: Sequence[str] | None = None,
                   class_weight: Mapping[str, float] | None = None,
                   metadata: Mapping[str, str] | None = None) -> str:
-    """Write ``df`` (partitioned by ``split_col`` when present) and append one
-    registry row per split. Returns the dataset uid."""
+    """Write ``df`` (one folder per value of ``split_col`` when present) in a folder of this commit and
+    append one registry row per split. ``fmt``: parquet, csv or npz (array bundles). Writing to a
+    known ``uid`` makes a new version of it. Returns the dataset uid."""
     spark = df.sparkSession
-    uid = uid or new_uid()
-    path = os.path.join(root, uid)
-    w = df.write.mode("overwrite")
+    uid, commit = uid or new_uid(), uuid.uuid4().hex
+    path = os.path.join(root, uid, commit[:12])
     splits_present = split_col and split_col in df.columns
-    if splits_present:
-        w = w.partitionBy(split_col)
-    if fmt == "csv":
-        w.option("header", True).csv(path)
-    else:
-        w.parquet(path)
-    reread = spark.read.format(fmt).option("header", True).load(path) if fmt == "csv" else spark.read.parquet(path)
     stored = T.StructType([f for f in df.schema.fields if not splits_present or f.name != split_col])
-    if splits_present:
-        counts = {r[split_col]: r["count"] for r in reread.groupBy(split_col).count().collect()}
+    if fmt == "npz":  # a bundle has no partition folders of its own
+        names = [r[0] for r in df.select(split_col).distinct().collect()] if splits_present else ["all"]
+        counts = {}
+        for s in names:
+            at = os.path.join(path, f"{split_col}={s}") if splits_present else path
+            write_npz(df.where(F.col(split_col) == s).drop(split_col) if splits_present else df, at)
+            counts[s] = read_npz(spark, at, columns=stored.names[:1]).count()
     else:
-        counts = {"all": reread.count()}
+        w = df.write.mode("overwrite")
+        if splits_present:
+            w = w.partitionBy(split_col)
+        w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path)
+        reread = spark.read.format(fmt).option("header", True).load(path) if fmt == "csv" else spark.read.parquet(path)
+        if splits_present:
+            counts = {r[split_col]: r["count"] for r in reread.groupBy(split_col).count().collect()}
+        else:
+            counts = {"all": reread.count()}
     p = dict(params or {})
     order = list(column_order) if column_order is not None else None
     rows = []
@@ -169,21 +263,24 @@ def write_dataset(df: DataFrame, root: str, uid: str | None = None, split_col: s
             "class_weight": {str(k): float(v) for k, v in (class_weight or {}).items()} or None,
             "metadata": {str(k): str(v) for k, v in (metadata or {}).items()} or None,
         })
-    _register(spark, root, rows)
+    _register(spark, root, rows, commit)
     return uid
 
 
 def ingest(df: DataFrame, root: str, key_cols: Sequence[str], test_size: float = 0.2,
            random_state: int = 2025, stratify: str | None = None, shuffle: bool = False,
-           order_cols: Sequence[str] | None = None, source: str | None = None) -> str:
+           order_cols: Sequence[str] | None = None, source: str | None = None, position: str | None = None) -> str:
     """Split (hash-shuffled, stratified, or ordered when ``shuffle`` is off)
-    and write train/test with their provenance."""
+    and write train/test with their provenance. Without ``order_cols``, an ordered split goes by the column
+    ``position`` (a file position, which is not written) or else by the key."""
     if stratify and not shuffle:
         raise RuntimeError("Stratified train/test split is not implemented for shuffle=False")
     if shuffle:
         tagged = split_shuffled(df, key_cols, test_size, random_state, stratify)
     else:
-        tagged = split_ordered(df, list(order_cols or key_cols), test_size)
+        tagged = split_ordered(df, list(order_cols or ([position] if position else key_cols)), test_size)
+    if position:
+        tagged = tagged.drop(position)
     params = {"random_state": random_state, "test_size": test_size,
               "stratify_variable": stratify, "shuffle": shuffle}
     meta = {"data_filepath": source} if source else None
@@ -191,23 +288,32 @@ def ingest(df: DataFrame, root: str, key_cols: Sequence[str], test_size: float =
 
 
 def resolve(spark: SparkSession, root: str, uid: str, split_type: str):
-    """The registry row of (uid, split); a missing one raises ValueError."""
+    """The latest registry row of (uid, split); a missing one raises ValueError, and so do two of one version."""
     rows = (registry(spark, root).where((F.col("uid") == uid) & (F.col("split_type") == split_type))
-            .limit(1).collect())
+            .limit(2).collect())
     if not rows:
         raise ValueError(f"no dataset with uid={uid!r} and split_type={split_type!r} in {root}")
+    if len(rows) > 1:
+        raise ValueError(f"two writers registered uid={uid!r} and split_type={split_type!r} in {root}")
     return rows[0]
 
 
 def read_dataset(spark: SparkSession, root: str, uid: str, split_type: str,
-                 columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows of one split; ``columns`` prunes the scan (bundle-style access)."""
+                 columns: Sequence[str] | None = None, position: str | None = None) -> DataFrame:
+    """Rows of one split; ``columns`` prunes the scan (bundle-style access), ``position`` names a
+    column for the row's place in the files."""
     row = resolve(spark, root, uid, split_type)
+    if row["format"] == "npz":
+        if position:
+            raise ValueError("bundles carry no file positions")
+        return read_npz(spark, row["path"], columns)
     if row["format"] == "csv":
         df = spark.read.schema(T.StructType.fromJson(json.loads(row["schema"]))).option("header", True) \
             .option("mode", "FAILFAST").csv(row["path"])
     else:
         df = spark.read.parquet(row["path"])
+    if position:
+        df, columns = file_position(df, position), [*columns, position] if columns else None
     return df.select(*columns) if columns else df
 
 
@@ -215,7 +321,7 @@ def list_datasets(spark: SparkSession, root: str) -> DataFrame:
     """Every data file under ``root`` with its size and modification time,
     joined to the registry on (uid, split)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.{parquet,csv}").load(root)
+             .option("pathGlobFilter", "*.{parquet,csv,npz}").load(root)
              .select("path", "modificationTime", "length"))
     files = files.where(~F.col("path").contains("/_registry/"))
     files = files.withColumn("uid", F.regexp_extract("path", r"/([0-9a-f\-]{36})/", 1)) \

@@ -82,3 +82,60 @@ def test_partitions_of_unlike_types_meet(spark):
         ids = list(range(s, 200, 5))
         want = _brute(X[ids], ids, X[ids], ids, 3)
         assert {i: got[i] for i in ids} == want
+
+
+def _frame(spark, X, first, id_name, **cols):
+    names = list(cols)
+    rows = [(first + i, x.tolist(), *(cols[c][i] for c in names)) for i, x in enumerate(X)]
+    return spark.createDataFrame(rows, f"{id_name} long, features array<double>" + "".join(f", {c} long" for c in names))
+
+
+def test_few_exact_distances_at_64_dimensions(spark):
+    rng = np.random.default_rng(1)
+    R, Q = (X / np.linalg.norm(X, axis=1, keepdims=True) for X in (rng.normal(size=(3000, 64)), rng.normal(size=(200, 64))))
+    refs, qs = _frame(spark, R, 0, "rid"), _frame(spark, Q, 10000, "qid")
+    got = {}
+    for r in knn.knn_join(qs, refs, 5, "qid", "rid", block_rows=700).orderBy("qid", "nn_rank").collect():
+        got.setdefault(r["qid"], []).append(r["rid"])
+    assert got == _brute(Q, [10000 + i for i in range(200)], R, list(range(3000)), 5)
+    p = knn.pruning(qs, refs, 5, "qid", "rid", block_rows=700).first()
+    assert (p.n_queries, p.n_refs, p.n_pairs) == (200, 3000, 600000) and 200 * 5 <= p.n_exact <= 0.05 * p.n_pairs
+
+
+def test_outliers_beyond_the_grid_and_odd_values(spark, monkeypatch):
+    monkeypatch.setattr(knn, "SAMPLE", 16)  # the grid knows a few vectors only: most others are clipped
+    rng = np.random.default_rng(2)
+    R = rng.normal(size=(400, 6)) * np.array([1, 1e-9, 1e6, 0, 1, 1]) + (rng.random((400, 1)) < 0.05) * 1e4
+    Q = np.vstack([R[:30], rng.normal(size=(30, 6)) * 1e3])
+    Q[3, 0] = -0.0
+    R[7] = Q[3] + 0.0
+    refs, qs = _frame(spark, R, 0, "rid"), _frame(spark, Q, 1000, "qid")
+    got = {}
+    for r in knn.knn_join(qs, refs, 4, "qid", "rid", block_rows=50).orderBy("qid", "nn_rank").collect():
+        got.setdefault(r["qid"], []).append(r["rid"])
+    assert got == _brute(Q, [1000 + i for i in range(60)], R, list(range(400)), 4)
+
+
+def test_equal_vectors_and_few_references(spark):
+    refs = _frame(spark, np.ones((50, 3)), 0, "rid")
+    qs = _frame(spark, np.vstack([np.ones((3, 3)), np.zeros((2, 3))]), 100, "qid")
+    rows = knn.knn_join(qs, refs, 4, "qid", "rid", block_rows=8).collect()
+    assert {r.qid: sorted(x.rid for x in rows if x.qid == r.qid) for r in rows} == {100 + i: [0, 1, 2, 3] for i in range(5)}
+    assert knn.knn_join(qs, refs.limit(2), 4, "qid", "rid").count() == 10
+    assert knn.knn_join(qs, refs.limit(0), 4, "qid", "rid").count() == 0
+    assert knn.knn_join(qs.limit(0), refs, 4, "qid", "rid").count() == 0
+    assert knn.radius_aggregate(qs, refs.withColumn("y", refs.rid % 2).limit(0), 1.0, "qid", "rid", "y").count() == 0
+
+
+def test_radius_counts_sure_and_open_pairs(spark):
+    rng = np.random.default_rng(4)
+    R, Q = rng.integers(0, 4, size=(500, 5)).astype(float), rng.integers(0, 4, size=(40, 5)).astype(float)
+    refs = _frame(spark, R, 0, "rid", y=[int(i % 3) for i in range(500)])
+    qs = _frame(spark, Q, 1000, "qid")
+    got = {(r.qid, r.y): r.n for r in knn.radius_aggregate(qs, refs, 2.0, "qid", "rid", "y", block_rows=64).collect()}
+    want = {}
+    for i, q in enumerate(Q):
+        for j, x in enumerate(R):
+            if np.sqrt(((q - x) ** 2).sum()) <= 2.0:  # many pairs lie exactly on the edge
+                want[1000 + i, j % 3] = want.get((1000 + i, j % 3), 0) + 1
+    assert got == want
