@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import global_rank, materialize, n_words, running_sum
+from ..operators.ranks import running_total
+from .common import global_rank, materialize, n_words
 
 WEIGHTS = (5, 2, 1)
 #: weight over training time (0 to 1) of each weight class, as knots (time, weight)
@@ -70,17 +70,18 @@ def source_targets(sources: DataFrame, cap: float = 3.0, weights=WEIGHTS) -> Dat
 
 
 def _fill(left: DataFrame, missing: DataFrame) -> DataFrame:
-    """(source_key, __bucket, __rn, __pick) of the untaken rows ``left`` that fill what is
-    ``__miss``ing of their source: largest sizes first, of each as many as still fit,
-    then one of the smallest size left, if that brings the source nearer. Afterwards no
-    untaken row does. The choice is a fold over the counts per size (one row per size
-    of a source); the rows of a size are numbered in md5 order by bucket totals."""
-    left = materialize(running_sum(left.withColumn("__one", F.lit(1).cast("long")), ["source_key", "size"], "__bucket",
-                                   ["__md5", "doc_id", "text_hash", "__rn"], "__one", "__nth"), "mix_left")
-    sizes = left.groupBy("source_key", "size").agg(F.count("*").alias("n")).join(missing, "source_key") \
-        .filter("__miss > 0").groupBy("source_key", "__miss") \
+    """(__row, __pick) of the untaken rows ``left`` that fill what is ``__miss``ing of their source: largest
+    sizes first, of each as many as still fit, then one of the smallest size left, if
+    that brings the source nearer. Afterwards no untaken row does. The choice is a fold over
+    the counts per size (one row per size of a source); the rows of a size are numbered
+    in the order of the source, by ranks over range partitions."""
+    left = global_rank(left.select("source_key", "size", "__md5", "text_hash", "__row"),
+                       [F.col(c) for c in ("source_key", "size", "__md5", "text_hash", "__row")], "__nth")
+    left = materialize(left, "mix_left")
+    sizes = left.groupBy("source_key", "size").agg(F.count("*").alias("n"), F.min("__nth").alias("__low"))
+    fold = sizes.join(missing, "source_key").filter("__miss > 0").groupBy("source_key", "__miss") \
         .agg(F.reverse(F.array_sort(F.collect_list(F.struct("size", "n")))).alias("__sizes"))
-    fold = sizes.withColumn("__f", F.expr("""aggregate(__sizes,
+    fold = fold.withColumn("__f", F.expr("""aggregate(__sizes,
         named_struct('m', __miss, 'took', cast(array() AS array<struct<size:bigint,n:bigint,k:bigint>>)),
         (a, x) -> CASE WHEN x.size <= a.m THEN named_struct(
             'm', a.m - x.size * least(x.n, floor(a.m / x.size)),
@@ -90,14 +91,46 @@ def _fill(left: DataFrame, missing: DataFrame) -> DataFrame:
         AND NOT exists(__f.took, t -> t.size = x.size AND t.k = t.n)), x -> x.size))"""
     took = fold.select("source_key", F.explode(F.expr(f"""concat(transform(__f.took, t -> struct(t.size AS size, t.k AS k)),
         filter(array(struct({near} AS size, 1L AS k)), t -> t.size IS NOT NULL))""")).alias("t"))
-    took = took.groupBy("source_key", F.col("t.size").alias("size")).agg(F.sum("t.k").alias("__k"))
-    took = materialize(took.filter("__k > 0"), "mix_fill")
-    return left.join(took, ["source_key", "size"]).filter(F.col("__nth") < F.col("__k")).select(
-        "source_key", "__bucket", "__rn", F.lit(1).alias("__pick"))
+    took = took.groupBy("source_key", F.col("t.size").alias("size")).agg(F.sum("t.k").alias("__k")).filter("__k > 0")
+    took = materialize(took.join(sizes.select("source_key", "size", "__low"), ["source_key", "size"]), "mix_fill")
+    return left.join(took, ["source_key", "size"]).filter(F.col("__nth") - F.col("__low") < F.col("__k")).select(
+        "__row", F.lit(1).alias("__pick"))
+
+
+def _plan(rows: DataFrame, cap: float, weights, schedules) -> DataFrame:
+    """The plan of ``mix`` from rows (doc_id, source_key, text_hash, size, __md5 and any others)."""
+    rows = materialize(rows.withColumn("__row", F.monotonically_increasing_id()), "mix_rows")
+    targets = source_targets(rows.groupBy("source_key").agg(F.sum("size").alias("source_size")), cap, weights)
+    targets = targets.withColumn(
+        "__full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)) \
+        .withColumn("__part", F.col("target") - F.col("__full") * F.col("source_size"))
+    order = [F.col(c) for c in ("source_key", "__md5", "text_hash", "__row")]
+    placed = materialize(running_total(rows, order, "size", "__before"), "mix_ordered")
+    lows = placed.groupBy("source_key").agg(F.min("__before").alias("__low"))
+    targets = materialize(targets.join(lows, "source_key"), "source_targets")
+    placed = placed.join(targets, "source_key").withColumn("__start", F.col("__before") - F.col("__low"))
+    placed = materialize(placed.withColumn(
+        "__extra", (F.col("__start") + F.col("size") <= F.col("__part")).cast("int")).drop("__before", "__low"), "mix_placed")
+    missing = placed.groupBy("source_key").agg(
+        (F.first("__part") - F.sum(F.col("size") * F.col("__extra"))).alias("__miss"))
+    missing = materialize(missing, "mix_missing")  # a row per source: small enough to be sent to hot sources
+    near = _fill(placed.filter((F.col("__extra") == 0) & (F.col("size") > 0)), missing)
+    out = placed.join(near, "__row", "left").withColumn(
+        "copies", (F.col("__full") + F.col("__extra") + F.coalesce("__pick", F.lit(0))).cast("long"))
+    out = out.withColumn("__u", F.when((F.col("copies") > 0) & (F.col("target") > 0), F.least(
+        F.lit(1.0), F.col("__start") / F.col("target")))) \
+        .withColumn("position", F.when(F.col("__u").isNotNull(), F.expr(position_sql("__u", "weight", schedules))))
+    return out.withColumn("taken", F.col("copies") * F.col("size")).withColumnRenamed("__start", "start")
+
+
+def _rows(df: DataFrame, key: str, text: str, source: str) -> list:
+    return [F.col(key).alias("doc_id"), F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("z")).alias("source_key"),
+            F.xxhash64(F.col(text)).alias("text_hash"), n_words(F.col(text)).alias("size"),
+            F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null"))).alias("__md5")]
 
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        cap: float = 3.0, weights=WEIGHTS, schedules=None, fill: bool = False) -> DataFrame:
+        cap: float = 3.0, weights=WEIGHTS, schedules=None) -> DataFrame:
     """Plan of the mix: one row per input row with ``doc_id`` (the key),
     ``text_hash``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``
     (copies times size) and ``position`` (training time of the first copy, null
@@ -105,70 +138,39 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
 
     Inside a source, documents come in the order of md5(key). Whole passes over
     the source are taken first; of the last, partial pass every document that
-    ends inside the target; then the one document whose size comes nearest to
-    what is still missing, if it brings the source nearer to its target. With
-    ``fill``, instead of that one, untaken documents are added, large to small,
-    until none brings the source nearer.
+    ends inside the target; then untaken documents, large to small, until none
+    of those left would bring the source nearer to its target.
 
     Null text: size 0. Null source: a source of its own, last in order. Null
-    key: ordered by md5 of 'null'. Ties: by key and text hash; repeated rows
-    are separate documents, as alike as the copies of one. An empty table
-    gives an empty result. A hot source is cut into hash buckets whose totals
-    are pre-aggregated.
+    key: ordered by md5 of 'null'. Ties: by text hash, then by place in the
+    input; repeated rows are separate documents, as alike as the copies of one. An
+    empty table gives an empty result. All orders are ranks over range
+    partitions, which split hot sources, hot keys and repeated rows alike.
     """
-    schedules = schedules or SCHEDULES
-    rows = df.select(F.col(key).alias("doc_id"),
-                     F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("z")).alias("source_key"),
-                     F.xxhash64(F.col(text)).alias("text_hash"), n_words(F.col(text)).alias("size"),
-                     F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null"))).alias("__md5"))
-    rows = materialize(rows.withColumn("__bucket", F.substring("__md5", 1, 3)), "mix_rows")
-    targets = source_targets(rows.groupBy("source_key").agg(F.sum("size").alias("source_size")), cap, weights)
-    targets = materialize(targets.withColumn(
-        "__full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-        .withColumn("__part", F.col("target") - F.col("__full") * F.col("source_size")), "source_targets")
-    placed = running_sum(rows, ["source_key"], "__bucket", ["__md5", "doc_id", "text_hash", "size"],
-                         "size", "__start", "__rn")
-    placed = materialize(placed.join(targets, "source_key").withColumn(
-        "__extra", (F.col("__start") + F.col("size") <= F.col("__part")).cast("int")), "mix_placed")
-    missing = placed.groupBy("source_key").agg(
-        (F.first("__part") - F.sum(F.col("size") * F.col("__extra"))).alias("__miss"))
-    missing = materialize(missing, "mix_missing")  # a row per source: small enough to be sent to hot sources
-    left = placed.filter((F.col("__extra") == 0) & (F.col("size") > 0))
-    gap = F.abs(F.col("size") - F.col("__miss"))
-    near = _fill(left, missing) if fill else (
-        left.join(missing, "source_key").filter(gap < F.col("__miss"))
-        .groupBy("source_key").agg(F.min(F.struct(gap.alias("g"), "__bucket", "__rn")).alias("__near"))
-        .select("source_key", "__near.__bucket", "__near.__rn", F.lit(1).alias("__pick")))
-    out = placed.join(near, ["source_key", "__bucket", "__rn"], "left").withColumn(
-        "copies", (F.col("__full") + F.col("__extra") + F.coalesce("__pick", F.lit(0))).cast("long"))
-    out = out.withColumn("__u", F.when((F.col("copies") > 0) & (F.col("target") > 0), F.least(
-        F.lit(1.0), F.col("__start") / F.col("target")))) \
-        .withColumn("position", F.when(F.col("__u").isNotNull(), F.expr(position_sql("__u", "weight", schedules))))
+    out = _plan(df.select(*_rows(df, key, text, source)), cap, weights, schedules or SCHEDULES)
     out = out.select("doc_id", "text_hash", "source_key", "weight", "size", "source_size", "target", "copies",
-                     (F.col("copies") * F.col("size")).alias("taken"), "position", F.col("__start").alias("start"))
+                     "taken", "position", "start")
     return out.repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")
 
 
-def training_order(df: DataFrame, key: str = "doc_id", text: str = "text", schedules=None, **options) -> DataFrame:
+def training_order(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", cap: float = 3.0,
+                   weights=WEIGHTS, schedules=None) -> DataFrame:
     """The mixed corpus itself: every input column, one row per taken copy, with
-    ``position``, range-sorted into training order (see ``mix``). Input columns
-    named like the plan's columns stay untouched."""
+    ``__position``, range-sorted into training order (see ``mix``, also for nulls, ties and empty
+    tables). Input columns named like the plan's columns stay untouched. Rows that agree in all
+    columns are collapsed before the shuffle that brings plan and texts together, so a
+    group of repeated rows is no hot key there."""
     cols = df.columns
-    plan = mix(df, key, text, schedules=schedules, **options)
+    whole = [F.col(c).cast("string") if "map<" in t or t == "variant" else F.col(c) for c, t in df.dtypes]
+    same = [F.xxhash64(*whole).alias("__h1"), F.hash(*whole).alias("__h2")]
+    schedules = schedules or SCHEDULES
     u = "least(1E0, (__c * __src + __start) / __target)"
-    copies = plan.filter("copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th"), F.col("copies").alias("__n"),
-        F.col("source_size").alias("__src"), F.col("start").alias("__start"), F.col("target").alias("__target"),
-        F.col("weight").alias("__w"), F.row_number().over(_same()).alias("__k"))
-    rows = df.select("*", F.col(key).alias("__id0"), F.xxhash64(F.col(text)).alias("__th0")).withColumn(
-        "__k0", F.row_number().over(_same("__id0", "__th0")))
-    out = rows.join(copies, F.col("__id0").eqNullSafe(F.col("__id")) & (F.col("__th0") == F.col("__th"))
-                    & (F.col("__k0") == F.col("__k")))
+    plan = _plan(df.select(*_rows(df, key, text, source), *same), cap, weights, schedules).filter("copies > 0").select(
+        "__h1", "__h2", F.col("copies").alias("__n"), F.col("source_size").alias("__src"), F.col("start").alias("__start"),
+        F.col("target").alias("__target"), F.col("weight").alias("__w"))
+    rows = df.groupBy(*same).agg(F.first(F.struct(*cols)).alias("__doc"))  # rows of a group agree in all columns
+    out = plan.join(rows, ["__h1", "__h2"])
     out = out.withColumn("__c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1))) \
-        .withColumn("__position", F.expr(position_sql(u, "__w", schedules or SCHEDULES)))
-    return (out.select(*[F.col(c) for c in cols], F.col("__position"))
+        .withColumn("__position", F.expr(position_sql(u, "__w", schedules)))
+    return (out.select(*[F.col("__doc")[c].alias(c) for c in cols], F.col("__position"))
             .repartitionByRange(F.col("__position"), F.col(key)).sortWithinPartitions("__position", key))
-
-
-def _same(a: str = "doc_id", b: str = "text_hash"):
-    return Window.partitionBy(a, b).orderBy(F.lit(1))

@@ -41,7 +41,7 @@ FROM placed GROUP BY conv_id, speaker, part
 """
 
 op5_mixing = f"""
-WITH docs AS (
+WITH RECURSIVE docs AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN 'z' ELSE 's' || source END AS src,
          CAST(len({WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
   FROM documents),
@@ -70,12 +70,28 @@ placed AS (
 extra AS (SELECT *, start + size <= part AS ex FROM placed),
 miss AS (
   SELECT src, any_value(part) - coalesce(sum(size) FILTER (ex), 0) AS m FROM extra GROUP BY src),
+sizes AS (
+  SELECT src, size, count(*) AS n, row_number() OVER (PARTITION BY src ORDER BY size DESC) AS i
+  FROM extra WHERE NOT ex AND size > 0 GROUP BY src, size),
+filled AS (
+  SELECT src, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS size, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS k,
+         CAST(m AS DOUBLE) AS m FROM miss WHERE m > 0
+  UNION ALL
+  SELECT f.src, s.i, s.size, s.n, least(s.n, CAST(floor(f.m / s.size) AS BIGINT)),
+         f.m - s.size * least(s.n, CAST(floor(f.m / s.size) AS BIGINT))
+  FROM filled f JOIN sizes s ON s.src = f.src AND s.i = f.i + 1),
+last AS (SELECT src, arg_min(m, -i) AS m FROM filled GROUP BY src),
 near AS (
-  SELECT src, arg_min(doc_id, (abs(size - m), substr(h, 1, 3), h)) AS pick
-  FROM extra JOIN miss USING (src) WHERE NOT ex AND size > 0 AND abs(size - m) < m GROUP BY src),
+  SELECT f.src, min(size) AS size FROM filled f JOIN last l ON l.src = f.src
+  WHERE size > l.m AND size < 2 * l.m AND k < n GROUP BY f.src),
+picked AS (
+  SELECT f.src, f.size, k + CAST(coalesce(near.size = f.size, false) AS BIGINT) AS k
+  FROM filled f LEFT JOIN near ON near.src = f.src WHERE i > 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY src, size, ex ORDER BY h, doc_id) - 1 AS nth FROM extra),
 copies AS (
-  SELECT e.*, CAST(fullp + CAST(ex AS BIGINT) + CAST(coalesce(pick = doc_id, false) AS BIGINT) AS BIGINT) AS copies
-  FROM extra e LEFT JOIN near USING (src)),
+  SELECT e.*, CAST(fullp + CAST(ex AS BIGINT) + CAST(coalesce(NOT ex AND nth < k, false) AS BIGINT) AS BIGINT) AS copies
+  FROM numbered e LEFT JOIN picked p ON p.src = e.src AND p.size = e.size),
 pos AS (
   SELECT *, CASE WHEN copies > 0 AND target > 0 THEN least(1.0, start / target) END AS u FROM copies)
 SELECT doc_id, size, source_size, target, copies * size AS taken,
@@ -103,8 +119,7 @@ m AS (
          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          coalesce(n_lines, 0) AS n_lines, CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
-         CASE WHEN contains(text, '!!') THEN len([x for x in ws if strlen(x) > 1
-              AND regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) ELSE 0 END AS n_shout
+         len([x for x in ws if strlen(x) > 1 AND regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) AS n_shout
   FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
 bits AS (SELECT *, CAST({_BITS} AS BIGINT) AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -88,7 +88,8 @@ def measure(data: bytes) -> tuple[int, ...]:
             dup += line in lines
             lines.add(line)
     repeats = 0 if len(seen) == len(words) else repeat_words(ids)
-    shout = sum(w.isupper() and len(w) > 1 for w in words) if data.count(b"!!") else 0
+    counts = np.bincount(ids, minlength=len(seen))
+    shout = int(sum(counts[i] for w, i in seen.items() if len(w) > 1 and w.isupper()))
     return len(words), chars, symbols, n_lines, dup, repeats, shout
 
 
