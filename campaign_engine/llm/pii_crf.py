@@ -10,7 +10,6 @@ a bounded sample of documents, by the conditional log-likelihood.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import random
 import re
@@ -25,7 +24,8 @@ from .common import arrow_batches, hash_sample, ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_PIECES = 24  # pieces (words, digit runs, punctuation marks) in one entity
-SAMPLE_DOCS = 300  # bound on the documents that lend contexts for training
+SAMPLE_DOCS = 300  # bound on the documents that lend contexts for training,
+PHRASES, PLAIN = 40, 20  # and on what each of them lends: runs of words, islands as they are
 TRAIN_LINES, ROUNDS, RATE = 900, 8, 0.4
 
 # ------------------------------------------------------------------ base rules
@@ -83,17 +83,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ------------------------------------------------------------- pieces, islands
 _PIECE = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_|\d+")
-_ANCHOR = re.compile(r"[0-9]{2,}|[(\[{]\s?(?:at|dot)\s?[)\]}]|@|\s(?:at|dot)\s(?=\S+\s(?:dot)\s)", re.I)
-_BEFORE, _AFTER = 40, 90  # characters around an anchor that an island reaches
+# every entity holds an @, a spelled-out at or dot, or two digits with at most three marks or blanks between them
+_ANCHOR = re.compile(r"[0-9](?:[^\w]|_){0,3}[0-9]+|[(\[{]\s?(?:at|dot)\s?[)\]}]|@|\s(?:at|dot)\s(?=\S+\s(?:dot)\s)", re.I)
+_REACH = MAX_PIECES + 3  # pieces on both sides of an anchor: a longest entity and the words that cue it
+
+
+def _before(text: str, at: int, floor: int) -> int:
+    """Start of the ``_REACH``-th piece before ``at``, or ``floor`` if there are fewer."""
+    chars = 128
+    while True:
+        lo = max(floor, at - chars)
+        while lo > floor and (text[lo - 1].isalnum() and text[lo].isalnum()):
+            lo = max(floor, lo - 64)  # not inside a word
+        starts = [m.start() for m in _PIECE.finditer(text, lo, at)]
+        if lo == floor or len(starts) > _REACH:
+            return starts[-_REACH] if len(starts) > _REACH else floor
+        chars *= 4
+
+
+def _after(text: str, at: int) -> int:
+    """End of the ``_REACH``-th piece from ``at`` on, or of the text."""
+    for n, m in enumerate(_PIECE.finditer(text, at), 1):
+        if n == _REACH:
+            return m.end()
+    return len(text)
 
 
 def islands(text: str):
-    """Windows of the text outside of which nothing can be an entity."""
+    """Windows of the text outside of which nothing can be an entity: ``_REACH`` pieces to both
+    sides of every anchor, merged where they meet."""
     lo = hi = None
     for m in _ANCHOR.finditer(text):
-        a, b = max(0, m.start() - _BEFORE), min(len(text), m.end() + _AFTER)
-        while a > 0 and text[a - 1].isalnum() and m.start() - a < 2 * _BEFORE:
-            a -= 1
+        if hi == len(text):
+            break
+        a, b = _before(text, m.start(), 0 if hi is None else min(hi, m.start())), _after(text, m.end())
         if hi is None or a > hi:
             if hi is not None:
                 yield lo, hi
@@ -313,13 +336,16 @@ def _entity(rng: random.Random) -> tuple[int | None, str]:
         return 0, name() + rng.choice(["", num(2), "." + name()]) + at + name() + dot + rng.choice(["com", "org", "net", "de", "fr", "es"])
     if kind == 2:
         sep = rng.choice([" . ", "-", "[.]"])
-        text = sep.join(str(rng.randint(0, 255)) for _ in range(4))
+        top = rng.choice([9, 99, 255, 255])
+        text = sep.join(str(rng.randint(0, top)) for _ in range(4))
         return (1, text) if sep == " . " else (None, text)
     if kind == 3:
         c, sep = _card(rng), rng.choice([".", "/"])
         return 2, sep.join(c[i:i + 4] for i in range(0, 16, 4))
     if kind in (4, 5):
         a, b, c = num(3), num(3), num(4)
+        if rng.random() < 0.2:  # spelled digit by digit
+            return 3, rng.choice([" . ", " - ", " "]).join(" ".join(x) for x in (a, b, c))
         return 3, rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"({a}) {b} {c}", f"00{num(2)} {a} {b} {c}", f"{a}.{b}.{c}"])
     c = _card(rng, False)
     return None, rng.choice([
@@ -331,11 +357,27 @@ def _entity(rng: random.Random) -> tuple[int | None, str]:
         f"{num(3)} {num(3)} {num(3)}", f"id {num(8)}-{num(2)}", f"{name()}[{num(2)}]", f"{num(5)} {num(5)}"])
 
 
-def examples(contexts: list[str], lines: int = TRAIN_LINES, seed: int = 7):
-    """Training islands (n pieces, segments, gold) and, as they are, islands of
-    the contexts in which only the base spans are personal data."""
+def contexts_of(text: str, seed: str, phrases: int = PHRASES, plain: int = PLAIN) -> tuple[list[str], list[str]]:
+    """What a document lends to the training: at most ``phrases`` runs of its words and ``plain`` of its
+    islands, both drawn from the whole text."""
+    rng, held = random.Random(seed), ([], [])
+    runs = (m[0] for m in re.finditer(r"[^\s]+(?:\s[^\s]+){3,9}", text))
+    for out, items, most in ((held[0], runs, phrases), (held[1], (text[a:b] for a, b in islands(text)), plain)):
+        for i, x in enumerate(items):  # a reservoir: every item has the same chance
+            if len(x) > 4000:
+                continue
+            if len(out) < most:
+                out.append(x)
+            elif (j := rng.randrange(i + 1)) < most:
+                out[j] = x
+    return held
+
+
+def examples(pool: list[str], plain: list[str] = (), lines: int = TRAIN_LINES, seed: int = 7):
+    """Training islands (n pieces, segments, gold): entities written into runs of words (``pool``) and, as they
+    are, islands of documents (``plain``) in which only the base spans are personal data."""
     rng, out = random.Random(seed), []
-    pool = [c for t in contexts for c in re.findall(r"[^\s]+(?:\s[^\s]+){3,9}", t)[:40]] or ["and then it was of the"]
+    pool = list(pool) or ["and then it was of the"]
     cues = {0: ["mail", "write", "email"], 1: ["host", "ip", "address"], 2: ["card", "visa", "pay"], 3: ["call", "phone", "tel", "fax"]}
     for _ in range(lines):
         text, gold = "", []
@@ -354,8 +396,8 @@ def examples(contexts: list[str], lines: int = TRAIN_LINES, seed: int = 7):
                 gold.append((len(text), kind, len(text) + len(s)))
             text += s + rng.choice([" ", ". ", ", "])
         out += _islands_of(text + rng.choice(pool), gold)
-    for t in contexts:
-        out += _islands_of(t, [])[:20]
+    for t in plain:
+        out += _islands_of(t, [])
     return out
 
 
@@ -373,15 +415,29 @@ def _islands_of(text: str, gold):
     return out
 
 
-def train(docs: DataFrame | None = None, key: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS) -> Crf:
-    """Fit on contexts of at most ``sample`` documents (those with the smallest
-    md5 of their key; of each the first 2,000 characters lend contexts). Without
-    documents plain filler words are used."""
-    contexts: list[str] = []
+def train(docs: DataFrame | None = None, key: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS,
+          phrases: int = PHRASES, plain: int = PLAIN) -> Crf:
+    """Fit on contexts of at most ``sample`` documents (those with the smallest md5 of their key), of
+    each at most ``phrases`` runs of words and ``plain`` islands, drawn from the whole text by the
+    executors. Without documents plain filler words are used."""
+    pool: list[str] = []
+    islands_: list[str] = []
     if docs is not None:
-        rows = hash_sample(docs.select(F.col(key).alias("k"), F.substring(F.col(text), 1, 2000).alias("t")), F.col("k"), sample)
-        contexts = sorted(r.t for r in rows.collect() if r.t is not None)
-    return Crf().fit(examples(contexts))
+        ship_package(docs.sparkSession)
+        arrow_batches(docs.sparkSession)
+
+        def draw(batches):
+            for b in batches:
+                got = [contexts_of(t or "", str(k), phrases, plain) for k, t in zip(b["k"], b["t"])]
+                yield pd.DataFrame({"k": b["k"], "pool": [p for p, _ in got], "plain": [x for _, x in got]})
+
+        rows = hash_sample(docs.select(F.col(key).cast("string").alias("k"), F.col(text).cast("string").alias("t")),
+                           F.col("k"), sample)
+        for r in sorted(rows.mapInPandas(draw, "k string, pool array<string>, plain array<string>").collect(),
+                        key=lambda r: (r.k is None, r.k or "", r.pool, r.plain)):
+            pool += r.pool
+            islands_ += r.plain
+    return Crf().fit(examples(pool, islands_))
 
 
 def crf_spans(model: Crf, text: str, base) -> list[tuple[int, int, int]]:
@@ -450,7 +506,3 @@ def redact(text: str, spans) -> str:
             out += [text[at:s], f"[{KINDS[k].upper()}]"]
         at = max(at, e)
     return "".join([*out, text[at:]])
-
-
-def base_digest(notated: str) -> str:
-    return hashlib.sha256(notated.encode()).hexdigest()

@@ -69,7 +69,7 @@ def test_decode_is_the_best_segmentation():
 def test_held_out_accuracy_and_added_spans(spark):
     crf = P.train()
     tp = fp = fn = 0
-    for n, segs, gold in P.examples(["and so it was then of them"], 200, seed=99):
+    for n, segs, gold in P.examples(["and so it was then of them"], lines=200, seed=99):
         got = set(crf.decode(n, segs))
         tp, fp, fn = tp + len(got & gold), fp + len(got - gold), fn + len(gold - got)
     assert tp / (tp + fp) > 0.95 and tp / (tp + fn) > 0.95
@@ -85,3 +85,27 @@ def test_held_out_accuracy_and_added_spans(spark):
     assert by[4].base == "ip:2:9,email:10:15" and by[4].spans == by[4].base
     assert by[None].spans == "" and by[3].spans == "" and by[1].n_added == 3 and by[1].n_ip == 1
     assert P.detect(df.limit(0), crf).count() == 0
+
+
+def test_digits_one_by_one_are_found():
+    crf = P.train()
+    for text, want in [("the host is 8 . 8 . 8 . 8 now", (12, 1, 25)), ("call 5 5 5 . 1 2 3 . 4 5 6 7 today", (5, 3, 28))]:
+        assert want in P.find(crf, text)[1], (text, P.find(crf, text))
+
+
+def test_islands_hold_every_candidate():
+    rng = random.Random(3)
+    bits = ["8", " . ", "12", "word", " ", "  ", "jo", " at ", " dot ", "(at)", "com", "-", "+", "\n", "é", "@", "a" * 200, "/", "."]
+    for _ in range(400):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 120)))
+        every = {(p[i][0], k, p[j][1]) for p, segs in [P.candidates(text, 0, len(text))] for i, j, k, _ in segs}
+        inside = {(p[i][0], k, p[j][1]) for lo, hi in P.islands(text) for p, segs in [P.candidates(text, lo, hi)] for i, j, k, _ in segs}
+        assert every == inside, text
+
+
+def test_contexts_come_from_the_whole_text():
+    text = " ".join(f"w{i} and {i % 10} {i % 7}" for i in range(20000))
+    pool, plain = P.contexts_of(text, "seed", 10, 5)
+    at = [text.index(x) for x in pool]
+    assert len(pool) == 10 and max(at) > len(text) / 2 and pool == P.contexts_of(text, "seed", 10, 5)[0]
+    assert P.contexts_of("", "x") == ([], [])
