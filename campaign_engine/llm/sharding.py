@@ -12,16 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from .common import materialize, running_sum
+from .common import global_rank, materialize
 
 #: fixed values of the published generator
 LCG = 2862933555777941757
 WORD = 1 << 64
 
+BROADCAST_SHARDS = 1_000_000
 FIRST_STEPS = 64  # jumps tried before the rest of the sequence is unrolled
-HEAVY_KEY = 10_000  # rows of one key above which its slots are numbered in salted pieces
-SALTS = 64
-BUCKETS = 4096
 
 
 def _fold(state: str, steps: int, n: int) -> str:
@@ -57,9 +55,10 @@ def assign(df: DataFrame, n_shards: int = 8, key: str = "doc_id", text: str = "t
 
     Null text: no bytes (size 1, crc 0). Null key: hashed as -1. Keys that are
     not integers go through xxhash64. Repeated rows share the shard and get
-    slots of their own. An empty table gives an empty result. Slots are
-    numbered bucket by bucket inside a shard, and a key with very many rows
-    is spread over salted buckets, so no task holds a shard or a hot key.
+    slots of their own; rows that agree in all four order columns take
+    theirs in the order of the input. An empty table gives an empty result. Slots are
+    ranks over range partitions, which split a shard and a hot key alike, so
+    no task holds either and the order is the same at every size.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
@@ -78,15 +77,12 @@ def assign(df: DataFrame, n_shards: int = 8, key: str = "doc_id", text: str = "t
         .withColumn("__shard", F.col("__jump.b").cast("int")) \
         .withColumn("__grown", F.when(F.col("__jump.j") == n_shards, F.lit(n_shards))
                     .otherwise(F.col("__jump.b")).cast("int")).drop("__jump")
-    rows = materialize(rows, "shard_rows")
-    heavy = rows.groupBy("__key").agg(F.count("*").alias("__c")).filter(F.col("__c") > HEAVY_KEY)
-    rows = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))) \
-        .join(heavy, "__key", "left") \
-        .withColumn("__bucket", F.concat_ws(
-            "-", F.substring("__md5", 1, 3),
-            F.when(F.col("__c").isNotNull(), F.lpad(F.col("__salt").cast("string"), 2, "0")))) \
-        .withColumn("__one", F.lit(1).cast("long"))
-    out = running_sum(rows, ["__shard"], "__bucket", ["__md5", "__key", "__crc", "__size"], "__one", "__slot")
+    rows = rows.withColumn("__row", F.monotonically_increasing_id())
+    order = [F.col(c) for c in ("__shard", "__md5", "__key", "__crc", "__size", "__row")]
+    ranked = global_rank(rows, order, "__rank")
+    first = materialize(ranked.groupBy("__shard").agg(F.min("__rank").alias("__first")), "shard_starts")
+    first = F.broadcast(first) if n_shards <= BROADCAST_SHARDS else first  # a row per shard at most
+    out = ranked.join(first, "__shard").withColumn("__slot", F.col("__rank") - F.col("__first"))
     return out.select(*[F.col("__keep")[c].alias(c) for c in keep if c not in made],
                       F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"),
                       F.col("__shard").alias("shard"), F.col("__slot").cast("long").alias("slot"),
