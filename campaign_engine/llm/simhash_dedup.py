@@ -216,7 +216,8 @@ def clusters(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
     """The input with one row of each component: the one with the smallest key
-    (null last), then text hash. All input columns are returned."""
+    (null last), then text hash, then the other columns, so that reruns agree.
+    All input columns are returned."""
     found = materialize(clusters(df, key, text, shingle, max_bits), "clusters")
     first = found.groupBy("component").agg(F.min(F.struct(
         F.isnull("doc_id").alias("none"), "doc_id", "text_hash")).alias("k")).select(
@@ -224,7 +225,10 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     rows = df.select(F.struct(*df.columns).alias("__row"), F.col(key).alias("__id0"),
                      F.xxhash64(F.col(text)).alias("__th0"))
     kept = rows.join(first, F.col("__id0").eqNullSafe(F.col("__id")) & (F.col("__th0") == F.col("__th")))
-    one = kept.groupBy("__id", "__th").agg(F.first("__row").alias("__row"))  # equal rows: any of them
+    # rows of equal key and text may differ elsewhere: the smallest in all columns (as text where a type has no order)
+    loose = any("map<" in t or "variant" in t for _, t in df.dtypes)
+    least = F.min_by("__row", F.to_json("__row")) if loose else F.min("__row")
+    one = kept.groupBy("__id", "__th").agg(least.alias("__row"))
     return one.select("__row.*")
 
 

@@ -112,3 +112,16 @@ def test_clusters_with_odd_rows(spark):
     assert kept.columns == df.columns
     assert kept.count() == len({r.component for r in got})
     assert S.clusters(df.limit(0)).count() == 0 and S.keep_one(df.limit(0)).count() == 0
+
+
+def test_keep_one_does_not_depend_on_the_order_of_the_input(spark):
+    text = "one two three four five six seven eight"
+    rows = [(1, text, s, n) for s in ("x", "y", None) for n in (3, 1, None)] + [(2, text, "a", 0), (1, "other words here", "z", 5)]
+    kept = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(1 + seed)
+        kept.add(tuple(sorted(map(str, S.keep_one(df).collect()))))
+    assert len(kept) == 1
+    odd = spark.createDataFrame([(1, text, {"k": "b"}), (1, text, {"k": "a"})], "doc_id long, text string, m map<string,string>")
+    assert S.keep_one(odd).first()["m"] == {"k": "a"}
