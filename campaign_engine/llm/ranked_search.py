@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from .common import arrow_batches, materialize, ship_package
@@ -169,8 +170,8 @@ def add_bounds(index: DataFrame, terms: DataFrame, pairs: DataFrame, numbers: tu
                            T.StructField("impacts", T.ArrayType(T.LongType()))])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = left.column("term").to_pylist()
         out, lengths = _Rows(), None
+        names = left.column("term").to_pylist() if len(left) else []
         for i, t in enumerate(names):
             if t is None:
                 lengths = _values(left.column("tfs")[i])
@@ -182,7 +183,8 @@ def add_bounds(index: DataFrame, terms: DataFrame, pairs: DataFrame, numbers: tu
                 impact = left.column("w")[i].as_py() * ((1_000_000_000 * tf) // (1000 * tf + 20 * m[slots]))
                 got[t] = slots, impact
                 out.add(t, None, int(impact.max()), slots, impact)
-        for a, b in zip(right.column("a").to_pylist(), right.column("b").to_pylist()):
+        wanted = zip(right.column("a").to_pylist(), right.column("b").to_pylist()) if len(right) else ()
+        for a, b in wanted:  # the table of an absent side has no columns
             one, two = got.get(a), got.get(b)
             top = max(int(x[1].max()) for x in (one, two) if x)
             slots, impact = np.empty(0, np.int32), np.empty(0, np.int64)
@@ -261,14 +263,14 @@ def best(lists: dict, parts: list[tuple], n_docs: int, theta: int, k: int) -> tu
 
 def _scan(lists: DataFrame, docs: DataFrame, work: DataFrame, id_type, k: int) -> DataFrame:
     """Evaluate ``work`` (shard, block, item, theta, parts) against the lists of its shards."""
-    keys = ["shard", "block"]
+    keys, kind = ["shard", "block"], to_arrow_type(id_type)
     schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("shard", T.LongType()),
                            T.StructField("slot", T.LongType()), T.StructField("doc_id", id_type),
                            T.StructField("score", T.LongType()), T.StructField("read", T.LongType())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, found = None, {}
-        for i, t in enumerate(left.column("a").to_pylist()):
+        for i, t in enumerate(left.column("a").to_pylist() if len(left) else []):
             if t is None:
                 ids = left.column("ids")[i].values
             else:
@@ -285,7 +287,7 @@ def _scan(lists: DataFrame, docs: DataFrame, work: DataFrame, id_type, k: int) -
             for v, d, s in mine[:k]:
                 for c, x in zip(cols, (r["item"], r["in_shard"], s, d, -v, read)):
                     c.append(x)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), left.schema.field("ids").type.value_type, pa.int64(), pa.int64()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), kind, pa.int64(), pa.int64()]
         return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], names=schema.names)
 
     rows = lists.unionByName(docs.join(work.select(*keys).distinct(), "shard"))
