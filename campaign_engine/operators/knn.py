@@ -5,7 +5,7 @@ keeps pruning where cells or pivots do not (64 dimensions and more):
 
 1. equal vectors are collapsed (a query vector is searched once, and of equal
    reference vectors only the ``k`` smallest ids can matter);
-2. every reference becomes one byte per dimension (a uniform grid over the range of
+2. every reference becomes two bytes per dimension (a uniform grid over the range of
    a bounded sample; values beyond it are clipped), every query single-precision
    numbers, each with the exact norm of what that loses, so the distance of two
    approximations, plus or minus both norms, bounds the true distance on both sides;
@@ -35,7 +35,8 @@ from ..session import materialize, ship_package
 from .quantiles import same_keys
 
 DIST_DIGITS = 9
-SAMPLE = 8192   # vectors (about) whose range the byte grid covers
+LEVELS = 65535  # steps of the grid in each dimension (two bytes)
+SAMPLE = 8192   # vectors (about) whose range the grid covers
 STRIP = 256     # queries whose distances to a block are held at once
 SLACK = 4e-9    # rounding of the reported distances
 
@@ -72,18 +73,18 @@ def _grid(r: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray] | None:
         return None
     x = np.array([row[0] for row in rows], dtype=np.float64)
     lo, hi = x.min(0), x.max(0)
-    return lo, np.maximum(hi - lo, 1e-300) / 255
+    return lo, np.maximum(hi - lo, 1e-300) / LEVELS
 
 
 def _coded(df: DataFrame, grid: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
-    """Add ``_c``: ``code`` (a byte per dimension on ``grid``; without one, single-precision numbers) and ``e``, the
+    """Add ``_c``: ``code`` (two bytes per dimension on ``grid``; without one, single-precision numbers) and ``e``, the
     norm of what the code loses."""
     @F.pandas_udf("code binary, e double")
     def code(f: pd.Series) -> pd.DataFrame:
         if not len(f):
             return pd.DataFrame({"code": [], "e": []})
         x = np.stack(f.to_numpy()).astype(np.float64)
-        c = x.astype("<f4") if grid is None else np.clip(np.rint((x - grid[0]) / grid[1]), 0, 255).astype(np.uint8)
+        c = x.astype("<f4") if grid is None else np.clip(np.rint((x - grid[0]) / grid[1]), 0, LEVELS).astype("<u2")
         back = c if grid is None else grid[0] + c * grid[1]
         e = np.sqrt(((x - back) ** 2).sum(1)) * (1 + 1e-12) + 1e-12
         return pd.DataFrame({"code": [row.tobytes() for row in c], "e": e})
@@ -94,7 +95,7 @@ def _coded(df: DataFrame, grid: tuple[np.ndarray, np.ndarray] | None) -> DataFra
 def _strips(q: pd.DataFrame, r: pd.DataFrame, lo, step):
     """(first query, lower bounds, upper bounds) of strips of queries against a whole block."""
     Q = np.frombuffer(b"".join(q["code"]), "<f4").reshape(-1, len(lo)).astype(np.float64)
-    R = lo + np.frombuffer(b"".join(r["code"]), np.uint8).reshape(-1, len(lo)) * step
+    R = lo + np.frombuffer(b"".join(r["code"]), "<u2").reshape(-1, len(lo)) * step
     eq, er = q["e"].to_numpy(), r["e"].to_numpy()
     for s in range(0, len(Q), STRIP):
         d, err = _distances(Q[s:s + STRIP], R)
