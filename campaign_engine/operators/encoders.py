@@ -5,8 +5,7 @@ Fitting is a single pass (unpivot the categorical columns, group by
 flag, so an unseen category encodes to 0 while a null category stays null and
 a matched-but-null statistic stays null. Encoder sides are broadcast only when
 AQE measures it at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``);
-larger ones stay sort-merge joins, with AQE splitting skewed keys. Passing
-``broadcast=True`` forces the hint for a side known to be small.
+larger ones stay sort-merge joins, with AQE splitting skewed keys.
 """
 
 from __future__ import annotations

@@ -9,10 +9,14 @@ keeps pruning where cells or pivots do not (64 dimensions and more):
    a bounded sample; values beyond it are clipped), every query single-precision
    numbers, each with the exact norm of what that loses, so the distance of two
    approximations, plus or minus both norms, bounds the true distance on both sides;
-3. each (query block, reference block) pair is one cogroup task over these codes
+3. references that fill several blocks are cut into axis-parallel cells (a k-d tree
+   over the sample). A query first meets its own cell, and then only cells that come within the
+   ``k``-th upper bound found there: in data with a few wide dimensions most cells are
+   passed over, in data without any every cell is met;
+4. each (query block, reference block) pair of a cell is one cogroup task over codes
    only: a matrix product gives the bounds, and a reference stays if its lower bound
    reaches the ``k``-th smallest upper bound of the query in the block;
-4. survivors meet per query, are pruned again by the ``k``-th upper bound over all blocks,
+5. survivors meet per query, are pruned again by the ``k``-th upper bound over all blocks,
    and only then are exact distances computed, for these few pairs.
 
 Blocks are sized by ``block_rows``, which bounds the memory of a task: two blocks of
@@ -37,6 +41,7 @@ from .quantiles import same_keys
 DIST_DIGITS = 9
 LEVELS = 65535  # steps of the grid in each dimension (two bytes)
 SAMPLE = 8192   # vectors (about) whose range the grid covers
+MAX_CELLS = 1024
 STRIP = 256     # queries whose distances to a block are held at once
 SLACK = 4e-9    # rounding of the reported distances
 
@@ -61,35 +66,111 @@ def _exact(a: str, b: str) -> F.Column:
     return F.floor(d * scale + 0.5) / scale
 
 
-def _grid(r: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """(lowest value, step) per dimension, from about ``SAMPLE`` reference vectors."""
+def _sample(r: DataFrame, n: int) -> np.ndarray:
+    """About ``SAMPLE`` of ``n`` reference vectors, by hash (all of a smaller table)."""
     few = r.select("_f", F.xxhash64("_f").alias("_h"))
     if n > SAMPLE:
         few = few.where(F.col("_h") < -(1 << 63) + int(SAMPLE / n * (1 << 64)))
-    rows = few.select("_f").limit(2 * SAMPLE).collect()
-    if not rows:
-        rows = r.select("_f").limit(1).collect()
-    if not rows:
-        return None
-    x = np.array([row[0] for row in rows], dtype=np.float64)
-    lo, hi = x.min(0), x.max(0)
+    rows = few.select("_f").limit(2 * SAMPLE).collect() or r.select("_f").limit(1).collect()
+    return np.array([row[0] for row in rows], dtype=np.float64)
+
+
+def _grid(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lowest value, step) per dimension."""
+    lo, hi = sample.min(0), sample.max(0)
     return lo, np.maximum(hi - lo, 1e-300) / LEVELS
 
 
-def _coded(df: DataFrame, grid: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
-    """Add ``_c``: ``code`` (two bytes per dimension on ``grid``; without one, single-precision numbers) and ``e``, the
-    norm of what the code loses."""
-    @F.pandas_udf("code binary, e double")
+class _Cells:
+    """Axis-parallel cells of about equal numbers of sample vectors: the largest cell is halved at the
+    median of its widest dimension until there are ``n`` of them."""
+
+    def __init__(self, sample: np.ndarray, n: int):
+        d = sample.shape[1]
+        self.nodes: list[list] = []  # dimension, threshold, below, above (inner node, or -1 - cell)
+        cells = [(np.arange(len(sample)), np.full(d, -np.inf), np.full(d, np.inf), None)]
+        whole = []  # cells of equal vectors
+        while cells and len(cells) + len(whole) < n:
+            i = max(range(len(cells)), key=lambda c: len(cells[c][0]))
+            rows, lo, hi, link = cells.pop(i)
+            x = sample[rows]
+            axis = int(x.var(0).argmax())
+            values = np.unique(x[:, axis])
+            if len(values) < 2:
+                whole.append((rows, lo, hi, link))
+                continue
+            at = min(float(np.median(x[:, axis])), float(values[-2]))
+            at = float(values[np.searchsorted(values, at, side="right") - 1])
+            me = len(self.nodes)
+            self.nodes.append([axis, at, None, None])
+            if link:
+                self.nodes[link[0]][link[1]] = me
+            below, above = hi.copy(), lo.copy()
+            below[axis] = above[axis] = at
+            cells.append((rows[x[:, axis] <= at], lo, below, (me, 2)))
+            cells.append((rows[x[:, axis] > at], above, hi, (me, 3)))
+        cells += whole
+        for c, (_, _, _, link) in enumerate(cells):
+            if link:
+                self.nodes[link[0]][link[1]] = -1 - c
+        self.axes = sorted({node[0] for node in self.nodes})
+        self.lo = np.array([c[1][self.axes] for c in cells])
+        self.hi = np.array([c[2][self.axes] for c in cells])
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """The cell of every vector."""
+        at = np.zeros(len(x), np.int64) if self.nodes else np.full(len(x), -1)
+        while (inner := at >= 0).any():
+            for node in np.unique(at[inner]):
+                axis, cut, below, above = self.nodes[node]
+                mine = np.flatnonzero(at == node)
+                at[mine] = np.where(x[mine, axis] <= cut, below, above)
+        return -1 - at
+
+    def near(self, x: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Which cells come within ``bound`` of every vector (rows x cells)."""
+        gap = np.zeros((len(x), len(self.lo)))
+        for j, axis in enumerate(self.axes):
+            v = x[:, axis, None]
+            g = np.maximum(np.maximum(self.lo[None, :, j] - v, v - self.hi[None, :, j]), 0)
+            gap += g * g
+        return np.sqrt(gap) * (1 - 1e-12) <= bound[:, None] + SLACK
+
+
+def _coded(df: DataFrame, grid: tuple[np.ndarray, np.ndarray] | None, cells: _Cells | None) -> DataFrame:
+    """Add ``code`` (two bytes per dimension on ``grid``; without one, single-precision numbers), ``e``, the
+    norm of what the code loses, and ``_leaf``, the vector's cell."""
+    @F.pandas_udf("code binary, e double, leaf long")
     def code(f: pd.Series) -> pd.DataFrame:
         if not len(f):
-            return pd.DataFrame({"code": [], "e": []})
+            return pd.DataFrame({"code": [], "e": [], "leaf": []})
         x = np.stack(f.to_numpy()).astype(np.float64)
         c = x.astype("<f4") if grid is None else np.clip(np.rint((x - grid[0]) / grid[1]), 0, LEVELS).astype("<u2")
         back = c if grid is None else grid[0] + c * grid[1]
         e = np.sqrt(((x - back) ** 2).sum(1)) * (1 + 1e-12) + 1e-12
-        return pd.DataFrame({"code": [row.tobytes() for row in c], "e": e})
+        return pd.DataFrame({"code": [row.tobytes() for row in c], "e": e,
+                             "leaf": cells.home(x) if cells else np.zeros(len(x), np.int64)})
 
-    return df.withColumn("_c", code("_f"))
+    return df.withColumn("_c", code("_f")).select(
+        *df.columns, F.col("_c.code").alias("code"), F.col("_c.e").alias("e"), F.col("_c.leaf").alias("_leaf"))
+
+
+def _visits(q: DataFrame, cells: _Cells, bound: F.Column, home: bool) -> DataFrame:
+    """A row per query and cell within its ``bound`` (``home``: its own cell as well)."""
+    @F.pandas_udf("array<long>")
+    def within(f: pd.Series, b: pd.Series) -> pd.Series:
+        if not len(f):
+            return pd.Series([], dtype=object)
+        x, out = np.stack(f.to_numpy()).astype(np.float64), []
+        for s in range(0, len(x), STRIP):
+            out += [np.flatnonzero(row) for row in cells.near(x[s:s + STRIP], b.to_numpy(float)[s:s + STRIP])]
+        return pd.Series(out)
+
+    there = F.explode(within("_f", bound)).alias("_there")
+    out = q.select(*q.columns, there)
+    if not home:
+        out = out.where("_there <> _leaf")
+    return out.drop("_leaf").withColumnRenamed("_there", "_leaf")
 
 
 def _strips(q: pd.DataFrame, r: pd.DataFrame, lo, step):
@@ -103,28 +184,38 @@ def _strips(q: pd.DataFrame, r: pd.DataFrame, lo, step):
         yield s, d - loose, d + loose
 
 
-def _dealt(q: DataFrame, r: DataFrame, part: list[str], grid, block_rows: int, r_cols: Sequence[str] = ()):
-    """Codes of queries and references, dealt to the pairs of blocks to be compared."""
+def _dealt(q: DataFrame, r: DataFrame, keys: list[str], block_rows: int, q_cols: Sequence[str] = (), r_cols: Sequence[str] = ()):
+    """Codes of queries and references of equal ``keys``, dealt to the pairs of blocks to be compared."""
     per = [F.count(F.lit(1)).alias("_n")]
-    if part:
-        blocks = same_keys(q.groupBy(*part).agg(*per).withColumnRenamed("_n", "_nq"), r.groupBy(*part).agg(*per), part)
-        blocks = materialize(blocks.select(*part, F.ceil(F.col("_nq") / block_rows).alias("_nqb"),
-                                           F.ceil(F.col("_n") / block_rows).alias("_nrb")), "knn-blocks")
-    else:
-        nq, nr = (max(1, -(-df.count() // block_rows)) for df in (q, r))
+    blocks = same_keys(q.groupBy(*keys).agg(*per).withColumnRenamed("_n", "_nq"), r.groupBy(*keys).agg(*per), keys)
+    blocks = materialize(blocks.select(*keys, F.ceil(F.col("_nq") / block_rows).alias("_nqb"),
+                                       F.ceil(F.col("_n") / block_rows).alias("_nrb")), "knn-blocks")
 
     def deal(df, own, other, own_n, other_n, cols):
-        if part:
-            df = same_keys(df, blocks, part)
-        else:
-            df = df.withColumns({"_nqb": F.lit(nq).cast("long"), "_nrb": F.lit(nr).cast("long")})
-        df = df.withColumn(own, F.pmod(F.xxhash64("_k"), F.col(own_n))) \
+        df = same_keys(df, blocks, keys).withColumn(own, F.pmod(F.xxhash64("_k"), F.col(own_n))) \
             .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_n) - 1)))
-        return df.select(*part, "_qb", "_rb", "_k", F.col("_c.code").alias("code"), F.col("_c.e").alias("e"), *cols)
+        return df.select(*keys, "_qb", "_rb", "_k", "code", "e", *cols)
+
+    by = [*keys, "_qb", "_rb"]
+    return (deal(q, "_qb", "_rb", "_nqb", "_nrb", q_cols).groupBy(*by)
+            .cogroup(deal(r, "_rb", "_qb", "_nrb", "_nqb", r_cols).groupBy(*by)))
 
-    keys = [*part, "_qb", "_rb"]
-    return (deal(_coded(q, None), "_qb", "_rb", "_nqb", "_nrb", []).groupBy(*keys)
-            .cogroup(deal(_coded(r, grid), "_rb", "_qb", "_nrb", "_nqb", r_cols).groupBy(*keys)))
+
+def _prepared(q: DataFrame, r: DataFrame, part: list[str], block_rows: int, name: str):
+    """(coded queries, coded references, grid, cells or None): references that fill several blocks
+    are cut into cells, so that whole blocks can be passed over."""
+    n = r.count()
+    if not n:
+        return None
+    sample = _sample(r, n)
+    groups = max(1, r.select(*part).distinct().count()) if part and n >= 2 * block_rows else 1
+    n_cells = min(MAX_CELLS, len(sample) // 16, n // groups // block_rows)
+    grid, cells = _grid(sample), _Cells(sample, n_cells) if n_cells > 1 else None
+    keep = [*part, "_k", "_f"]
+    q, r = _coded(q.select(*keep), None, cells), _coded(r.select(*[c for c in r.columns if c != "_rid"]), grid, cells)
+    if cells:  # read by both passes
+        q, r = materialize(q, f"{name}-query-codes"), materialize(r.drop("_f"), f"{name}-codes")
+    return q, r, grid, cells
 
 
 def _sides(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str, features: str, ref_cols: list[str],
@@ -145,26 +236,40 @@ def _sides(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str, fe
 def _candidates(q: DataFrame, r: DataFrame, k: int, part: list[str], block_rows: int) -> DataFrame:
     """Pairs (``_qk``, ``_rk``) of keys whose exact distance can matter."""
     schema = "_qk long, _rk long, low double, up double"
-    grid = _grid(r, r.count())
-    if grid is None:
+    ready = _prepared(q, r, part, block_rows, "knn")
+    if ready is None:
         return q.limit(0).select(F.col("_k").alias("_qk"), F.col("_k").alias("_rk"))
+    q, r, grid, cells = ready
+    keys = [*part, "_leaf"]
 
     def per_block(qb: pd.DataFrame, rb: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(qb) and len(rb):
             kk = min(k, len(rb)) - 1
+            far = qb["bound"].to_numpy()
             for s, low, up in _strips(qb, rb, *grid):
-                kth = np.partition(up, kk, axis=1)[:, kk]
+                kth = np.minimum(np.partition(up, kk, axis=1)[:, kk] if kk == k - 1 else np.inf, far[s:s + STRIP])
                 qi, ri = np.nonzero(low <= kth[:, None] + SLACK)
                 out.append(pd.DataFrame({"_qk": qb["_k"].to_numpy()[qi + s], "_rk": rb["_k"].to_numpy()[ri],
                                          "low": low[qi, ri], "up": up[qi, ri]}))
         return pd.concat(out) if out else pd.DataFrame({"_qk": [], "_rk": [], "low": [], "up": []})
 
-    found = _dealt(q, r, part, grid, block_rows).applyInPandas(per_block, schema)
-    mine = Window.partitionBy("_qk")
-    found = found.withColumn("_o", F.row_number().over(mine.orderBy("up"))) \
-        .withColumn("_kth", F.max(F.when(F.col("_o") == k, F.col("up"))).over(mine))
-    return found.where(F.col("_kth").isNull() | (F.col("low") <= F.col("_kth") + SLACK)).select("_qk", "_rk")
+    def pruned(found):  # by the k-th upper bound over all blocks so far
+        mine = Window.partitionBy("_qk")
+        found = found.withColumn("_o", F.row_number().over(mine.orderBy("up"))) \
+            .withColumn("_kth", F.max(F.when(F.col("_o") == k, F.col("up"))).over(mine))
+        return found.where(F.col("_kth").isNull() | (F.col("low") <= F.col("_kth") + SLACK)).drop("_o")
+
+    unbounded = F.lit(float("inf"))
+    found = pruned(_dealt(q.withColumn("bound", unbounded), r, keys, block_rows, ["bound"]).applyInPandas(per_block, schema))
+    if cells:  # what the query's own cell gives bounds the others
+        found = materialize(found, "knn-home")
+        bounds = found.groupBy(F.col("_qk").alias("_k")).agg(F.max("_kth").alias("bound"))
+        known = q.join(bounds, "_k", "left").withColumn("bound", F.coalesce("bound", unbounded))
+        away = materialize(_visits(known, cells, F.col("bound"), home=False).drop("_f"), "knn-visits")
+        found = pruned(found.drop("_kth").unionByName(
+            _dealt(away, r, keys, block_rows, ["bound"]).applyInPandas(per_block, schema)))
+    return found.select("_qk", "_rk")
 
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str, r_id: str,
@@ -263,8 +368,8 @@ def radius_aggregate(queries: DataFrame, refs: DataFrame, radius: float, q_id: s
             for df, name in ((q, "radius-queries"), (r, "radius-refs")))
     schema = T.StructType([T.StructField("_qk", T.LongType()), T.StructField("_rk", T.LongType()),
                            T.StructField("_t", refs.schema[target].dataType), T.StructField("n", T.LongType())])
-    grid = _grid(r, r.count())
-    if grid is None:
+    ready = _prepared(q, r, [], block_rows, "radius")
+    if ready is None:
         none = q.limit(0).select(F.col("_qid").alias(q_id), F.lit(None).cast(refs.schema[target].dataType).alias(target))
         return none.withColumns({"n": F.lit(0).cast("long"), "total": F.lit(0.0)})
 
@@ -282,7 +387,10 @@ def radius_aggregate(queries: DataFrame, refs: DataFrame, radius: float, q_id: s
         frame = pd.concat(out) if out else pd.DataFrame({c: pd.Series([], dtype=object) for c in schema.names})
         return frame[schema.names].astype({"_rk": "Int64"})
 
-    part = materialize(_dealt(q, r, [], grid, block_rows, ["_t", "_m"]).applyInPandas(per_block, schema), "radius-parts")
+    qc, rc, grid, cells = ready
+    if cells:
+        qc = materialize(_visits(qc, cells, F.lit(float(radius)), home=True).drop("_f"), "radius-visits")
+    part = materialize(_dealt(qc, rc, ["_leaf"], block_rows, r_cols=["_t", "_m"]).applyInPandas(per_block, schema), "radius-parts")
     open_ = part.where("_rk IS NOT NULL").join(q.select(F.col("_k").alias("_qk"), F.col("_f").alias("_qf")), "_qk") \
         .join(r.select(F.col("_k").alias("_rk"), F.col("_f").alias("_rf")), "_rk").where(_exact("_qf", "_rf") <= radius)
     hits = part.where("_rk IS NULL").select("_qk", "_t", "n").unionByName(open_.select("_qk", "_t", "n"))

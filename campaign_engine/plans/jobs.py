@@ -18,6 +18,7 @@ from __future__ import annotations
 import argparse
 import json
 import os
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from ..operators import configure as cfg
 from ..operators import encoders as enc
 from ..operators import features as feat
 from ..operators import evaluate, metrics, models, scoring, splits, stats
-from ..operators.embed import embed_distinct, hashing_embedder
+from ..operators.embed import EmbeddingMemo, embed_distinct, hashing_embedder
 from ..schema import CATEGORICAL_FEATURES
 from ..session import get_spark, materialize
 from ..sources import datasets as ds
@@ -34,13 +35,18 @@ from ..sources import datasets as ds
 def _embedder(spark, args):
     if getattr(args, "embedding_table", None):
         return spark.read.parquet(args.embedding_table)  # (value, embedding)
-    return hashing_embedder(args.embedding_dim)
+    model = hashing_embedder(args.embedding_dim)
+    if getattr(args, "embedding_memo", None):  # vectors of earlier jobs; the model runs for new values only
+        return EmbeddingMemo(args.embedding_memo, model)
+    return model
 
 
 def ingest(spark, args) -> str:
     order = getattr(args, "order_columns", None)
     position = None if args.shuffle or order else "_position"  # an unshuffled split keeps the order of the file
-    df = ds.scan_csv(spark, args.data_path, position=position)
+    keys = {k: getattr(args, k, None) for k in ("access_key", "secret_key", "endpoint")}
+    scan = partial(ds.scan_csv_store, **keys) if "://" in args.data_path and not args.data_path.startswith("file:") else ds.scan_csv
+    df = scan(spark, args.data_path, position=position)
     return ds.ingest(df, args.store, getattr(args, "key_columns", ["campaign_id"]), args.test_size, args.random_state,
                      args.stratify_variable, args.shuffle, order_cols=order, source=args.data_path, position=position)
 
@@ -105,6 +111,7 @@ def train(spark, args) -> str:
     run_id = models.log_run(spark, args.store, args.model_type, {"cv": args.cv, "scoring": args.scoring},
                             tr_s, te_s, path, tr.schema.simpleString())
     models.save_metrics(cv, args.store, run_id)
+    models.cv_document(cv).coalesce(1).write.mode("overwrite").text(f"{path}_metrics")  # the same scores as one JSON text
     return run_id
 
 
@@ -139,7 +146,7 @@ def augment(spark, args) -> str:
         .withColumn("conversion_probability", F.col("probability").cast("double"))
     out = pred.withColumn("features", F.concat("features", F.array("conversion_probability")))
     order = ds.resolve(spark, args.store, args.dataset_uid, "train")["column_order"] or []
-    given = {k: v for k, v in vars(args).items() if v is not None and not callable(v)} | {"stage": "augment"}
+    given = {k: v for k, v in vars(args).items() if v is not None and "secret" not in k and "access" not in k} | {"stage": "augment"}
     uid = ds.write_dataset(out.select(F.col("id").alias("campaign_id"), "CPA", "convert", "features", "split_type"),
                            args.store, parent_uid=args.dataset_uid,
                            column_order=list(order) + ["conversion_probability"], metadata=given)
@@ -186,6 +193,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--store", required=True)
     p.add_argument("--master", default=None)
     p.add_argument("--data_path")
+    p.add_argument("--access_key", default=None)
+    p.add_argument("--secret_key", default=None)
+    p.add_argument("--endpoint", default=None)
     p.add_argument("--test_size", type=float, default=0.2)
     p.add_argument("--random_state", type=int, default=2025)
     p.add_argument("--stratify_variable", default=None)
@@ -203,6 +213,7 @@ def parser() -> argparse.ArgumentParser:
                    choices=["frequency_encoding", "target_encoding"])
     p.add_argument("--stats_to_compute", default="mean")
     p.add_argument("--embedding_table", default=None)
+    p.add_argument("--embedding_memo", default=None)
     p.add_argument("--embedding_dim", type=int, default=64)
     p.add_argument("--model_type", default="KNeighborsClassifier")
     p.add_argument("--scoring", nargs="+", default=["accuracy", "precision", "recall", "f1"])

@@ -130,6 +130,30 @@ def q_predict_cpa(spark, sf):
                       r("predicted_cpa").alias("predicted_cpa"))
 
 
+@register("augmented_bundle", O.with_base(
+    "SELECT campaign_id, 70 AS n_features, round(value, 6) AS last, round(a1 + a2 + a3 + a4 + a5 + list_sum(ei.emb) + value, 4) AS f_sum "
+    "FROM te1 JOIN proba USING (campaign_id) JOIN ei USING (ii)", *_STAGE1_CTES, *_nearest_ctes("proba", "te1", "tr1", "convert")))
+def q_augmented_bundle(spark, sf):
+    """The test split's features with the probability appended, stored as an augmented dataset and read by name."""
+    from ..operators import encoders as enc
+    from ..operators import features as feat
+    from ..session import scratch_path
+    from ..sources import datasets as ds
+    train, test = split_derived(spark, sf)
+    emb = industry_map(spark, sf)
+    freq = enc.fit_encoders(train, scoring.CATEGORICAL_FEATURES, "frequency")
+    ref = scoring.stage1_features(train, freq, emb).select("campaign_id", "features", "convert")
+    out = scoring.augment_proba(scoring.stage1_features(test, freq, emb), ref, 5, "campaign_id")
+    names = feat.feature_names(scoring.STAGE1, feat.EMBEDDING, 64) + ["proba_convert"]
+    root = scratch_path(spark, "augmented")
+    uid = ds.write_dataset(out.select("campaign_id", F.concat("features", F.array("proba_convert")).alias("features")), root,
+                           split_col=None, column_order=names, metadata={"stage": "augment", "k": 5})
+    at = ds.registry_positions(spark, root, uid, "all", "proba_convert")[0]
+    back = ds.read_dataset(spark, root, uid, "all")
+    return back.select("campaign_id", F.size("features").alias("n_features"), r(F.element_at("features", at + 1)).alias("last"),
+                       r(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 4).alias("f_sum"))
+
+
 _SCORED = ("scored AS (SELECT d.campaign_id, d.convert, CASE WHEN p.value > 0.5 THEN 1 ELSE 0 END AS pred, ln(1 + d.CPA) AS y, "
            "l.value AS f FROM ted d JOIN proba p USING (campaign_id) JOIN logcpa l USING (campaign_id))")
 _COUNTS = ("counts AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(pred * convert) AS DOUBLE) AS tp, "

@@ -139,3 +139,38 @@ def test_radius_counts_sure_and_open_pairs(spark):
             if np.sqrt(((q - x) ** 2).sum()) <= 2.0:  # many pairs lie exactly on the edge
                 want[1000 + i, j % 3] = want.get((1000 + i, j % 3), 0) + 1
     assert got == want
+
+
+def test_cells_pass_over_far_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    R = np.column_stack([rng.uniform(0, 1000, 4000), rng.integers(0, 5, 4000), rng.normal(size=4000)])
+    Q = np.vstack([R[:50] + 0.1, [[5000, 0, 0], [-5000, 9, 9], [500, 2, 0]]])
+    refs, qs = _frame(spark, R, 0, "rid", y=[int(i % 3) for i in range(4000)]), _frame(spark, Q, 10000, "qid")
+    asked = []
+    visits = knn._visits
+    monkeypatch.setattr(knn, "_visits", lambda *a, **kw: asked.append(visits(*a, **kw)) or asked[-1])
+    got = {}
+    for r in knn.knn_join(qs, refs, 5, "qid", "rid", block_rows=200).orderBy("qid", "nn_rank").collect():
+        got.setdefault(r["qid"], []).append(r["rid"])
+    assert got == _brute(Q, [10000 + i for i in range(53)], R, list(range(4000)), 5)
+    assert asked[0].count() <= 2 * 53  # of 20 cells each, besides the own one
+    agg = {(r.qid, r.y): r.n for r in knn.radius_aggregate(qs, refs, 3.0, "qid", "rid", "y", block_rows=200).collect()}
+    want = {}
+    for i, q in enumerate(Q):
+        for j in np.flatnonzero(np.sqrt(((R - q) ** 2).sum(1)) <= 3.0):
+            want[10000 + i, int(j % 3)] = want.get((10000 + i, int(j % 3)), 0) + 1
+    assert agg == want and asked[1].count() <= 3 * 53
+
+
+def test_cells_tile_the_space():
+    rng = np.random.default_rng(8)
+    for x in (rng.normal(size=(500, 4)), rng.integers(0, 2, size=(300, 3)).astype(float), np.ones((40, 2))):
+        c = knn._Cells(x, 16)
+        home = c.home(x)
+        assert 1 <= len(c.lo) <= 16 and set(home) == set(range(len(c.lo)))
+        y = rng.normal(size=(100, x.shape[1])) * 3
+        near = c.near(y, np.zeros(100))
+        assert all(near[i, h] for i, h in enumerate(c.home(y)))
+        d = np.sqrt(((y[:, None] - x[None]) ** 2).sum(2))
+        inside = c.near(y, d.min(1))
+        assert all(inside[i, home[j]] for i, j in enumerate(d.argmin(1)))
