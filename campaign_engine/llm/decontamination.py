@@ -121,7 +121,8 @@ def _pairs(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "
 def remove_contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text",
                         **options) -> DataFrame:
     """The documents that hold no item; all columns are kept. A document is its key
-    and text: clean documents of a null or repeated key stay."""
+    and text: clean documents of a null or repeated key stay, repeated rows stay or go together.
+    Texts without words stay; an empty table of items removes nothing."""
     hit = materialize(_pairs(docs, bench, key, text, **options).select(
         F.col("doc_id").alias("__hit"), F.col("doc").alias("__doc")).distinct(), "contaminated")
     return docs.join(hit, F.col(key).eqNullSafe(F.col("__hit"))
