@@ -16,7 +16,8 @@ from pyspark.sql.window import Window
 from .common import materialize, words
 
 WIDTH, CONTAINMENT = 5, 0.8
-BROADCAST_ROWS = 1_000_000  # index rows (about 24 bytes each) up to which it is broadcast
+BROADCAST_ROWS = 1_000_000     # index rows (about 24 bytes each beside their texts)
+BROADCAST_BYTES = 64 << 20     # and bytes of their texts up to which an index is broadcast
 
 
 def _shingle_hashes(width: int):
@@ -33,9 +34,11 @@ def _shingle_texts(width: int):
         ELSE CAST(array() AS array<string>) END"""
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a materialised index only when its counted rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, text: str | None = None) -> DataFrame:
+    """Broadcast a materialised index only when its counted rows, and the bytes of its column ``text``, are few."""
+    size = F.sum(F.octet_length(text)) if text else F.lit(0)
+    rows, held = df.agg(F.count("*"), size).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES else df
 
 
 def _items(bench: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -109,7 +112,7 @@ def _pairs(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "
     held = rows.join(candidates.select("doc").distinct(), "doc", "left_semi")
     held = held.withColumn("shingle", F.explode(F.array_distinct(F.concat(
         *[F.expr(_shingle_texts(w)) for w in widths])))).select("doc", "doc_id", "shingle")
-    shared = held.join(_small(texts), "shingle").join(candidates, ["doc", "item"], "left_semi")
+    shared = held.join(_small(texts, "shingle"), "shingle").join(candidates, ["doc", "item"], "left_semi")
     # repeated documents: distinct shingles of the same (key, text)
     shared = shared.groupBy("doc", "doc_id", "item", "item_id", "n").agg(
         F.count_distinct("shingle").alias("n_shared"))

@@ -25,9 +25,10 @@ def brute(docs, items, width=5, c=0.8):
     return out
 
 
-@pytest.mark.parametrize("limit", [D.BROADCAST_ROWS, 0])
-def test_pairs_against_brute_force(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit,held", [(D.BROADCAST_ROWS, D.BROADCAST_BYTES), (0, D.BROADCAST_BYTES), (D.BROADCAST_ROWS, 1)])
+def test_pairs_against_brute_force(spark, monkeypatch, limit, held):
     monkeypatch.setattr(D, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(D, "BROADCAST_BYTES", held)
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(30)]
     items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([1, 3, 5, 6, 14, 40])))) for i in range(25)]
