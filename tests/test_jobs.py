@@ -41,3 +41,34 @@ def test_job_chain(spark):
     aug = ds.read_dataset(spark, store, auid, "test")
     assert aug.where(F.size("features") != 5 + 16 + 1).count() == 0
     assert ds.resolve(spark, store, auid, "test")["parent_uid"] == fuid
+
+
+def test_unshuffled_ingest_and_regressor_folds_keep_the_file_order(spark, tmp_path):
+    rows = base(spark, SF001).limit(400).withColumn("campaign_id", F.lpad(F.monotonically_increasing_id().cast("string"), 12, "0"))
+    rows.repartitionByRange(4, "campaign_id").sortWithinPartitions("campaign_id").write.option("header", True).csv(str(tmp_path / "csv"))
+    ordered = [r.campaign_id for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).orderBy("campaign_id").collect()]
+    store = str(tmp_path / "store")
+    uid = jobs.ingest(spark, A(store=store, data_path=str(tmp_path / "csv"), shuffle=False))
+    test = ds.read_dataset(spark, store, uid, "test")
+    assert "_position" not in test.columns
+    assert sorted(r.campaign_id for r in test.collect()) == ordered[-80:]
+
+
+def test_memo_and_metrics_document_of_the_jobs(spark, tmp_path):
+    from campaign_engine.operators import models
+    from campaign_engine.operators.embed import EmbeddingMemo
+    store, memo = str(tmp_path / "store"), str(tmp_path / "memo")
+    base(spark, SF001).limit(600).write.option("header", True).csv(str(tmp_path / "csv"))
+    uid = jobs.ingest(spark, A(store=store, data_path=str(tmp_path / "csv")))
+    fuid = jobs.preprocess(spark, A(store=store, dataset_uid=uid, embedding_memo=memo))
+    known = EmbeddingMemo(memo).known(spark)
+    assert known.count() == spark.read.parquet(memo).count() > 3
+    jobs.preprocess(spark, A(store=store, dataset_uid=uid, embedding_memo=memo))
+    assert spark.read.parquet(memo).count() == known.count()  # nothing was embedded again
+    run_id = jobs.train(spark, A(store=store, dataset_uid=fuid, target_variable="CPA", model_type="Ridge",
+                                 scoring=["neg_mean_squared_error", "r2"], evaluation_metric="root_mean_squared_error", cv=3))
+    run = models.runs(spark, store).where(F.col("run_id") == run_id).first()
+    doc = models.cv_from_document(spark.read.text(f"{run['model_path']}_metrics", wholetext=True), "value")
+    saved = spark.read.parquet(f"{store}/metrics").where(F.col("run_id") == run_id)
+    assert sorted(map(tuple, doc.collect())) == sorted(map(tuple, saved.select("fold", "split", "metric", "value").collect()))
+    assert doc.count() == 3 * 2 * 2 and doc.where("metric = 'neg_mean_squared_error' AND value > 0").count() == 0
