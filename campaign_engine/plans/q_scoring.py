@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_md5
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..operators import configure as cfg
 from ..operators import evaluate as ev
 from ..operators import scoring, splits, stats
@@ -24,6 +24,20 @@ def split_derived(spark, sf):
     return (tagged.where(F.col("split_type") == "train"), tagged.where(F.col("split_type") == "test"))
 
 
+_MODELS: dict[tuple, str] = {}
+
+
+def fitted(spark, sf):
+    """The two-stage model of the train split: fitted and saved once per session, loaded by every query."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        train, _ = split_derived(spark, sf)
+        path = scratch_path(spark, "two-stage-model")
+        scoring.save_two_stage(scoring.fit_two_stage(train, industry_map(spark, sf)), path)
+        _MODELS[key] = path
+    return scoring.load_two_stage(spark, _MODELS[key])
+
+
 def _nearest_ctes(out: str, queries: str, refs: str, value: str, dims: int = 5) -> list[str]:
     """CTEs: ``out`` (campaign_id, value) = mean ``value`` of the 5 nearest ``refs`` (rid
     up to 2^20) of each of the ``queries``; both have a1 to a<dims>, with the CPC as a5, and ``ii`` (industry).
@@ -123,21 +137,20 @@ def q_augment_proba(spark, sf):
     "FROM te1 JOIN proba p USING (campaign_id) LEFT JOIN logcpa l USING (campaign_id)",
     *_STAGE1_CTES, *_two_stage_ctes("ted")))
 def q_predict_cpa(spark, sf):
-    train, test = split_derived(spark, sf)
-    model = scoring.fit_two_stage(train, industry_map(spark, sf))
+    _, test = split_derived(spark, sf)
+    model = fitted(spark, sf)
     out = scoring.predict(model, test, impute_cpc=False)
     return out.select("campaign_id", r("proba_convert").alias("proba_convert"),
                       r("predicted_cpa").alias("predicted_cpa"))
 
 
 @register("augmented_bundle", O.with_base(
-    "SELECT campaign_id, 70 AS n_features, round(value, 6) AS last, round(a1 + a2 + a3 + a4 + a5 + list_sum(ei.emb) + value, 4) AS f_sum "
+    "SELECT campaign_id, 70 AS n_features, round(proba.value, 6) AS last, round(a1 + a2 + a3 + a4 + a5 + list_sum(ei.emb) + proba.value, 4) AS f_sum "
     "FROM te1 JOIN proba USING (campaign_id) JOIN ei USING (ii)", *_STAGE1_CTES, *_nearest_ctes("proba", "te1", "tr1", "convert")))
 def q_augmented_bundle(spark, sf):
     """The test split's features with the probability appended, stored as an augmented dataset and read by name."""
     from ..operators import encoders as enc
     from ..operators import features as feat
-    from ..session import scratch_path
     from ..sources import datasets as ds
     train, test = split_derived(spark, sf)
     emb = industry_map(spark, sf)
@@ -173,8 +186,8 @@ UNION ALL SELECT 'cpa_regressor', 'r2', round(1 - sum((f - y) * (f - y)) / (var_
 def q_two_stage(spark, sf):
     """Train both stages on the train split, score the test split: accuracy of
     the classifier and RMSE of the log-CPA regressor on test."""
-    train, test = split_derived(spark, sf)
-    model = scoring.fit_two_stage(train, industry_map(spark, sf))
+    _, test = split_derived(spark, sf)
+    model = fitted(spark, sf)
     out = materialize(scoring.predict(model, test, impute_cpc=False).withColumn("log_CPA", F.log1p("CPA")),
                       "two-stage-scored")
     out = out.withColumn("pred_convert", (F.col("proba_convert") > 0.5).cast("int"))
@@ -270,8 +283,7 @@ def q_candidate_space(spark, sf):
 
 
 def _scored(spark, sf):
-    train, _ = split_derived(spark, sf)
-    model = scoring.fit_two_stage(train, industry_map(spark, sf))
+    model = fitted(spark, sf)
     top = cfg.top_k_configs(stats.config_usage(base(spark, sf)), TOP_K)
     cands = cfg.candidate_space(requests(spark, sf), top)
     cands = cands.withColumn("campaign_id", F.concat_ws("|", "customer_id", "market_id", "publisher"))
@@ -308,10 +320,9 @@ def q_stream_score(spark, sf):
     """Streaming serving: one request per test-split customer arrives as files;
     a Structured Streaming job scores every micro-batch with the two-stage
     model trained on the train split."""
-    from ..session import scratch_path
     from ..streaming.scoring import score_request_stream
-    train, test = split_derived(spark, sf)
-    model = scoring.fit_two_stage(train, industry_map(spark, sf))
+    _, test = split_derived(spark, sf)
+    model = fitted(spark, sf)
     pick = F.min_by(F.struct("category_id", "market_id", "publisher", "industry"),
                     seeded_md5(["campaign_id"], SEED))
     reqs = (test.groupBy("customer_id").agg(pick.alias("_r"))
