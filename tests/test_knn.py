@@ -1,5 +1,6 @@
 """Blocked kNN join against brute force (ties broken by id)."""
 import numpy as np
+from pyspark.sql import functions as F
 
 from campaign_engine.operators import knn
 
@@ -174,3 +175,44 @@ def test_cells_tile_the_space():
         d = np.sqrt(((y[:, None] - x[None]) ** 2).sum(2))
         inside = c.near(y, d.min(1))
         assert all(inside[i, home[j]] for i, j in enumerate(d.argmin(1)))
+
+
+def test_a_block_multiplies_near_leaves_only(monkeypatch):
+    rng = np.random.default_rng(12)
+    flat = np.column_stack([rng.uniform(0, 1000, 3000), rng.integers(0, 40, 3000) * 25.0, np.zeros((3000, 5))])
+    for R, share in ((flat, 0.2), (rng.normal(size=(3000, 40)), 1.6)):  # few wide dimensions; many equal ones
+        Q, done, bounds = R[:500] + 0.3, [], knn._bounds
+        monkeypatch.setattr(knn, "_bounds", lambda q, r, eq, er: done.append(len(q) * len(r)) or bounds(q, r, eq, er))
+        zeros = np.full(500, 1e-9), np.full(3000, 1e-9)
+        qi, ri, low, up = knn._near_pairs(Q, R, *zeros, 5, np.full(500, np.inf))
+        monkeypatch.undo()
+        assert sum(done) <= share * 500 * 3000
+        best = np.argsort(np.sqrt(((Q[:, None] - R[None]) ** 2).sum(2)), axis=1, kind="stable")[:, :5]
+        got = set(zip(qi.tolist(), ri.tolist()))
+        assert all((i, int(j)) in got for i in range(500) for j in best[i]) and len(got) <= 6 * 500 and (low <= up).all()
+
+
+def test_blocks_grow_with_the_references(spark):
+    rng = np.random.default_rng(13)
+    refs, qs = (_frame(spark, rng.normal(size=(n, 8)), 0, name).withColumn("_f", F.col("features")).withColumn("_k", F.col(name))
+                for n, name in ((2400, "rid"), (20, "qid")))
+    *_, rows = knn._prepared(qs.select("_k", "_f"), refs.select("_k", "_f"), [], 20, "test")
+    assert rows == 100
+    *_, rows = knn._prepared(qs.select("_k", "_f"), refs.select("_k", "_f"), [], 200, "test")
+    assert rows == 200
+
+
+def test_fold_neighbours_equal_a_join_per_set(spark):
+    rng = np.random.default_rng(14)
+    X = rng.integers(0, 5, size=(160, 3)).astype(float)
+    rows = [(i // 2 if i < 20 else i, None if i % 41 == 40 else i % 6, x.tolist(), i % 3) for i, x in enumerate(X)]
+    rows += rows[30:40] + [(None, 1, [1.0, 2.0, 3.0], 1)]  # repeated rows, shared ids, an id or a fold missing, folds beyond the four
+    df = spark.createDataFrame(rows, "id long, fold long, features array<double>, y long")
+    one = knn.fold_neighbours(df, 4, "id", "fold", 4, ["y"])
+    many = knn.knn_join(*(knn.fold_sets(df, "fold", 4, role) for role in ("both", "train")), 4, "id", "id", "features", ["y"], partition="_set")
+    assert one.columns == many.columns and one.dtypes == many.dtypes
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    plain = lambda d: sorted(map(tuple, d.collect()), key=key)
+    cols = [c for c in one.columns if c != "y"]  # rows of one id may be taken in either order
+    assert plain(one.select(*cols)) == plain(many.select(*cols))
+    assert plain(one.where("id > 40 AND nn_id > 40")) == plain(many.where("id > 40 AND nn_id > 40"))
