@@ -72,3 +72,20 @@ def test_memo_and_metrics_document_of_the_jobs(spark, tmp_path):
     saved = spark.read.parquet(f"{store}/metrics").where(F.col("run_id") == run_id)
     assert sorted(map(tuple, doc.collect())) == sorted(map(tuple, saved.select("fold", "split", "metric", "value").collect()))
     assert doc.count() == 3 * 2 * 2 and doc.where("metric = 'neg_mean_squared_error' AND value > 0").count() == 0
+
+
+def test_file_order_writes_as_many_files_as_the_rows_need(spark, tmp_path, monkeypatch):
+    from campaign_engine.plans import q_store
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    monkeypatch.setattr(q_store, "scratch_path", lambda spark, name: str(tmp_path / name))
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+        out = q_store.q_file_order(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "ordered-csv").glob("*.csv"))) == 9
+    ids = [r.campaign_id for r in sorted(out, key=lambda r: r.row_position)]
+    assert ids == sorted(ids) and [r.row_position for r in sorted(out, key=lambda r: r.row_position)] == list(range(len(ids)))
