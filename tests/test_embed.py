@@ -78,3 +78,21 @@ def test_hashing_model_equals_the_plain_function(spark):
     df = spark.createDataFrame([("Large Plated TIN",), ("",), (None,), ("a a b",)], "t string")
     a, b = (embed.embed_distinct(df, "t", e).orderBy("t").collect() for e in (embed.hashing_embedder(8), embed.hashing_model(8)))
     assert a == b
+
+
+def test_a_small_map_is_planned_as_a_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from campaign_engine.operators.embed import embed_distinct
+
+    rows = spark.range(100_000).select("id", F.concat(F.lit("k"), F.col("id") % 3).alias("text"))
+    vectors = spark.createDataFrame([(f"k{i}", [float(i), 1.0]) for i in range(3)], "value string, embedding array<double>")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        out = embed_distinct(rows, "text", vectors)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # before any stage has run
+        assert out.where(F.col("text_embedding")[0] == F.col("id") % 3).count() == 100_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
