@@ -171,3 +171,16 @@ def test_training_flags_of_the_original_command(spark):
         (s, m) for s in ("train", "test") for m in ("accuracy", "precision", "recall", "f1")}
     args.cv = 1
     assert jobs.train(spark, args)
+
+
+def test_features_of_one_partition_are_made_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+    from campaign_engine.operators import scoring
+    from campaign_engine.session import settle
+    rows = [(f"c{i}", f"a{i % 3}", f"m{i % 2}", f"u{i % 5}", "p", "x" if i % 2 else None, float(i)) for i in range(64)]
+    df = spark.createDataFrame(rows + rows[:2], "campaign_id string, category_id string, market_id string, customer_id string, "
+                               "publisher string, industry string, CPC double").coalesce(1)
+    enc = spark.createDataFrame([("category_id", "a0", 2.0), ("customer_id", "u1", 3.0)], "variable string, value string, enc double")
+    emb = spark.createDataFrame([("x", [1.0, 2.0]), ("", [0.0, 0.0])], "value string, embedding array<double>")
+    out = scoring.stage1_features(df, settle(enc), emb)  # as fitted: tables of known size
+    assert out.count() == 66 and out.select(F.spark_partition_id()).distinct().count() > 4

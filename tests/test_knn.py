@@ -216,3 +216,24 @@ def test_fold_neighbours_equal_a_join_per_set(spark):
     cols = [c for c in one.columns if c != "y"]  # rows of one id may be taken in either order
     assert plain(one.select(*cols)) == plain(many.select(*cols))
     assert plain(one.where("id > 40 AND nn_id > 40")) == plain(many.where("id > 40 AND nn_id > 40"))
+
+
+def test_leaves_hand_on_few_pairs(monkeypatch):
+    rng, n = np.random.default_rng(15), 12000
+    R = np.column_stack([rng.choice([0, 800, 1500, 2100], n), rng.integers(0, 25, n) * 500.0, rng.integers(0, 25, n) * 60.0,
+                         rng.integers(1, 60, n), rng.exponential(1500, n)])
+    Q, seen, last = R[::6] + 0.1, [], knn._within_kth
+    monkeypatch.setattr(knn, "_within_kth", lambda found, k, kth: seen.append(sum(len(f[0]) for f in found)) or last(found, k, kth))
+    qi, ri, _, _ = knn._near_pairs(Q, R, np.full(2000, 1e-9), np.full(n, 1e-9), 5, np.full(2000, np.inf))
+    assert seen[0] <= 20 * len(Q)  # each leaf is held to the nearest found so far
+    got = set(zip(qi.tolist(), ri.tolist()))
+    best = np.argsort(np.sqrt(((Q[:, None] - R[None]) ** 2).sum(2)), axis=1, kind="stable")[:, :5]
+    assert len(got) == len(qi) and all((i, int(j)) in got for i in range(len(Q)) for j in best[i])
+
+
+def test_exact_distance_adds_in_order(spark):
+    rng = np.random.default_rng(16)
+    rows = [((rng.normal(size=69) * 10.0 ** (i % 6)).tolist(), (rng.normal(size=69) * 10.0 ** (i % 5)).tolist()) for i in range(200)]
+    df = spark.createDataFrame([*rows, (None, rows[0][0])], "a array<double>, b array<double>").where("a IS NOT NULL")
+    plain = F.expr("floor(sqrt(aggregate(zip_with(a, b, (x, y) -> (x - y) * (x - y)), 0D, (s, v) -> s + v)) * 1e9D + 0.5D) / 1e9D")
+    assert df.where(knn._exact("a", "b") != plain).count() == 0 and df.count() == 200
