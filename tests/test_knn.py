@@ -237,3 +237,37 @@ def test_exact_distance_adds_in_order(spark):
     df = spark.createDataFrame([*rows, (None, rows[0][0])], "a array<double>, b array<double>").where("a IS NOT NULL")
     plain = F.expr("floor(sqrt(aggregate(zip_with(a, b, (x, y) -> (x - y) * (x - y)), 0D, (s, v) -> s + v)) * 1e9D + 0.5D) / 1e9D")
     assert df.where(knn._exact("a", "b") != plain).count() == 0 and df.count() == 200
+
+
+def test_cells_are_searched_by_whole_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    R = np.column_stack([rng.uniform(0, 1000, 3000), rng.integers(0, 5, 3000) * 100.0, rng.integers(0, 2, (3000, 6))])
+    R[500:1700] = R[3]  # a vector of more rows than a cell
+    Q = np.vstack([R[::40] + 0.25, R[500:800], R[2000:2010]])
+    refs, qs = _frame(spark, R, 0, "rid", y=[int(i % 3) for i in range(3000)]), _frame(spark, Q, 10000, "qid")
+    monkeypatch.setattr(knn, "_exact", None)  # pairs do not leave their task with their vectors
+    searched, same = knn._searched, []
+    monkeypatch.setattr(knn, "_searched", lambda *a: same.append(a[-2].home(R)) or searched(*a))
+    nn = knn.knn_join(qs, refs, 5, "qid", "rid", ref_cols=["y"], block_rows=100)
+    assert nn.columns == ["qid", "rid", "dist", "y", "nn_rank"] and dict(nn.dtypes)["nn_rank"] == "int"
+    rows, got = nn.orderBy("qid", "nn_rank").collect(), {}
+    for r in rows:
+        got.setdefault(r["qid"], []).append(r["rid"])
+    assert got == _brute(Q, [10000 + i for i in range(len(Q))], R, list(range(3000)), 5)
+    assert all(r.y == r.rid % 3 for r in rows) and [r.nn_rank for r in rows[:5]] == [1, 2, 3, 4, 5]
+    assert len(same) == 1 and len(set(same[0])) > 4
+
+
+def test_cells_of_partitions_rows_against_themselves_and_missing_ids(spark):
+    rng = np.random.default_rng(18)
+    X = np.column_stack([rng.uniform(0, 1000, 1200), rng.integers(0, 4, 1200) * 50.0])
+    df = spark.createDataFrame([(None if i == 7 else f"c{i:04d}", x.tolist(), i % 2) for i, x in enumerate(X)],
+                               "id string, features array<double>, s long")
+    assert knn._near_only(knn._asked(df, df, "id", "id", "features", [], ["s"])[1], 3, ["s"], 60)
+    got = {}
+    for r in knn.knn_join(df, df, 3, "id", "id", partition="s", block_rows=60).orderBy("id", "nn_rank").collect():
+        got.setdefault(r["id"], []).append(r["nn_id"])
+    ids = ["" if i == 7 else f"c{i:04d}" for i in range(1200)]  # a missing id comes first
+    for s in (0, 1):
+        for i, near in _brute(X[s::2], ids[s::2], X[s::2], ids[s::2], 3).items():
+            assert [x or "" for x in got[i or None]] == near
