@@ -41,7 +41,7 @@ def q_file_order(spark, sf):
     """Unshuffled split and contiguous folds of CSV files, in the order of the files' rows."""
     path = scratch_path(spark, "ordered-csv")
     base(spark, sf).repartitionByRange("campaign_id").sortWithinPartitions("campaign_id") \
-        .write.option("header", True).csv(path)
+        .write.option("header", True).option("compression", "gzip").csv(path)
     rows = ds.scan_csv(spark, path, position="row_position").select("campaign_id", "row_position")
     tagged = splits.split_ordered(rows, ["row_position"], TEST)
     folds = splits.cv_folds_contiguous(tagged, ["campaign_id"], 5, order_cols=["row_position"])

@@ -23,10 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ranks import global_rank
 from ..operators.splits import SPLIT_COL, split_ordered, split_shuffled
 from ..schema import CAMPAIGN_SCHEMA, normalise
-from ..session import settle
+from ..session import materialize, settle
 from .npz import read_npz, write_npz
 
 REGISTRY_SCHEMA = T.StructType([
@@ -55,11 +54,15 @@ def new_uid() -> str:
 def file_position(df: DataFrame, out: str = "row_position") -> DataFrame:
     """Add the 0-based position of every row in the order of the files: by path, then by place
     in the file. ``df`` must be a plain file scan (Parquet, CSV, text, ...). Rows of one block of a file are
-    read in order by one task, so (path, block start, id inside the task) orders them; the rank over
-    all files is taken over range partitions."""
-    keyed = df.select("*", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_fb"),
-                      F.monotonically_increasing_id().alias("_fi"))
-    return global_rank(keyed, [F.col("_fp"), F.col("_fb"), F.col("_fi")], out).drop("_fp", "_fb", "_fi")
+    read in order by one task, so the numbers of rows of the blocks before (a row per block) and the place after the
+    block's first row give it: the rows are written once and not shuffled."""
+    keyed = materialize(df.select("*", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_fb"),
+                                  F.monotonically_increasing_id().alias("_fi")), "positioned")
+    blocks = keyed.groupBy("_fp", "_fb").agg(F.count(F.lit(1)).alias("_fn"), F.min("_fi").alias("_f0"))
+    before = F.sum("_fn").over(Window.orderBy("_fp", "_fb")) - F.col("_fn") - F.col("_f0")
+    blocks = settle(blocks.select("_fp", "_fb", before.alias("_off")))
+    return keyed.join(F.broadcast(blocks), ["_fp", "_fb"]) \
+        .withColumn(out, (F.col("_off") + F.col("_fi")).cast("bigint")).drop("_fp", "_fb", "_fi", "_off")
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType = CAMPAIGN_SCHEMA,

@@ -43,3 +43,17 @@ def test_ingest_register_read(spark):
 def test_scan_csv_missing_path(spark):
     with pytest.raises(ValueError):
         ds.scan_csv(spark, "/nonexistent/path/none.csv")
+
+
+def test_file_position_without_a_shuffle_of_the_rows(spark, tmp_path, monkeypatch):
+    for f, first, n in (("b", 40, 35), ("a", 0, 40), ("c", 75, 0)):  # in the order of their names
+        (tmp_path / f"{f}.csv").write_text("x\n" + "".join(f"{first + i}\n" for i in range(n)))
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64b")  # several blocks a file
+    try:
+        rows = spark.read.option("header", True).csv(str(tmp_path))
+        monkeypatch.setattr(type(rows), "repartitionByRange", None)
+        out = ds.file_position(rows, "at")
+        assert out.columns == ["x", "at"] and sorted((int(r.x), r.at) for r in out.collect()) == [(i, i) for i in range(75)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
