@@ -66,3 +66,18 @@ def test_assembly_golden_example(spark):
     assert sel["s"] == [4.0, 0.1, 0.2]
     with pytest.raises(ValueError):
         feat.select_by_name(out, ["nope"], names)
+
+
+def test_only_variables_of_many_values_shuffle_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(enc, "BROADCAST_BYTES", 2000)
+    df = spark.createDataFrame([(i, f"m{i % 3}", f"customer{i}") for i in range(300)], "id long, market string, customer string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000b")  # the long table is larger
+    try:
+        table = enc.fit_encoders(df, ["market", "customer"])
+        out = enc.apply_encoders(df, table, ["market", "customer"])
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+        assert out.where("market_encoded = 100 AND customer_encoded = 1").count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
